@@ -54,6 +54,13 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 
 
+def held(value: Column) -> Column:
+    """The value, computed where it stands. The optimiser pushes filters (also those that it derives from
+    explode) through deterministic projections by copying their expressions; inside a lambda a copied
+    expression would be evaluated once an element. What depends on the partition number isn't copied."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def split_words(text: Column) -> Column:
     """Maximal runs of characters other than ASCII white space."""
     body = F.btrim(text, F.lit(WS_CHARS))

@@ -27,15 +27,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import normal_words, text_of, window_hashes, window_texts
+from .common import held, normal_words, text_of, window_hashes, window_texts
 
 MAX_SIZE_CLASS = 40
 
 
 def item_index(items: DataFrame, n: int, threshold: float) -> DataFrame:
     """items(item_id, text) -> item_id, grams (distinct shingles), size_class, probes (hashes)."""
-    rows = items.filter(F.col("item_id").isNotNull()).select("item_id", normal_words(text_of()).alias("words"))
-    rows = rows.withColumn("grams", F.array_distinct(window_texts(F.col("words"), n)))
+    rows = items.filter(F.col("item_id").isNotNull()).select("item_id", held(normal_words(text_of())).alias("words"))
+    rows = rows.withColumn("grams", held(F.array_distinct(window_texts(F.col("words"), n))))
     rows = rows.withColumn("hashes", F.array_sort(F.array_distinct(window_hashes(F.col("words"), n)))).filter(F.size("grams") > 0)
     rows = rows.withColumn("size_class", F.ceil(F.log2(F.size("grams"))).cast("int"))
     # the largest size u of the class needs u - ceil(t*u) + 1 probes
@@ -53,15 +53,15 @@ def contained_items(
     small = (size["p"] or 0) <= max_probes and (size["b"] or 0) <= max_item_bytes
     probes = index.select("item_id", F.explode("probes").alias("h"))
     grams = index.select("item_id", "grams")
-    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", normal_words(text_of()).alias("words"))
-    hashed = texts.withColumn("hashes", F.array_distinct(window_hashes(F.col("words"), n)))
+    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", held(normal_words(text_of())).alias("words"))
+    hashed = texts.withColumn("hashes", held(F.array_distinct(window_hashes(F.col("words"), n))))
     if small:
         hits = hashed.select("doc_id", "words", F.explode("hashes").alias("h")).join(F.broadcast(probes), "h").join(F.broadcast(grams), "item_id")
     else:
         pairs = hashed.select("doc_id", F.explode("hashes").alias("h")).join(probes, "h").select("doc_id", "item_id").distinct()
         hits = pairs.join(texts, "doc_id").join(grams, "item_id")
     own = hits.withColumn("own", window_texts(F.col("words"), n))
-    shared = own.withColumn("shared", F.size(F.array_intersect("grams", "own")).cast("long")).withColumn("n_item", F.size("grams").cast("long"))
+    shared = own.withColumn("shared", held(F.size(F.array_intersect("grams", "own")).cast("long"))).withColumn("n_item", F.size("grams").cast("long"))
     return (
         shared.filter(F.col("shared") >= F.ceil(F.col("n_item") * threshold - F.lit(1e-9)))
         .groupBy("doc_id", "item_id")

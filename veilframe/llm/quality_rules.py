@@ -2,10 +2,11 @@
 
 A document's histogram of character classes and its histogram of common words are compared with
 references of its language by Jensen-Shannon distance (base 2, 0 to 1). The references are the
-histograms of all documents of that language together, computed over the whole table. Guards: the
-classes are only judged from ``min_chars`` characters on, the words from ``min_words`` words on, and a
-language gets a reference of its own from ``min_reference_words`` words on; below that, and for a null
-language, the reference of all documents is used.
+histograms of all documents of that language together, computed over the whole table. A document is
+rejected if both distances are above their thresholds, or, if it is long enough for the words alone to
+tell, if their distance is above a higher one. Guards: ``min_chars`` characters for the first rule,
+``min_words`` words for the second; a language gets a reference of its own from ``min_reference_words``
+words on; below that, and for a null language, the reference of all documents is used.
 
 Two narrow passes over the texts: the first sums histograms to one row a language (partial sums
 before the shuffle), the second computes statistics and verdict in place. No text is shuffled. The
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, WS_CLASS, split_words, text_of, window_hashes, window_texts
+from .common import WS_CHARS, WS_CLASS, held, split_words, text_of, window_hashes, window_texts
 
 SYMBOLS = r"[#*$%&|<>]"
 CLASSES = ("lower", "upper", "space", "digit", "symbol", "shout", "other")
@@ -40,7 +41,7 @@ def histograms(docs: DataFrame) -> DataFrame:
     """Adds words (array), char_hist and word_hist (arrays of long) for a column ``body`` without nulls."""
     rest = F.regexp_replace("body", r"\p{Ll}+", "")
     only = lambda keep: F.length(F.regexp_replace("rest", f"[^{keep}]+", "")).cast("long")
-    out = docs.withColumn("words", split_words(F.col("body"))).withColumn("rest", rest)
+    out = docs.withColumn("words", held(split_words(F.col("body")))).withColumn("rest", held(rest))
     out = out.withColumn("n_space", only(WS_CLASS)).withColumn("n_symbols", only(r"#*$%&|<>"))
     out = out.withColumn("n_upper", only(r"\p{Lu}")).withColumn("n_digit", only(r"\p{Nd}")).withColumn("n_shout", only("!?"))
     n_rest = F.length("rest").cast("long")
@@ -120,10 +121,11 @@ def statistics(docs: DataFrame) -> DataFrame:
 def judge(
     docs: DataFrame,
     corpus: DataFrame | None = None,
-    max_char_distance: float = 0.2,
-    max_word_distance: float = 0.5,
+    max_char_distance: float = 0.14,
+    max_word_distance: float = 0.21,
     min_chars: int = 100,
-    min_words: int = 40,
+    max_word_distance_alone: float = 0.24,
+    min_words: int = 100,
     min_reference_words: int = 1000,
 ) -> DataFrame:
     """docs with columns text and lang -> docs without text, plus the statistics, char_distance,
@@ -144,10 +146,10 @@ def judge(
     s = s.withColumn("char_distance", js_distance(_shares(F.col("char_hist")), F.coalesce("ref_chars", fixed(whole["chars"]))))
     s = s.withColumn("word_distance", js_distance(_shares(F.col("word_hist")), F.coalesce("ref_words", fixed(whole["words"]))))
     n_chars = F.aggregate("char_hist", F.lit(0).cast("long"), lambda a, x: a + x)
-    odd_chars = (n_chars >= min_chars) & (F.col("char_distance") > max_char_distance)
-    odd_words = (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
+    odd = (n_chars >= min_chars) & (F.col("char_distance") > max_char_distance) & (F.col("word_distance") > max_word_distance)
+    odd = odd | ((F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance_alone))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return s.withColumn("base_failed", failed).withColumn("kept", ~failed & ~odd_chars & ~odd_words).drop("ref_lang", "ref_chars", "ref_words", "char_hist", "word_hist")
+    return s.withColumn("base_failed", failed).withColumn("kept", held(~failed & ~odd)).drop("ref_lang", "ref_chars", "ref_words", "char_hist", "word_hist")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
