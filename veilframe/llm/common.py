@@ -73,14 +73,32 @@ def normal_words(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, " "))
 
 
-def window_hashes(words: Column, n: int) -> Column:
-    """One 64-bit hash for each run of n neighbouring words, in order. ``words`` has to be
-    a stored column: an expression would be evaluated again for every window."""
-    last = F.size(words) - F.lit(n)
-    return F.when(
-        last >= 0,
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)])),
-    ).otherwise(F.array().cast("array<bigint>"))
+def with_window_hashes(df: DataFrame, words: str, n: int, out: str) -> DataFrame:
+    """Adds one 64-bit hash for each run of n neighbouring words, in order. Hashes of runs are put together from
+    those of two shorter ones, by doubling, so each step looks at two values a window. Every step is a
+    column of its own: nested, they would be evaluated once for each use."""
+    names: list[str] = []
+
+    def put(value: Column) -> str:
+        nonlocal df
+        names.append(f"__h{len(names)}")
+        df = df.withColumn(names[-1], value)
+        return names[-1]
+
+    def joined(left: str, right: str, gap: int) -> Column:
+        """The run at i of left, then the run at i + gap of right."""
+        return F.zip_with(left, F.slice(right, F.lit(gap + 1), F.size(words)), lambda a, b: F.xxhash64(a, b))
+
+    doubles, width, done, covered = put(F.transform(words, lambda w: F.xxhash64(w))), 1, None, 0
+    while True:
+        if n & width:
+            done, covered = (doubles, width) if done is None else (put(joined(done, doubles, covered)), covered + width)
+        if width * 2 > n:
+            break
+        doubles, width = put(joined(doubles, doubles, width)), width * 2
+    # runs that reach over the end are hashed with nulls; they are cut off
+    runs = F.when(F.size(words) >= n, F.slice(done, F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumn(out, held(runs)).drop(*names)
 
 
 def window_texts(words: Column, n: int) -> Column:

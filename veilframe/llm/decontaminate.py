@@ -27,7 +27,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, normal_words, text_of, window_hashes, window_texts
+from .common import held, normal_words, text_of, window_texts, with_window_hashes
 
 MAX_SIZE_CLASS = 40
 
@@ -36,7 +36,7 @@ def item_index(items: DataFrame, n: int, threshold: float) -> DataFrame:
     """items(item_id, text) -> item_id, grams (distinct shingles), size_class, probes (hashes)."""
     rows = items.filter(F.col("item_id").isNotNull()).select("item_id", held(normal_words(text_of())).alias("words"))
     rows = rows.withColumn("grams", held(F.array_distinct(window_texts(F.col("words"), n))))
-    rows = rows.withColumn("hashes", F.array_sort(F.array_distinct(window_hashes(F.col("words"), n)))).filter(F.size("grams") > 0)
+    rows = with_window_hashes(rows, "words", n, "hashes").filter(F.size("grams") > 0).withColumn("hashes", F.array_sort(F.array_distinct("hashes")))
     rows = rows.withColumn("size_class", F.ceil(F.log2(F.size("grams"))).cast("int"))
     # the largest size u of the class needs u - ceil(t*u) + 1 probes
     need = [max(1, (1 << c) - math.ceil(threshold * (1 << c) - 1e-9) + 1) for c in range(MAX_SIZE_CLASS)]
@@ -54,7 +54,7 @@ def contained_items(
     probes = index.select("item_id", F.explode("probes").alias("h"))
     grams = index.select("item_id", "grams")
     texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", held(normal_words(text_of())).alias("words"))
-    hashed = texts.withColumn("hashes", held(F.array_distinct(window_hashes(F.col("words"), n))))
+    hashed = with_window_hashes(texts, "words", n, "hashes")
     if small:
         hits = hashed.select("doc_id", "words", F.explode("hashes").alias("h")).join(F.broadcast(probes), "h").join(F.broadcast(grams), "item_id")
     else:

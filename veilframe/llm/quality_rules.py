@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, WS_CLASS, held, split_words, text_of, window_hashes, window_texts
+from .common import WS_CHARS, WS_CLASS, cut, held, split_words, text_of, window_texts, with_window_hashes
 
 SYMBOLS = r"[#*$%&|<>]"
 CLASSES = ("lower", "upper", "space", "digit", "symbol", "shout", "other")
@@ -94,7 +94,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_dup_lines, n_repeat_words (n_symbols is there) to ``histograms``."""
     out = histograms(docs)
     lines = F.filter(F.split("body", "\n"), lambda line: F.btrim(line, F.lit(WS_CHARS)) != "")
-    out = out.withColumn("lines", lines).withColumn("grams", window_hashes(F.col("words"), WINDOW))
+    out = with_window_hashes(out.withColumn("lines", lines), "words", WINDOW, "grams")
     repeats = F.size("grams") > F.size(F.array_distinct("grams"))
     # only texts whose window hashes repeat are looked at window by window, by the words themselves
     out = out.withColumn("windows", F.when(repeats, window_texts(F.col("words"), WINDOW)).otherwise(F.array().cast("array<string>")))
@@ -130,7 +130,7 @@ def judge(
 ) -> DataFrame:
     """docs with columns text and lang -> docs without text, plus the statistics, char_distance,
     word_distance, base_failed and kept. corpus: where the references come from (default: docs)."""
-    refs = language_references(docs if corpus is None else corpus)
+    refs = cut(language_references(docs if corpus is None else corpus))  # one row a language, read three times
     whole = refs.agg(
         F.array(*[F.coalesce(F.sum(F.get("chars", F.lit(i))), F.lit(0)) for i in range(len(CLASSES))]).alias("chars"),
         F.array(*[F.coalesce(F.sum(F.get("words", F.lit(i))), F.lit(0)) for i in range(len(COMMON_WORDS) + 1)]).alias("words"),
