@@ -163,10 +163,14 @@ def similarity_fit(source: np.ndarray, target: np.ndarray, scale: bool = True) -
     return np.c_[grow * turn, mean_t - grow * turn @ mean_s]
 
 
-@F.pandas_udf("array<double>")
-def similarity_udf(source: pd.Series, target: pd.Series) -> pd.Series:
+def similarity_udf(source: Column, target: Column) -> Column:
     """Two arrays of x1, y1, x2, y2... -> 2x3 matrix."""
-    return pd.Series([similarity_fit(np.reshape(a, (-1, 2)), np.reshape(b, (-1, 2))).ravel().tolist() for a, b in zip(source, target, strict=True)])
+
+    @F.pandas_udf("array<double>")
+    def fit(source: pd.Series, target: pd.Series) -> pd.Series:
+        return pd.Series([similarity_fit(np.reshape(a, (-1, 2)), np.reshape(b, (-1, 2))).ravel().tolist() for a, b in zip(source, target, strict=True)])
+
+    return fit(source, target)
 
 
 def affine_from_triangles(source: list[Column], target: list[Column]) -> Column:

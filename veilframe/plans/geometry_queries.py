@@ -47,7 +47,10 @@ def sql_background(rel: str, area: str, share: float) -> str:
 BOXCOLS = "image_id, det_id, x0, y0, x1, y1"
 #: A mask area for boxes that carry no mask: a share of the box between 0 and 1.
 AREA_SQL = "CAST(floor((x1 - x0) * (y1 - y0) * ((det_id % 10) / 10.0)) AS BIGINT)"
-AREA = F.floor((c("x1") - c("x0")) * (c("y1") - c("y0")) * ((c("det_id") % 10) / 10.0))
+
+
+def mask_area():
+    return F.floor((c("x1") - c("x0")) * (c("y1") - c("y0")) * ((c("det_id") % 10) / 10.0))
 
 
 @query("b01_yolo_to_voc", "SELECT image_id, det_id, " + ", ".join(f"CAST(floor(({a} {s} {b} / 2) * {n} + 0.5) AS BIGINT) AS {o}" for a, b, s, n, o in (("xc", "w", "-", W, "vx0"), ("yc", "h", "-", H, "vy0"), ("xc", "w", "+", W, "vx1"), ("yc", "h", "+", H, "vy1"))) + " FROM yolo")
@@ -83,7 +86,7 @@ def b06(spark, d):
 
 @query("b07_expand_for_background", f"SELECT {BOXCOLS} FROM {sql_background('boxes', AREA_SQL, 0.3)}")
 def b07(spark, d):
-    return G.expand_for_background(R.boxes(spark, d), AREA, 0.3, W, H).select(*BOX)
+    return G.expand_for_background(R.boxes(spark, d), mask_area(), 0.3, W, H).select(*BOX)
 
 
 EXPANDED_SQL = sql_background(sql_ratio(sql_share(f"(SELECT *, {AREA_SQL} AS area_ FROM boxes)", 0.1), 1.8), "area_", 0.3)
@@ -91,7 +94,7 @@ EXPANDED_SQL = sql_background(sql_ratio(sql_share(f"(SELECT *, {AREA_SQL} AS are
 
 @query("b08_expanded_box", f"SELECT {BOXCOLS} FROM {EXPANDED_SQL}")
 def b08(spark, d):
-    return G.expanded_box(R.boxes(spark, d), AREA).select(*BOX)
+    return G.expanded_box(R.boxes(spark, d), mask_area()).select(*BOX)
 
 
 @query("b09_include_box", """SELECT image_id, det_id, x0, y0, x1, y1 FROM boxes
