@@ -10,7 +10,7 @@ that stands for its exact copies.
 2. Candidates. 32 bands of 4 values; nodes alone in a bucket leave at once (a pair at the threshold shares no
    bucket with probability 5e-8). Buckets of more than ``block_rows`` nodes are cut in blocks, and every
    pair of blocks is a task of its own, so no bucket has to fit in one.
-3. Bayesian pruning, in a bucket: pairs compare their MinHash values 16 at a time; with a uniform prior the
+3. Bayesian pruning, in a bucket: pairs compare (a byte each of) their MinHash values 16 at a time; with a uniform prior the
    posterior of the similarity after m matches in n is Beta(m+1, n-m+1), and a pair is dropped as soon as its
    probability of reaching the threshold is below ``tolerance``. A bucket passes on the forest of surviving pairs
    only (each node linked towards the first of its component), never all pairs.
@@ -19,7 +19,8 @@ that stands for its exact copies.
    pairs of the component are decided exactly; their numbers are added up per node, and again only a forest leaves.
 5. Components of the exact forest are the classes.
 
-Only texts that are still candidates move, once. Words are lower-case runs of letters, digits and underscores;
+Only texts that are still candidates move, once; up to ``max_broadcast`` candidates (counted first) their ids are
+broadcast, beyond it the join with the texts is a shuffle. Words are lower-case runs of letters, digits and underscores;
 a text of fewer than 5 words has one shingle, all its words. Defined results: null texts and texts without words
 are linked to nothing (equal texts without words, but not null, are copies still); null ids get class null,
 no link; rows that repeat an id are one document, and if their texts differ, their links are put together; an
@@ -95,6 +96,15 @@ def minhash(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """int64 [texts, BANDS]: one hash of the ROWS values of each band."""
+    values = sig.astype(_U).reshape(len(sig), BANDS, ROWS)
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=_U), (len(sig), BANDS)).copy()
+    for r in range(ROWS):
+        keys = mix(keys * _U(0x9E3779B97F4A7C15) + values[:, :, r])
+    return keys.view(np.int64)
+
+
 def _beta_tail(a: int, b: int, t: float) -> float:
     """P(X >= t) for X ~ Beta(a, b) with whole a, b: a binomial sum."""
     n = a + b - 1
@@ -221,7 +231,8 @@ def in_blocks(rows: DataFrame, key: str, count: str, block_rows: int, node: str)
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, digest, sig (bands' keys are derived from it; null without words)."""
+    """docs(doc_id, text) -> doc_id, digest, bands (a key a band), sig (a byte of each MinHash value); the last two null
+    for texts without words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,18 +246,21 @@ def sketch(docs: DataFrame) -> DataFrame:
                 texts = texts_all[start : i + 1]
                 shingles, sizes = text_shingles(texts)
                 sig = minhash(shingles, sizes)
+                bands, low = band_keys(sig), sig.astype(np.uint8)
+                full = sizes > 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)),
                         pa.array([hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts], pa.binary()),
-                        pa.array([s.tobytes() if n else None for s, n in zip(sig, sizes, strict=True)], pa.binary()),
+                        pa.array([b if f else None for b, f in zip(bands, full, strict=True)], pa.list_(pa.int64())),
+                        pa.array([b.tobytes() if f else None for b, f in zip(low, full, strict=True)], pa.binary()),
                     ],
-                    names=["doc_id", "digest", "sig"],
+                    names=["doc_id", "digest", "bands", "sig"],
                 )
                 start, total = i + 1, 0
 
     rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, sig binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, bands array<bigint>, sig binary")
 
 
 def _grouped(rows: DataFrame, keys: list[str], process, schema: str) -> DataFrame:
@@ -274,18 +288,17 @@ def _grouped(rows: DataFrame, keys: list[str], process, schema: str) -> DataFram
 
 
 def candidate_forest(nodes: DataFrame, threshold: float, tolerance: float, block_rows: int) -> DataFrame:
-    """nodes(node, sig) -> edges (a, b) of the pruned candidate forest."""
-    least = least_matches(threshold, tolerance)
-    width = ROWS * 4
-    band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width)))))
-    keys = nodes.select("node", band.alias("band", "key")).select("node", "key")
+    """nodes(node, bands, sig) -> edges (a, b) of the pruned candidate forest."""
+    # bytes of different values are equal once in 256 times, which raises the share of matches at the threshold
+    least = least_matches(threshold + (1 - threshold) / 256, tolerance)
+    keys = nodes.select("node", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = keys.join(sizes, "key")
-    member = in_blocks(shared, "key", "n", block_rows, "node").join(nodes, "node")
+    member = in_blocks(shared, "key", "n", block_rows, "node").join(nodes.select("node", "sig"), "node")
 
     def process(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
         ids = table.column("node").to_numpy()
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(ids), HASHES)
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), HASHES)
         size = np.diff(bounds)
         two = bounds[:-1][size == 2]
         kept = surviving_pairs(sigs[two], sigs[two + 1], least)
@@ -325,21 +338,22 @@ def exact_join(texts: DataFrame, threshold: float) -> DataFrame:
     return _grouped(texts, ["comp", "lo", "hi"], process, "node bigint, links bigint, a bigint")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, block_rows: int = 8000, text_block_rows: int = 1000) -> DataFrame:
+def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, block_rows: int = 8000, text_block_rows: int = 1000, max_broadcast: int = 2_000_000) -> DataFrame:
     """docs(doc_id, text) -> doc_id, class_id (smallest id of its class: copies and linked texts), copy_id
     (smallest id with the same text), n_copies (documents with that text), n_links (other texts linked to it)."""
     sk = Cut(sketch(docs))
-    # one row a distinct text; min_by keeps one of its equal sketches
-    alike = Cut(sk.df.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count_distinct("doc_id").alias("n_copies")))
-    member = sk.df.select("doc_id", "digest").join(alike.df, "digest").select("doc_id", F.col("node").alias("copy_id"), "n_copies", "digest")
-    nodes = sk.df.join(alike.df.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).filter(F.col("sig").isNotNull())
-    nodes = Cut(nodes.groupBy("doc_id").agg(F.first("sig").alias("sig")).select(F.col("doc_id").cast("long").alias("node"), "sig"))
-    forest = Cut(candidate_forest(nodes.df, threshold, tolerance, block_rows))
+    # one row a distinct text; equal digests have equal sketches
+    alike = sk.df.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    alike = Cut(alike)
+    member = sk.df.select("doc_id", "digest").join(alike.df.select("digest", "node", "n_copies"), "digest").select("doc_id", F.col("node").alias("copy_id"), "n_copies")
+    nodes = alike.df.filter(F.col("sig").isNotNull()).select(F.col("node").cast("long").alias("node"), "bands", "sig")
+    forest = Cut(candidate_forest(nodes, threshold, tolerance, block_rows))
     maybe = Cut(components(forest.df.filter("a <> b")))
     forest.drop()
-    nodes.drop()
     size = maybe.df.groupBy("class").agg(F.count("*").alias("n"))
     active = in_blocks(maybe.df.withColumnRenamed("class", "comp").join(size.withColumnRenamed("class", "comp"), "comp"), "comp", "n", text_block_rows, "node")
+    if maybe.df.count() <= max_broadcast:
+        active = F.broadcast(active)
     texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("node"), "text")
     links = Cut(exact_join(active.join(texts, "node").select("comp", "lo", "hi", "block", "node", "text"), threshold))
     classes = components(links.df.filter("node <> a").select(F.col("node").alias("a"), F.col("a").alias("b")))
