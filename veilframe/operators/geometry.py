@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import held
+
 c = F.col
 COORDS = ("x0", "y0", "x1", "y1")
 
@@ -87,7 +89,8 @@ def expand_for_background(df: DataFrame, mask_area: Column, background: float, w
 def expanded_box(df: DataFrame, mask_area: Column, background=0.3, share=0.1, ratio=288 / 160, width=640, height=480) -> DataFrame:
     df = df.withColumn("_area", mask_area)
     df = expand_to_ratio(expand_by_share(df, share, width, height), ratio, width, height)
-    return expand_for_background(df, c("_area"), background, width, height).drop("_area")
+    df = expand_for_background(df, c("_area"), background, width, height).drop("_area")
+    return df.withColumns({n: held(c(n)) for n in COORDS})
 
 
 def include_box(width: int, height: int, minimum_area=1024, ratio_range=(0.0, 99999.0), min_inside=0.0) -> Column:
