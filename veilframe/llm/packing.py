@@ -77,7 +77,9 @@ def best_fit(sizes: np.ndarray, sources: list, clusters: list, capacity: int, or
             members[b][0].add(sources[i])
         if not c_own[i]:
             members[b][1].add(clusters[i])
-        to = int(np.searchsorted(room[:found], left - size))
+        # equal rooms stand in order of their bin's number
+        low, high = (int(np.searchsorted(room[:found], left - size, side)) for side in ("left", "right"))
+        to = low + int(np.searchsorted(number[low:high], b))
         for values, value in ((room, left - size), (has_s, was_s | sb), (has_c, was_c | cb), (number, b)):
             values[to + 1 : found + 1] = values[to:found].copy()
             values[to] = value

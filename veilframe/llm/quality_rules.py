@@ -75,7 +75,7 @@ def language_references(docs: DataFrame) -> DataFrame:
 
 def _shares(hist: Column) -> Column:
     total = F.aggregate(hist, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.transform(hist, lambda x: x / total)
+    return F.transform(hist, lambda x: x / F.greatest(total, F.lit(1)))
 
 
 def js_distance(p: Column, q: Column) -> Column:
