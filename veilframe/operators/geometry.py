@@ -53,7 +53,7 @@ def expand_axis(df: DataFrame, start: str, end: str, target: Column, limit) -> D
     df = df.withColumn("_both", (c("_s") < 0) & (c("_e") > limit)).withColumn("_r", right)
     df = df.withColumn("_s2", c("_s") + c("_r")).withColumn("_e2", c("_e") + c("_r"))
     left = F.when(~c("_both") & (c("_e2") > limit) & (c("_s2") > 0), F.least(c("_e2") - limit, c("_s2"))).otherwise(F.lit(0))
-    df = df.withColumn("_l", left).withColumn(start, c("_s2") - c("_l")).withColumn(end, c("_e2") - c("_l"))
+    df = df.withColumn("_l", left).withColumn(start, held(c("_s2") - c("_l"))).withColumn(end, held(c("_e2") - c("_l")))
     return df.drop("_g", "_s", "_e", "_both", "_r", "_s2", "_e2", "_l")
 
 
@@ -116,7 +116,7 @@ def quadratic(df: DataFrame, width: int, height: int) -> DataFrame:
     df = df.withColumn("qy", F.when(moved & (c("_qy") + c("qh") > H), H - c("qh")).otherwise(c("_qy")))
     ok = fits & (c("qx") >= 0) & (c("qy") >= 0) & (c("qx") + c("qw") <= W) & (c("qy") + c("qh") <= H)
     df = df.withColumn("_ok", ok)
-    return df.withColumns({n: F.when(c("_ok"), c(n)) for n in ("qx", "qy", "qw", "qh")}).drop("_w", "_h", "_d", "_qx", "_qy", "_ok")
+    return df.withColumns({n: held(F.when(c("_ok"), c(n))) for n in ("qx", "qy", "qw", "qh")}).drop("_w", "_h", "_d", "_qx", "_qy", "_ok")
 
 
 def expand_square(df: DataFrame, share: float, width: int, height: int) -> DataFrame:
@@ -135,7 +135,7 @@ def expand_square(df: DataFrame, share: float, width: int, height: int) -> DataF
     ok = (c("ex0") >= 0) & (c("ey0") >= 0) & (c("ex1") <= W) & (c("ey1") <= H)
     ok = ok & (c("ex0") <= c("x0")) & (c("ey0") <= c("y0")) & (c("ex1") >= c("x1")) & (c("ey1") >= c("y1"))
     df = df.withColumn("_ok", ok)
-    return df.withColumns({n: F.when(c("_ok"), c(n)) for n in ("ex0", "ey0", "ex1", "ey1")}).drop("_f", "_s", "_at", "_ok", "qx", "qy", "qw", "qh")
+    return df.withColumns({n: held(F.when(c("_ok"), c(n))) for n in ("ex0", "ey0", "ex1", "ey1")}).drop("_f", "_s", "_at", "_ok", "qx", "qy", "qw", "qh")
 
 
 def expand_simple(share: float) -> dict[str, Column]:
