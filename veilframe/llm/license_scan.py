@@ -98,3 +98,29 @@ def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES) -> DataFrame:
 
 def document_licenses(documents: DataFrame) -> DataFrame:
     return scan(documents).select("doc_id", "text_digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+def _canonical_sql(text: str, drop_copyright: bool = True) -> str:
+    out = f"lower({text})"
+    if drop_copyright:
+        out = rf"regexp_replace({out}, '(?m)^[\x20\x09]*(?:copyright\b|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*$', ' ', 'g')"
+    out = rf"(' ' || regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' ')"
+    for spelling, same in SPELLINGS:
+        out = f"replace({out}, ' {spelling} ', ' {same} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+def _known_sql(texts) -> str:
+    rows = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in texts)
+    return f"SELECT sha256({_canonical_sql('t')}) AS known, min(license) AS license FROM (VALUES {rows}) v(license, t) GROUP BY known"
+
+
+ORACLE = f"""
+WITH known AS ({_known_sql(LICENSE_TEXTS)}), marks AS ({_known_sql(NOTICES)}),
+form AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS f FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+found AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
+  FROM (SELECT doc_id, sha256({_canonical_sql("line", False)}) AS h FROM lines) l JOIN marks ON marks.known = l.h GROUP BY doc_id)
+SELECT doc_id, CASE WHEN f <> '' THEN sha256(f) END AS text_digest, license, coalesce(notices, '') AS notices
+FROM form LEFT JOIN known ON known.known = sha256(f) LEFT JOIN found USING (doc_id)
+"""

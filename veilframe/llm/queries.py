@@ -60,4 +60,5 @@ ORACLES = {
     "op1_chat_format": chat_format.ORACLE,
     "op3_url_filter": url_filter.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
+    "op7_license_scan": license_scan.ORACLE,
 }
