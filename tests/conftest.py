@@ -41,10 +41,10 @@ def duck():
 
 def normal(frame):
     """Rows as sorted tuples, columns by name, floats rounded."""
-    import math
+    import pandas as pd
 
     def value(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if pd.api.types.is_scalar(v) and pd.isna(v):
             return ""
         if hasattr(v, "isoformat"):
             return v.isoformat()[:19]
