@@ -120,6 +120,34 @@ def test_quality_against_labels(spark):
     assert sum(r.kept for r in junk) <= 0.15 * len(junk)
 
 
+@pytest.mark.parametrize("spread", [False, True])
+@pytest.mark.parametrize("lang", ["en", "EN-gb", "xx"])  # shipped, shipped by another code, and one that the corpus has to tell
+def test_quality_hot_junk(spark, lang, spread):
+    """Junk of a source of its own (or of all sources) holds a third of the language's rows, and very long junk is there too."""
+    d, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    d = d.filter("lang = 'en'").withColumn("lang", F.lit(lang)).select("doc_id", "text", "lang", "source")
+    failed = {r.doc_id: r.base_failed for r in quality_rules.quality_verdicts(d).collect()}
+    junk = [r for r in d.join(labels.filter("quality = 0").select("doc_id"), "doc_id").collect() if not failed[r.doc_id]]
+    n = d.count() // 2
+    hot = [(-1 - k, r.text, lang, r.source if spread else "hot") for k, r in zip(range(n), itertools.cycle(junk))]
+    hot.append((-1 - n, " ".join(f"%%a{i} ##b{i} &&c{i}" for i in range(100_000)), lang, "hot"))
+    verdicts = common.cut(quality_rules.quality_verdicts(d.unionByName(spark.createDataFrame(hot, d.schema))))
+    rows = verdicts.join(labels, "doc_id").filter("not base_failed").collect()
+    clean, junk = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
+    assert len(clean) > 100 and len(junk) > 10
+    assert sum(not r.kept for r in clean) <= 0.01 * len(clean)
+    assert sum(r.kept for r in junk) <= 0.15 * len(junk)
+
+
+@pytest.mark.parametrize("lang", ["de", "xx", None])
+def test_quality_language_of_junk_only(spark, lang):
+    junk = [(i, " ".join(f"%%a{i}x{k} ##b{k}$$" for k in range(600)), lang, "only") for i in range(3)]
+    plain = [(10 + i, " ".join(f"漢字{i}x語{'ab'[k % 2]}語{chr(0x4E00 + k)}" for k in range(300)), "yy", "only") for i in range(3)]
+    got = quality_rules.quality_verdicts(spark.createDataFrame(junk + plain, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id: r.kept for r in got if r.doc_id < 10} == {0: False, 1: False, 2: False}
+    assert not any(r.base_failed for r in got)
+
+
 def test_js_distance(spark):
     p, q = [0.5, 0.5, 0.0], [0.25, 0.25, 0.5]
     m = [(a + b) / 2 for a, b in zip(p, q)]

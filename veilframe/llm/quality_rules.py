@@ -1,16 +1,22 @@
 """Quality rules: base statistics of a document, then distribution divergence.
 
 A document's histogram of character classes and its histogram of common words are compared with
-references of its language by Jensen-Shannon distance (base 2, 0 to 1). The references are the
-histograms of all documents of that language together, computed over the whole table. A document is
-rejected if both distances are above their thresholds, or, if it is long enough for the words alone to
-tell, if their distance is above a higher one. Guards: ``min_chars`` characters for the first rule,
-``min_words`` words for the second; a language gets a reference of its own from ``min_reference_words``
-words on; below that, and for a null language, the reference of all documents is used.
-
-Two narrow passes over the texts: the first sums histograms to one row a language (partial sums
-before the shuffle), the second computes statistics and verdict in place. No text is shuffled. The
-references are one row a language; they are broadcast only below ``MAX_BROADCAST_LANGUAGES``.
+references of its language by Jensen-Shannon distance (base 2, 0 to 1). A document is rejected if both distances
+are above their thresholds, or, if it is long enough for the words alone to tell, if their distance is above a
+higher one. Guards: ``min_chars`` characters for the first rule, ``min_words`` words for the second.
+
+References can't be moved by a source, a very long text or junk. English, French, German and Spanish (by the
+first part of the language code, in any case) have shipped ones, rounded shares of usual prose that no table
+judged has a part in. Any other language gets the medians over its sources of the medians over each source's
+documents' shares (documents of ``min_words`` words or more, each counted once whatever its length); then,
+over the documents near that, the mean over sources of each source's mean. It needs ``min_sources`` sources and
+``min_reference_words`` words; junk that holds most of most sources is beyond telling. Without a reference, and for a null language,
+letters of any script and spaces count as one class and the word distance is that from the nearest
+shipped one; the words alone then reject nothing.
+
+One narrow pass over the texts; documents of languages that aren't shipped, if there are any, are read once more before, and
+their shares stored. No text is shuffled. The references are one row a language; they are broadcast only
+below ``MAX_BROADCAST_LANGUAGES``.
 
 Defined results: null text counts as having no characters and no words, and fails the base; empty
 tables give empty results; repeated rows are judged each; other columns are not looked at by
@@ -36,6 +42,31 @@ COMMON_WORDS = (
 WINDOW = 8
 MAX_BROADCAST_LANGUAGES = 20_000
 
+#: Shares of character classes (as CLASSES, without the last, which is the rest) in usual prose.
+SHIPPED_CHARS = {
+    "en": (0.775, 0.030, 0.170, 0.005, 0.0, 0.001),
+    "fr": (0.775, 0.025, 0.165, 0.005, 0.0, 0.001),
+    "de": (0.765, 0.050, 0.145, 0.005, 0.0, 0.001),
+    "es": (0.780, 0.025, 0.165, 0.005, 0.0, 0.001),
+}
+#: How often in a thousand running words each common word occurs in usual prose, rounded.
+SHIPPED_WORDS = {
+    "en": {"the": 60, "of": 32, "and": 28, "to": 26, "in": 21, "that": 11, "is": 10, "it": 10, "for": 9, "was": 9},
+    "fr": {"de": 48, "la": 28, "le": 23, "et": 21, "les": 19, "des": 15, "en": 13, "un": 12, "une": 11, "que": 10, "se": 5},
+    "de": {"der": 33, "die": 32, "und": 27, "in": 18, "den": 12, "das": 12, "zu": 11, "von": 10, "mit": 9, "ein": 7, "des": 6, "was": 1.5},
+    "es": {"de": 56, "la": 36, "que": 29, "el": 28, "y": 26, "en": 25, "los": 16, "se": 11, "del": 11, "las": 10, "un": 10},
+}
+
+
+def shipped_reference(lang: str) -> tuple[list[float], list[float]]:
+    """Shares of CLASSES and of COMMON_WORDS and the rest."""
+    words = [SHIPPED_WORDS[lang].get(w, 0) / 1000 for w in COMMON_WORDS]
+    return [*SHIPPED_CHARS[lang], 1 - sum(SHIPPED_CHARS[lang])], [*words, 1 - sum(words)]
+
+
+def language_code(lang: str = "lang") -> Column:
+    return F.lower(F.regexp_extract(lang, r"^\s*([^-_\s]*)", 1))
+
 
 def histograms(docs: DataFrame) -> DataFrame:
     """Adds words (array), char_hist and word_hist (arrays of long) for a column ``body`` without nulls."""
@@ -62,17 +93,6 @@ def histograms(docs: DataFrame) -> DataFrame:
     return out.withColumn("word_hist", F.array(*counts, other)).drop("rest", "n_upper", "n_digit", "n_shout", "hits", "line")
 
 
-def language_references(docs: DataFrame) -> DataFrame:
-    """One row a language (and one with null lang for all): ref_chars, ref_words, arrays of shares."""
-    h = histograms(docs.select("lang", text_of().alias("body"))).select("lang", "char_hist", "word_hist")
-    n, m = len(CLASSES), len(COMMON_WORDS) + 1
-    sums = h.groupBy("lang").agg(
-        *[F.sum(F.get("char_hist", F.lit(i))).alias(f"c{i}") for i in range(n)],
-        *[F.sum(F.get("word_hist", F.lit(i))).alias(f"w{i}") for i in range(m)],
-    )
-    return sums.select("lang", F.array(*[f"c{i}" for i in range(n)]).alias("chars"), F.array(*[f"w{i}" for i in range(m)]).alias("words"))
-
-
 def _shares(hist: Column) -> Column:
     total = F.aggregate(hist, F.lit(0).cast("long"), lambda a, x: a + x)
     return F.transform(hist, lambda x: x / F.greatest(total, F.lit(1)))
@@ -90,6 +110,33 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total))
 
 
+def own_references(
+    docs: DataFrame, max_char_distance: float, max_word_distance: float, min_words: int, min_reference_words: int, min_sources: int
+) -> DataFrame | None:
+    """docs(lang, source, text) -> ref_lang, ref_chars, ref_words of the languages that aren't shipped; None if there are none."""
+    other = docs.withColumn("code", language_code()).filter(F.col("code").isNotNull() & ~F.col("code").isin(*SHIPPED_WORDS))
+    if not other.select("code").limit(1).count():
+        return None
+    h = histograms(other.select("code", F.col("source").cast("string").alias("source"), text_of().alias("body")))
+    h = h.withColumn("n_words", F.size("words")).filter(F.col("n_words") >= min_words)
+    stored = cut(h.select("code", "source", "n_words", F.concat(_shares(F.col("char_hist")), _shares(F.col("word_hist"))).alias("shares")))
+    n, size = len(CLASSES), len(CLASSES) + len(COMMON_WORDS) + 1
+    each = lambda f, column: F.array(*[f(F.get(column, F.lit(i))) for i in range(size)]).alias("shares")
+    median = lambda x: F.percentile_approx(x, 0.5, 1000)
+    chars, words = F.slice("shares", 1, n), F.slice("shares", n + 1, size - n)
+    part = lambda x: F.transform(x, lambda v: v / F.aggregate(x, F.lit(0.0), lambda a, y: a + y))
+    by_source = stored.groupBy("code", "source").agg(each(median, "shares"), F.sum("n_words").alias("n"))
+    first = by_source.groupBy("code").agg(each(median, "shares"), F.sum("n").alias("n"), F.count("*").alias("sources"))
+    first = first.filter((F.col("n") >= min_reference_words) & (F.col("sources") >= min_sources))
+    first = cut(first.select(F.col("code").alias("ref_lang"), part(chars).alias("ref_chars"), part(words).alias("ref_words")))
+    near = stored.join(F.broadcast(first) if first.count() <= MAX_BROADCAST_LANGUAGES else first, F.col("code") == F.col("ref_lang"))
+    near = near.filter((js_distance(chars, F.col("ref_chars")) <= max_char_distance) & (js_distance(words, F.col("ref_words")) <= max_word_distance))
+    second = near.groupBy("code", "source").agg(each(F.avg, "shares")).groupBy("code").agg(each(F.avg, "shares"))
+    second = second.select("code", chars.alias("near_chars"), words.alias("near_words"))
+    found = first.join(second, F.col("ref_lang") == F.col("code"), "left")
+    return cut(found.select("ref_lang", F.coalesce("near_chars", "ref_chars").alias("ref_chars"), F.coalesce("near_words", "ref_words").alias("ref_words")))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_dup_lines, n_repeat_words (n_symbols is there) to ``histograms``."""
     out = histograms(docs)
@@ -127,40 +174,46 @@ def judge(
     max_word_distance_alone: float = 0.24,
     min_words: int = 100,
     min_reference_words: int = 1000,
+    min_sources: int = 3,
 ) -> DataFrame:
-    """docs with columns text and lang -> docs without text, plus the statistics, char_distance,
-    word_distance, base_failed and kept. corpus: where the references come from (default: docs)."""
-    refs = cut(language_references(docs if corpus is None else corpus))  # one row a language, read three times
-    whole = refs.agg(
-        F.array(*[F.coalesce(F.sum(F.get("chars", F.lit(i))), F.lit(0)) for i in range(len(CLASSES))]).alias("chars"),
-        F.array(*[F.coalesce(F.sum(F.get("words", F.lit(i))), F.lit(0)) for i in range(len(COMMON_WORDS) + 1)]).alias("words"),
-    ).first()
-    n_ref = F.aggregate("words", F.lit(0).cast("long"), lambda a, x: a + x)
-    refs = refs.filter(n_ref >= min_reference_words).filter(F.col("lang").isNotNull())
-    refs = refs.select(F.col("lang").alias("ref_lang"), _shares(F.col("chars")).alias("ref_chars"), _shares(F.col("words")).alias("ref_words"))
-    fixed = lambda values: F.array(*[F.lit(v / max(1, sum(values))) for v in values])
-    if refs.count() <= MAX_BROADCAST_LANGUAGES:
+    """docs with columns text, lang and, if there is one, source -> docs without text, plus the statistics, char_distance,
+    word_distance, base_failed and kept. corpus: where references that aren't shipped come from (default: docs)."""
+    corpus = docs if corpus is None else corpus
+    source = F.col("source") if "source" in corpus.columns else F.lit(None)
+    own = own_references(corpus.select("lang", source.alias("source"), "text"), max_char_distance, max_word_distance_alone, min_words, min_reference_words, min_sources)
+    shipped = {lang: shipped_reference(lang) for lang in SHIPPED_WORDS}
+    refs = docs.sparkSession.createDataFrame([(k, *v) for k, v in shipped.items()], "ref_lang string, ref_chars array<double>, ref_words array<double>")
+    if own is not None:
+        refs = refs.unionByName(own)
+    if own is None or own.count() <= MAX_BROADCAST_LANGUAGES:
         refs = F.broadcast(refs)
-    s = statistics(docs.withColumn("body", text_of()).drop("text")).drop("body")
-    s = s.join(refs, F.col("lang") == F.col("ref_lang"), "left")
-    s = s.withColumn("char_distance", js_distance(_shares(F.col("char_hist")), F.coalesce("ref_chars", fixed(whole["chars"]))))
-    s = s.withColumn("word_distance", js_distance(_shares(F.col("word_hist")), F.coalesce("ref_words", fixed(whole["words"]))))
+    fixed = lambda values: F.array(*map(F.lit, values))
+    s = statistics(docs.withColumn("body", text_of()).withColumn("__code", language_code()).drop("text")).drop("body")
+    s = s.join(refs, F.col("__code") == F.col("ref_lang"), "left")
+    known = F.col("ref_lang").isNotNull()
+    chars, words = _shares(F.col("char_hist")), _shares(F.col("word_hist"))
+    at = lambda x, *names: sum((F.get(x, F.lit(CLASSES.index(c))) for c in names), F.lit(0.0))
+    folded = lambda x: F.array(at(x, "lower", "upper", "space", "other"), at(x, "digit"), at(x, "symbol"), at(x, "shout"))
+    usual = [sum(v[0][i] for v in shipped.values()) / len(shipped) for i in range(len(CLASSES))]
+    nearest = F.least(*[js_distance(words, fixed(w)) for _, w in shipped.values()])
+    s = s.withColumn("char_distance", F.when(known, js_distance(chars, F.col("ref_chars"))).otherwise(js_distance(folded(chars), folded(fixed(usual)))))
+    s = s.withColumn("word_distance", F.when(known, js_distance(words, F.col("ref_words"))).otherwise(nearest))
     n_chars = F.aggregate("char_hist", F.lit(0).cast("long"), lambda a, x: a + x)
     odd = (n_chars >= min_chars) & (F.col("char_distance") > max_char_distance) & (F.col("word_distance") > max_word_distance)
-    odd = odd | ((F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance_alone))
+    odd = odd | (known & (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance_alone))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return s.withColumn("base_failed", failed).withColumn("kept", held(~failed & ~odd)).drop("ref_lang", "ref_chars", "ref_words", "char_hist", "word_hist")
+    return s.withColumn("base_failed", failed).withColumn("kept", held(~failed & ~odd)).drop("__code", "ref_lang", "ref_chars", "ref_words", "char_hist", "word_hist")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs whose document is kept, with all columns of docs."""
     names = docs.columns
     packed = docs.select(F.struct(*names).alias("row"), F.col("text"), F.col("lang"))
-    kept = judge(packed, corpus=docs.select("text", "lang"), **options).filter("kept")
+    kept = judge(packed, corpus=docs.select(*[c for c in ("text", "lang", "source") if c in names]), **options).filter("kept")
     return kept.select(*[F.col("row")[n].alias(n) for n in names])
 
 
 def quality_verdicts(documents: DataFrame) -> DataFrame:
-    return judge(documents.select("doc_id", "text", "lang")).select(
+    return judge(documents.select("doc_id", "text", "lang", *[c for c in ("source",) if c in documents.columns])).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"
     )
