@@ -305,6 +305,26 @@ def test_license_texts(spark):
     assert license_scan.scan(docs(spark, []), notices=()).count() == 0
 
 
+def test_license_common_texts_and_variants(spark):
+    shipped = [(n, t) for n, t in license_scan.MORE_TEXTS]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"} <= {n for n, _ in shipped}
+    assert all("licen" in t.lower() or "software" in t.lower() for _, t in shipped)
+    grant, isc, bsd = license_scan.LICENSE_TEXTS[1][1], license_scan.LICENSE_TEXTS[2][1], license_scan.LICENSE_TEXTS[5][1]
+    odd = [
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) Some Body\nAll rights reserved.\n\n" + grant), ("ISC", isc.replace("ISC License\n\n", "Copyright Some Body\n\n")),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd), (None, "Copyright X\n" + grant + " not"),
+    ]
+    rows = [*shipped, *odd]
+    got = {r.doc_id: r.license for r in license_scan.scan(docs(spark, [(i, t) for i, (_, t) in enumerate(rows)])).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
+    lines = [
+        "// SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0)", "This file is licensed under the Mozilla Public License, v. 2.0.", "Distributed under the terms of the GNU LGPL v2.1 or later",
+        "Licensed under CC BY-SA 4.0", "we saw it under the Apache tent",
+    ]
+    got = {r.doc_id: list(r.notices) for r in license_scan.scan(docs(spark, [(i, "x\n" + t) for i, t in enumerate(lines)])).collect()}
+    assert got == {0: ["GPL-2.0-only", "MIT"], 1: ["MPL-2.0"], 2: ["LGPL-2.1"], 3: ["CC-BY-SA-4.0"], 4: []}
+
+
 # ---- 8 packing
 
 

@@ -5,6 +5,11 @@ the whole result is hash-joined with the digests of known licence texts. The sam
 line by itself against known one-line notices, so that a document that carries a notice is found
 though it isn't a licence text as a whole.
 
+A second digest, of the text without title, version, address, copyright (with or without a year) and rights-reserved
+lines at its head, is joined with those of ``MORE_TEXTS`` as well, known texts being treated alike; only texts with the
+letters "licen" or "software" are looked at so. In texts with "licen" or "under", a line that says by a usual form that something is
+licensed under a named licence, and each licence of an SPDX-License-Identifier, is a notice too.
+
 The known texts are a short list given as a parameter; its digests are broadcast only below
 ``MAX_BROADCAST_KNOWN`` rows, and the notices are a literal map below the same bound.
 
@@ -15,10 +20,12 @@ sorts first; empty tables give empty results.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import held, text_of
 
 #: Equivalent spellings, each as (spelling, canonical), over lower-case words.
 SPELLINGS = (
@@ -58,6 +65,35 @@ NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("all-rights-reserved", "All rights reserved."),
 )
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _shipped_texts() -> list[tuple[str, str]]:
+    """The shipped files, each also without what follows the end of its terms."""
+    found = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    return found + [(name, t[: t.index(_END) + cut]) for name, t in found if _END in t for cut in (0, len(_END))]
+
+
+#: Further published texts and variants, compared without the lines at their head.
+MORE_TEXTS = (
+    *_shipped_texts(),
+    ("ISC", LICENSE_TEXTS[2][1].replace("and/or", "and")),
+    ("BSD-2-Clause", f"{_BSD_HEAD}\n\n* {_BSD_1}\n\n* {_BSD_2}\n\n{_BSD_TAIL}"),
+    ("BSD-3-Clause", f"{_BSD_HEAD}\n\n* {_BSD_1}\n\n* {_BSD_2}\n\n* {_BSD_3}\n\n{_BSD_TAIL}"),
+)
+_TITLE = r"(?:the )?\(?(?:mit|expat|x11|isc|0bsd|bsd|zero[- ]clause bsd|[0234][- ]clause bsd|(?:new|revised|modified|simplified|free) bsd|apache|gnu|mozilla|creative commons|cc0|the \"?artistic|artistic)\b[^\n]{0,60}"
+_HEAD = rf"\A(?:[\s*#/;=-]*(?:{_TITLE}|version [0-9][^\n]{{0,40}}|https?://[^\s]*|(?:copyright\b|\(c\)|©)[^\n]*|all rights reserved\b[^\n]{{0,3}})[\x20\x09\x0d]*(?:\n|\z))+"
+#: Names in canonical form in notices, as a pattern.
+NOTICE_NAMES = (
+    ("MIT", "mit|expat"), ("ISC", "isc"), ("0BSD", "0bsd"), ("BSD-2-Clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd)"), ("BSD-3-Clause", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"),
+    ("Apache-2.0", "apache(?: license)?(?: version| v)? ?2(?: 0)?"), ("CC0-1.0", "(?:creative commons )?cc0(?: 1 0)?(?: universal)?"),
+    *[(f"MPL-{a}", f"(?:mozilla public license|mpl)(?: version| v)? ?{a.replace('.', ' ')}") for a in ("1.1", "2.0")],
+    *[(f"GPL-{a}.0", f"(?:gnu general public license|(?:gnu )?gpl)(?: version| v)? ?{a}(?: 0)?") for a in "123"],
+    *[(f"LGPL-{a}", f"(?:gnu (?:lesser|library) general public license|(?:gnu )?lgpl)(?: version| v)? ?{b}") for a, b in (("2.0", "2(?: 0)?"), ("2.1", "2 1"), ("3.0", "3(?: 0)?"))],
+    *[(f"AGPL-{a}.0", f"(?:gnu affero general public license|(?:gnu )?agpl)(?: version| v)? ?{a}(?: 0)?") for a in "3"],
+    *[(f"CC-{a}-{v}", f"(?:cc|creative commons) {a.lower().replace('-', ' ')} {v.replace('.', ' ')}") for a in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")],
+)
+_SAYS = "^(?:.{0,60} )?(?:licensed|released|distributed|published|available|made available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 
 
 def canonical(text: Column, drop_copyright: bool = True) -> Column:
@@ -81,7 +117,23 @@ def known_digests(spark, texts) -> DataFrame:
     return rows.select("license", digest(F.col("text")).alias("known")).filter("known is not null").groupBy("known").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES) -> DataFrame:
+def headless(body: Column) -> Column:
+    """Lower case, without title, version, address, copyright and rights-reserved lines at the head."""
+    return F.regexp_replace(F.lower(body), _HEAD, "")
+
+
+def said(body: Column) -> Column:
+    """Names of the licences in lines of a usual form and in SPDX identifiers."""
+    lines = F.filter(F.split(body, "\n"), lambda line: F.lower(line).contains("licen") | F.lower(line).contains("under"))
+    forms = F.transform(lines, lambda line: canonical(line, drop_copyright=False))
+    rules = [(name, f"{_SAYS}(?:{pattern})(?: license| or later| or any later version)*$") for name, pattern in NOTICE_NAMES]
+    names = F.flatten(F.transform(forms, lambda f: F.array_compact(F.array(*[F.when(f.rlike(rule), F.lit(name)) for name, rule in rules]))))
+    marks = F.regexp_extract_all(body, F.lit(r"(?i)spdx-license-identifier:[\x20\x09]*([^\n]*)"), F.lit(1))
+    parts = F.flatten(F.transform(marks, lambda m: F.split(F.regexp_replace(m, r"(?i)\bwith\s+[^\s)]+", " "), r"(?i)[\s()]+(?:(?:and|or)[\s()]+)?")))
+    return F.concat(names, F.filter(parts, lambda x: x.rlike(r"^[A-Za-z0-9][A-Za-z0-9.+-]*$")))
+
+
+def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES, more_texts=MORE_TEXTS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text_digest, license (of the whole text, else null), notices
     (sorted distinct names whose one-line notice is a line of the text)."""
     spark = docs.sparkSession
@@ -91,9 +143,21 @@ def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES) -> DataFrame:
     marks = known_digests(spark, notices).collect()
     lookup = F.create_map(*[F.lit(x) for m in [*marks, {"known": "", "license": ""}] for x in (m["known"], m["license"])])
     lines = F.transform(F.split("body", "\n"), lambda line: digest(line, drop_copyright=False))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda d: F.get(F.array(lookup[d]), F.lit(0))), lambda x: x.isNotNull())))
+    found = F.filter(F.transform(lines, lambda d: F.get(F.array(lookup[d]), F.lit(0))), lambda x: x.isNotNull())
     rows = docs.select("doc_id", text_of().alias("body")).withColumn("text_digest", digest(F.col("body")))
-    return rows.join(known, rows["text_digest"] == known["known"], "left").select("doc_id", "text_digest", "license", found.alias("notices"))
+    low = F.lower("body")
+    rows = rows.withColumn("says", held(low.contains("licen") | low.contains("under"))).withColumn("may", held(low.contains("licen") | low.contains("software")))
+    rows = rows.withColumn("form", held(F.when(F.col("may"), digest(headless(F.col("body"))))))
+    if notices:
+        found = F.concat(found, F.when(F.col("says"), said(F.col("body"))).otherwise(F.array().cast("array<string>")))
+    found = F.array_sort(F.array_distinct(found))
+    more = spark.createDataFrame([(str(a), str(b)) for a, b in (*texts, *more_texts)], "license string, text string")
+    more = more.select("license", digest(headless(F.col("text"))).alias("form_known")).filter("form_known is not null")
+    more = more.groupBy("form_known").agg(F.min("license").alias("form_license"))
+    if len(texts) + len(more_texts) <= MAX_BROADCAST_KNOWN:
+        more = F.broadcast(more)
+    rows = rows.join(known, rows["text_digest"] == known["known"], "left").join(more, F.col("form") == F.col("form_known"), "left")
+    return rows.select("doc_id", "text_digest", F.coalesce("license", "form_license").alias("license"), found.alias("notices"))
 
 
 def document_licenses(documents: DataFrame) -> DataFrame:
