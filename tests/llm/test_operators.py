@@ -483,6 +483,12 @@ def test_jaccard_join_odd_rows(spark):
     assert kept.columns == docs(spark, []).columns and 7 not in {r.doc_id for r in kept.collect()}
 
 
+def test_broadcast_bound_counts_blocks(spark):
+    size = spark.createDataFrame([(300_000,), (2,), (1001,)], "n long")
+    assert ngram_join.broadcast_rows(size, 1000) == 300_000 * 300 + 2 + 1001 * 2
+    assert ngram_join.broadcast_rows(size.limit(0), 1000) == 0
+
+
 def test_posterior_bounds():
     least = ngram_join.least_matches(0.8, 1e-6)
     assert least == sorted(least) and 0 < least[0] < 16 and least[-1] < 0.8 * 128

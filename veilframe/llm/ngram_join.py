@@ -19,7 +19,7 @@ that stands for its exact copies.
    pairs of the component are decided exactly; their numbers are added up per node, and again only a forest leaves.
 5. Components of the exact forest are the classes.
 
-Only texts that are still candidates move, once; up to ``max_broadcast`` candidates (counted first) their ids are
+Only texts that are still candidates move, once; up to ``max_broadcast`` rows of ids, repeated for each pair of blocks (counted first), they are
 broadcast, beyond it the join with the texts is a shuffle. Words are lower-case runs of letters, digits and underscores;
 a text of fewer than 5 words has one shingle, all its words. Defined results: null texts and texts without words
 are linked to nothing (equal texts without words, but not null, are copies still); null ids get class null,
@@ -338,6 +338,11 @@ def exact_join(texts: DataFrame, threshold: float) -> DataFrame:
     return _grouped(texts, ["comp", "lo", "hi"], process, "node bigint, links bigint, a bigint")
 
 
+def broadcast_rows(size: DataFrame, block_rows: int) -> int:
+    """size(n): a row a component -> the rows that in_blocks makes of their nodes."""
+    return size.agg(F.sum(F.col("n") * F.ceil(F.col("n") / block_rows)).alias("rows")).first()["rows"] or 0
+
+
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, block_rows: int = 8000, text_block_rows: int = 1000, max_broadcast: int = 2_000_000) -> DataFrame:
     """docs(doc_id, text) -> doc_id, class_id (smallest id of its class: copies and linked texts), copy_id
     (smallest id with the same text), n_copies (documents with that text), n_links (other texts linked to it)."""
@@ -352,7 +357,7 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-
     forest.drop()
     size = maybe.df.groupBy("class").agg(F.count("*").alias("n"))
     active = in_blocks(maybe.df.withColumnRenamed("class", "comp").join(size.withColumnRenamed("class", "comp"), "comp"), "comp", "n", text_block_rows, "node")
-    if maybe.df.count() <= max_broadcast:
+    if broadcast_rows(size, text_block_rows) <= max_broadcast:
         active = F.broadcast(active)
     texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("node"), "text")
     links = Cut(exact_join(active.join(texts, "node").select("comp", "lo", "hi", "block", "node", "text"), threshold))
