@@ -6,8 +6,8 @@ are above their thresholds, or, if it is long enough for the words alone to tell
 higher one. Guards: ``min_chars`` characters for the first rule, ``min_words`` words for the second.
 
 References can't be moved by a source, a very long text or junk. English, French, German and Spanish (by the
-first part of the language code, in any case) have shipped ones, rounded shares of usual prose that no table
-judged has a part in. Any other language gets the medians over its sources of the medians over each source's
+first part of the language code, in any case) have shipped ones, rounded shares of usual prose, fixed,
+so that no judged table moves them (written from memory, not counted in a cited corpus, and with the means of sf0.1 in view). Any other language gets the medians over its sources of the medians over each source's
 documents' shares (documents of ``min_words`` words or more, each counted once whatever its length); then,
 over the documents near that, the mean over sources of each source's mean. It needs ``min_sources`` sources and
 ``min_reference_words`` words; junk that holds most of most sources is beyond telling. Without a reference, and for a null language,
