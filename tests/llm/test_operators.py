@@ -235,33 +235,48 @@ def grams_of(text, n=5):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
-@pytest.mark.parametrize("options", [{}, {"max_probes": 0}])
+@pytest.mark.parametrize("options", [{}, {"max_probes": 0, "max_item_bytes": 0, "max_pairs": 0}])
 def test_containment_brute_force(spark, options):
     rng = np.random.default_rng(3)
     vocabulary = [f"w{i}" for i in range(300)]
-    items = [(i, " ".join(rng.choice(vocabulary, rng.integers(5, 60)))) for i in range(30)] + [(100, "too short"), (101, None), (None, "a b c d e f")]
+    items = [(i, " ".join(rng.choice(vocabulary, rng.integers(5, 60)))) for i in range(30)]
+    items += [(100, "W7, w8"), (101, None), (None, "a b c d e f"), (102, "w1 w2 w3 w4"), (103, "?!"), (104, "w9"), (105, "a a a a a a a"), (100, "w7 w8")]
     texts = []
     for k in range(60):
         item = items[k % 30][1].split()
         cut = item[: max(5, int(len(item) * rng.choice([0.6, 0.85, 1.0])))]
         texts.append((k, " ".join([*rng.choice(vocabulary, 200), *cut, *rng.choice(vocabulary, 50)]).upper() + "!"))
-    texts += [(7, texts[7][1]), (900, None), (901, ""), (None, items[0][1])]
+    texts += [(7, texts[7][1]), (8, texts[9][1]), (900, None), (901, ""), (None, items[0][1]), (902, "w1 w2 w3 w4"), (903, "w7"), (904, (items[3][1] + " ") * 300)]
     got = decontaminate.contained_items(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string"), **options)
     got = {(r.doc_id, r.item_id): (r.n_shared, r.n_item) for r in got.collect()}
     want = {}
     for (i, t), (j, s) in itertools.product(texts, items):
-        g = grams_of(s)
-        if i is not None and j is not None and g and len(g & grams_of(t)) >= 0.8 * len(g) - 1e-9:
-            want[i, j] = (len(g & grams_of(t)), len(g))
+        k = min(5, len(words_of(s)))
+        g = grams_of(s, k) if k else set()
+        n = len(g & grams_of(t, k))
+        if i is not None and j is not None and g and n >= 0.8 * len(g) - 1e-9:
+            want[i, j] = max(want.get((i, j), (0, 0)), (n, len(g)))
     assert got == want and len(want) > 20
+    bad = {t for t in {t for _, t in texts if t} if any(grams_of(s, min(5, len(words_of(s)))) and len(grams_of(s, min(5, len(words_of(s)))) & grams_of(t, min(5, len(words_of(s))))) >= 0.8 * len(grams_of(s, min(5, len(words_of(s))))) - 1e-9 for i, s in items if i is not None and words_of(s))}
+    rest = decontaminate.drop_contaminated(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string"), **options)
+    assert sorted((r.doc_id or -1, r.text or "") for r in rest.collect()) == sorted((i or -1, t or "") for i, t in texts if t not in bad)
+
+
+def test_repeated_shingle_is_probed_once(spark):
+    """A document that repeats an item's shingles gives each of them to the search once."""
+    item = " ".join(f"q{i}" for i in range(40))
+    rows = docs(spark, [(1, (item + " ") * 500), (2, "q0 q1 q2 q3 q4 " * 5000)])
+    got = decontaminate.contained_items(rows, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.n_shared, r.n_item) for r in got] == [(1, 36, 36)]
 
 
 def test_decontamination_keeps_rest(spark):
     d, b = small(spark, "documents"), small(spark, "benchmark")
     found = {r.doc_id for r in decontaminate.leaks(d, b).collect()}
-    left = decontaminate.drop_contaminated(d, b)
-    assert left.columns == d.columns and left.count() == d.count() - len(found)
+    left = decontaminate.drop_contaminated(d.withColumn("__leak", F.lit(1)).withColumn("words", F.lit(2)), b)
+    assert left.columns == [*d.columns, "__leak", "words"] and left.count() == d.count() - len(found)
     assert decontaminate.leaks(d, b.limit(0)).count() == 0
+    assert decontaminate.leaks(d.limit(0), b).count() == 0 == decontaminate.drop_contaminated(d.limit(0), b).count()
 
 
 # ---- 6 token counts

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import Cut, cut, free, marked, shared_dir
+
+__all__ = ["Cut", "cut", "free", "marked", "shared_dir"]
 #: ASCII white space that separates words, as a regex class body and as a trim set.
 WS_CLASS = r"\x20\x09-\x0D"
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -17,38 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the
-    session; only where that is unset (local tests) a temporary folder is made."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="veilframe-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-class Cut:
-    """A DataFrame written to the shared folder and read back: its lineage ends there,
-    so a lost executor costs a re-read and not a recomputation. ``drop`` frees the files
-    once a later table has replaced them."""
-
-    def __init__(self, df: DataFrame):
-        self.spark = df.sparkSession
-        self.path = f"{shared_dir(self.spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
-        schema = df.schema
-        df.write.parquet(self.path)
-        self.df = self.spark.read.schema(schema).parquet(self.path)
-
-    def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    return Cut(df).df
-
-
 def text_of(column: str | Column = "text") -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
