@@ -316,6 +316,12 @@ def test_license_texts(spark):
     assert got[4] == [(None, ["MIT", "all-rights-reserved"])]
     assert got[5] == got[6] == got[7] == [(None, [])]
     digest = license_scan.scan(docs(spark, [(4, "A-b, C")])).first().text_digest
+    same = {r.doc_id: r.text_digest for r in license_scan.scan(docs(spark, [
+        (1, "licence licence\n\u00a9 2020 x\nthe copyright owner"), (2, "License, license! The copyright holder"), (3, "licence licence licence " * 50_000), (4, "license " * 150_000), (5, "Copyright <YEAR> <OWNER>\nlicence"), (6, "license")
+    ])).collect()}
+    assert same[1] == same[2] and same[3] == same[4] and same[5] == same[6]
+    with pytest.raises(ValueError):
+        license_scan.scan(docs(spark, []), notices=[("x", f"notice {i}") for i in range(1001)])
     assert digest == hashlib.sha256(b"a b c").hexdigest()
     assert license_scan.scan(docs(spark, []), notices=()).count() == 0
 

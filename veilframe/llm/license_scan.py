@@ -7,11 +7,12 @@ though it isn't a licence text as a whole.
 
 A second digest, of the text without title, version, address, copyright (with or without a year) and rights-reserved
 lines at its head, is joined with those of ``MORE_TEXTS`` as well, known texts being treated alike; only texts with the
-letters "licen" or "software" are looked at so. In texts with "licen" or "under", a line that says by a usual form that something is
-licensed under a named licence, and each licence of an SPDX-License-Identifier, is a notice too.
+letters "licen" or "software" are looked at so. A line that says by a usual form that something is licensed under a
+named licence, and each licence of an SPDX-License-Identifier, is a notice too.
 
-The known texts are a short list given as a parameter; its digests are broadcast only below
-``MAX_BROADCAST_KNOWN`` rows, and the notices are a literal map below the same bound.
+One narrow pass; nothing is shuffled. Lines are taken apart only in texts, and digested only where the line itself, holds
+all words of some notice that no spelling touches, which every line of that digest does. The digests of the known texts
+are broadcast below ``MAX_BROADCAST_KNOWN`` rows; notices are a literal map of at most ``MAX_NOTICES``.
 
 Defined results: null text is the empty text; an empty canonical form has a null digest and matches
 nothing; repeated rows are looked up each; equal canonical texts of two licences give the name that
@@ -20,6 +21,7 @@ sorts first; empty tables give empty results.
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,9 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("sub license", "sublicense"), ("whilst", "while"), ("wilful", "willful"),
 )
 MAX_BROADCAST_KNOWN = 5_000
+MAX_NOTICES = 1_000
+#: Beginnings of the words before "under" in a notice.
+VERBS = ("licen", "released", "distributed", "published", "available")
 
 _GRANT_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -93,18 +98,25 @@ NOTICE_NAMES = (
     *[(f"AGPL-{a}.0", f"(?:gnu affero general public license|(?:gnu )?agpl)(?: version| v)? ?{a}(?: 0)?") for a in "3"],
     *[(f"CC-{a}-{v}", f"(?:cc|creative commons) {a.lower().replace('-', ' ')} {v.replace('.', ' ')}") for a in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")],
 )
+#: A line that is dropped before digests are taken: a year, or the place for one.
+COPYRIGHT_LINE = r"(?m)^[\x20\x09]*(?:copyright\b|\(c\)|©)[^\n]*(?:[0-9]{4}|<year>|\[year\]|\[yyyy\]|\{year\}|\{yyyy\})[^\n]*$"
 _SAYS = "^(?:.{0,60} )?(?:licensed|released|distributed|published|available|made available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 
 
 def canonical(text: Column, drop_copyright: bool = True) -> Column:
-    """Lower case, without copyright lines, only letters and digits, one spelling, one space between."""
+    """Lower case, without copyright lines, only letters and digits, one spelling, one space between. Words stand
+    between two spaces of their own while spellings are replaced, so neighbouring ones are all found."""
     out = F.lower(text)
     if drop_copyright:
-        out = F.regexp_replace(out, r"(?m)^[\x20\x09]*(?:copyright\b|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$", " ")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+        out = F.regexp_replace(out, COPYRIGHT_LINE, " ")
+    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
     for spelling, same in SPELLINGS:
-        out = F.replace(out, F.lit(f" {spelling} "), F.lit(f" {same} "))
-    return F.btrim(F.regexp_replace(out, " +", " "))
+        out = F.replace(out, F.lit(_apart(spelling)), F.lit(_apart(same)))
+    return F.btrim(F.replace(out, F.lit("  "), F.lit(" ")))
+
+
+def _apart(words: str) -> str:
+    return f" {words.replace(' ', '  ')} "
 
 
 def digest(text: Column, **options) -> Column:
@@ -117,47 +129,82 @@ def known_digests(spark, texts) -> DataFrame:
     return rows.select("license", digest(F.col("text")).alias("known")).filter("known is not null").groupBy("known").agg(F.min("license").alias("license"))
 
 
-def headless(body: Column) -> Column:
-    """Lower case, without title, version, address, copyright and rights-reserved lines at the head."""
-    return F.regexp_replace(F.lower(body), _HEAD, "")
+def headless(low: Column) -> Column:
+    """A lower-case text without title, version, address, copyright and rights-reserved lines at the head."""
+    return F.regexp_replace(low, _HEAD, "")
+
+
+def needed_words(notices) -> list[list[str]]:
+    """For each notice the words that its lines hold whatever their spelling, case and punctuation."""
+    written = {w for pair in SPELLINGS for side in pair for w in side.split()}
+    return [[w for w in dict.fromkeys(re.findall(r"[^\W_]+", text.lower())) if w not in written and len(w) > 2] for _, text in notices]
+
 
+def holds_all(text: Column, words: list[str]) -> Column:
+    out = F.lit(True)
+    for w in sorted(words, key=len, reverse=True):
+        out = out & text.contains(w)
+    return out
 
-def said(body: Column) -> Column:
-    """Names of the licences in lines of a usual form and in SPDX identifiers."""
-    lines = F.filter(F.split(body, "\n"), lambda line: F.lower(line).contains("licen") | F.lower(line).contains("under"))
-    forms = F.transform(lines, lambda line: canonical(line, drop_copyright=False))
+
+def any_of(tests: list[Column]) -> Column:
+    out = F.lit(False)
+    for t in tests:
+        out = out | t
+    return out
+
+
+def said(low: Column) -> Column:
+    """Names of the licences in lines of a usual form. low: lower-case text."""
+    lines = F.filter(F.split(low, "\n"), lambda line: line.contains("under") & any_of([line.contains(w) for w in VERBS]))
+    forms = F.filter(F.transform(lines, lambda line: canonical(line, drop_copyright=False)), lambda f: f.rlike(_SAYS))
     rules = [(name, f"{_SAYS}(?:{pattern})(?: license| or later| or any later version)*$") for name, pattern in NOTICE_NAMES]
-    names = F.flatten(F.transform(forms, lambda f: F.array_compact(F.array(*[F.when(f.rlike(rule), F.lit(name)) for name, rule in rules]))))
+    return F.flatten(F.transform(forms, lambda f: F.array_compact(F.array(*[F.when(f.rlike(rule), F.lit(name)) for name, rule in rules]))))
+
+
+def identifiers(body: Column) -> Column:
+    """The licences of SPDX-License-Identifier lines."""
     marks = F.regexp_extract_all(body, F.lit(r"(?i)spdx-license-identifier:[\x20\x09]*([^\n]*)"), F.lit(1))
     parts = F.flatten(F.transform(marks, lambda m: F.split(F.regexp_replace(m, r"(?i)\bwith\s+[^\s)]+", " "), r"(?i)[\s()]+(?:(?:and|or)[\s()]+)?")))
-    return F.concat(names, F.filter(parts, lambda x: x.rlike(r"^[A-Za-z0-9][A-Za-z0-9.+-]*$")))
+    return F.filter(parts, lambda x: x.rlike(r"^[A-Za-z0-9][A-Za-z0-9.+-]*$"))
 
 
 def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES, more_texts=MORE_TEXTS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text_digest, license (of the whole text, else null), notices
     (sorted distinct names whose one-line notice is a line of the text)."""
+    if len(notices) > MAX_NOTICES:
+        raise ValueError(f"notices are a literal map of at most {MAX_NOTICES} entries")
     spark = docs.sparkSession
     known = known_digests(spark, texts)
     if len(texts) <= MAX_BROADCAST_KNOWN:
         known = F.broadcast(known)
-    marks = known_digests(spark, notices).collect()
-    lookup = F.create_map(*[F.lit(x) for m in [*marks, {"known": "", "license": ""}] for x in (m["known"], m["license"])])
-    lines = F.transform(F.split("body", "\n"), lambda line: digest(line, drop_copyright=False))
-    found = F.filter(F.transform(lines, lambda d: F.get(F.array(lookup[d]), F.lit(0))), lambda x: x.isNotNull())
-    rows = docs.select("doc_id", text_of().alias("body")).withColumn("text_digest", digest(F.col("body")))
-    low = F.lower("body")
-    rows = rows.withColumn("says", held(low.contains("licen") | low.contains("under"))).withColumn("may", held(low.contains("licen") | low.contains("software")))
-    rows = rows.withColumn("form", held(F.when(F.col("may"), digest(headless(F.col("body"))))))
+    none = F.array().cast("array<string>")
+    rows = docs.select("doc_id", text_of().alias("body")).withColumn("low", held(F.lower("body"))).withColumn("text_digest", held(digest(F.col("low"))))
+    # a digest of a text without its head is taken only where there is a head, else it is that of the text
+    may = any_of([F.col("low").contains(w) for w in ("licen", "software")])
+    rows = rows.withColumn("__rest", held(F.when(may, headless(F.col("low")))))
+    form = F.when(F.length("__rest") == F.length("low"), F.col("text_digest")).otherwise(digest(F.col("__rest")))
+    rows = rows.withColumn("form", held(F.when(F.col("__rest").isNotNull(), form)))
+    found = none
     if notices:
-        found = F.concat(found, F.when(F.col("says"), said(F.col("body"))).otherwise(F.array().cast("array<string>")))
-    found = F.array_sort(F.array_distinct(found))
+        marks = known_digests(spark, notices).collect()  # at most MAX_NOTICES
+        lookup = F.create_map(*[F.lit(x) for m in [*marks, {"known": "", "license": ""}] for x in (m["known"], m["license"])])
+        needed = needed_words(notices)
+        fits = lambda text: any_of([holds_all(text, words) for words in needed])
+        lines = F.transform(F.filter(F.split("low", "\n"), fits), lambda line: digest(line, drop_copyright=False))
+        listed = F.filter(F.transform(lines, lambda d: F.get(F.array(lookup[d]), F.lit(0))), lambda x: x.isNotNull())
+        found = F.when(fits(F.col("low")), listed).otherwise(none)
+        says = F.col("low").contains("under") & any_of([F.col("low").contains(w) for w in VERBS])
+        found = F.concat(found, F.when(says, said(F.col("low"))).otherwise(none))
+        found = F.concat(found, F.when(F.col("low").contains("spdx-license-identifier"), identifiers(F.col("body"))).otherwise(none))
+    rows = rows.withColumn("found", held(F.array_sort(F.array_distinct(found))))
     more = spark.createDataFrame([(str(a), str(b)) for a, b in (*texts, *more_texts)], "license string, text string")
-    more = more.select("license", digest(headless(F.col("text"))).alias("form_known")).filter("form_known is not null")
+    more = more.select("license", digest(headless(F.lower("text"))).alias("form_known")).filter("form_known is not null")
     more = more.groupBy("form_known").agg(F.min("license").alias("form_license"))
     if len(texts) + len(more_texts) <= MAX_BROADCAST_KNOWN:
         more = F.broadcast(more)
     rows = rows.join(known, rows["text_digest"] == known["known"], "left").join(more, F.col("form") == F.col("form_known"), "left")
-    return rows.select("doc_id", "text_digest", F.coalesce("license", "form_license").alias("license"), found.alias("notices"))
+    return rows.select("doc_id", "text_digest", F.coalesce("license", "form_license").alias("license"), F.col("found").alias("notices"))
 
 
 def document_licenses(documents: DataFrame) -> DataFrame:
@@ -167,10 +214,10 @@ def document_licenses(documents: DataFrame) -> DataFrame:
 def _canonical_sql(text: str, drop_copyright: bool = True) -> str:
     out = f"lower({text})"
     if drop_copyright:
-        out = rf"regexp_replace({out}, '(?m)^[\x20\x09]*(?:copyright\b|\(c\)|©)[^\n]*[0-9]{{4}}[^\n]*$', ' ', 'g')"
-    out = rf"(' ' || regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' ')"
+        out = rf"regexp_replace({out}, '{COPYRIGHT_LINE}', ' ', 'g')"
+    out = rf"(' ' || regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', '  ', 'g') || ' ')"
     for spelling, same in SPELLINGS:
-        out = f"replace({out}, ' {spelling} ', ' {same} ')"
+        out = f"replace({out}, '{_apart(spelling)}', '{_apart(same)}')"
     return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
