@@ -179,11 +179,15 @@ def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES, more_texts=MORE_
     if len(texts) <= MAX_BROADCAST_KNOWN:
         known = F.broadcast(known)
     none = F.array().cast("array<string>")
-    rows = docs.select("doc_id", text_of().alias("body")).withColumn("low", held(F.lower("body"))).withColumn("text_digest", held(digest(F.col("low"))))
+    rows = docs.select("doc_id", text_of().alias("body")).withColumn("low", held(F.lower("body")))
+    # canonical forms are columns of their own: inside a condition they would be made twice
+    rows = rows.withColumn("__form", held(canonical(F.col("low")))).withColumn("text_digest", held(F.when(F.col("__form") != "", F.sha2("__form", 256))))
     # a digest of a text without its head is taken only where there is a head, else it is that of the text
     may = any_of([F.col("low").contains(w) for w in ("licen", "software")])
     rows = rows.withColumn("__rest", held(F.when(may, headless(F.col("low")))))
-    form = F.when(F.length("__rest") == F.length("low"), F.col("text_digest")).otherwise(digest(F.col("__rest")))
+    changed = F.length("__rest") < F.length("low")
+    rows = rows.withColumn("__rest_form", held(F.when(changed, canonical(F.col("__rest")))))
+    form = F.when(changed, F.when(F.col("__rest_form") != "", F.sha2("__rest_form", 256))).otherwise(F.col("text_digest"))
     rows = rows.withColumn("form", held(F.when(F.col("__rest").isNotNull(), form)))
     found = none
     if notices:
