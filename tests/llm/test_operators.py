@@ -486,7 +486,7 @@ def test_jaccard_join_brute_force(spark):
         w[int(rng.integers(0, 120))] = f"z{k}"
         rows.append((5000 + k, " ".join(w)))
     rows += [(6000, None), (6001, ""), (6002, "   "), (6003, "two words"), (6004, "Two  words!"), (6005, ""), (5000, dict(rows)[5000])]
-    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.jaccard_join(docs(spark, rows), block_rows=20, text_block_rows=16).collect()}
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.jaccard_join(docs(spark, rows), block_rows=20, text_block_rows=16, text_block_bytes=5000).collect()}
     want = brute(rows) | {6000: (6000, 0)}
     assert got == want
     assert sum(1 for c, n in want.values() if n) > 60
@@ -501,13 +501,38 @@ def test_jaccard_join_odd_rows(spark):
     assert by[7].class_id == 6 and by[6].n_copies == 2 and by[None].class_id is None and by[1].class_id == 1
     assert ngram_join.jaccard_join(docs(spark, [])).count() == 0
     kept = ngram_join.keep_one(docs(spark, ODD))
-    assert kept.columns == docs(spark, []).columns and 7 not in {r.doc_id for r in kept.collect()}
+    assert kept.columns == docs(spark, []).columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 4, 5, 6, 8]
+
+
+LONG = " ".join(f"u{i}" for i in range(60))
+NEAR = LONG.replace("u30 ", "x30 ")
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+@pytest.mark.parametrize("text_ids", [False, True])
+def test_keep_one_decides_by_row(spark, text_ids, limit):
+    """Repeated rows, repeated ids with different texts, and null ids."""
+    other = " ".join(f"o{i}" for i in range(40))
+    rows = [(5, LONG), (5, LONG), (5, "a text of its own, with enough words"), (3, NEAR), (3, NEAR), (3, NEAR), (None, LONG), (None, other), (None, other), (9, None), (9, None), (None, None)]
+    df = docs(spark, rows)
+    if text_ids:
+        df = df.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    kept = sorted((str(r.doc_id), r.text or "") for r in ngram_join.keep_one(df, max_broadcast=limit).collect())
+    name = lambda i: str(i) if i is None else f"{'d' * text_ids}{i}"
+    want = [(5, rows[2][1]), (3, NEAR), (None, other), (9, ""), (9, ""), (None, "")]
+    assert kept == sorted((name(i), t) for i, t in want)
+    joined = ngram_join.jaccard_join(df, max_broadcast=limit).collect()
+    assert len(joined) == len(rows)
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_copies, r.n_links) for r in joined) == sorted(
+        [(name(5), name(3), 3, 1)] * 2 + [(name(5), name(5), 1, 0)] + [(name(3), name(3), 3, 1)] * 3 + [("None", name(3), 3, 1)] + [("None", "None", 2, 0)] * 2 + [(name(9), name(9), 1, 0)] * 2 + [("None", "None", 1, 0)]
+    )
 
 
 def test_broadcast_bound_counts_blocks(spark):
-    size = spark.createDataFrame([(300_000,), (2,), (1001,)], "n long")
-    assert ngram_join.broadcast_rows(size, 1000) == 300_000 * 300 + 2 + 1001 * 2
-    assert ngram_join.broadcast_rows(size.limit(0), 1000) == 0
+    size = spark.createDataFrame([(300_000, 5), (2, 90), (1001, 5)], "n long, bytes long")
+    blocks = ngram_join.n_blocks(1000, 30)
+    assert ngram_join.broadcast_rows(size, blocks) == 300_000 * 300 + 2 * 2 + 1001 * 2
+    assert ngram_join.broadcast_rows(size.limit(0), blocks) == 0
 
 
 def test_posterior_bounds():

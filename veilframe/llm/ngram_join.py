@@ -4,9 +4,10 @@ All pairs of different texts whose sets of word shingles (5 words) have Jaccard
 ``threshold`` = 0.8, reported as one row a document: its class, the number of links it has, and the document
 that stands for its exact copies.
 
-1. Sketch. One narrow Arrow pass makes a digest and 128 MinHash values of each text. The sketches are
+1. Sketch. One narrow Arrow pass makes 128 MinHash values of each text; the text's digest (md5) is made by Spark. The sketches are
    written to the shared folder, and equal texts become one node (partial minimum before the shuffle, so a text
-   that a third of all rows share is no hot key). Copies are never expanded.
+   that a third of all rows share is no hot key). Copies are never expanded. Nodes are numbered as they are written, so
+   ids may be of any type that can be ordered.
 2. Candidates. 32 bands of 4 values; nodes alone in a bucket leave at once (a pair at the threshold shares no
    bucket with probability 5e-8). Buckets of more than ``block_rows`` nodes are cut in blocks, and every
    pair of blocks is a task of its own, so no bucket has to fit in one.
@@ -14,17 +15,22 @@ that stands for its exact copies.
    posterior of the similarity after m matches in n is Beta(m+1, n-m+1), and a pair is dropped as soon as its
    probability of reaching the threshold is below ``tolerance``. A bucket passes on the forest of surviving pairs
    only (each node linked towards the first of its component), never all pairs.
-4. Components of the forest say which texts may be linked; each component (cut in blocks where large, as
-   above) gets its texts and counts exact intersections over an inverted index of the shingles' hashes. Here all
-   pairs of the component are decided exactly; their numbers are added up per node, and again only a forest leaves.
+4. Components of the forest say which texts may be linked; each component, cut in blocks of at most about
+   ``text_block_rows`` texts and ``text_block_bytes`` of them, gets its texts and counts intersections over an inverted index of the
+   shingles' 64-bit hashes, exact but for collisions of those. Here all pairs of the component are decided; their
+   numbers are added up per node, and again only a forest leaves.
 5. Components of the exact forest are the classes.
 
-Only texts that are still candidates move, once; up to ``max_broadcast`` rows of ids, repeated for each pair of blocks (counted first), they are
-broadcast, beyond it the join with the texts is a shuffle. Words are lower-case runs of letters, digits and underscores;
+Only texts that are still candidates move, one row a distinct text: to their node, then to the pairs of blocks. The ids that choose them are
+broadcast up to ``max_broadcast`` rows (counted first), beyond it those joins are shuffles. A task holds one Arrow batch of
+texts (rows up to spark.sql.execution.arrow.maxRecordsPerBatch and its byte limit) and one pair of blocks.
+Words are lower-case runs of letters, digits and underscores;
 a text of fewer than 5 words has one shingle, all its words. Defined results: null texts and texts without words
-are linked to nothing (equal texts without words, but not null, are copies still); null ids get class null,
-no link; rows that repeat an id are one document, and if their texts differ, their links are put together; an
-empty table gives an empty one; other columns are not looked at.
+are linked to nothing (equal texts without words, but not null, are copies still); rows are judged each by their own text, so
+rows that repeat an id with different texts may be in different classes; null ids are larger than all others when the
+smallest of a class is taken; a class of null ids only is null; an
+empty table gives an empty one; other columns are not looked at. ``keep_one`` keeps one row a class, be ids repeated or null:
+of its rows with the smallest id one with the smallest digest; rows with null text stay.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Cut
@@ -221,23 +227,26 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.df.select(F.col("a").alias("node"), F.col("label").alias("class"))
 
 
-def in_blocks(rows: DataFrame, key: str, count: str, block_rows: int, node: str) -> DataFrame:
+def in_blocks(rows: DataFrame, n_blocks: Column, node: str) -> DataFrame:
     """Adds block (of the node), lo and hi: each pair of blocks of a key is a group of its own."""
-    n_blocks = F.ceil(F.col(count) / block_rows).cast("int")
-    block = F.pmod(F.xxhash64(F.lit(3), node), n_blocks).cast("int")
-    rows = rows.withColumn("n_blocks", n_blocks).withColumn("block", block)
+    rows = rows.withColumn("n_blocks", n_blocks.cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(3), node), F.col("n_blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    return rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "n_blocks", count)
+    return rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "n_blocks")
+
+
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, digest, bands (a key a band), sig (a byte of each MinHash value); the last two null
-    for texts without words."""
+    """docs(doc_id, text) -> doc_id, digest, n_bytes, bands (a key a band), sig (a byte of each MinHash value); the last two
+    null for texts without words. Rows with null text aren't there."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts_all = batch.column(1).to_pylist()
+            texts_all = batch.column(3).to_pylist()
             start, total = 0, 0
             for i, t in enumerate(texts_all):
                 total += len(t)
@@ -250,17 +259,16 @@ def sketch(docs: DataFrame) -> DataFrame:
                 full = sizes > 0
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, len(texts)),
-                        pa.array([hashlib.blake2b(t.encode(), digest_size=16).digest() for t in texts], pa.binary()),
+                        *[batch.column(k).slice(start, len(texts)) for k in range(3)],
                         pa.array([b if f else None for b, f in zip(bands, full, strict=True)], pa.list_(pa.int64())),
                         pa.array([b.tobytes() if f else None for b, f in zip(low, full, strict=True)], pa.binary()),
                     ],
-                    names=["doc_id", "digest", "bands", "sig"],
+                    names=["doc_id", "digest", "n_bytes", "bands", "sig"],
                 )
                 start, total = i + 1, 0
 
-    rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, bands array<bigint>, sig binary")
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", digest_of(F.col("text")).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, n_bytes bigint, bands array<bigint>, sig binary")
 
 
 def _grouped(rows: DataFrame, keys: list[str], process, schema: str) -> DataFrame:
@@ -294,7 +302,7 @@ def candidate_forest(nodes: DataFrame, threshold: float, tolerance: float, block
     keys = nodes.select("node", F.explode("bands").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = keys.join(sizes, "key")
-    member = in_blocks(shared, "key", "n", block_rows, "node").join(nodes.select("node", "sig"), "node")
+    member = in_blocks(shared, F.ceil(F.col("n") / block_rows), "node").join(nodes.select("node", "sig"), "node")
 
     def process(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
         ids = table.column("node").to_numpy()
@@ -338,47 +346,94 @@ def exact_join(texts: DataFrame, threshold: float) -> DataFrame:
     return _grouped(texts, ["comp", "lo", "hi"], process, "node bigint, links bigint, a bigint")
 
 
-def broadcast_rows(size: DataFrame, block_rows: int) -> int:
-    """size(n): a row a component -> the rows that in_blocks makes of their nodes."""
-    return size.agg(F.sum(F.col("n") * F.ceil(F.col("n") / block_rows)).alias("rows")).first()["rows"] or 0
+def n_blocks(rows: int, size: int) -> Column:
+    """Blocks of a component of n nodes and ``bytes`` of text, a node a block at most."""
+    return F.least(F.col("n"), F.greatest(F.ceil(F.col("n") / rows), F.ceil(F.col("bytes") / size))).cast("long")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, block_rows: int = 8000, text_block_rows: int = 1000, max_broadcast: int = 2_000_000) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, class_id (smallest id of its class: copies and linked texts), copy_id
-    (smallest id with the same text), n_copies (documents with that text), n_links (other texts linked to it)."""
-    sk = Cut(sketch(docs))
-    # one row a distinct text; equal digests have equal sketches
-    alike = sk.df.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    alike = Cut(alike)
-    member = sk.df.select("doc_id", "digest").join(alike.df.select("digest", "node", "n_copies"), "digest").select("doc_id", F.col("node").alias("copy_id"), "n_copies")
-    nodes = alike.df.filter(F.col("sig").isNotNull()).select(F.col("node").cast("long").alias("node"), "bands", "sig")
-    forest = Cut(candidate_forest(nodes, threshold, tolerance, block_rows))
-    maybe = Cut(components(forest.df.filter("a <> b")))
-    forest.drop()
-    size = maybe.df.groupBy("class").agg(F.count("*").alias("n"))
-    active = in_blocks(maybe.df.withColumnRenamed("class", "comp").join(size.withColumnRenamed("class", "comp"), "comp"), "comp", "n", text_block_rows, "node")
-    if broadcast_rows(size, text_block_rows) <= max_broadcast:
-        active = F.broadcast(active)
-    texts = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("node"), "text")
-    links = Cut(exact_join(active.join(texts, "node").select("comp", "lo", "hi", "block", "node", "text"), threshold))
-    classes = components(links.df.filter("node <> a").select(F.col("node").alias("a"), F.col("a").alias("b")))
-    degree = links.df.groupBy("node").agg(F.sum("links").alias("n_links"))
-    found = classes.join(degree, "node", "full").select(F.col("node").alias("copy_id"), F.col("class"), "n_links")
-    joined = member.join(found, "copy_id", "left")
-    answered = joined.groupBy("doc_id").agg(
-        F.min(F.coalesce("class", "copy_id")).alias("class_id"), F.min("copy_id").alias("copy_id"), F.max("n_copies").alias("n_copies"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links")
-    )
-    return (
-        docs.select("doc_id")
-        .join(answered.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left")
-        .select(
-            "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
-            F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        )
-    )
+def broadcast_rows(size: DataFrame, blocks: Column) -> int:
+    """size(n, bytes): a row a component -> the rows that in_blocks makes of their nodes."""
+    return size.agg(F.sum(F.col("n") * blocks).alias("rows")).first()["rows"] or 0
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each class, with all its columns: the one whose id is the class's."""
-    kept = jaccard_join(docs.select("doc_id", "text"), **options).filter("class_id <> doc_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__copy"], "left_anti")
+class Classes:
+    """What the join finds: ``rows`` (doc_id, digest of all rows with a text), ``texts`` (digest, node, copy_id, n_copies; a row a
+    distinct text) and ``linked`` (node, class_id, class_digest, n_links; nodes that came to the exact count), all stored.
+    (class_id, class_digest) is the row that stands for the class."""
+
+    def __init__(self, docs: DataFrame, threshold: float, tolerance: float, block_rows: int, text_block_rows: int, text_block_bytes: int, max_broadcast: int):
+        sk = Cut(sketch(docs))
+        self.rows = sk.df.select("doc_id", "digest")
+        # one row a distinct text; equal digests have equal sketches
+        alike = sk.df.groupBy("digest").agg(
+            F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"), F.first("n_bytes").alias("n_bytes"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
+        )
+        alike = Cut(alike.withColumn("node", F.monotonically_increasing_id()))
+        self.texts = alike.df.select("digest", "node", "copy_id", "n_copies")
+        nodes = alike.df.filter(F.col("sig").isNotNull()).select("node", "bands", "sig")
+        forest = Cut(candidate_forest(nodes, threshold, tolerance, block_rows))
+        maybe = components(forest.df.filter("a <> b")).withColumnRenamed("class", "comp")
+        maybe = Cut(maybe.join(alike.df.select("node", "digest", "copy_id", "n_bytes"), "node"))
+        forest.drop()
+        size = maybe.df.groupBy("comp").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
+        blocks = n_blocks(text_block_rows, text_block_bytes)
+        few = broadcast_rows(size, blocks) <= max_broadcast
+        bound = F.broadcast if few else lambda df: df
+        wanted = maybe.df.select("node", F.col("copy_id").alias("__id"), F.col("digest").alias("__digest"))
+        texts = docs.filter(F.col("text").isNotNull()).select("doc_id", digest_of(F.col("text")).alias("digest"), "text")
+        texts = texts.join(bound(wanted), (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+        # rows that repeat an id and its text are one text
+        texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+        active = in_blocks(maybe.df.select("node", "comp").join(size.select("comp", blocks.alias("blocks")), "comp"), F.col("blocks"), "node")
+        links = Cut(exact_join(texts.join(bound(active), "node").select("comp", "lo", "hi", "block", "node", "text"), threshold))
+        classes = components(links.df.filter("node <> a").select(F.col("node").alias("a"), F.col("a").alias("b")))
+        degree = links.df.groupBy("node").agg(F.sum("links").alias("n_links"))
+        found = classes.join(degree, "node", "full").join(maybe.df.select("node", "copy_id", "digest"), "node")
+        found = found.select("node", F.coalesce("class", "node").alias("class"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "copy_id", "digest")
+        first = F.min(F.struct(F.col("copy_id").isNull().alias("none"), "copy_id", "digest")).alias("first")
+        tops = found.groupBy("class").agg(first)
+        linked = found.select("node", "class", "n_links").join(tops, "class")
+        self.linked = Cut(linked.select("node", F.col("first")["copy_id"].alias("class_id"), F.col("first")["digest"].alias("class_digest"), "n_links")).df
+
+    def members(self) -> DataFrame:
+        """A row each of ``rows``, with its text's numbers and its class."""
+        rows = self.rows.join(self.texts, "digest").join(self.linked, "node", "left")
+        alone = F.col("class_digest").isNull()
+        return rows.select(
+            "doc_id", "digest", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.when(alone, F.col("copy_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_digest", "digest").alias("class_digest"),
+        )
+
+
+def find_classes(
+    docs: DataFrame, threshold: float = 0.8, tolerance: float = 1e-6, block_rows: int = 8000, text_block_rows: int = 400, text_block_bytes: int = 16_000_000, max_broadcast: int = 2_000_000
+) -> Classes:
+    return Classes(docs.select("doc_id", "text"), threshold, tolerance, block_rows, text_block_rows, text_block_bytes, max_broadcast)
+
+
+def jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, class_id (smallest id of its class: copies and linked texts), copy_id
+    (smallest id with the same text), n_copies (rows with that text), n_links (other texts linked to it)."""
+    one = lambda n: F.lit(n).cast("long")
+    bare = docs.filter(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), one(1).alias("n_copies"), one(0).alias("n_links"))
+    return find_classes(docs, **options).members().select(bare.columns).unionByName(bare)
+
+
+def keep_one(docs: DataFrame, max_broadcast: int = 2_000_000, **options) -> DataFrame:
+    """One row of each class, with all its columns. Rows are known by (doc_id, digest of the text): all but the one that
+    stands for its class go, and where that one repeats, one of its rows stays. The keys of both are broadcast below
+    ``max_broadcast`` rows."""
+    members = find_classes(docs, max_broadcast=max_broadcast, **options).members()
+    stands = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    keys = members.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(F.count("*").alias("__n"), F.first(stands).alias("__stands"))
+    keys = Cut(keys.filter(~F.col("__stands") | (F.col("__n") > 1))).df
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("__row"), F.col("doc_id").alias("__doc"), digest_of(F.col("text")).alias("__key"))
+    counts = keys.agg(F.count("*").alias("n"), F.count_if("__stands").alias("again")).first()
+    bound = F.broadcast if counts["n"] <= max_broadcast else lambda df: df
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__digest"))
+    kept = rows.join(bound(keys.select("__id", "__digest")), same, "left_anti").select("__row")
+    if counts["again"]:
+        twice = rows.join(bound(keys.filter("__stands").select("__id", "__digest")), same, "left_semi")
+        kept = kept.unionByName(twice.groupBy("__doc", "__key").agg(F.first("__row").alias("__row")).select("__row"))
+    return kept.select("__row.*")
