@@ -437,3 +437,19 @@ def keep_one(docs: DataFrame, max_broadcast: int = 2_000_000, **options) -> Data
         twice = rows.join(bound(keys.filter("__stands").select("__id", "__digest")), same, "left_semi")
         kept = kept.unionByName(twice.groupBy("__doc", "__key").agg(F.first("__row").alias("__row")).select("__row"))
     return kept.select("__row.*")
+
+
+#: All pairs that share a shingle are counted; ids are taken to be unique.
+ORACLE = """
+WITH RECURSIVE t AS MATERIALIZED (SELECT text, min(doc_id) AS copy_id, count(*) AS n_copies FROM documents WHERE text IS NOT NULL GROUP BY text),
+w AS (SELECT copy_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM t),
+g AS MATERIALIZED (SELECT DISTINCT copy_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g FROM (SELECT copy_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT copy_id, count(*) AS n FROM g GROUP BY copy_id),
+c AS MATERIALIZED (SELECT x.copy_id AS a, y.copy_id AS b, count(*) AS s FROM g x JOIN g y ON x.g = y.g AND x.copy_id <> y.copy_id GROUP BY x.copy_id, y.copy_id),
+l AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.copy_id = a JOIN n y ON y.copy_id = b WHERE s >= ceil(0.8 * (x.n + y.n - s) - 1e-9)),
+r AS (SELECT a AS node, a AS top FROM l UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.top),
+k AS (SELECT node, min(top) AS class_id FROM r GROUP BY node),
+m AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT d.doc_id, coalesce(k.class_id, t.copy_id, d.doc_id) AS class_id, coalesce(t.copy_id, d.doc_id) AS copy_id, coalesce(t.n_copies, 1) AS n_copies, coalesce(m.n_links, 0) AS n_links
+FROM documents d LEFT JOIN t ON t.text = d.text LEFT JOIN k ON k.node = t.copy_id LEFT JOIN m ON m.a = t.copy_id
+"""

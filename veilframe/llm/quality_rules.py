@@ -215,5 +215,41 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
 
 def quality_verdicts(documents: DataFrame) -> DataFrame:
     return judge(documents.select("doc_id", "text", "lang", *[c for c in ("source",) if c in documents.columns])).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"
-    )
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"),
+    )
+
+
+def _list_sql(values) -> str:
+    return "[" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + "]"
+
+
+def _distance_sql(p: str, q: str, n: int) -> str:
+    part = lambda x: f"CASE WHEN {x}[i] > 0 THEN {x}[i] * log2({x}[i] / (({p}[i] + {q}[i]) / 2)) ELSE 0.0 END"
+    return f"sqrt(greatest(0.0, list_sum(list_transform(range(1, {n + 1}), lambda i: ({part(p)} + {part(q)}) / 2))))"
+
+
+def _by_lang(part: int) -> str:
+    return "CASE code " + " ".join(f"WHEN '{lang}' THEN {_list_sql(shipped_reference(lang)[part])}" for lang in SHIPPED_WORDS) + " END"
+
+
+def _count_sql(chars: str) -> str:
+    return f"length(t) - length(regexp_replace(t, '{chars}+', '', 'g'))"
+
+
+#: For tables whose languages are all shipped ones: references that a table tells of itself aren't expressed.
+ORACLE = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, lower(regexp_extract(lang, '^\\s*([^-_\\s]*)', 1)) AS code, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(0, 8)) AS k FROM rep) GROUP BY doc_id),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, code, len(w) AS n_words, length(t) AS n_chars, {_count_sql("[\\x20\\x09-\\x0D]")} AS n_space, {_count_sql("[#*$%&|<>]")} AS n_symbols, {_count_sql("\\p{Ll}")} AS n_lower, {_count_sql("\\p{Lu}")} AS n_upper,
+  {_count_sql("\\p{Nd}")} AS n_digit, {_count_sql("[!?]")} AS n_shout, [{", ".join(f"len(list_filter(w, lambda x: x = '{w}'))" for w in COMMON_WORDS)}] AS common FROM d),
+h AS (SELECT *, list_transform([n_lower, n_upper, n_space, n_digit, n_symbols, n_shout, n_chars - n_lower - n_upper - n_space - n_digit - n_symbols - n_shout], lambda x: x / CAST(greatest(n_chars, 1) AS DOUBLE)) AS p,
+  list_transform(list_append(common, n_words - list_sum(common)), lambda x: x / CAST(greatest(n_words, 1) AS DOUBLE)) AS q, {_by_lang(0)} AS rp, {_by_lang(1)} AS rq FROM c),
+j AS (SELECT *, {_distance_sql("p", "rp", len(CLASSES))} AS cd, {_distance_sql("q", "rq", len(COMMON_WORDS) + 1)} AS wd FROM h),
+b AS (SELECT j.*, coalesce(dup.n, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, n_words < 20 OR 100 * coalesce(cov.n, 0) > 30 * n_words AS base_failed FROM j LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id))
+SELECT doc_id, n_words, n_chars - n_space AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT ((n_chars >= 100 AND cd > 0.14 AND wd > 0.21) OR (n_words >= 100 AND wd > 0.24)) AS kept, round(cd, 6) AS char_distance, round(wd, 6) AS word_distance FROM b
+"""

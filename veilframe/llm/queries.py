@@ -58,7 +58,9 @@ QUERIES = {
 
 ORACLES = {
     "op1_chat_format": chat_format.ORACLE,
+    "op2_quality_rules": quality_rules.ORACLE,
     "op3_url_filter": url_filter.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_license_scan": license_scan.ORACLE,
+    "op10_ngram_join": ngram_join.ORACLE,
 }
