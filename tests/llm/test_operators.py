@@ -212,6 +212,34 @@ def test_counterfactual_penalty(spark):
     assert abs(np.subtract(*fair.score_texts(same))) <= abs(np.subtract(*plain.score_texts(same))) + 1e-9
 
 
+GROUPS = {lang: kinds[2][:3] for lang, kinds in toxicity.IDENTITY_TERMS.items()}
+FRAMES = {"en": "{} met at the market", "de": "{} trafen sich am markt", "fr": "{} se retrouvent au marché", "es": "{} se ven en el mercado"}
+
+
+def test_counterfactual_lowers_false_positives(spark):
+    """Training texts insult one group of each language more than others; neutral mentions of it must not be punished."""
+    rows = []
+    for lang, (first, second, third) in GROUPS.items():
+        for i in range(60):
+            rows += [(f"{first} vermin{i % 5} filth x{i}", 1), (f"{FRAMES[lang].format(second if i % 2 else third)} y{i}", 0), (f"vermin{i % 5} filth {third} z{i}", 1 if i < 6 else 0) if i < 6 else (f"y{i} quiet day {lang}", 0)]
+    train = spark.createDataFrame(rows, "text string, toxic int")
+    neutral = [FRAMES[lang].format(group) for lang, groups in GROUPS.items() for group in groups]
+    toxic = [f"{group} vermin1 filth" for groups in GROUPS.values() for group in groups]
+    wrong = {}
+    for penalty in (0.0, 20.0):
+        model = toxicity.fit(train, penalty=penalty)
+        assert model.n_rows == len(rows) and model.n_twins >= 60 * 2 * 4
+        wrong[penalty] = sum(x >= 0.5 for x in model.score_texts(neutral)), np.mean(model.score_texts(neutral[::3]))
+        assert all(x > 0.5 for x in model.score_texts(toxic))
+    assert wrong[20.0][0] <= wrong[0.0][0] and wrong[20.0][1] < 0.6 * wrong[0.0][1], wrong
+
+
+def test_swapped_terms():
+    assert toxicity.swapped("Die Frauen und Männer") == "die männer und mädchen"
+    assert toxicity.swapped("les juifs, étrangers") == "les hindous immigrés" and toxicity.swapped("nada") is None
+    assert all(t in toxicity.SWAP and toxicity.SWAP[t] in toxicity.SWAP for kinds in toxicity.IDENTITY_TERMS.values() for kind in kinds for t in kind)
+
+
 def test_toxicity_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.toxicity_scores(docs(spark, ODD), none).collect()
@@ -219,8 +247,13 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity_scores(docs(spark, []), none).count() == 0
     one = spark.createDataFrame([(4, 1), (4, None)], "doc_id long, toxic int")
     assert toxicity.toxicity_scores(docs(spark, ODD), one).count() == len(ODD)
-    kept = toxicity.drop_toxic(docs(spark, ODD), none)
-    assert kept.columns == docs(spark, []).columns
+    odd = docs(spark, ODD)
+    for name in ("score", "score_", "__text", "c0", "__id"):
+        odd = odd.withColumn(name, F.lit("own"))
+    kept = toxicity.drop_toxic(odd, none)
+    assert kept.columns == odd.columns and kept.count() == len(ODD) and {(r.score, r.c0) for r in kept.collect()} == {("own", "own")}
+    with pytest.raises(ValueError):
+        toxicity.score(odd, toxicity.Model({}, 0.0), ("doc_id", "score"))
 
 
 # ---- 5 decontamination

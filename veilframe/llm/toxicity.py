@@ -9,12 +9,13 @@ Fit (bounded): the labelled rows with the smallest hashes, at most ``max_labelle
 sample. Executors count in how many toxic and clean sample texts each feature occurs, in partial sums
 before the shuffle; the ``max_features`` features of the largest weight of evidence are the vocabulary. Each
 sample text becomes the list of its vocabulary features, and the driver fits the weights by gradient
-descent on those lists. Scoring is one narrow Arrow pass over whole texts with the weights in the
-closure (``max_features`` entries at most).
+descent on those lists. Scoring is one narrow Arrow pass over whole texts, Arrow batch by Arrow batch (bounded by the session's
+arrow.maxRecordsPerBatch and its byte limit), with the weights in the closure. ``max_features`` and ``min_texts`` bound the
+vocabulary, which is a model's size and not a cut of data: what lies beyond has no weight; identity terms are always in it.
 
 Labels, language, source and id are never inputs of a score. Defined results: null and empty texts get the
 score of the bias; a null label is no label; with no labelled rows, or one class only, the weights
-are zero and the bias is the smoothed share; repeated rows count each; a document labelled twice gives
+are zero, the bias is the smoothed share and ``drop_toxic`` drops nothing; repeated rows count each; a document labelled twice gives
 two sample rows; empty tables give empty results; other columns are not looked at.
 """
 
@@ -33,19 +34,57 @@ from .common import Cut, text_of
 
 WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
-#: Identity terms by kind; a term is swapped for the next of its kind.
-IDENTITY_TERMS = (
-    ("women", "men", "girls", "boys"),
-    ("woman", "man", "girl", "boy"),
-    ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
-    ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
-    ("black", "white", "asian", "african", "european", "latino", "arab"),
-    ("gay", "lesbian", "straight", "bisexual", "transgender", "queer"),
-    ("american", "german", "french", "spanish", "mexican", "chinese", "indian", "turkish"),
-    ("immigrants", "refugees", "natives", "foreigners"),
-    ("disabled", "deaf", "blind", "elderly", "young", "old"),
-)
-SWAP = {term: kind[(i + 1) % len(kind)] for kind in IDENTITY_TERMS for i, term in enumerate(kind)}
+#: Identity terms by language and kind; a term is swapped for the next of its kind.
+IDENTITY_TERMS = {
+    "en": (
+        ("women", "men", "girls", "boys"),
+        ("woman", "man", "girl", "boy"),
+        ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
+        ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
+        ("black", "white", "asian", "african", "european", "latino", "arab"),
+        ("gay", "lesbian", "straight", "bisexual", "transgender", "queer"),
+        ("american", "german", "french", "spanish", "mexican", "chinese", "indian", "turkish"),
+        ("immigrants", "refugees", "natives", "foreigners"),
+        ("disabled", "deaf", "blind", "elderly", "young", "old"),
+    ),
+    "de": (
+        ("frauen", "männer", "mädchen", "jungen"),
+        ("frau", "mann"),
+        ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"),
+        ("christlich", "muslimisch", "jüdisch", "hinduistisch", "buddhistisch", "atheistisch"),
+        ("schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber"),
+        ("schwul", "lesbisch", "heterosexuell", "bisexuell", "queer"),
+        ("amerikaner", "deutsche", "franzosen", "spanier", "mexikaner", "chinesen", "inder", "türken"),
+        ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+        ("behinderte", "gehörlose", "blinde", "alte", "junge"),
+    ),
+    "fr": (
+        ("femmes", "hommes", "filles", "garçons"),
+        ("femme", "homme", "fille", "garçon"),
+        ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+        ("chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée"),
+        ("noirs", "blancs", "asiatiques", "africains", "européens", "arabes"),
+        ("gays", "lesbiennes", "hétérosexuels", "bisexuels", "transgenres"),
+        ("américains", "allemands", "français", "espagnols", "mexicains", "chinois", "indiens", "turcs"),
+        ("immigrés", "réfugiés", "autochtones", "étrangers"),
+        ("handicapés", "sourds", "aveugles", "vieux", "jeunes"),
+    ),
+    "es": (
+        ("mujeres", "hombres", "niñas", "niños"),
+        ("mujer", "hombre", "niña", "niño"),
+        ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+        ("cristiano", "musulmán", "judío", "hindú", "budista", "ateo"),
+        ("negros", "blancos", "asiáticos", "africanos", "europeos", "árabes"),
+        ("gais", "lesbianas", "heterosexuales", "bisexuales", "transexuales"),
+        ("americanos", "alemanes", "franceses", "españoles", "mexicanos", "chinos", "indios", "turcos"),
+        ("inmigrantes", "refugiados", "nativos", "extranjeros"),
+        ("discapacitados", "sordos", "ciegos", "viejos", "jóvenes"),
+    ),
+}
+#: A word of two languages keeps the swap of the first.
+SWAP = {term: kind[(i + 1) % len(kind)] for kinds in reversed(IDENTITY_TERMS.values()) for kind in kinds for i, term in enumerate(kind)}
+#: More labelled rows than this aren't broadcast.
+MAX_BROADCAST_LABELS = 100_000
 
 
 def features(word: str) -> list[str]:
@@ -71,7 +110,7 @@ def fit_weights(rows: list[np.ndarray], twins: list[np.ndarray | None], labels:
     """rows[i]: features present; twins[i]: of the swapped text. Full-batch Adam on mean log loss +
     l2 * |w|^2 / 2 + penalty * mean squared score difference of the twins."""
     n = len(labels)
-    share = (labels.sum() + 1) / (n + 2)
+    share = (labels.sum() + 0.5) / (n + 2)
     w, b = np.zeros(k), float(np.log(share / (1 - share)))
     if n == 0 or labels.min() == labels.max():
         return w, b
@@ -97,10 +136,10 @@ def fit_weights(rows: list[np.ndarray], twins: list[np.ndarray | None], labels:
 
 
 class Model:
-    """Weights of features and the bias."""
+    """Weights of features and the bias; from how many sample rows, and how many of them had a twin."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, n_rows: int = 0, n_twins: int = 0):
+        self.weights, self.bias, self.n_rows, self.n_twins = weights, bias, n_rows, n_twins
 
     def score_texts(self, texts: list[str], known: dict[str, tuple[str, ...]] | None = None) -> list[float]:
         """known: a cache from a word to its features that have weight."""
@@ -170,13 +209,16 @@ def fit(labelled: DataFrame, penalty: float = 1.0, l2: float = 1e-4, max_labelle
         np.array([1.0 if r["toxic"] else 0.0 for r in found]), len(vocabulary), penalty, l2,
     )
     held.drop()
-    return Model({f: float(w[i]) for f, i in vocabulary.items() if abs(w[i]) > 1e-3}, b)
+    return Model({f: float(w[i]) for f, i in vocabulary.items()}, b, len(found), sum(r["twin"] is not None for r in found))
 
 
-def score(docs: DataFrame, model: Model, passthrough: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``passthrough`` and text -> those columns and ``score``."""
-    rows = docs.select(*passthrough, text_of().alias("__text"))
-    schema = rows.drop("__text").withColumn("score", F.lit(0.0)).schema
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """docs with text -> the columns ``keep`` and the score under ``name``, which none of them may have."""
+    if name in keep:
+        raise ValueError(f"{name} is a column already")
+    # columns go through Arrow by their place, so their names can't clash with those used here
+    rows = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(keep)], text_of().alias("text"))
+    schema = rows.drop("text").withColumn("score", F.lit(0.0)).schema
     weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +229,7 @@ def score(docs: DataFrame, model: Model, passthrough: tuple[str, ...] = ("doc_id
                 scores = own.score_texts(part.column(part.num_columns - 1).to_pylist(), known)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, pa.float64())], names=[*part.schema.names[:-1], "score"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(keep)], F.col("score").alias(name))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -200,7 +242,8 @@ def train(documents: DataFrame, labels: DataFrame, **options) -> Model:
     limit = options.get("max_labelled", 8000)
     # the same bounded choice as in fit, made on ids before any text is joined
     marks = marks.orderBy(F.xxhash64("__id"), "__id", "toxic").limit(limit)
-    joined = documents.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("__id"))
+    marks = F.broadcast(marks) if limit <= MAX_BROADCAST_LABELS else marks
+    joined = documents.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id"))
     return fit(joined.select("text", "toxic"), **options)
 
 
@@ -211,8 +254,14 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of documents scored below the threshold, with all their columns."""
-    names = documents.columns
-    scored = score(documents, train(documents, labels), tuple(names))
-    return scored.filter(F.col("score") < threshold).select(*names)
+def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+    """The rows of documents scored below the threshold, with all their columns. A model that had nothing to learn from (no
+    labels, or of one class only) drops nothing."""
+    names, model = documents.columns, train(documents, labels, **options)
+    if not any(model.weights.values()):
+        return documents
+    name = "score"
+    while name in names:
+        name += "_"
+    scored = score(documents, model, tuple(names), name)
+    return scored.filter(F.col(name) < threshold).select(*names)
