@@ -78,10 +78,54 @@ def test_chat_round_trip_and_mask(spark):
         assert piece.replace("\\l", "<").replace("\\h", "#").replace("\\b", "\\") == (said[m.turn] or "")
 
 
+def fold_slowly(rows):
+    """One event after the other."""
+    logs = defaultdict(list)
+    for conv, seq, msg, role, op, text in rows:
+        logs[conv, msg].append((seq, chat_format.RESETS.get(op or "delta", 4 if op == "delete" else 3), text or "", role))
+    out = {}
+    for key, log in logs.items():
+        log.sort(key=lambda e: (*e[:3], e[3] is not None, e[3]))
+        text, name, gone = "", "", False
+        for _, rank, said, role in log:
+            name = name if role is None else role
+            if rank == 4:
+                text, gone = "", True
+            elif rank == 3:
+                text += said
+            else:
+                text, gone = said, False
+        if not gone:
+            out[key] = (log[0][0], name, text)
+    return out
+
+
+def test_fold_against_slow_fold(spark):
+    rng = np.random.default_rng(11)
+    ops = ["message", "start", "delta", "delta", "delta", "edit", "regenerate", "delete", None]
+    rows = [(int(rng.integers(0, 40)), int(rng.integers(0, 12)), int(rng.integers(0, 3)), [None, "user", "assistant"][rng.integers(0, 3)], ops[rng.integers(0, len(ops))], [None, "a", "b#", "<c"][rng.integers(0, 4)]) for _ in range(1500)]
+    rows += [(99, 1, 1, "user", "message", "secret"), (99, 2, 1, None, "delete", None), (99, 3, 1, None, "delta", "x"), (98, 1, 1, "user", "message", "old"), (98, 2, 1, None, "delete", None), (98, 3, 1, None, "start", ""), (98, 4, 1, None, "delta", "new")]
+    want = fold_slowly(rows)
+    got = {(r.conv_id, r.msg_id): (r.first_seq, r.role, r.text) for r in chat_format.fold_events(events(spark, rows)).collect()}
+    assert got == want and (99, 1) not in got and got[98, 1][2] == "new"
+
+
 def test_chat_empty(spark):
     assert chat_format.format_chats(events(spark, [])).count() == 0
 
 
+def test_chat_digest_of_odd_tables(spark):
+    """Empty table, null columns, a very long text, extra columns of clashing names."""
+    schema = "conv_id long, turn long, role string, text string, seq string, op string, log int, e int"
+    assert [r.conv_id for r in chat_format.chat_digest(spark.createDataFrame([], schema)).collect()] == [-7]
+    long = "é# </turn> \\b " * 50_000
+    rows = [(1, 0, "user", long, "s", "delete", 1, 1), (1, 1, "assistant", None, "s", "delete", 1, 1), (1, None, None, "x", "s", None, 1, 1), (None, 0, "assistant", long, None, None, None, None)]
+    got = {r.conv_id: r for r in chat_format.chat_digest(spark.createDataFrame(rows, schema)).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got[1].n_turns == 3 and got[1].turns_sha256 == sha(f"\nx\nuser\n{long}\nassistant\n\n") and got[1].loss_chars == 0
+    assert got[None].loss_sha256 == sha(long) and got[None].loss_chars == len(long)
+
+
 def test_chat_repeated_rows_stay(spark):
     rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn long, role string, text string")
     assert {r.conv_id: r.n_turns for r in chat_format.chat_digest(rows).collect()} == {1: 3, -7: 2}
@@ -335,6 +379,24 @@ def test_token_counts_equal_library(spark, name):
     assert token_counts.count_tokens(docs(spark, [])).count() == 0
 
 
+def test_added_tokens_with_spaces_are_not_split(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    plain = json.load(open(public_tokenizers.path("byte_bpe_50k.json")))
+    for change, safe in (({}, True), ({"content": "<a b>"}, False), ({"content": "<ab>", "lstrip": True}, False)):
+        t = json.loads(json.dumps(plain))
+        if change:
+            t["added_tokens"].append({"id": 60_000, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False} | change)
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(t))
+        encode, found = token_counts.load_encoder(str(path))
+        assert found == safe
+        text = "an x <a b> y <ab> z"
+        assert token_counts.unit_counter(encode, found, 10)([text]) == encode([text])
+
+
 # ---- 7 license scans
 
 
@@ -468,6 +530,21 @@ def test_communication_matrix_law():
     assert abs(np.mean(big) - 3000) < 10 and 15 < np.std(big) < 40
 
 
+def test_shuffle_is_uniform(spark):
+    """Where rows come from tells nothing about their shard or their place in it."""
+    n, shards, parts = 40_000, 8, 10
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).repartitionByRange(parts, "doc_id")
+    got = sharding.shard(rows, shards, bucket_rows=1000).toPandas()
+    for column, cells in (("shard", shards), ("place", 5)):
+        got["place"] = got["slot"] * 5 // (n // shards)
+        counts = np.zeros((parts, cells))
+        np.add.at(counts, (got["doc_id"].to_numpy() * parts // n, got[column].to_numpy()), 1)
+        want = n / parts / cells
+        assert ((counts - want) ** 2 / want).sum() < parts * cells + 5 * np.sqrt(2 * parts * cells), column
+    # neighbours of the input are no neighbours of the output
+    assert abs(np.corrcoef(got["doc_id"], got["slot"])[0, 1]) < 0.03
+
+
 # ---- 10 n-gram Jaccard join
 
 

@@ -61,35 +61,24 @@ def fold_events(events: DataFrame) -> DataFrame:
         rank = F.when(op == name, place).otherwise(rank)
     rank = F.when(op == "delete", DELETE_RANK).otherwise(rank)
     event = F.struct(F.col("seq"), rank.alias("rank"), text_of().alias("text"), F.col("role"))
+    turning = F.filter("log", lambda e: e["rank"] != DELTA_RANK)  # events after which the text is known without those before
     folded = (
         events.select("conv_id", "msg_id", event.alias("e"))
         .groupBy("conv_id", "msg_id")
         .agg(F.sort_array(F.collect_list("e")).alias("log"))
-        .select(
-            "conv_id",
-            "msg_id",
-            F.get("log", F.lit(0))["seq"].alias("first_seq"),
-            F.get("log", F.size("log") - 1)["rank"].alias("last_rank"),
-            F.coalesce(
-                F.get(F.filter("log", lambda e: e["rank"] < DELTA_RANK), F.size(F.filter("log", lambda e: e["rank"] < DELTA_RANK)) - 1),
-                F.get("log", F.lit(0)),
-            ).alias("reset"),
-            "log",
-        )
-    )
-    live = F.filter(
-        "log",
-        lambda e: (e["rank"] == DELTA_RANK) & (e["seq"] >= F.col("reset")["seq"]) | (e == F.col("reset")),
+        .withColumn("turning", turning)
+        .select("conv_id", "msg_id", F.get("log", F.lit(0))["seq"].alias("first_seq"), F.get("turning", F.size("turning") - 1).alias("reset"), "log")
     )
+    whole = F.col("reset").isNull()
+    after = lambda e: whole | (F.struct(e["seq"], e["rank"]) > F.struct(F.col("reset")["seq"], F.col("reset")["rank"]))
+    tail = F.array_join(F.transform(F.filter("log", lambda e: (e["rank"] == DELTA_RANK) & after(e)), lambda e: e["text"]), "")
     roles = F.filter(F.transform("log", lambda e: e["role"]), lambda r: r.isNotNull())
-    base = F.when(F.col("reset")["rank"] < DELTA_RANK, F.col("reset")["text"]).otherwise("")
-    tail = F.array_join(F.transform(F.filter(live, lambda e: e["rank"] == DELTA_RANK), lambda e: e["text"]), "")
-    return folded.filter(F.col("last_rank") != DELETE_RANK).select(
+    return folded.filter(whole | (F.col("reset")["rank"] != DELETE_RANK)).select(
         "conv_id",
         "first_seq",
         "msg_id",
         F.coalesce(F.get(roles, F.size(roles) - 1), F.lit("")).alias("role"),
-        F.concat(base, tail).alias("text"),
+        F.concat(F.coalesce(F.col("reset")["text"], F.lit("")), tail).alias("text"),
     )
 
 
@@ -178,17 +167,20 @@ PLANTED_ID = -7
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """Rows by turn as events, one message a row. Rows that repeat (conv_id, turn) are messages of
-    their own, in the order (role, text)."""
+    """Rows by turn as the log of a stream: each opens its message and sends the text in two deltas. Rows that repeat
+    (conv_id, turn) are messages of their own, in the order (role, text)."""
     again = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    return conversations.select(
-        "conv_id",
-        F.col("turn").alias("seq"),
-        F.struct("turn", F.row_number().over(again).alias("again")).alias("msg_id"),
-        "role",
-        F.lit("message").alias("op"),
-        "text",
+    rows = conversations.select("conv_id", "turn", F.row_number().over(again).alias("again"), "role", text_of().alias("text"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    event = lambda part, role, op, text: F.struct(F.lit(part).alias("part"), role.alias("role"), F.lit(op).alias("op"), text.alias("text"))
+    none = F.lit(None).cast("string")
+    log = F.array(
+        event(0, F.col("role"), "start", F.lit("")), event(1, none, "delta", F.substr("text", F.lit(1), half)), event(2, none, "delta", F.substr("text", half + 1, F.length("text")))
     )
+    rows = rows.select("conv_id", "turn", "again", F.explode(log).alias("e"))
+    return rows.select(
+        "conv_id", F.struct("turn", F.col("e")["part"]).alias("seq"), F.struct("turn", "again").alias("msg_id"), F.col("e")["role"].alias("role"), F.col("e")["op"].alias("op"), F.col("e")["text"].alias("text")
+    )
 
 
 def chat_digest(conversations: DataFrame) -> DataFrame:

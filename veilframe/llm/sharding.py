@@ -2,8 +2,9 @@
 
 1. Every row gets a place: (input partition, ordinal in it), stored with the row's id, size and
    checksum in the shared folder, so that all later steps and all retries see the same places.
-2. From the partition sizes alone, an exact matrix of partition-to-shard counts is drawn: row by row,
-   multivariate hypergeometric over the room left in the shards.
+2. From the partition sizes alone, a matrix of partition-to-shard counts is drawn: row by row,
+   multivariate hypergeometric over the room left in the shards. Its sums are exact at every size; the law is numpy's below
+   ``EXACT_BELOW`` rows, and beyond it the same law cut at twelve standard deviations and computed in double precision.
 3. Local permutation: a partition's rows get its row of shard labels in random order.
 4. Exchange, and a second permutation inside each shard: a random key orders the shard's rows. A shard
    is cut into key ranges of about ``bucket_rows`` rows, each ranked by itself and shifted by the counts of

@@ -5,7 +5,8 @@ and a run of short ones cost the same memory. A text is split at safe boundaries
 character other than white space on both sides. The byte-level vocabularies never join across it
 (every pre-token that starts there takes the space along), so lengths of the units add up to the
 length of the whole. Equal units are encoded once a batch and remembered up to ``cache_units``.
-Vocabularies for which the boundary is not known to be safe encode whole texts.
+Vocabularies for which the boundary is not known to be safe, also those with added tokens that hold a space or take one along,
+encode whole texts. A task holds one Arrow batch (bounded by the session's arrow.maxRecordsPerBatch and its byte limit).
 
 No shuffle: one narrow pass. Defined results: null text is the empty text, with 0 tokens; repeated rows
 are counted each; an empty table gives an empty one; other columns are not looked at.
@@ -40,7 +41,9 @@ def load_encoder(name: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        safe = "ByteLevel" in str(t.pre_tokenizer) and "add_prefix_space=False" in str(t.pre_tokenizer) and t.normalizer is None
+        added = t.get_added_tokens_decoder().values()
+        plain = not any(" " in a.content or a.lstrip or a.rstrip for a in added)  # such tokens reach across a space
+        safe = plain and "ByteLevel" in str(t.pre_tokenizer) and "add_prefix_space=False" in str(t.pre_tokenizer) and t.normalizer is None
         t.no_truncation()
         t.no_padding()
         return (lambda texts: [len(e) for e in t.encode_batch_fast(texts, add_special_tokens=False)]), safe
