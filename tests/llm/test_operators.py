@@ -233,6 +233,52 @@ def test_reputation_blocks_only_sure_hosts(spark):
     assert "null.example.org" not in fame
 
 
+def test_beta_tail(spark):
+    """The series against a fine sum over the density, and the verdict on both sides of the bound."""
+    import math
+
+    cases = [(0.3, 0.7), (1, 1), (2, 9), (0.01, 3), (40, 90), (900, 1100), (2300, 2650), (1, 400)]
+    x = 0.5
+    u = np.linspace(0, 40, 4_000_001)  # logit of the rate, from 1/2 up
+
+    def above(a, b):
+        logs = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) - a * np.log1p(np.exp(-u)) - b * np.log1p(np.exp(u))
+        return np.trapezoid(np.exp(logs), u)
+
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in cases], "a double, b double")
+    got = df.select("a", "b", url_filter.lower_tail(F.col("b"), F.col("a"), 1 - x).alias("p"), url_filter.surely_below(F.col("a"), F.col("b"), x).alias("below")).collect()
+    for r in got:
+        want = above(r.a, r.b)
+        assert r.p == pytest.approx(want, rel=1e-6, abs=1e-12), r
+        assert r.below == (r.a / (r.a + r.b) < x and want < 0.025)
+    assert {r.below for r in got} == {True, False}
+    big = spark.createDataFrame([(49_000.0, 51_000.0), (49_900.0, 50_100.0)], "a double, b double").select(url_filter.surely_below(F.col("a"), F.col("b"), x).alias("below"))
+    assert [r.below for r in big.collect()] == [True, False]
+
+
+def test_addresses_and_hosting_are_domains_of_their_own(spark):
+    hosts = ["10.0.0.1", "99.7.0.1:80", "[::1]:8080", "a.github.io", "x.a.github.io", "github.io", "b.c.co.uk", "h", "", "1.2.3.4.5"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("host", url_filter.suffix_of(F.col("host")).alias("s"), url_filter.domain_of(F.col("host"), url_filter.suffix_of(F.col("host"))).alias("d")).collect()}
+    assert got == {
+        "10.0.0.1": ("", "10.0.0.1"), "99.7.0.1:80": ("", "99.7.0.1"), "[::1]:8080": ("", "[::1]"), "a.github.io": ("github.io", "a.github.io"), "x.a.github.io": ("github.io", "a.github.io"),
+        "github.io": ("io", "github.io"), "b.c.co.uk": ("co.uk", "c.co.uk"), "h": ("h", "h"), "": ("", ""), "1.2.3.4.5": ("5", "4.5"),
+    }
+
+
+def test_planted_bad_host_is_blocked(spark):
+    """A host of bad pages, one of good ones under the same domain, strangers on a hosting service; pages with null and repeated ids,
+    extra columns, a very long url."""
+    long = "http://new.example.org/" + "x" * 200_000
+    urls = ["http://bad.example.org/p", "http://good.example.org/p", "http://spam.github.io/", "http://fine.github.io/", "http://10.0.0.1/", "http://99.7.0.1/", long, None]
+    pages = spark.createDataFrame([(i, u, "h", 1, "x") for i, u in enumerate(urls)] + [(0, urls[0], "h", 1, "x"), (None, urls[0], "h", 1, "x")], "page_id long, url string, html string, host_n int, verdict string")
+    marks = [(urls[k], g) for k, g in ((0, 0), (1, 1), (2, 0), (3, 1), (4, 0), (5, 1)) for _ in range(60)]
+    got = [(r.page_id, r.verdict) for r in url_filter.judge_urls(pages, spark.createDataFrame(marks, "url string, good int")).collect()]
+    assert sorted(got, key=str) == sorted([(0, "block"), (0, "block"), (None, "block"), (1, "allow"), (2, "block"), (3, "allow"), (4, "block"), (5, "allow"), (6, "allow"), (7, "allow")], key=str)
+    none = spark.createDataFrame([], "url string, good int")
+    assert url_filter.judge_urls(pages.limit(0), none).count() == 0 and {r.verdict for r in url_filter.judge_urls(pages, none).collect()} == {"allow"}
+
+
 # ---- 4 toxicity
 
 

@@ -2,16 +2,20 @@
 
 Labelled page outcomes (good or bad) are counted per host. Each host's rate is shrunk towards its
 registered domain, that towards its suffix, that towards all pages, with beta-binomial priors whose
-strengths are fitted by moments at each level; a host is blocked if even the upper bound of its
-posterior good rate is below ``min_good``.
+strengths are fitted by moments at each level. A host is blocked if its mean is below ``min_good`` and its posterior leaves less than
+``doubt`` = 2.5 % for a good rate of ``min_good`` or more, so if the 97.5 % quantile of the posterior, a beta distribution, is
+below it. The tail is summed as a series of positive terms, which is exact to double precision for posteriors of up to ``EXACT_WEIGHT``
+pages; beyond, where the beta distribution is normal to more digits than matter, by its mean and deviation.
 
-Only counts move: one row a labelled page to count outcomes, then one row a host. A host with a third
+Only counts move: one row a labelled page to count outcomes, then one row a host, stored once for all levels. A host with a third
 of all pages is pre-aggregated before the shuffle, and the join that gives each page its host's
-verdict is a plain equi-join whose page side can be split. The rules are a short policy list given as a parameter.
+verdict is a plain equi-join whose page side can be split. The rules are a short policy list given as a parameter, as are the
+suffixes below which strangers share a domain. An address (IPv4, or IPv6 in brackets) is a domain of its own.
 
 Defined results: a null url or one without ``://`` has empty host and path and the global verdict;
-outcomes with null label are not counted; repeated rows count each; with no outcome at all the prior
-is even and nothing is blocked by reputation; equally long rules are taken in text order.
+outcomes with null label are not counted; repeated rows count each, and repeated or null page ids are judged each; with no outcome at all the prior
+is even and nothing is blocked by reputation; equally long rules are taken in text order; empty tables give empty results; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,10 +23,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Cut, held
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Second-level labels that belong to the public suffix, as in co.uk.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+#: Suffixes of hosting services, whose subdomains belong to strangers.
+HOSTING_SUFFIXES = (
+    "github.io", "gitlab.io", "blogspot.com", "wordpress.com", "tumblr.com", "herokuapp.com", "netlify.app", "vercel.app", "pages.dev",
+    "web.app", "appspot.com", "azurewebsites.net", "cloudfront.net", "s3.amazonaws.com", "weebly.com", "wixsite.com", "fandom.com",
+)
+DOUBT, EXACT_WEIGHT, TERMS = 0.025, 5000, 600
 Z = 1.959963984540054
 
 
@@ -40,18 +52,31 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_after_scheme(F.coalesce(url, F.lit(""))), r"^[^/?#]*(/[^?#]*)", 1)
 
 
-def suffix_of(host: Column) -> Column:
-    """The last label, or the last two where the one before is a common second level (co.uk)."""
-    parts = F.split(F.regexp_replace(host, r":[0-9]*$", ""), r"\.")
+def bare(host: Column) -> Column:
+    return F.regexp_replace(host, r":[0-9]*$", "")
+
+
+def is_address(host: Column) -> Column:
+    return bare(host).rlike(r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[[0-9a-f:.%]*\])$")
+
+
+def suffix_of(host: Column, hosting=HOSTING_SUFFIXES) -> Column:
+    """The last label, or the last two where the one before is a common second level (co.uk), or a hosting suffix; empty for
+    an address."""
+    name = bare(host)
+    parts = F.split(name, r"\.")
     two = (F.size(parts) >= 3) & (F.length(F.element_at(parts, -1)) == 2) & F.get(parts, F.size(parts) - 2).isin(*SECOND_LEVEL)
-    return F.when(two, F.array_join(F.slice(parts, -2, 2), ".")).otherwise(F.element_at(parts, -1))
+    out = F.when(two, F.array_join(F.slice(parts, -2, 2), ".")).otherwise(F.element_at(parts, -1))
+    for suffix in sorted(hosting, key=len):
+        out = F.when(F.endswith(name, F.lit("." + suffix)), F.lit(suffix)).otherwise(out)
+    return F.when(is_address(host), F.lit("")).otherwise(out)
 
 
 def domain_of(host: Column, suffix: Column) -> Column:
-    name = F.regexp_replace(host, r":[0-9]*$", "")
+    name = bare(host)
     n = F.size(F.split(suffix, r"\.")) + 1
     parts = F.split(name, r"\.")
-    return F.when(F.size(parts) > n, F.array_join(F.slice(parts, F.size(parts) - n + 1, n), ".")).otherwise(name)
+    return F.when((suffix != "") & (F.size(parts) > n), F.array_join(F.slice(parts, F.size(parts) - n + 1, n), ".")).otherwise(name)
 
 
 def rule_column(host: Column, path: Column, rules=RULES) -> Column:
@@ -65,70 +90,91 @@ def rule_column(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def strength(groups: DataFrame, good: str, n: str) -> tuple[float, float, float]:
-    """Moment estimate of a beta-binomial: (n of all, good of all, prior strength). One row is read."""
-    total = groups.agg(F.sum(n).alias("n"), F.sum(good).alias("g")).first()
-    N, G = float(total["n"] or 0), float(total["g"] or 0)
-    if N == 0:
-        return 0.0, 0.0, 2.0
-    mu = G / N
-    row = groups.filter(F.col(n) > 0).agg(
-        F.sum(F.col(n) * (F.col(good) / F.col(n) - F.lit(mu)) ** 2).alias("s"),
-        F.sum(F.col(n).cast("double") ** 2).alias("n2"),
-        F.count("*").alias("m"),
-    ).first()
-    base = mu * (1 - mu)
-    free = N - row["n2"] / N - (row["m"] - 1)
-    rho = (row["s"] - (row["m"] - 1) * base) / (free * base) if base > 0 and free > 0 else 0.0
-    rho = min(0.5, max(0.001, rho))
-    return N, G, 1 / rho - 1
-
-
-def host_reputation(outcomes: DataFrame, hosts: DataFrame, min_good: float = 0.5, z: float = Z) -> DataFrame:
+def strengths(levels: DataFrame) -> tuple[float, float, dict[str, float]]:
+    """levels(level, n, good), a row a group -> (n of all, good of all, prior strength by level): moment estimates of
+    beta-binomials from one pass over the counts; a row a level is read."""
+    n, good = F.col("n").cast("double"), F.col("good")
+    sums = levels.filter("n > 0").groupBy("level").agg(F.sum(n).alias("n"), F.sum(good).alias("g"), F.sum(good * good / n).alias("gg"), F.sum(n * n).alias("n2"), F.count("*").alias("m"))
+    out, total, hits = {}, 0.0, 0.0
+    for r in sums.collect():
+        total, hits = float(r["n"]), float(r["g"])
+        mu = hits / total
+        base, free = mu * (1 - mu), total - r["n2"] / total - (r["m"] - 1)
+        spread = r["gg"] - mu * hits  # sum of n * (good / n - mu)^2
+        rho = (spread - (r["m"] - 1) * base) / (free * base) if base > 0 and free > 0 else 0.0
+        out[r["level"]] = 1 / min(0.5, max(0.001, rho)) - 1
+    return total, hits, out
+
+
+def log_gamma(x: Column) -> Column:
+    """Stirling's series, eight steps up, for x > 0."""
+    z = x + 8
+    series = (z - 0.5) * F.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
+    down = F.lit(0.0)
+    for i in range(8):
+        down = down + F.log(x + i)
+    return series - down
+
+
+def lower_tail(a: Column, b: Column, x: float) -> Column:
+    """P(X <= x) for X ~ Beta(a, b), for x below or at the mean's neighbour (a + 1) / (a + b + 2), where the terms only fall:
+    x^a (1 - x)^b / (a B(a, b)) * (1 + sum of products of (a + b + i) / (a + 1 + i) * x)."""
+    start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+
+    def add(acc, i):
+        t = acc["t"] * (a + b + i) / (a + 1 + i) * x
+        return F.struct(t.alias("t"), (acc["s"] + t).alias("s"))
+
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(TERMS - 1)), start, add)["s"]
+    return F.exp(a * F.log(F.lit(x)) + b * F.log(F.lit(1 - x)) - F.log(a) - log_gamma(a) - log_gamma(b) + log_gamma(a + b)) * total
+
+
+def surely_below(a: Column, b: Column, x: float, doubt: float = DOUBT) -> Column:
+    """Whether Beta(a, b) has its mean below x and less than ``doubt`` of its mass at or above x."""
+    mean = a / (a + b)
+    upper = lower_tail(b, a, 1 - x)  # P(X >= x), by symmetry
+    normal = mean + Z * F.sqrt(mean * (1 - mean) / (a + b + 1)) < x
+    exact = F.when((1 - x) * (a + b + 2) > b + 1, F.lit(False)).otherwise(upper < doubt)
+    return F.when(mean >= x, F.lit(False)).when(a + b > EXACT_WEIGHT, normal).otherwise(exact)
+
+
+def host_reputation(outcomes: DataFrame, hosts: DataFrame, min_good: float = 0.5, doubt: float = DOUBT, hosting=HOSTING_SUFFIXES) -> DataFrame:
     """outcomes(host, good 0/1), hosts(host) -> one row a host with its posterior and verdict."""
-    seen = outcomes.filter(F.col("good").isNotNull()).groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("good").cast("long")).alias("g"))
-    known = hosts.select("host").distinct().join(seen, "host", "full")
-    known = known.select(
-        "host",
-        suffix_of(F.col("host")).alias("suffix"),
-        domain_of(F.col("host"), suffix_of(F.col("host"))).alias("domain"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        F.coalesce("g", F.lit(0)).alias("g"),
-    )
-    domains = known.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("g").alias("dg"))
+    seen = outcomes.filter(F.col("good").isNotNull()).select("host", F.lit(1).alias("n"), F.col("good").cast("long").alias("g"))
+    known = hosts.select("host", F.lit(0).alias("n"), F.lit(0).cast("long").alias("g")).unionByName(seen)
+    known = known.groupBy("host").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
+    known = known.withColumn("suffix", suffix_of(F.col("host"), hosting))
+    known = Cut(known.withColumn("domain", domain_of(F.col("host"), F.col("suffix")))).df
+    domains = Cut(known.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("g").alias("dg"))).df
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dg").alias("sg"))
-    n_all, g_all, c_suffix = strength(suffixes, "sg", "sn")
-    c_domain = strength(domains, "dg", "dn")[2]
-    c_host = strength(known, "g", "n")[2]
+    level = lambda name, df, n, g: df.select(F.lit(name).alias("level"), F.col(n).alias("n"), F.col(g).alias("good"))
+    n_all, g_all, c = strengths(level("host", known, "n", "g").unionByName(level("domain", domains, "dn", "dg")).unionByName(level("suffix", suffixes, "sn", "sg")))
+    c_suffix, c_domain, c_host = (c.get(name, 2.0) for name in ("suffix", "domain", "host"))
     top = (g_all + 1.0) / (n_all + 2.0)
     suffixes = suffixes.withColumn("s_mean", (F.col("sg") + c_suffix * top) / (F.col("sn") + c_suffix))
     domains = domains.join(suffixes.select("suffix", "s_mean"), "suffix").withColumn("d_mean", (F.col("dg") + c_domain * F.col("s_mean")) / (F.col("dn") + c_domain))
     a = F.col("g") + c_host * F.col("d_mean")
     b = F.col("n") - F.col("g") + c_host * (1 - F.col("d_mean"))
-    return (
-        known.join(domains.select("domain", "d_mean"), "domain")
-        .select("host", "domain", "suffix", F.col("n").alias("host_n"), F.col("g").alias("host_good"), a.alias("a"), b.alias("b"))
-        .withColumn("good_mean", F.col("a") / (F.col("a") + F.col("b")))
-        .withColumn("good_sd", F.sqrt(F.col("a") * F.col("b") / ((F.col("a") + F.col("b")) ** 2 * (F.col("a") + F.col("b") + 1))))
-        .withColumn("good_upper", F.least(F.lit(1.0), F.col("good_mean") + z * F.col("good_sd")))
-        .withColumn("reputation", F.when(F.col("good_upper") < min_good, "block").otherwise("allow"))
-        .drop("a", "b", "good_sd")
+    out = known.join(domains.select("suffix", "domain", "d_mean"), ["suffix", "domain"])
+    out = out.select("host", "domain", "suffix", F.col("n").alias("host_n"), F.col("g").alias("host_good"), held(a).alias("a"), held(b).alias("b"))
+    return out.withColumn("good_mean", F.col("a") / (F.col("a") + F.col("b"))).withColumn(
+        "reputation", F.when(held(surely_below(F.col("a"), F.col("b"), min_good, doubt)), "block").otherwise("allow")
     )
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = 0.5) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = 0.5, hosting=HOSTING_SUFFIXES) -> DataFrame:
     """pages(page_id, url), outcomes(url, good) -> page_id, host, path, rule, verdict and the posterior."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     marks = outcomes.select(host_of(F.col("url")).alias("host"), F.col("good"))
-    fame = host_reputation(marks, urls.select("host"), min_good)
+    fame = host_reputation(marks, urls.select("host"), min_good, hosting=hosting)
     rule = rule_column(F.col("host"), F.col("path"), rules)
     verdicts = F.lit(None).cast("string")
     for name, verdict in rules:
         verdicts = F.when(F.col("rule") == name, verdict).otherwise(verdicts)
     return (
-        urls.join(fame.select("host", "host_n", "good_mean", "good_upper", "reputation"), "host", "left")
+        urls.join(fame.select("host", "host_n", "good_mean", "reputation"), "host", "left")
         .withColumn("rule", rule)
-        .select("page_id", "host", "path", "rule", F.coalesce(verdicts, F.col("reputation"), F.lit("allow")).alias("verdict"), "host_n", "good_mean", "good_upper")
+        .select("page_id", "host", "path", "rule", F.coalesce(verdicts, F.col("reputation"), F.lit("allow")).alias("verdict"), "host_n", "good_mean")
     )
 
 
@@ -138,8 +184,9 @@ def page_verdicts(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return judge_urls(pages, outcomes.select("url", "good")).select("page_id", "host", "path", "rule", "verdict")
 
 
-#: min_good is far below what the moments can shrink, so SQL needs the posterior of each level too.
-ORACLE = """
+_HOSTING_SQL = ", ".join(f"'{s}'" for s in HOSTING_SUFFIXES)
+#: The tail of the posterior is the integral of its density, by Simpson's rule over the logit of the rate, so it isn't the series above once more.
+ORACLE = f"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (
@@ -157,10 +204,11 @@ known AS (
   SELECT host, regexp_replace(host, ':[0-9]*$', '') AS bare, coalesce(n, 0) AS n, coalesce(g, 0) AS g
   FROM (SELECT DISTINCT host FROM p) h LEFT JOIN (
     SELECT host, count(*) AS n, sum(quality) AS g FROM p JOIN labels l ON l.doc_id = p.page_id WHERE quality IS NOT NULL GROUP BY host) o USING (host)),
-parts AS (SELECT host, n, g, bare, string_split(bare, '.') AS l FROM known),
-sfx AS (SELECT *, CASE WHEN len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ('ac','co','com','edu','gov','net','org') THEN 2 ELSE 1 END AS k FROM parts),
-h AS (SELECT host, n, g, array_to_string(l[len(l) - k + 1 : len(l)], '.') AS suffix,
-  CASE WHEN len(l) > k + 1 THEN array_to_string(l[len(l) - k : len(l)], '.') ELSE bare END AS domain FROM sfx),
+parts AS (SELECT host, n, g, bare, string_split(bare, '.') AS l, regexp_matches(bare, '^([0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}|\\[[0-9a-f:.%]*\\])$') AS address,
+  list_max(list_filter([{_HOSTING_SQL}], lambda s: ends_with(bare, '.' || s))) AS service FROM known),
+sfx AS (SELECT *, CASE WHEN address THEN 0 WHEN service IS NOT NULL THEN len(string_split(service, '.')) WHEN len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ('ac','co','com','edu','gov','net','org') THEN 2 ELSE 1 END AS k FROM parts),
+h AS MATERIALIZED (SELECT host, n, g, CASE WHEN k = 0 THEN '' ELSE array_to_string(l[len(l) - k + 1 : len(l)], '.') END AS suffix,
+  CASE WHEN k > 0 AND len(l) > k + 1 THEN array_to_string(l[len(l) - k : len(l)], '.') ELSE bare END AS domain FROM sfx),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(g) AS g FROM h GROUP BY suffix, domain),
 s AS (SELECT suffix, sum(n) AS n, sum(g) AS g FROM d GROUP BY suffix),
 lev AS (SELECT 'h' AS lv, n, g FROM h UNION ALL SELECT 'd', n, g FROM d UNION ALL SELECT 's', n, g FROM s),
@@ -170,9 +218,12 @@ mom AS (SELECT lv, any_value(nn) AS nn, any_value(mu) AS mu, sum(n * pow(g / CAS
 str AS (SELECT lv, 1 / least(0.5, greatest(0.001, CASE WHEN mu * (1 - mu) > 0 AND nn - n2 / nn - (m - 1) > 0
   THEN (ss - (m - 1) * mu * (1 - mu)) / ((nn - n2 / nn - (m - 1)) * mu * (1 - mu)) ELSE 0 END)) - 1 AS c FROM mom),
 sm AS (SELECT suffix, (g + (SELECT c FROM str WHERE lv = 's') * (SELECT (sum(g) + 1.0) / (sum(n) + 2.0) FROM s)) / (n + (SELECT c FROM str WHERE lv = 's')) AS s_mean FROM s),
-dm AS (SELECT domain, (d.g + (SELECT c FROM str WHERE lv = 'd') * s_mean) / (d.n + (SELECT c FROM str WHERE lv = 'd')) AS d_mean FROM d JOIN sm USING (suffix)),
-ab AS (SELECT host, g + (SELECT c FROM str WHERE lv = 'h') * d_mean AS a, n - g + (SELECT c FROM str WHERE lv = 'h') * (1 - d_mean) AS b FROM h JOIN dm USING (domain)),
-rep AS (SELECT host, CASE WHEN least(1.0, a / (a + b) + 1.959963984540054 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1)))) < 0.5 THEN 'block' ELSE 'allow' END AS reputation FROM ab)
+dm AS (SELECT d.suffix, d.domain, (d.g + (SELECT c FROM str WHERE lv = 'd') * s_mean) / (d.n + (SELECT c FROM str WHERE lv = 'd')) AS d_mean FROM d JOIN sm USING (suffix)),
+ab AS MATERIALIZED (SELECT host, g + (SELECT c FROM str WHERE lv = 'h') * d_mean AS a, n - g + (SELECT c FROM str WHERE lv = 'h') * (1 - d_mean) AS b FROM h JOIN dm USING (suffix, domain)),
+bad AS (SELECT host, a, b FROM ab WHERE a / (a + b) < 0.5),
+mass AS (SELECT host, sum(CASE WHEN k = 0 OR k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp(lgamma(a + b) - lgamma(a) - lgamma(b) - a * ln(1 + exp(-k * 0.02)) - b * ln(1 + exp(k * 0.02)))) * 0.02 / 3 AS p
+  FROM (SELECT *, unnest(range(0, 2001)) AS k FROM bad) GROUP BY host),
+rep AS (SELECT ab.host, CASE WHEN p < 0.025 THEN 'block' ELSE 'allow' END AS reputation FROM ab LEFT JOIN mass USING (host))
 SELECT page_id, host, path, rule,
   coalesce(CASE rule WHEN 'com/' THEN 'allow' WHEN 'www.example.com/en/' THEN 'allow' WHEN 'example.com/en/' THEN 'block' WHEN 'net/es/' THEN 'block' WHEN 'net/fr/' THEN 'block' END, reputation, 'allow') AS verdict
 FROM r LEFT JOIN rep USING (host)
