@@ -722,3 +722,34 @@ def test_pipeline(spark):
         rows, seen = out, out.count()
     left = {r.doc_id for r in rows.collect()}
     assert {r.doc_id for r in p.run(spark, SMALL).collect()} == left
+
+
+def test_pipeline_odd_tables(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, extra columns; and empty tables."""
+    import corpus_pipeline as p
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, __row string"
+    prose = [r for r in small(spark, "documents").filter("lang = 'en'").join(small(spark, "labels").filter("quality = 1 and toxic = 0").select("doc_id"), "doc_id").collect() if len(r.text.split()) >= 60][:6]
+    item = " ".join(f"item{i}" for i in range(20))
+    rows = [(i, r.text, "en", "s", 1, "a", "b") for i, r in enumerate(prose)]
+    rows += [rows[0], rows[0], (None, prose[1].text, None, None, None, None, None), (0, prose[2].text, "xx", "s", 1, "a", "b"), (50, None, "en", "s", 1, "a", "b"), (51, "", None, None, None, None, None)]
+    rows += [(52, prose[3].text + " " + item, "en", "s", 1, "a", "b"), (None, prose[4].text + "\n" + item, "en", "s", 1, "a", "b"), (53, " ".join(f"{w} w{k}" for k in range(400) for w in prose[5].text.split()), "en", "s", 1, "a", "b")]
+
+    def tables(name, docs, items):
+        for t, df in (("documents", spark.createDataFrame(docs, schema)), ("labels", spark.createDataFrame([], "doc_id long, quality int, toxic int")), ("benchmark", spark.createDataFrame(items, "item_id long, text string"))):
+            df.write.parquet(str(tmp_path / name / f"{t}.parquet"))
+        return str(tmp_path / name)
+
+    at = tables("odd", rows, [(1, item), (None, "x y z"), (2, None), (3, "")])
+    seen = spark.read.parquet(f"{at}/documents.parquet")
+    for _, stage in p.STAGES[:-1]:
+        seen = common.cut(stage(spark, seen, at))
+        assert seen.columns == [f.split()[0] for f in schema.split(", ")]
+    left = Counter((r.doc_id, r.text) for r in seen.collect())
+    assert all(item not in t for _, t in left) and max(left.values()) == 1 and len({t for _, t in left}) == len(left)
+    assert {t for _, t in left} >= {prose[0].text, prose[1].text} - {prose[3].text, prose[4].text} and None not in {t for _, t in left}
+    before = set(common.marked())
+    assert {r.doc_id for r in p.run(spark, at).collect()} == {i for i, _ in left}
+    assert len(set(common.marked()) - before) <= 3  # the last stage's own and its input
+    empty = tables("empty", [], [])
+    assert p.run(spark, empty).count() == 0
