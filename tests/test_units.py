@@ -220,3 +220,24 @@ def test_stream_windows_with_watermark(spark, tmp_path):
     q = frames.windowed_counts(frames.frame_stream(spark, str(tmp_path / "in"))).writeStream.outputMode("complete").format("memory").queryName("windows").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(180)
     assert spark.table("windows").agg(F.sum("n")).first()[0] == rows.count()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["7", "200"])
+def test_positions_over_many_partitions(spark, tmp_path, adaptive, partitions):
+    n = 400_000
+    rows = spark.range(n).select(((F.col("id") * 7919) % n).alias("id"), F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+    rows.repartition(16).write.parquet(str(tmp_path / "rows"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = scan.positions(spark.read.parquet(str(tmp_path / "rows")), [F.col("id")])
+        assert got.agg(F.count("*"), F.count_if(F.col("pos") == F.col("id")), F.count_distinct("wide")).first()[:] == (n, n, n)
+        a, b = spark.range(n).select("id"), spark.range(1000).select(F.col("id").alias("other"))
+        zipped = scan.zip_positions(a, [F.col("id").desc()], b, [F.col("other")])
+        assert zipped.agg(F.count("*"), F.count_if(F.col("id") + F.col("other") == n - 1)).first()[:] == (1000, 1000)
+        assert scan.head_share(a, [F.col("id")], 0.25).agg(F.count("*"), F.max("id")).first()[:] == (n // 4, n // 4 - 1)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

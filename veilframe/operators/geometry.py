@@ -1,6 +1,6 @@
 """Box geometry: conversions, expansion, clipping, filters. Everything is Column arithmetic.
 
-Division that Python floors is ``floor(a / 2.0)``; ``round`` is half-even (``bround``) where the semantics
+Image sizes may be numbers or columns, so a table of images of all sizes needs no common frame. Division that Python floors is ``floor(a / 2.0)``; ``round`` is half-even (``bround``) where the semantics
 are those of numpy or torch; int() truncates, as a cast does. Where an input is outside an operator's
 domain the result is NULL.
 """
@@ -16,6 +16,11 @@ c = F.col
 COORDS = ("x0", "y0", "x1", "y1")
 
 
+def col_of(size) -> Column:
+    """A size that is a number or a column."""
+    return size if isinstance(size, Column) else F.lit(size)
+
+
 def half(x: Column) -> Column:
     return F.floor(x / 2.0)
 
@@ -24,7 +29,7 @@ def whole(x: Column) -> Column:
     return x.cast("long")
 
 
-def yolo_to_voc(df: DataFrame, width: int, height: int, floor: bool = False) -> DataFrame:
+def yolo_to_voc(df: DataFrame, width, height, floor: bool = False) -> DataFrame:
     """Normalised centre boxes to corners, rounded half up or floored."""
     fix = F.floor if floor else (lambda x: F.floor(x + 0.5))
     return df.withColumns(
@@ -46,7 +51,7 @@ def absolute(x: Column, size: int) -> Column:
 def expand_axis(df: DataFrame, start: str, end: str, target: Column, limit) -> DataFrame:
     """Grows [start, end) to the target width about its middle, then shifts it inside [0, limit) where one side
     only is out. The columns start and end are replaced."""
-    limit = limit if isinstance(limit, Column) else F.lit(limit)
+    limit = col_of(limit)
     grow = whole(target) - (c(end) - c(start))
     df = df.withColumn("_g", grow).withColumn("_s", c(start) - half(c("_g"))).withColumn("_e", c(end) + c("_g") - half(c("_g")))
     right = F.when((c("_s") < 0) & (c("_e") < limit), F.least(-c("_s"), limit - c("_e"))).otherwise(F.lit(0))
@@ -57,16 +62,16 @@ def expand_axis(df: DataFrame, start: str, end: str, target: Column, limit) -> D
     return df.drop("_g", "_s", "_e", "_both", "_r", "_s2", "_e2", "_l")
 
 
-def expand_by_share(df: DataFrame, share: float, width: int, height: int) -> DataFrame:
+def expand_by_share(df: DataFrame, share: float, width, height) -> DataFrame:
     """Both sides grow by int(sqrt(area) * share), at most to the image."""
     df = df.withColumn("_h", c("y1") - c("y0")).withColumn("_w", c("x1") - c("x0"))
     df = df.withColumn("_x", F.floor(F.sqrt(c("_h") * c("_w")) * share))
-    df = expand_axis(df, "x0", "x1", F.least(c("_w") + c("_x"), F.lit(width)), width)
-    df = expand_axis(df, "y0", "y1", F.least(c("_h") + c("_x"), F.lit(height)), height)
+    df = expand_axis(df, "x0", "x1", F.least(c("_w") + c("_x"), col_of(width)), width)
+    df = expand_axis(df, "y0", "y1", F.least(c("_h") + c("_x"), col_of(height)), height)
     return df.drop("_h", "_w", "_x")
 
 
-def expand_to_ratio(df: DataFrame, ratio: float, width: int, height: int) -> DataFrame:
+def expand_to_ratio(df: DataFrame, ratio: float, width, height) -> DataFrame:
     """The shorter side, by height / width against the ratio, grows until the ratio holds."""
     df = df.withColumn("_h", c("y1") - c("y0")).withColumn("_w", c("x1") - c("x0")).withColumn("_r", c("_h") / c("_w"))
     df = df.withColumn("_th", F.when(c("_r") < ratio, F.floor(c("_w") * ratio)).otherwise(c("_h")))
@@ -74,7 +79,7 @@ def expand_to_ratio(df: DataFrame, ratio: float, width: int, height: int) -> Dat
     return expand_axis(expand_axis(df, "y0", "y1", c("_th"), height), "x0", "x1", c("_tw"), width).drop("_h", "_w", "_r", "_th", "_tw")
 
 
-def expand_for_background(df: DataFrame, mask_area: Column, background: float, width: int, height: int) -> DataFrame:
+def expand_for_background(df: DataFrame, mask_area: Column, background: float, width, height) -> DataFrame:
     """Grows boxes whose mask leaves too little background until it is at least the share."""
     df = df.withColumn("_h", c("y1") - c("y0")).withColumn("_w", c("x1") - c("x0")).withColumn("_m", mask_area)
     enough = (1 - c("_m") / (c("_h") * c("_w"))) > background
@@ -93,18 +98,18 @@ def expanded_box(df: DataFrame, mask_area: Column, background=0.3, share=0.1, ra
     return df.withColumns({n: held(c(n)) for n in COORDS})
 
 
-def include_box(width: int, height: int, minimum_area=1024, ratio_range=(0.0, 99999.0), min_inside=0.0) -> Column:
+def include_box(width, height, minimum_area=1024, ratio_range=(0.0, 99999.0), min_inside=0.0) -> Column:
     w, h = c("x1") - c("x0"), c("y1") - c("y0")
-    inside = (F.least(c("x1"), F.lit(width)) - F.greatest(F.lit(0), c("x0"))) * (F.least(F.lit(height), c("y1")) - F.greatest(F.lit(0), c("y0")))
+    inside = (F.least(c("x1"), col_of(width)) - F.greatest(F.lit(0), c("x0"))) * (F.least(col_of(height), c("y1")) - F.greatest(F.lit(0), c("y0")))
     ratio = h / w
     return (inside / (w * h) >= min_inside) & (ratio > ratio_range[0]) & (ratio < ratio_range[1]) & (w * h >= minimum_area)
 
 
-def quadratic(df: DataFrame, width: int, height: int) -> DataFrame:
+def quadratic(df: DataFrame, width, height) -> DataFrame:
     """The square of the longer side about the box, kept inside the image; NULL where none fits. Adds qx, qy, qw, qh."""
-    W, H = F.lit(width), F.lit(height)
+    W, H = col_of(width), col_of(height)
     df = df.withColumn("_w", c("x1") - c("x0")).withColumn("_h", c("y1") - c("y0")).withColumn("_d", F.abs(c("_h") - c("_w")))
-    fits = (c("_w") <= min(width, height)) & (c("_h") <= min(width, height))
+    fits = F.greatest("_w", "_h") <= F.least(W, H)
     # the longer side never exceeds the smaller image side here, so the short side can always grow to it
     tall = c("_h") < c("_w")
     side = F.greatest(c("_w"), c("_h"))
@@ -119,10 +124,10 @@ def quadratic(df: DataFrame, width: int, height: int) -> DataFrame:
     return df.withColumns({n: held(F.when(c("_ok"), c(n))) for n in ("qx", "qy", "qw", "qh")}).drop("_w", "_h", "_d", "_qx", "_qy", "_ok")
 
 
-def expand_square(df: DataFrame, share: float, width: int, height: int) -> DataFrame:
+def expand_square(df: DataFrame, share: float, width, height) -> DataFrame:
     """quadratic, then a margin of int(side * share) as far as the image allows; adds ex0..ey1, NULL where the
     result would not contain the box or leave the image."""
-    W, H = F.lit(width), F.lit(height)
+    W, H = col_of(width), col_of(height)
     df = quadratic(df, width, height)
     f = F.least(half(H - c("qw")), half(W - c("qh")), F.floor(F.greatest(c("qw"), c("qh")) * share))
     df = df.withColumn("_f", F.greatest(f, F.lit(0)))
@@ -146,7 +151,7 @@ def expand_simple(share: float) -> dict[str, Column]:
     return {"sx0": whole(xc - r), "sy0": whole(yc - r), "sx1": whole(xc + r), "sy1": whole(yc + r)}
 
 
-def expand_face(df: DataFrame, width: int, height: int, simple: bool = False) -> DataFrame:
+def expand_face(df: DataFrame, width, height, simple: bool = False) -> DataFrame:
     """simple: the simple square of .4. Else the margin square of .35, or the simple one of .7 where there is none."""
     if simple:
         return df.withColumns({f"f{n[1:]}": v for n, v in expand_simple(0.4).items()})
@@ -155,21 +160,21 @@ def expand_face(df: DataFrame, width: int, height: int, simple: bool = False) ->
     return df.drop(*[f"e{n}" for n in COORDS], *[f"s{n}" for n in COORDS])
 
 
-def clip_inside(width: int, height: int) -> dict[str, Column]:
+def clip_inside(width, height) -> dict[str, Column]:
     """To pixels that exist: the far side at most size - 1."""
-    return {"x0": F.greatest(F.lit(0), c("x0")), "y0": F.greatest(F.lit(0), c("y0")), "x1": F.least(c("x1"), F.lit(width - 1)), "y1": F.least(c("y1"), F.lit(height - 1))}
+    return {"x0": F.greatest(F.lit(0), c("x0")), "y0": F.greatest(F.lit(0), c("y0")), "x1": F.least(c("x1"), col_of(width) - 1), "y1": F.least(c("y1"), col_of(height) - 1)}
 
 
-def clip_crop(width: int, height: int) -> dict[str, Column]:
+def clip_crop(width, height) -> dict[str, Column]:
     """To the half-open image."""
-    return {"x0": F.greatest(F.lit(0), c("x0")), "y0": F.greatest(F.lit(0), c("y0")), "x1": F.least(c("x1"), F.lit(width)), "y1": F.least(c("y1"), F.lit(height))}
+    return {"x0": F.greatest(F.lit(0), c("x0")), "y0": F.greatest(F.lit(0), c("y0")), "x1": F.least(c("x1"), col_of(width)), "y1": F.least(c("y1"), col_of(height))}
 
 
-def padding(width: int, height: int) -> dict[str, Column]:
+def padding(width, height) -> dict[str, Column]:
     zero = F.lit(0)
     return {
         "pad_left": F.greatest(-c("x0"), zero), "pad_top": F.greatest(-c("y0"), zero),
-        "pad_right": F.greatest(c("x1") - width, zero), "pad_bottom": F.greatest(c("y1") - height, zero),
+        "pad_right": F.greatest(c("x1") - col_of(width), zero), "pad_bottom": F.greatest(c("y1") - col_of(height), zero),
     }
 
 
@@ -205,9 +210,9 @@ def centred_mask(size: int) -> tuple[int, int, int, int]:
     return size // 4, size // 4, size // 4 + size // 2, size // 4 + size // 2
 
 
-def pose_crop(df: DataFrame, width: int, height: int) -> DataFrame:
+def pose_crop(df: DataFrame, width, height) -> DataFrame:
     """Grows the box about its middle to the 256:192 shape; replaces the corners."""
-    df = df.withColumn("x1", F.least(c("x1"), F.lit(width))).withColumn("y1", F.least(c("y1"), F.lit(height)))
+    df = df.withColumn("x1", F.least(c("x1"), col_of(width))).withColumn("y1", F.least(c("y1"), col_of(height)))
     df = df.withColumn("_w", c("x1") - c("x0")).withColumn("_h", c("y1") - c("y0")).withColumn("_f", F.lit(256 / 192) * c("_w") / c("_h"))
     df = df.withColumn("_ly", whole(F.bround(c("_h") * c("_f")) / 2)).withColumn("_lx", whole(F.bround(c("_w") / c("_f")) / 2))
     my, mx, tall = c("y0") + half(c("_h")), c("x0") + half(c("_w")), c("_f") > 1

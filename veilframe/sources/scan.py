@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.storage import cut
+
 c = F.col
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tiff")
 VIDEO_SUFFIXES = ("mp4",)
@@ -111,17 +113,18 @@ def with_persons(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def positions(df: DataFrame, order: list[Column], name: str = "pos") -> DataFrame:
-    """Whole positions from 0 in the given total order, without one task that sorts all rows: rows are
-    range-partitioned, ranked within a partition and shifted by the sizes of the partitions before."""
-    from pyspark.sql.functions import spark_partition_id
-
-    ranged = df.repartitionByRange(*order).withColumn("_p", spark_partition_id())
-    ranked = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = ranked.groupBy("_p").agg(F.count("*").alias("_n"))
+    """Whole positions from 0 in the given total order, without one task that sorts all rows. Rows are range-partitioned,
+    sorted within a partition and written to the shared folder with their place (partition, row); positions are then
+    read off the stored places, so both sides of the join below see the same ones, however often they are planned."""
+    place = F.monotonically_increasing_id()
+    stored = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place))
+    part = F.shiftright("_place", 33)
+    sizes = stored.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
     # one row a partition
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     shift = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return ranked.join(F.broadcast(shift), "_p").withColumn(name, (c("_before") + c("_r") - 1).cast("long")).drop("_p", "_r", "_before")
+    at = c("_before") + c("_place").bitwiseAND((1 << 33) - 1)
+    return stored.withColumn("_p", part).join(F.broadcast(shift), "_p").withColumn(name, at.cast("long")).drop("_p", "_place", "_before")
 
 
 def zip_positions(a: DataFrame, a_order: list[Column], b: DataFrame, b_order: list[Column], limit: int | None = None) -> DataFrame:
