@@ -171,14 +171,124 @@ def test_sink_files_resume_and_shards(spark, tmp_path):
 
 
 def test_redaction_fails_closed(spark):
-    im = spark.createDataFrame([(1, 2, 2, 1, bytearray(b"\1\2\3\4")), (2, 2, 2, 1, bytearray(b"\5\6\7\x08"))], anonymize.IMAGE_SCHEMA)
-    boxes = spark.createDataFrame([(1, 1, 0, 0, 2, 2)], "image_id long, paste_order int, x0 long, y0 long, x1 long, y1 long")
+    im = spark.createDataFrame([(i, 2, 2, 1, bytearray(bytes([i, 2, 3, 4]))) for i in range(1, 6)], anonymize.IMAGE_SCHEMA)
+    boxes = spark.createDataFrame([(1, 1, 0, 0, 2, 2), (4, 1, 0, 0, 2, 2), (5, 1, 0, 0, 2, 2)], "image_id long, paste_order int, x0 long, y0 long, x1 long, y1 long")
+    looked_at = spark.createDataFrame([(1, None), (2, None), (4, "lost"), (5, None)], "image_id long, error string")  # 3 never came back
 
     def broken(crop):
-        raise RuntimeError("no")
-
-    got = {r.image_id: (bytes(r.data), r.status) for r in anonymize.redact(im, boxes, broken).collect()}
-    assert got == {1: (b"\x80" * 4, "error_masked"), 2: (b"\5\6\7\x08", "no_region")}
+        if crop[0, 0, 0] == 1:
+            raise RuntimeError("no")
+        return np.zeros_like(crop)
+
+    got = {r.image_id: (bytes(r.data), r.status) for r in anonymize.redact(im, boxes, looked_at, broken).collect()}
+    grey = b"\x80" * 4
+    assert got == {1: (grey, "error_masked"), 2: (b"\2\2\3\4", "no_region"), 3: (grey, "missing_masked"), 4: (grey, "error_masked"), 5: (b"\0" * 4, "ok")}
+    assert anonymize.redact(im.limit(0), boxes, looked_at, broken).count() == 0
+
+
+def test_results_fail_closed(spark):
+    inputs = spark.createDataFrame([(i, f"o{i}") for i in range(4)], "id long, orig string")
+    results = spark.createDataFrame([(0, "n0", None), (1, None, "bad"), (2, None, None)], "id long, new string, error string")
+    see = lambda mode: {r.id: (r.status, r.out) for r in sinks.with_results(inputs, results, "id", "orig", F.lit("MASK"), mode).collect()}
+    assert see("closed") == {0: ("ok", "n0"), 1: ("error", "MASK"), 2: ("no_region", "o2"), 3: ("missing", "MASK")}
+    assert see("passthrough") == {0: ("ok", "n0"), 1: ("error_passthrough", "o1"), 2: ("no_region", "o2"), 3: ("missing_passthrough", "o3")}
+    assert see("skip_errors") == {0: ("ok", "n0"), 2: ("no_region", "o2")} and see("detected_only") == {0: ("ok", "n0")}
+
+
+def plan_by_hand(image, boxes, generator):
+    """Boxes of one kind, without the DataFrame plan: by rising area, each expanded inside its own image."""
+    h, w = image.shape[:2]
+
+    def grow(s, e, target, limit):
+        g = target - (e - s)
+        s, e = s - g // 2, e + g - g // 2
+        if s < 0 and e > limit:
+            return s, e
+        if s < 0 and e < limit:
+            r = min(-s, limit - e)
+            s, e = s + r, e + r
+        if e > limit and s > 0:
+            r = min(e - limit, s)
+            s, e = s - r, e - r
+        return s, e
+
+    out = []
+    for k, (x0, y0, x1, y1) in enumerate(boxes):
+        m = int((x1 - x0) * (y1 - y0) * 0.5)
+        bw, bh = x1 - x0, y1 - y0
+        more = int((bw * bh) ** 0.5 * 0.1)
+        x0, x1 = grow(x0, x1, min(bw + more, w), w)
+        y0, y1 = grow(y0, y1, min(bh + more, h), h)
+        bw, bh = x1 - x0, y1 - y0
+        ratio = 288 / 160
+        th, tw = (int(bw * ratio) if bh / bw < ratio else bh), (int(bh / ratio) if bh / bw > ratio else bw)
+        y0, y1 = grow(y0, y1, th, h)
+        x0, x1 = grow(x0, x1, tw, w)
+        bw, bh = x1 - x0, y1 - y0
+        if not 1 - m / (bw * bh) > 0.3:
+            p = (m / 0.7 / (bw * bh)) ** 0.5
+            x0, x1 = grow(x0, x1, int(np.ceil(p * bw)), w)
+            y0, y1 = grow(y0, y1, int(np.ceil(p * bh)), h)
+        if (min(x1, w) - max(0, x0)) * (min(h, y1) - max(0, y0)) / ((x1 - x0) * (y1 - y0)) >= 0:
+            out.append(((x1 - x0) * (y1 - y0), k, (x0, y0, x1, y1)))
+    return kernels.redact(image, [b for _, _, b in sorted(out)], generator)
+
+
+def test_plan_on_images_of_all_sizes(spark):
+    """Against a plan by hand, image by image: sizes differ, so a foreign frame would show."""
+    rng = np.random.default_rng(5)
+    images = {}
+    for i in range(12):
+        im = rng.integers(0, 90, (int(rng.integers(12, 60)), int(rng.integers(12, 60)), 3)).astype(np.uint8)
+        for _ in range(i % 4):
+            y, x = int(rng.integers(0, im.shape[0] - 6)), int(rng.integers(0, im.shape[1] - 6))
+            im[y : y + 5, x : x + 4] = 250
+        images[i] = im
+    df = spark.createDataFrame([(i, *im.shape, bytearray(im.tobytes())) for i, im in images.items()], anonymize.IMAGE_SCHEMA)
+    find = anonymize.bright_regions(150)
+    got = {r.image_id: r for r in anonymize.anonymise(df, find, kernels.mask_out, 0.1).collect()}
+    for i, im in images.items():
+        boxes = [f[2:] for f in find(im) if f[1] >= 0.1]
+        want = plan_by_hand(im, [tuple(map(int, b)) for b in boxes], kernels.mask_out)
+        assert got[i].status == ("ok" if boxes else "no_region")
+        assert (np.frombuffer(bytes(got[i].data), np.uint8).reshape(im.shape) == want).all(), i
+
+    def fails(image):
+        if image.shape == images[3].shape:
+            raise ValueError("lost")
+        return find(image)
+
+    assert {r.image_id: r.status for r in anonymize.anonymise(df, fails, kernels.mask_out, 0.1).collect()}[3] == "error_masked"
+
+
+MASK = np.zeros((8, 6), bool)
+MASK[2:5, 1:4] = True
+SURFACE = np.where(MASK, 7, -1)
+
+
+def find_person(image):
+    return [anonymize.Found("person", 0.9, 4, 5, 10, 13, MASK, [(5.0, 6.0, 1.0)], [(4.5, 5.5)], SURFACE)]
+
+
+@anonymize.region_generator
+def from_region(region):
+    if region.z.shape != (512,) or region.mask.sum() != 9 or not (region.condition[region.mask] == 127).all() or len(region.keypoints) != 1:
+        raise ValueError("not the region that was found")
+    return np.full_like(region.condition, int(abs(region.z[0]) * 50) + 11)
+
+
+def test_details_reach_the_generator(spark):
+    """Masks, keypoints, landmarks and surfaces go through the plan; pasting is by mask, latent vectors depend on the detection alone."""
+    im = np.full((20, 30, 3), 10, np.uint8)
+    df = spark.createDataFrame([(1, 20, 30, 3, bytearray(im.tobytes()))], anonymize.IMAGE_SCHEMA)
+    d = anonymize.detect(df, find_person).first()
+    assert np.unpackbits(np.frombuffer(bytes(d.mask), np.uint8), count=48).reshape(8, 6).astype(bool).tolist() == MASK.tolist()
+    assert (np.frombuffer(bytes(d.surface), "<u2").reshape(8, 6).astype(int) - 1 == SURFACE).all() and d.landmarks[0].x == 4.5
+    out = [bytes(anonymize.anonymise(df, find_person, from_region).first().data) for _ in range(2)]
+    new = np.frombuffer(out[0], np.uint8).reshape(20, 30, 3)
+    want = np.zeros((20, 30), bool)
+    want[7:10, 5:8] = True
+    assert out[0] == out[1] and ((new != 10).all(2) == want).all()
 
 
 def test_registry_and_config():

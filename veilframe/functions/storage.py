@@ -20,26 +20,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Paths of the tables that are there now. Only names: the package goes to workers by value, sessions can't.
+LIVE: set[str] = set()
+
+
+def delete(path: str) -> None:
+    context = SparkSession.active().sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+    LIVE.discard(path)
+
+
 class Cut:
     """A DataFrame written to the shared folder and read back: its lineage ends there, so a lost executor costs a
-    re-read and not a recomputation. ``drop`` frees the files once nothing reads them any more; ``free`` those of all
-    tables that are still there."""
-
-    live: dict[str, Cut] = {}
+    re-read and not a recomputation. ``drop`` frees the files once nothing reads them any more."""
 
     def __init__(self, df: DataFrame):
-        self.spark = df.sparkSession
-        self.path = f"{shared_dir(self.spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+        spark = df.sparkSession
+        self.path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
         schema = df.schema
         df.write.parquet(self.path)
-        self.df = self.spark.read.schema(schema).parquet(self.path)
-        Cut.live[self.path] = self
+        self.df = spark.read.schema(schema).parquet(self.path)
+        LIVE.add(self.path)
 
     def drop(self) -> None:
-        Cut.live.pop(self.path, None)
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.path)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -48,11 +53,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 def marked() -> set[str]:
     """The tables that are there now, for ``free``."""
-    return set(Cut.live)
+    return set(LIVE)
 
 
 def free(since: set[str] | None = None, keep: tuple[Cut, ...] = ()) -> None:
     """Frees the tables made since the mark (all without one), but for those to keep. What was derived from them must be written by then."""
-    for path, table in list(Cut.live.items()):
-        if path not in (since or set()) and all(path != k.path for k in keep):
-            table.drop()
+    for path in LIVE - (since or set()) - {k.path for k in keep}:
+        delete(path)

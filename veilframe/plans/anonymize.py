@@ -1,45 +1,120 @@
 """The anonymisation plan: detections of several kinds are filtered, fused, expanded and ordered by pure Catalyst
 operations; ids and boxes are shuffled, image bytes are joined last and go through one Arrow function.
 
-Models plug in as plain functions: a detector maps images to detections, a generator maps a crop to a crop.
+Models plug in as plain functions. A detector maps an image to ``Found`` objects (box, and where the model gives them: mask, keypoints,
+landmarks, surface coordinates). A generator maps a crop to a crop, or, marked by ``region_generator``, a ``Region``
+(condition, mask, latent vector, keypoints) to a crop. Results are pasted by mask where there is one.
+
+Fails closed: an image passes unchanged only if the detector finished on it and found nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.registry import Registry
+from ..functions.storage import cut
 from ..operators import geometry as G
 from ..operators import kernels, masks
 from ..operators.matching import not_inside
 
 c = F.col
 IMAGE_SCHEMA = "image_id long, height int, width int, n_channels int, data binary"
-DETECTION_SCHEMA = "image_id long, det_id long, kind string, score double, x0 long, y0 long, x1 long, y1 long"
+#: mask: bits of the box, row by row; keypoints and landmarks in image pixels; surface: two bytes a box pixel, a vertex number plus one or 0.
+DETAIL_SCHEMA = "mask binary, keypoints array<struct<x: double, y: double, v: double>>, landmarks array<struct<x: double, y: double>>, surface binary"
+DETECTION_SCHEMA = f"image_id long, det_id long, kind string, score double, x0 long, y0 long, x1 long, y1 long, {DETAIL_SCHEMA}"
+_FOUND = "det_id: long, kind: string, score: double, x0: long, y0: long, x1: long, y1: long, mask: binary, keypoints: array<struct<x: double, y: double, v: double>>, landmarks: array<struct<x: double, y: double>>, surface: binary"
+OUTCOME_SCHEMA = f"image_id long, height int, width int, error string, found array<struct<{_FOUND}>>"
 KIND_RANK = {"face": 0, "vehicle": 1, "person": 2, "person_cse": 3}
 DETECTORS, GENERATORS = Registry("detector"), Registry("generator")
 for _name, _f in kernels.GENERATORS.items():
     GENERATORS.register(_name)(_f)
 
 
+@dataclass
+class Found:
+    """What a detector reports. mask: bool, the box's height x width; keypoints: (x, y, v) each; landmarks: (x, y) each; surface: vertex numbers,
+    -1 for none, the box's height x width."""
+
+    kind: str
+    score: float
+    x0: int
+    y0: int
+    x1: int
+    y1: int
+    mask: np.ndarray | None = None
+    keypoints: list | None = None
+    landmarks: list | None = None
+    surface: np.ndarray | None = None
+
+    def row(self, det_id: int) -> dict:
+        names = lambda points, keys: None if points is None else [dict(zip(keys, map(float, p), strict=True)) for p in points]
+        return {
+            "det_id": det_id, "kind": self.kind, "score": float(self.score), "x0": int(self.x0), "y0": int(self.y0), "x1": int(self.x1), "y1": int(self.y1),
+            "mask": None if self.mask is None else np.packbits(np.asarray(self.mask, bool)).tobytes(),
+            "keypoints": names(self.keypoints, "xyv"), "landmarks": names(self.landmarks, "xy"),
+            "surface": None if self.surface is None else (np.asarray(self.surface) + 1).astype("<u2").tobytes(),
+        }
+
+
+@dataclass
+class Region:
+    """What a region generator gets: the crop with its hole grey, the mask (True: to anonymise), a latent vector that depends on
+    the seed alone, and keypoints as shares of the crop."""
+
+    condition: np.ndarray
+    mask: np.ndarray
+    z: np.ndarray
+    keypoints: list | None
+
+
+def region_generator(f: Callable[[Region], np.ndarray]) -> Callable[[Region], np.ndarray]:
+    f.takes_region = True
+    return f
+
+
 def pixels_of(row) -> np.ndarray:
     return np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.n_channels)
 
 
-def detect(images: DataFrame, detector: Callable[[np.ndarray], list[tuple[str, float, int, int, int, int]]], score_threshold: float = 0.0) -> DataFrame:
-    """detector: image -> [(kind, score, x0, y0, x1, y1)]. The threshold is applied here and may be used inside as well."""
+def outcomes(images: DataFrame, detector: Callable) -> DataFrame:
+    """detector: image -> [Found or (kind, score, x0, y0, x1, y1)]. One row an image (OUTCOME_SCHEMA), also where nothing was found or the detector
+    failed, so that the two can be told apart."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(r.image_id, i + 1, *found) for r in batch.itertuples() for i, found in enumerate(detector(pixels_of(r)))]
-            yield pd.DataFrame(rows, columns=["image_id", "det_id", "kind", "score", "x0", "y0", "x1", "y1"])
+            out = []
+            for r in batch.to_pylist():
+                error, found = None, []
+                try:
+                    image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
+                    found = [(Found(*x) if isinstance(x, tuple) else x).row(i + 1) for i, x in enumerate(detector(image))]
+                except Exception as e:  # of one image; the others go on
+                    error = f"{type(e).__name__}: {e}"
+                out.append({"image_id": r["image_id"], "height": r["height"], "width": r["width"], "error": error, "found": found})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    rows = images.select("image_id", "height", "width", "n_channels", "data")
+    schema = to_arrow_schema(rows.sparkSession.createDataFrame([], OUTCOME_SCHEMA).schema)
+    return rows.mapInArrow(run, OUTCOME_SCHEMA)
+
 
-    return images.mapInPandas(run, DETECTION_SCHEMA).filter(c("score") >= score_threshold)
+def detections_of(found: DataFrame, score_threshold: float = 0.0) -> DataFrame:
+    """outcomes -> DETECTION_SCHEMA and the image's height and width."""
+    rows = found.select("image_id", "height", "width", F.explode("found").alias("d")).select("image_id", "d.*", "height", "width")
+    return rows.filter(c("score") >= score_threshold)
+
+
+def detect(images: DataFrame, detector: Callable, score_threshold: float = 0.0) -> DataFrame:
+    """The detections alone (DETECTION_SCHEMA). The threshold is applied here and may be used inside as well."""
+    return detections_of(outcomes(images, detector), score_threshold).drop("height", "width")
 
 
 @DETECTORS.register("bright_regions")
@@ -62,49 +137,88 @@ def paste_order(detections: DataFrame) -> DataFrame:
     return detections.withColumns({"kind_rank": rank, "_area": signed}).withColumn("paste_order", F.row_number().over(w)).drop("_area")
 
 
-def fuse(detections: DataFrame, score_threshold: float = 0.3, width: int = 640, height: int = 480, mask_area: Column | None = None, minimum_area: int = 1024) -> DataFrame:
-    """Score filter, faces inside persons removed, boxes expanded, kept by size, ordered for pasting."""
+def fuse(detections: DataFrame, score_threshold: float = 0.3, width=640, height=480, mask_area: Column | None = None, minimum_area: int = 1024) -> DataFrame:
+    """Score filter, faces inside persons removed, boxes expanded, kept by size, ordered for pasting. width, height: numbers, or columns where images
+    differ in size."""
     kept = detections.filter(c("score") >= score_threshold)
     people = kept.filter(c("kind").isin("person", "person_cse"))
     faces = not_inside(kept.filter(c("kind") == "face"), people)
     rest = kept.filter(c("kind") != "face")
     both = faces.select(rest.columns).unionByName(rest)
     area = mask_area if mask_area is not None else F.floor((c("x1") - c("x0")) * (c("y1") - c("y0")) * 0.5)
+    both = both.withColumns({f"own_{n}": c(n) for n in G.COORDS})
     grown = G.expanded_box(both, area, width=width, height=height).filter(G.include_box(width, height, minimum_area))
     return paste_order(grown)
 
 
-def redact(images: DataFrame, fused: DataFrame, generator: str | Callable = "blur", reuse: bool = True, **options) -> DataFrame:
-    """images(IMAGE_SCHEMA), fused detections -> images with ``data`` redacted and ``status``. An image whose redaction fails is
-    masked as a whole. Boxes are gathered per image before the bytes join them."""
+def hole_of(region: dict, box: tuple[int, int, int, int]) -> np.ndarray:
+    """The mask of a detection inside a box; the whole box where the detection has none."""
+    x0, y0, x1, y1 = box
+    bits = region.get("mask")
+    if bits is None:
+        return np.ones((y1 - y0, x1 - x0), bool)
+    a, b, w, h = region["own_x0"], region["own_y0"], region["own_x1"] - region["own_x0"], region["own_y1"] - region["own_y0"]
+    own = np.unpackbits(np.frombuffer(bits, np.uint8), count=w * h).reshape(h, w).astype(bool)
+    out = np.zeros((y1 - y0, x1 - x0), bool)
+    left, top, right, low = max(a, x0), max(b, y0), min(a + w, x1), min(b + h, y1)
+    if right > left and low > top:
+        out[top - y0 : low - y0, left - x0 : right - x0] = own[top - b : low - b, left - a : right - a]
+    return out
+
+
+def redact_regions(image: np.ndarray, regions: list[dict], make: Callable, z_dim: int = 512, **options) -> np.ndarray:
+    """Regions in order, each over the result so far, so that later ones win; pasted where their mask says."""
+    out = image.copy()
+    for r in regions:
+        x0, y0, x1, y1 = max(0, r["x0"]), max(0, r["y0"]), min(out.shape[1], r["x1"]), min(out.shape[0], r["y1"])
+        if x1 <= x0 or y1 <= y0:
+            continue
+        crop, hole = out[y0:y1, x0:x1], hole_of(r, (x0, y0, x1, y1))
+        if getattr(make, "takes_region", False):
+            points = [((p["x"] - x0) / (x1 - x0), (p["y"] - y0) / (y1 - y0), p["v"]) for p in r["keypoints"]] if r.get("keypoints") else None
+            z = np.random.RandomState(r["seed"] % (1 << 32)).normal(size=z_dim)
+            new = make(Region(np.where(hole[..., None], 127, crop).astype(np.uint8), hole, z, points), **options)
+        else:
+            new = make(crop, **options)
+        out[y0:y1, x0:x1][hole] = new[hole]
+    return out
+
+
+def redact(images: DataFrame, fused: DataFrame, looked_at: DataFrame, generator: str | Callable = "blur", **options) -> DataFrame:
+    """images(IMAGE_SCHEMA), fused detections, looked_at(image_id, error): the images that the detector came to -> images with ``data`` redacted
+    and ``status``. Masked as a whole are images without a row in looked_at, those with an error, and those whose redaction fails; only one that was
+    looked at without a find passes. Boxes are gathered per image before the bytes join them."""
     make = GENERATORS.get(generator) if isinstance(generator, str) else generator
-    one = F.struct("paste_order", *G.COORDS)
-    regions = fused.groupBy("image_id").agg(F.sort_array(F.collect_list(one)).alias("regions"))
-    joined = images.join(regions, "image_id", "left")
+    names = ["paste_order", *G.COORDS, *[n for n in ("own_x0", "own_y0", "own_x1", "own_y1", "mask", "keypoints") if n in fused.columns]]
+    seed = F.xxhash64("image_id", "det_id") if "det_id" in fused.columns else F.xxhash64("image_id", "paste_order")
+    regions = fused.groupBy("image_id").agg(F.collect_list(F.struct(*names, F.pmod(seed, F.lit(1 << 32)).alias("seed"))).alias("regions"))
+    marks = looked_at.groupBy("image_id").agg(F.max("error").alias("error"), F.lit(True).alias("seen")).join(regions, "image_id", "left")
+    joined = images.join(marks, "image_id", "left").select("image_id", "height", "width", "n_channels", "data", "error", "seen", "regions")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, status = [], []
-            for r in batch.itertuples():
-                if r.regions is None or len(r.regions) == 0:
-                    data.append(r.data)
-                    status.append("no_region")
-                    continue
-                try:
-                    boxes = [(int(b["x0"]), int(b["y0"]), int(b["x1"]), int(b["y1"])) for b in r.regions]
-                    data.append(kernels.redact(pixels_of(r), boxes, lambda crop: make(crop, **options)).tobytes())
-                    status.append("ok")
-                except Exception:  # fail closed: the original never passes
-                    data.append(bytes([128]) * len(r.data))
-                    status.append("error_masked")
-            out = batch[["image_id", "height", "width", "n_channels"]].copy()
-            yield out.assign(data=data, status=status)
-
-    return joined.mapInPandas(run, IMAGE_SCHEMA + ", status string")
+            for r in batch.to_pylist():
+                new, what = bytes([128]) * len(r["data"] or b""), "error_masked"
+                if not r["seen"]:
+                    what = "missing_masked"
+                elif r["error"] is None and not r["regions"]:
+                    new, what = r["data"], "no_region"
+                elif r["error"] is None:
+                    try:
+                        image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
+                        new, what = redact_regions(image, sorted(r["regions"], key=lambda x: x["paste_order"]), make, **options).tobytes(), "ok"
+                    except Exception:  # fail closed: the original never passes
+                        pass
+                data.append(new)
+                status.append(what)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(data, pa.binary()), pa.array(status)], names=[*batch.schema.names[:4], "data", "status"])
+
+    return joined.mapInArrow(run, IMAGE_SCHEMA + ", status string")
 
 
 def anonymise(images: DataFrame, detector: Callable, generator: str | Callable = "blur", score_threshold: float = 0.3, **options) -> DataFrame:
-    """Detect, fuse, redact."""
-    size = images.agg(F.max("width").alias("w"), F.max("height").alias("h")).first()
-    found = detect(images.select("image_id", "height", "width", "n_channels", "data"), detector, score_threshold)
-    return redact(images, fuse(found, score_threshold, size["w"] or 1, size["h"] or 1, minimum_area=1), generator, **options)
+    """Detect, fuse within each image's own size, redact. The detector's outcomes are stored, so no image is looked at twice."""
+    found = cut(outcomes(images, detector))
+    fused = fuse(detections_of(found, score_threshold), score_threshold, c("width"), c("height"), minimum_area=1)
+    return redact(images, fused, found, generator, **options)

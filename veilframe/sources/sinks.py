@@ -1,11 +1,12 @@
 """Sinks: what is written for each input, under which name, and what happens to inputs without a result.
 
-Fail-closed by default: an input whose result is missing is written fully masked, with its status; copying the
-original through has to be asked for.
+Fail-closed by default: an input whose result is missing is written fully masked, with its status; an original passes only where
+a result row says that nothing was found. Copying others through has to be asked for.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,17 +27,20 @@ def output_name(path: Column, prefix: str = "", ending: str = "", new_suffix: st
 def with_results(inputs: DataFrame, results: DataFrame, key: str, value: str, masked: Column, mode: str = "closed") -> DataFrame:
     """inputs(key, value) LEFT JOIN results(key, new, error): adds ``out`` and ``status``.
 
-    mode: ``closed`` (no result: fully masked), ``passthrough`` (no result: the original), ``detected_only`` (only inputs with a
-    result), ``skip_errors`` (rows with an error go, inputs without a region pass)."""
-    rows = inputs.join(results, key, "left")
-    status = F.when(c("new").isNotNull(), "ok").when(c("error").isNotNull(), "error").otherwise("no_region")
-    rows = rows.withColumn("status", status)
+    status: ``ok``, ``error``, ``no_region`` (a result row without new and error: looked at, nothing found) or ``missing`` (no
+    result row at all, so nobody knows). mode: ``closed`` (only inputs that were looked at without a find pass, the rest is
+    masked), ``passthrough`` (no result: the original), ``detected_only`` (only inputs with a result), ``skip_errors`` (rows
+    with an error or without a result row go, inputs without a region pass)."""
+    rows = inputs.join(results.withColumn("_seen", F.lit(True)), key, "left")
+    status = F.when(c("new").isNotNull(), "ok").when(c("error").isNotNull(), "error").when(c("_seen"), "no_region").otherwise("missing")
+    rows = rows.withColumn("status", status).drop("_seen")
     if mode == "detected_only":
         return rows.filter("status = 'ok'").withColumn("out", c("new"))
     if mode == "skip_errors":
-        return rows.filter("status <> 'error'").withColumn("out", F.coalesce("new", value))
+        return rows.filter("status in ('ok', 'no_region')").withColumn("out", F.coalesce("new", value))
     if mode == "passthrough":
-        return rows.withColumn("out", F.coalesce("new", value)).withColumn("status", F.when(c("status") == "error", "error_passthrough").otherwise(c("status")))
+        passed = F.when(c("status").isin("error", "missing"), F.concat("status", F.lit("_passthrough"))).otherwise(c("status"))
+        return rows.withColumn("out", F.coalesce("new", value)).withColumn("status", passed)
     if mode != "closed":
         raise ValueError(mode)
     return rows.withColumn("out", F.when(c("status") == "ok", c("new")).when(c("status") == "no_region", c(value)).otherwise(masked))
@@ -48,18 +52,19 @@ def still_to_do(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def write_files(rows: DataFrame, folder: str, name: str = "name", data: str = "data") -> DataFrame:
-    """Writes each row's bytes to folder/name through Hadoop's local view of a shared mount; returns name and size."""
+    """Writes each row's bytes to folder/name; returns name and size. folder: a path or URI (file, hdfs, s3, gs) that all executors share."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
+        from pyarrow import fs
 
-        os.makedirs(folder, exist_ok=True)
+        files, root = fs.FileSystem.from_uri(folder)
+        files.create_dir(root, recursive=True)
         for batch in batches:
             for n, content in zip(batch["name"], batch["data"], strict=True):
-                part = os.path.join(folder, f".{n}.part")
-                with open(part, "wb") as f:
+                part = f"{root}/.{n}.{uuid.uuid4().hex}.part"
+                with files.open_output_stream(part) as f:
                     f.write(content)
-                os.replace(part, os.path.join(folder, n))  # a task that runs twice leaves one whole file
+                files.move(part, f"{root}/{n}")  # a task that runs twice leaves one whole file
             yield pd.DataFrame({"name": batch["name"], "size": batch["data"].map(len)})
 
     return rows.select(c(name).alias("name"), c(data).alias("data")).mapInPandas(run, "name string, size long")
