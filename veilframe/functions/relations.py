@@ -19,14 +19,13 @@ BOXES = """SELECT image_id, det_id, kind, kind_rank, score, x0, y0, x0 + bw AS x
     CAST((p*11 + s*7) % 100 AS DOUBLE) / 100.0 AS score,
     CASE WHEN (p + s) % 4 = 0 THEN 8 + (p*7 + n*3) % 24 ELSE 40 + (p*7 + n*3) % 260 END AS bw,
     CASE WHEN (p + s) % 4 = 0 THEN 8 + (s*13 + n*5) % 24 ELSE 60 + (s*13 + n*5) % 300 END AS bh FROM (
-   SELECT l_orderkey % {images} AS image_id, l_partkey AS p, l_suppkey AS s, CAST(l_linenumber AS BIGINT) AS n,
-     CAST(row_number() OVER (PARTITION BY l_orderkey % {images} ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS BIGINT) AS det_id
+   SELECT CAST(floor(l_orderkey / 5.0) AS BIGINT) AS image_id, l_partkey AS p, l_suppkey AS s, CAST(l_linenumber AS BIGINT) AS n,
+     CAST(row_number() OVER (PARTITION BY CAST(floor(l_orderkey / 5.0) AS BIGINT) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS BIGINT) AS det_id
    FROM {lineitem}) q0) q1) q2"""
-#: Images that the detections are spread over.
-IMAGES = 3000
+# Five orders are an image, so there are about twenty detections an image whatever the scale.
 
 RELATIONS: dict[str, str] = {
-    "boxes": BOXES.format(images=IMAGES, lineitem="lineitem"),
+    "boxes": BOXES.format(lineitem="lineitem"),
     "frames": "SELECT user_id AS video_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS frame_no, ts, event_id AS image_id FROM events",
     "pixels": "SELECT vec_id AS image_id, CAST(floor((i-1)/8.0) AS BIGINT) AS y, CAST((i-1)%8 AS BIGINT) AS x, CAST(least(255, greatest(0, floor((CAST(embedding[i] AS DOUBLE)+0.5)*255.0))) AS BIGINT) AS v FROM (SELECT vec_id, embedding, unnest(range(1,65)) AS i FROM embeddings) q",
     "pairs": "SELECT a.image_id, a.y, a.x, a.v AS a, b.v AS b FROM pixels a JOIN pixels b ON b.image_id = a.image_id + 1 AND b.y = a.y AND b.x = a.x",
@@ -42,10 +41,12 @@ def with_relations(sql: str) -> str:
     """The SQL with those relations that it names defined before it."""
     used = [n for n in RELATIONS if re.search(rf"\b{n}\b", sql)]
     wanted = {x for n in used for x in [n, *_NEEDS.get(n, [])]}
-    heads = ",\n".join(f"{n} AS ({q})" for n, q in RELATIONS.items() if n in wanted)
+    heads = ",\n".join(f"{n} AS MATERIALIZED ({q})" for n, q in RELATIONS.items() if n in wanted)
     if not heads:
         return sql
     sql = sql.strip()
+    if sql[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {heads},\n{sql[15:]}"
     return f"WITH {heads},\n{sql[5:]}" if sql[:5].upper() == "WITH " else f"WITH {heads}\n{sql}"
 
 
@@ -54,7 +55,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BOXES.replace("{images}", str(IMAGES)), lineitem=table(spark, sf_dir, "lineitem"))
+    return spark.sql(BOXES, lineitem=table(spark, sf_dir, "lineitem"))
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ FACE_PADDING = {
     "half": (0.0, False), "mid_full": (0.0675, False), "full": (0.2109375, False), "full_no_align": (0.2109375, True),
     "whole_face": (0.40, False), "whole_face_no_align": (0.40, True), "head": (0.70, False), "head_no_align": (0.70, True),
 }
-#: Limbs of the joint map by body part: head, torso, left arm, right arm, left leg, right leg.
+#: Limbs of the joint map by body part: head, torso, left arm, right arm, left leg, right leg.
 LIMBS = (
     ((0, 1), (0, 2), (1, 3), (2, 4)), ((5, 6), (5, 11), (6, 12), (11, 12)),
     ((5, 7), (7, 9)), ((6, 8), (8, 10)), ((11, 13), (13, 15)), ((12, 14), (14, 16)),
@@ -81,17 +81,17 @@ def midpoint(kps: Column, a: int, b: int) -> Column:
 
 
 def oks(found: Column, truth: Column, area: Column) -> Column:
-    """Mean over visible true joints of exp(-d2 / (2 (2 sigma)^2 (area + eps))); NULL if none is visible."""
-    variances = F.array(*[F.lit((2 * s / 10) ** 2) for s in OKS_SIGMAS])
+    """Mean over visible true joints of exp(-d2 / (2 (2 sigma)^2 (area + eps))); NULL if none is visible. One pass over the joints,
+    whose terms are plain numbers."""
+    scales = F.array(*[F.lit(-0.5 / (2 * s / 10) ** 2) for s in OKS_SIGMAS])
     eps = float(np.spacing(1))
 
-    def one(d, g):
+    def squared(d, g):
         dx, dy = (d["x"] - g["x"]).cast("double"), (d["y"] - g["y"]).cast("double")
-        return F.struct((dx * dx + dy * dy).alias("d2"), (g["v"] > 0).alias("seen"))
+        return F.when(g["v"] > 0, (dx * dx + dy * dy) / (area + eps))
 
-    terms = F.zip_with(F.zip_with(found, truth, one), variances, lambda t, v: F.when(t["seen"], F.exp(-(t["d2"] / v / (area + eps) / 2))))
-    seen = F.filter(terms, lambda t: t.isNotNull())
-    return F.when(F.size(seen) > 0, F.aggregate(seen, F.lit(0.0), lambda a, x: a + x) / F.size(seen))
+    terms = F.array_compact(F.zip_with(F.zip_with(found, truth, squared), scales, lambda d, s: F.exp(d * s)))
+    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x, lambda a: a) / F.nullif(F.size(terms), F.lit(0))
 
 
 def eye_angle(kps: Column) -> Column:
@@ -144,11 +144,19 @@ def flatten(kps: Column) -> Column:
 
 
 def heatmap_peaks(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """cells(keys, row, col, value) of 64x48 maps -> per map: row and column maxima first met, and the largest value."""
+    """cells(keys, row, col, value) -> per map: row and column maxima first met, and the largest value."""
     best = cells.groupBy(*keys).agg(F.max("value").alias("confidence"), F.min_by("row", F.struct(-c("value"), c("row"))).alias("peak_row"), F.min_by("col", F.struct(-c("value"), c("col"))).alias("peak_col"))
     return best
 
 
+def heatmap_keypoints(cells: DataFrame, boxes: DataFrame, keys: list[str], box_key: str, rows: int = 64, cols: int = 48) -> DataFrame:
+    """Peaks of rows x cols maps as points of the image: shares of the map become shares of the (padded) box it was made from."""
+    peaks = heatmap_peaks(cells, keys).join(boxes.select(box_key, "x0", "y0", "x1", "y1"), box_key)
+    px = c("peak_col") * F.lit(1.0 / cols) * (c("x1") - c("x0")) + c("x0")
+    py = c("peak_row") * F.lit(1.0 / rows) * (c("y1") - c("y0")) + c("y0")
+    return peaks.select(*keys, px.alias("px"), py.alias("py"), "confidence")
+
+
 def similarity_fit(source: np.ndarray, target: np.ndarray, scale: bool = True) -> np.ndarray:
     """Least-squares similarity (rotation, scale, shift) of matched 2-D points, as a 2x3 matrix; NaN for points that
     all coincide. The rotation is the orthogonal factor of the cross-covariance, reflections excluded."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -63,6 +63,11 @@ def normals(dim: int, truncation: float | None = None):
     return draw
 
 
+def frame_index(frames: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The running number of each frame of a clip, from 1."""
+    return frames.withColumn("frame_no", F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+
+
 def guide(unconditional: Column, conditional: Column, scale: float) -> Column:
     return F.zip_with(unconditional, conditional, lambda u, v: (1 - scale) * u + scale * v)
 

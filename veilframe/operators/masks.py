@@ -7,6 +7,8 @@ group by pixel; groups never cross an image. On whole images the same semantics
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -77,10 +79,11 @@ def erode(mask: DataFrame, offsets: list[tuple[int, int]], width: int, height: i
     return rows.groupBy(*PIXEL).agg(F.min("hit").alias("hit"))
 
 
-def strip_padding(hit: Column, pads: dict[str, Column], scale: Column) -> Column:
-    """Hits in the floor-scaled padding strips of a crop are cleared."""
-    inside = (c("x") >= F.floor(pads["pad_left"] * scale)) & (c("y") >= F.floor(pads["pad_top"] * scale))
-    return hit & inside
+def strip_padding(hit: Column, pads: dict[str, Column], scale: Column, width: int, height: int) -> Column:
+    """Hits in the padding strips of a crop, scaled and floored, on all four sides are cleared."""
+    strip = {k: F.floor(v * scale) for k, v in pads.items()}
+    inside = (c("x") >= strip["pad_left"]) & (c("y") >= strip["pad_top"])
+    return hit & inside & (c("x") < width - strip["pad_right"]) & (c("y") < height - strip["pad_bottom"])
 
 
 def mask_iou(a: DataFrame, b: DataFrame, keys: list[str], eps: float = 0.0) -> DataFrame:
@@ -152,6 +155,68 @@ def fill_polygons(polygons: list[list[tuple[float, float]]], width: int, height:
     return out
 
 
+def encode_runs(mask: np.ndarray) -> list[int]:
+    """Run lengths column by column, the first one of empty cells."""
+    flat = np.asarray(mask, bool).ravel(order="F")
+    edges = np.flatnonzero(np.diff(flat)) + 1
+    runs = np.diff(np.concatenate([[0], edges, [len(flat)]])).tolist()
+    return [0, *runs] if len(flat) and flat[0] else runs
+
+
+def runs_to_text(runs: list[int]) -> str:
+    """Run lengths as text: from the fourth on the difference to the one before last; five bits a character, lowest first, the sixth says
+    that more follow; characters start at "0"."""
+    out = []
+    for i, n in enumerate(runs):
+        x = n - runs[i - 2] if i > 2 else n
+        more = True
+        while more:
+            low = x & 31
+            x >>= 5
+            more = x != (-1 if low & 16 else 0)
+            out.append(chr(48 + low + 32 * more))
+    return "".join(out)
+
+
+def text_to_runs(text: str) -> list[int]:
+    runs, x, k = [], 0, 0
+    for ch in text:
+        code = ord(ch) - 48
+        x |= (code & 31) << (5 * k)
+        k += 1
+        if code & 32:
+            continue
+        if code & 16:
+            x -= 1 << (5 * k)
+        runs.append(x + runs[-2] if len(runs) > 2 else x)
+        x, k = 0, 0
+    return runs
+
+
+def decode_mask(segmentation, height: int, width: int) -> np.ndarray:
+    """A segmentation of an annotation file as a mask: polygons ([[x0, y0, x1, y1, ...], ...]) or run lengths ({size, counts}), as numbers or text."""
+    if isinstance(segmentation, dict):
+        counts = segmentation["counts"]
+        runs = text_to_runs(counts) if isinstance(counts, str) else counts
+        flat = np.repeat(np.arange(len(runs)) % 2 == 1, runs)
+        return flat.reshape((height, width), order="F")
+    return fill_polygons([list(zip(p[0::2], p[1::2], strict=True)) for p in segmentation], width, height)
+
+
+def masks_of(annotations: DataFrame) -> DataFrame:
+    """annotations(id, segmentation as JSON text, height, width) -> id, mask (packed bits, row by row), area; a null segmentation has no mask."""
+
+    @F.pandas_udf("struct<mask: binary, area: bigint>")
+    def decode(segmentation: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, h, w in zip(segmentation, height, width, strict=True):
+            m = None if text is None else decode_mask(json.loads(text), int(h), int(w))
+            rows.append((None, None) if m is None else (np.packbits(m).tobytes(), int(m.sum())))
+        return pd.DataFrame(rows, columns=["mask", "area"])
+
+    return annotations.select("id", decode("segmentation", "height", "width").alias("m")).select("id", "m.*")
+
+
 def connected_boxes(mask: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Half-open bounding boxes of the 8-connected regions of a mask, in order of their first pixel."""
     labels = np.zeros(mask.shape, np.int64)

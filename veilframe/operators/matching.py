@@ -1,5 +1,5 @@
 """Matching and joins of detections: equi-joins by image with residual predicates, and greedy one-to-one
-assignment as a fold over the ordered candidate pairs of an image.
+assignment as a stream over the ordered candidate pairs of an image.
 
 Candidate pairs are only formed within an image and only where boxes overlap or contain one another; an image's
 detections are few, while images are many.
@@ -7,6 +7,9 @@ detections are few, while images are many.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,17 +35,25 @@ def overlapping_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def greedy(pairs: DataFrame, order: list[Column], left: str = "det_id", right: str = "o_det_id", key: str = "image_id") -> DataFrame:
-    """One-to-one matches of each key: pairs in the given order, each side taken once."""
-    listed = pairs.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*[o.alias(f"k{i}") for i, o in enumerate(order)], c(left).alias("i"), c(right).alias("j")))).alias("p"))
-    empty = F.struct(F.array().cast("array<bigint>").alias("i"), F.array().cast("array<bigint>").alias("j"))
-
-    def step(acc, p):
-        taken = F.array_contains(acc["i"], p["i"]) | F.array_contains(acc["j"], p["j"])
-        more = F.struct(F.array_append(acc["i"], p["i"].cast("long")).alias("i"), F.array_append(acc["j"], p["j"].cast("long")).alias("j"))
-        return F.when(taken, acc).otherwise(more)
-
-    done = listed.select(key, F.aggregate("p", empty, step).alias("m"))
-    return done.select(key, F.explode(F.arrays_zip(c("m")["i"].alias("i"), c("m")["j"].alias("j"))).alias("m")).select(key, c("m")["i"].alias(left), c("m")["j"].alias(right))
+    """One-to-one matches of each key: pairs in the given order, each side taken once. A key's pairs stream through in order; a task
+    holds what the open key has taken, not its pairs."""
+    rows = pairs.select(c(key).cast("long").alias("k"), c(left).cast("long").alias("i"), c(right).cast("long").alias("j"), *[o.alias(f"o{n}") for n, o in enumerate(order)])
+    rows = rows.repartition("k").sortWithinPartitions("k", *[f"o{n}" for n in range(len(order))], "i", "j").select("k", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lefts, rights = None, set(), set()
+        for batch in batches:
+            kept = []
+            for n, (k, i, j) in enumerate(zip(*[column.to_pylist() for column in batch.columns], strict=True)):
+                if k != at:
+                    at, lefts, rights = k, set(), set()
+                if i not in lefts and j not in rights:
+                    lefts.add(i)
+                    rights.add(j)
+                    kept.append(n)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return rows.mapInArrow(run, "k bigint, i bigint, j bigint").select(c("k").alias(key), c("i").alias(left), c("j").alias(right))
 
 
 def match_in_order(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -77,6 +88,16 @@ def not_inside(inner: DataFrame, outer: DataFrame) -> DataFrame:
     return inner.join(o, cond, "left_anti")
 
 
+#: The suffixes that an image of a label file may have, in the order in which they are tried.
+EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "JPG", "JPEG", "PNG", "BMP", "TIFF")
+
+
+def extension_rank(suffix: Column, extensions=EXTENSIONS) -> Column:
+    """Place in the list, from 1; NULL for a suffix that isn't in it."""
+    at = F.array_position(F.array(*[F.lit(x) for x in extensions]), suffix)
+    return F.when(at > 0, at)
+
+
 def first_by_priority(rows: DataFrame, key: str, rank: Column, tie: str) -> DataFrame:
     """Of the rows of a key the one of the smallest rank."""
     w = Window.partitionBy(key).orderBy(rank, tie)

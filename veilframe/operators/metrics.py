@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,10 +97,36 @@ def frechet_distance(features: DataFrame, group: str, first, second) -> float:
 
 
 def trimmed(values: DataFrame, value: str, low: float, high: float) -> DataFrame:
-    """Mean and population deviation of the values between two discrete percentiles, inclusive."""
-    bounds = values.agg(F.expr(f"percentile_disc({low}) within group (order by {value})").alias("lo"), F.expr(f"percentile_disc({high}) within group (order by {value})").alias("hi")).first()
-    kept = values.filter((c(value) >= bounds["lo"]) & (c(value) <= bounds["hi"]))
-    return kept.agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    """Mean and population deviation of the values between two order statistics, inclusive: the one at or below the rank
+    low * (n - 1) and the one at or above the rank high * (n - 1). Ranks come from a range-partitioned sort."""
+    from ..sources.scan import positions
+
+    ranked = positions(values.select(c(value).alias("v")).filter("v is not null"), [c("v")])
+    n = ranked.count()
+    ends = {math.floor(low * (n - 1)), math.ceil(high * (n - 1))}
+    bounds = ranked.filter(c("pos").isin(*ends)).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    kept = ranked.filter((c("v") >= bounds["lo"]) & (c("v") <= bounds["hi"]))
+    return kept.agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+
+
+def mean_of_present(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    """Mean over the rows that have a value, and how many do."""
+    return rows.groupBy(key).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
+
+
+def counters(rows: DataFrame, **conditions: Column) -> DataFrame:
+    """How many rows there are, and how many of each named condition, in one row."""
+    return rows.agg(F.count("*").alias("instances"), *[F.count_if(v).alias(k) for k, v in conditions.items()])
+
+
+def status_counts(rows: DataFrame, status: Column) -> DataFrame:
+    return rows.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+def boxes_per_frame(boxes: DataFrame, key: str, order: str, values: list[str], strict_compat: bool = False) -> DataFrame:
+    """The boxes of each frame in order, as one list. strict_compat: the first of a frame is listed twice."""
+    rows = boxes.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, *values))).alias("boxes"))
+    return rows.withColumn("boxes", F.concat(F.slice("boxes", 1, 1), "boxes")) if strict_compat else rows
 
 
 def path_length(a: Column, b: Column, eps: float) -> Column:
@@ -122,6 +150,12 @@ def standardise_stats(features: DataFrame) -> DataFrame:
     return each.groupBy("i").agg(F.avg("e").alias("mean"), (1 / F.sqrt(F.var_pop("e"))).alias("rstd"))
 
 
+def unit(v: Column) -> Column:
+    """The vector scaled to length one."""
+    length = F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
+    return F.transform(v, lambda x: x / length)
+
+
 def spherical(a: Column, b: Column) -> Column:
     """2 asin(|x - y| / 2)^2 of the vectors scaled to length one."""
     norm = lambda v: F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda s, x: s + x))

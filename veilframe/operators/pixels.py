@@ -85,7 +85,7 @@ def mask_out(v: Column, keep: Column) -> Column:
 
 def noise_out(v: Column, keep: Column, *seed: Column) -> Column:
     """Seeded noise of the bright half in the hole."""
-    u = F.pmod(F.xxhash64(*seed), F.lit(1 << 20)) / (1 << 20)
+    u = F.conv(F.substr(F.md5(F.concat_ws("-", *seed)), F.lit(1), F.lit(5)), 16, 10).cast("long") / (1 << 20)
     return F.when(keep, v).otherwise(F.bround((u + 1) * 127.5).cast("long"))
 
 

@@ -104,16 +104,16 @@ def b09(spark, d):
     return R.boxes(spark, d).filter(G.include_box(600, 400, 1024, (0.2, 3.0), 0.5)).select(*BOX)
 
 
-SQUARE_SQL = """q1 AS (SELECT *, x1 - x0 AS w_, y1 - y0 AS h_, abs((y1 - y0) - (x1 - x0)) AS d_, greatest(x1 - x0, y1 - y0) AS side_ FROM boxes),
-q2 AS (SELECT *, CASE WHEN h_ >= w_ AND d_ > 0 THEN greatest(0, x0 - CAST(floor(d_ / 2.0) AS BIGINT)) ELSE x0 END AS a_,
+SQUARE_SQL = """q1 AS MATERIALIZED (SELECT *, x1 - x0 AS w_, y1 - y0 AS h_, abs((y1 - y0) - (x1 - x0)) AS d_, greatest(x1 - x0, y1 - y0) AS side_ FROM boxes),
+q2 AS MATERIALIZED (SELECT *, CASE WHEN h_ >= w_ AND d_ > 0 THEN greatest(0, x0 - CAST(floor(d_ / 2.0) AS BIGINT)) ELSE x0 END AS a_,
   CASE WHEN h_ < w_ THEN greatest(0, y0 - CAST(floor(d_ / 2.0) AS BIGINT)) ELSE y0 END AS b_ FROM q1 WHERE side_ <= 480),
-q3 AS (SELECT *, CASE WHEN d_ > 0 AND a_ + side_ > 640 THEN 640 - side_ ELSE a_ END AS sx_, CASE WHEN d_ > 0 AND b_ + side_ > 480 THEN 480 - side_ ELSE b_ END AS sy_ FROM q2),
-q4 AS (SELECT * FROM q3 WHERE sx_ >= 0 AND sy_ >= 0 AND sx_ + side_ <= 640 AND sy_ + side_ <= 480),
-q5 AS (SELECT *, greatest(0, least(CAST(floor((480 - side_) / 2.0) AS BIGINT), CAST(floor((640 - side_) / 2.0) AS BIGINT), CAST(floor(side_ * 0.35e0) AS BIGINT))) AS f_ FROM q4),
-q6 AS (SELECT *, side_ + 2 * f_ AS s_, CASE WHEN f_ > 0 THEN greatest(0, sx_ - f_) ELSE sx_ END AS ax_, CASE WHEN f_ > 0 THEN greatest(0, sy_ - f_) ELSE sy_ END AS ay_ FROM q5),
-q7 AS (SELECT *, CASE WHEN f_ > 0 AND ax_ + s_ > 640 THEN 640 - s_ ELSE ax_ END AS ex0, CASE WHEN f_ > 0 AND ay_ + s_ > 480 THEN 480 - s_ ELSE ay_ END AS ey0 FROM q6),
-q8 AS (SELECT *, ex0 + s_ AS ex1, ey0 + s_ AS ey1 FROM q7),
-q9 AS (SELECT image_id, det_id, ex0, ey0, ex1, ey1 FROM q8 WHERE ex0 >= 0 AND ey0 >= 0 AND ex1 <= 640 AND ey1 <= 480 AND ex0 <= x0 AND ey0 <= y0 AND ex1 >= x1 AND ey1 >= y1)"""
+q3 AS MATERIALIZED (SELECT *, CASE WHEN d_ > 0 AND a_ + side_ > 640 THEN 640 - side_ ELSE a_ END AS sx_, CASE WHEN d_ > 0 AND b_ + side_ > 480 THEN 480 - side_ ELSE b_ END AS sy_ FROM q2),
+q4 AS MATERIALIZED (SELECT * FROM q3 WHERE sx_ >= 0 AND sy_ >= 0 AND sx_ + side_ <= 640 AND sy_ + side_ <= 480),
+q5 AS MATERIALIZED (SELECT *, greatest(0, least(CAST(floor((480 - side_) / 2.0) AS BIGINT), CAST(floor((640 - side_) / 2.0) AS BIGINT), CAST(floor(side_ * 0.35e0) AS BIGINT))) AS f_ FROM q4),
+q6 AS MATERIALIZED (SELECT *, side_ + 2 * f_ AS s_, CASE WHEN f_ > 0 THEN greatest(0, sx_ - f_) ELSE sx_ END AS ax_, CASE WHEN f_ > 0 THEN greatest(0, sy_ - f_) ELSE sy_ END AS ay_ FROM q5),
+q7 AS MATERIALIZED (SELECT *, CASE WHEN f_ > 0 AND ax_ + s_ > 640 THEN 640 - s_ ELSE ax_ END AS ex0, CASE WHEN f_ > 0 AND ay_ + s_ > 480 THEN 480 - s_ ELSE ay_ END AS ey0 FROM q6),
+q8 AS MATERIALIZED (SELECT *, ex0 + s_ AS ex1, ey0 + s_ AS ey1 FROM q7),
+q9 AS MATERIALIZED (SELECT image_id, det_id, ex0, ey0, ex1, ey1 FROM q8 WHERE ex0 >= 0 AND ey0 >= 0 AND ex1 <= 640 AND ey1 <= 480 AND ex0 <= x0 AND ey0 <= y0 AND ex1 >= x1 AND ey1 >= y1)"""
 
 
 @query("b10_quadratic_box", f"WITH {SQUARE_SQL} SELECT b.image_id, b.det_id, sx_ AS qx, sy_ AS qy, side_ AS qw, side_ AS qh FROM boxes b LEFT JOIN q4 USING (image_id, det_id)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
@@ -67,10 +69,24 @@ def p07(spark, d):
     return R.keypoints(spark, d).select(*ID, neck["x"].alias("neck_x"), neck["y"].alias("neck_y"), hip["x"].alias("hip_x"))
 
 
-@query("p08_joint_map")
+_LIMBS_SQL = ", ".join(f"({part + 1}, {n}, {a}, {b})" for n, (part, (a, b)) in enumerate((p, limb) for p, limbs in enumerate(K.LIMBS) for limb in limbs))
+
+
+@query("p08_joint_map", f"""WITH q AS MATERIALIZED (SELECT image_id, det_id, k, (px - x0) / CAST(x1 - x0 AS DOUBLE) AS nx, (py - y0) / CAST(y1 - y0 AS DOUBLE) AS ny, v FROM kps),
+ s AS MATERIALIZED (SELECT image_id, det_id, k, CAST(trunc(nx * 15) AS BIGINT) AS gx, CAST(trunc(ny * 15) AS BIGINT) AS gy FROM q WHERE v > 0 AND nx >= 0 AND nx <= 1 AND ny >= 0 AND ny <= 1),
+ l AS (SELECT a.image_id, a.det_id, part, a.gx AS ax, a.gy AS ay, b.gx AS bx, b.gy AS by_, greatest(abs(b.gx - a.gx), abs(b.gy - a.gy), 1) AS n FROM (VALUES {_LIMBS_SQL}) m(part, no, ka, kb) JOIN s a ON a.k = ka JOIN s b ON b.image_id = a.image_id AND b.det_id = a.det_id AND b.k = kb),
+ cells AS (SELECT image_id, det_id, part, CAST(floor(ax + (bx - ax) * i / CAST(n AS DOUBLE) + 0.5) AS BIGINT) AS x, CAST(floor(ay + (by_ - ay) * i / CAST(n AS DOUBLE) + 0.5) AS BIGINT) AS y FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM l)),
+ g AS (SELECT image_id, det_id, y, x, max(part) AS part FROM cells GROUP BY ALL)
+SELECT b.image_id, b.det_id, count(part) AS n_drawn, CAST(coalesce(sum(part * (16 * y + x + 1)), 0) AS BIGINT) AS weighted FROM boxes b LEFT JOIN g USING (image_id, det_id) GROUP BY b.image_id, b.det_id""")
 def p08(spark, d):
-    k = R.keypoints(spark, d).select(*ID, K.joint_map(32)(K.to_box(c("kps"))).alias("joint_map"))
-    return k.select(*ID, F.length(F.regexp_replace(F.hex("joint_map"), "00", "")).alias("n_drawn_digits"), F.md5("joint_map").alias("digest"))
+    """Drawn cells of each 16 x 16 map, and the sum of their values by place. Later parts cover earlier ones, so the largest stays."""
+    @F.pandas_udf("n bigint, weighted bigint")
+    def summary(maps: pd.Series) -> pd.DataFrame:
+        grid = np.stack([np.frombuffer(m, np.uint8) for m in maps]).astype(np.int64)
+        return pd.DataFrame({"n": (grid > 0).sum(1), "weighted": (grid * np.arange(1, 257)).sum(1)})
+
+    k = R.keypoints(spark, d).select(*ID, summary(K.joint_map(16)(K.to_box(c("kps")))).alias("s"))
+    return k.select(*ID, c("s")["n"].alias("n_drawn"), c("s")["weighted"].alias("weighted"))
 
 
 SIGMA2 = "[" + ", ".join(repr((2 * s / 10) ** 2) + "::DOUBLE" for s in K.OKS_SIGMAS) + "]"
@@ -92,11 +108,14 @@ def p10(spark, d):
     return m.select(*ID, F.round("a", 6).alias("angle"), *[F.round(F.get("m", F.lit(i)), 6).alias(f"m{i}") for i in (0, 2, 5)])
 
 
-@query("p11_similarity_fit")
+@query("p11_similarity_fit", "SELECT image_id, det_id, round(0.8e0 * (1 + det_id % 3), 6) AS m0, round(-0.6e0 * (1 + det_id % 3), 6) AS m1, CAST(det_id % 11 AS DOUBLE) AS m2, round(0.6e0 * (1 + det_id % 3), 6) AS m3, round(0.8e0 * (1 + det_id % 3), 6) AS m4, -5.0::DOUBLE AS m5 FROM boxes")
 def p11(spark, d):
+    """Targets are the keypoints turned, scaled and shifted by numbers of the detection, which the fit has to find."""
+    grow, shift = 1 + c("det_id") % 3, c("det_id") % 11
     flat = K.flatten(c("kps"))
-    m = R.keypoints(spark, d).select(*ID, flat.alias("s"), F.transform(flat, lambda v: v * 0.5 + 3.0).alias("t")).withColumn("m", K.similarity_udf("s", "t"))
-    return m.select(*ID, *[F.round(F.get("m", F.lit(i)), 6).alias(f"m{i}") for i in range(6)])
+    turned = F.flatten(F.transform("kps", lambda p: F.array(grow * (p["x"] * 0.8 - p["y"] * 0.6) + shift, grow * (p["x"] * 0.6 + p["y"] * 0.8) - 5.0)))
+    m = R.keypoints(spark, d).select(*ID, flat.alias("s"), turned.alias("t")).withColumn("m", K.similarity_udf("s", "t"))
+    return m.select(*ID, *[(F.round(F.get("m", F.lit(i)), 6) + 0.0).alias(f"m{i}") for i in range(6)])
 
 
 PADDING_SQL = "CASE kind WHEN 'face' THEN 0.2109375 WHEN 'vehicle' THEN 0.0 WHEN 'person' THEN 0.70 ELSE 0.40 END"
@@ -157,7 +176,12 @@ def p18(spark, d):
     return f.select(*ID, F.size("f").alias("n"), F.aggregate(F.transform("f", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, x: a + x).alias("weighted"))
 
 
-@query("p19_heatmap_peaks", """SELECT image_id, max(v) AS confidence, arg_min(y, (-v) * 100 + y) AS peak_row, arg_min(x, (-v) * 100 + x) AS peak_col FROM pixels GROUP BY image_id""")
+@query("p19_heatmap_peaks", """WITH m AS (SELECT image_id, max(v) AS confidence FROM pixels GROUP BY image_id),
+ p AS (SELECT image_id, confidence, min(y) AS r, min(x) AS k FROM pixels JOIN m USING (image_id) WHERE v = confidence GROUP BY image_id, confidence)
+SELECT image_id, round(image_id % 50 + k * (30 + image_id % 7) / 8.0, 9) AS px, round(image_id % 40 + r * (60 + image_id % 9) / 8.0, 9) AS py, confidence FROM p""")
 def p19(spark, d):
     cells = R.pixels(spark, d).select("image_id", c("y").alias("row"), c("x").alias("col"), c("v").alias("value"))
-    return K.heatmap_peaks(cells, ["image_id"])
+    i = c("image_id")
+    boxes = cells.select("image_id").distinct().withColumns({"x0": i % 50, "y0": i % 40}).withColumns({"x1": c("x0") + 30 + i % 7, "y1": c("y0") + 60 + i % 9})
+    k = K.heatmap_keypoints(cells, boxes, ["image_id"], "image_id", 8, 8)
+    return k.select("image_id", F.round("px", 9).alias("px"), F.round("py", 9).alias("py"), "confidence")

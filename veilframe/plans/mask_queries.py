@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
@@ -45,13 +47,27 @@ def m03(spark, d):
     return masks(spark, d).groupBy("image_id").agg(F.count_if("hit").alias("area"))
 
 
-@query("m04_polygon_fill")
+#: The polygons have level upper and lower edges, so a row of cells is filled between its two slanted edges; edges are drawn cell by cell.
+@query("m04_polygon_fill", """WITH p AS MATERIALIZED (SELECT image_id, det_id, CAST(floor(x0 / 40.0) AS BIGINT) AS a, CAST(floor(y0 / 40.0) AS BIGINT) AS t, CAST(floor(x1 / 40.0) AS BIGINT) AS b, CAST(floor(y1 / 40.0) AS BIGINT) AS l, det_id % 3 AS s FROM boxes),
+ e AS (SELECT image_id, det_id, a + s AS ax, t AS ay, b + s AS bx, t AS by_ FROM p UNION ALL SELECT image_id, det_id, b + s, t, b, l FROM p UNION ALL SELECT image_id, det_id, b, l, a, l FROM p UNION ALL SELECT image_id, det_id, a, l, a + s, t FROM p),
+ n AS (SELECT *, greatest(abs(bx - ax), abs(by_ - ay), 1) AS n FROM e),
+ edge AS (SELECT image_id, det_id, CAST(floor(ax + (bx - ax) * i / CAST(n AS DOUBLE) + 0.5) AS BIGINT) AS x, CAST(floor(ay + (by_ - ay) * i / CAST(n AS DOUBLE) + 0.5) AS BIGINT) AS y FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM n)),
+ fill AS (SELECT image_id, det_id, x, y FROM (SELECT *, unnest(range(0, 16)) AS x FROM (SELECT *, unnest(range(t, l)) AS y FROM p WHERE l > t)) WHERE x >= (s * -1.0) * (y - t) / (l - t) + a + s AND x < (s * -1.0) * (y - t) / (l - t) + b + s),
+ cells AS (SELECT DISTINCT image_id, det_id, x, y FROM (SELECT image_id, det_id, x, y FROM edge UNION ALL SELECT image_id, det_id, x, y FROM fill) WHERE x >= 0 AND x < 16 AND y >= 0 AND y < 12)
+SELECT p.image_id, p.det_id, count(x) AS n, CAST(coalesce(sum(16 * y + x), 0) AS BIGINT) AS places FROM p LEFT JOIN cells USING (image_id, det_id) GROUP BY p.image_id, p.det_id""")
 def m04(spark, d):
+    """Filled cells of each 16 x 12 mask, and the sum of their places."""
+
+    @F.pandas_udf("struct<n: bigint, places: bigint>")
+    def summary(packed: pd.Series) -> pd.DataFrame:
+        bits = np.unpackbits(np.stack([np.frombuffer(m, np.uint8) for m in packed]), axis=1).astype(np.int64)
+        return pd.DataFrame({"n": bits.sum(1), "places": (bits * np.arange(192)).sum(1)})
+
     p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    s = c("det_id") % 5
-    x0, y0, x1, y1 = (F.floor(c(n) / 10.0) for n in ("x0", "y0", "x1", "y1"))
-    rows = R.boxes(spark, d).select("image_id", "det_id", M.polygon_udf(64, 48)(F.array(p(x0 + s, y0), p(x1 + s, y0), p(x1, y1), p(x0, y1))).alias("m"))
-    return rows.select("image_id", "det_id", F.md5("m").alias("digest"))
+    s = c("det_id") % 3
+    x0, y0, x1, y1 = (F.floor(c(n) / 40.0) for n in ("x0", "y0", "x1", "y1"))
+    rows = R.boxes(spark, d).select("image_id", "det_id", summary(M.polygon_udf(16, 12)(F.array(p(x0 + s, y0), p(x1 + s, y0), p(x1, y1), p(x0, y1)))).alias("m"))
+    return rows.select("image_id", "det_id", c("m")["n"].alias("n"), c("m")["places"].alias("places"))
 
 
 @query("m05_dilate", f"SELECT o.image_id, o.y, o.x, bool_or(i.v >= 128) AS hit FROM pixels o JOIN pixels i ON i.image_id = o.image_id AND (i.x - o.x) * (i.x - o.x) + (i.y - o.y) * (i.y - o.y) <= 4 GROUP BY o.image_id, o.y, o.x")
@@ -66,10 +82,10 @@ def m06(spark, d):
     return M.erode(R.pixels(spark, d).withColumn("hit", c("v") >= 100), M.square(1), 8, 8)
 
 
-@query("m07_strip_padding", f"SELECT image_id, y, x, {HIT} AND x >= floor((image_id % 7) * 0.5) AND y >= floor((image_id % 9) * 0.5) AS hit FROM pixels")
+@query("m07_strip_padding", f"SELECT image_id, y, x, {HIT} AND NOT (x < floor((image_id % 7) * 0.5) OR y < floor((image_id % 9) * 0.5) OR x >= 8 - floor((image_id % 4) * 0.5) OR y >= 8 - floor((image_id % 6) * 0.5)) AS hit FROM pixels")
 def m07(spark, d):
-    pads = {"pad_left": c("image_id") % 7, "pad_top": c("image_id") % 9}
-    return masks(spark, d).select("image_id", "y", "x", M.strip_padding(c("hit"), pads, F.lit(0.5)).alias("hit"))
+    pads = {"pad_left": c("image_id") % 7, "pad_top": c("image_id") % 9, "pad_right": c("image_id") % 4, "pad_bottom": c("image_id") % 6}
+    return masks(spark, d).select("image_id", "y", "x", M.strip_padding(c("hit"), pads, F.lit(0.5), 8, 8).alias("hit"))
 
 
 @query("m08_mask_iou", "SELECT image_id, count(*) FILTER (a >= 128 AND b >= 128) AS n_and, count(*) FILTER (a >= 128 OR b >= 128) AS n_or, CASE WHEN count(*) FILTER (a >= 128 OR b >= 128) > 0 THEN count(*) FILTER (a >= 128 AND b >= 128) / CAST(count(*) FILTER (a >= 128 OR b >= 128) AS DOUBLE) END AS iou FROM pairs GROUP BY image_id")
@@ -131,7 +147,11 @@ def m17(spark, d):
     return M.otsu(R.pixels(spark, d))
 
 
-@query("m18_region_boxes")
+@query("m18_region_boxes", """WITH RECURSIVE h AS MATERIALIZED (SELECT image_id, y, x, 8 * y + x AS id FROM pixels WHERE v > 150),
+ near AS MATERIALIZED (SELECT a.image_id, a.id AS a, b.id AS b FROM h a JOIN h b ON b.image_id = a.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id),
+ reach AS (SELECT image_id, id AS node, id AS top FROM h UNION SELECT r.image_id, n.b, r.top FROM reach r JOIN near n ON n.image_id = r.image_id AND n.a = r.node AND r.top < n.b),
+ label AS (SELECT image_id, node, min(top) AS top FROM reach GROUP BY image_id, node)
+SELECT image_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY top) - 1 AS INT) AS region, CAST(min(node % 8) AS INT) AS x0, CAST(min(node // 8) AS INT) AS y0, CAST(max(node % 8) + 1 AS INT) AS x1, CAST(max(node // 8) + 1 AS INT) AS y1 FROM label GROUP BY image_id, top""")
 def m18(spark, d):
     rows = R.images(spark, d).select("image_id", F.posexplode(M.regions_udf(8, 8, 150)("px")).alias("region", "b"))
     return rows.select("image_id", "region", *[F.get("b", F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])

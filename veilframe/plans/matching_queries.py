@@ -9,7 +9,6 @@ from ..functions.registry import query
 from ..operators import matching as M
 
 c = F.col
-EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "JPG", "JPEG", "PNG", "BMP", "TIFF")
 #: DuckDB: greedy one-to-one fold over an ordered list of pairs {i, j}.
 FOLD = "list_reduce(list_prepend({{'i': CAST(NULL AS BIGINT), 'j': CAST(NULL AS BIGINT), 'm': CAST([] AS STRUCT(i BIGINT, j BIGINT)[])}}, list_transform({p}, lambda t: {{'i': t.i, 'j': t.j, 'm': CAST([] AS STRUCT(i BIGINT, j BIGINT)[])}})), lambda a, e: CASE WHEN len(list_filter(a.m, lambda q: q.i = e.i OR q.j = e.j)) > 0 THEN a ELSE {{'i': a.i, 'j': a.j, 'm': list_append(a.m, {{'i': e.i, 'j': e.j}})}} END).m"
 
@@ -28,11 +27,18 @@ def kind(spark, d, name):
     return R.boxes(spark, d).filter(c("kind") == name)
 
 
-@query("j01_extension_priority", """WITH f AS (SELECT l_orderkey AS stem, l_linenumber % 4 AS rank, l_partkey AS file FROM lineitem)
-SELECT stem, rank, file FROM f QUALIFY row_number() OVER (PARTITION BY stem ORDER BY rank, file) = 1""")
+#: Suffixes that files of the query have; the last one isn't an image's.
+_HAVE = "['TIFF', 'png', 'JPG', 'jpeg', 'bmp', 'jpg', 'BMP', 'PNG', 'JPEG', 'tiff', 'gif']"
+
+
+@query("j01_extension_priority", f"""WITH f AS (SELECT l_orderkey AS stem, {_HAVE}[1 + (l_partkey + l_linenumber) % 11] AS ext, l_suppkey AS file FROM lineitem),
+ r AS (SELECT *, CASE lower(ext) WHEN 'jpg' THEN 1 WHEN 'jpeg' THEN 2 WHEN 'png' THEN 3 WHEN 'bmp' THEN 4 WHEN 'tiff' THEN 5 END + CAST(CASE WHEN ext = upper(ext) THEN 5 ELSE 0 END AS BIGINT) AS rank FROM f)
+SELECT stem, ext, file, rank FROM r WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY stem ORDER BY rank, file) = 1""")
 def j01(spark, d):
-    f = R.table(spark, d, "lineitem").select(c("l_orderkey").alias("stem"), (c("l_linenumber") % 4).alias("rank"), c("l_partkey").alias("file"))
-    return M.first_by_priority(f, "stem", c("rank"), "file")
+    have = F.array(*[F.lit(x) for x in _HAVE.strip("[]").replace("'", "").split(", ")])
+    f = R.table(spark, d, "lineitem").select(c("l_orderkey").alias("stem"), F.get(have, ((c("l_partkey") + c("l_linenumber")) % 11).cast("int")).alias("ext"), c("l_suppkey").alias("file"))
+    f = f.withColumn("rank", M.extension_rank(c("ext"))).filter("rank is not null")
+    return M.first_by_priority(f, "stem", c("rank"), "file").select("stem", "ext", "file", "rank")
 
 
 @query("j02_frames_left_boxes", "SELECT f.video_id, f.frame_no, count(b.det_id) AS n FROM frames f LEFT JOIN boxes b ON b.image_id = f.image_id GROUP BY f.video_id, f.frame_no")
@@ -68,8 +74,8 @@ def j06(spark, d):
     return M.match_by_score(kind(spark, d, "face"), kind(spark, d, "person"), 0.01)[0]
 
 
-@query("j07_near_misses", f"""WITH a AS {ABOVE}, m AS {MATCHES}, s AS (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {pair_sql('face', 'person')} p)
-SELECT image_id, det_id, o_det_id FROM s WHERE iou > 1e-7 AND iou <= 0.01 AND NOT EXISTS (SELECT 1 FROM a WHERE a.image_id = s.image_id AND a.det_id = s.det_id) AND NOT EXISTS (SELECT 1 FROM m WHERE m.image_id = s.image_id AND m.o_det_id = s.o_det_id)""")
+@query("j07_near_misses", f"""WITH a AS MATERIALIZED {ABOVE}, m AS MATERIALIZED {fold_sql("a", "-iou, -score, rivals, det_id, o_det_id")}, s AS MATERIALIZED (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {pair_sql('face', 'person')} p)
+SELECT image_id, det_id, o_det_id FROM s WHERE iou > 1e-7 AND iou <= 0.01 AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM a) AND (image_id, o_det_id) NOT IN (SELECT (image_id, o_det_id) FROM m)""")
 def j07(spark, d):
     return M.match_by_score(kind(spark, d, "face"), kind(spark, d, "person"), 0.01)[1]
 
@@ -90,7 +96,7 @@ def j09(spark, d):
     return M.not_inside(b.filter("kind = 'face'"), b.filter("kind in ('person', 'person_cse')")).select("image_id", "det_id")
 
 
-@query("j10_unmatched_persons", f"SELECT image_id, det_id FROM boxes b WHERE kind = 'person' AND NOT EXISTS (SELECT 1 FROM {fold_sql('(SELECT * FROM ' + pair_sql('person', 'person_cse') + ' p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.2) p', 'det_id, o_det_id')} m WHERE m.image_id = b.image_id AND m.det_id = b.det_id)")
+@query("j10_unmatched_persons", f"WITH m AS MATERIALIZED {fold_sql('(SELECT * FROM ' + pair_sql('person', 'person_cse') + ' p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.2) p', 'det_id, o_det_id')} SELECT image_id, det_id FROM boxes b WHERE kind = 'person' AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM m)")
 def j10(spark, d):
     people = kind(spark, d, "person")
     return people.join(M.match_in_order(people, kind(spark, d, "person_cse"), 0.2), ["image_id", "det_id"], "left_anti").select("image_id", "det_id")

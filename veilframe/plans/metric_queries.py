@@ -8,6 +8,8 @@ from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import latent as L
 from ..operators import metrics as A
+from ..operators import keypoints as K
+from .keypoint_queries import SIGMA2
 from .pixel_queries import list_sql
 from ..operators.pixels import gaussian
 
@@ -68,13 +70,30 @@ def a08c(spark, d):
     return A.moments(f, "part")[1].select("part", "i", "j", F.round("cov", 9).alias("cov"))
 
 
-@query("a08_frechet_distance")
-def a08d(spark, d):
-    f = R.features(spark, d).withColumn("part", c("vec_id") % 2)
-    value = A.frechet_distance(f, "part", 0, 1)
+def frechet_sql(rel: str) -> str:
+    """Of two-dimensional Gaussians: the trace of the root of a 2 x 2 product is sqrt(trace + 2 sqrt(determinant))."""
+    one = lambda part: f"(SELECT avg(u) AS mu, avg(w) AS mw, var_samp(u) AS uu, var_samp(w) AS ww, covar_samp(u, w) AS uw FROM v WHERE part = {part})"
+    return f"""WITH v AS (SELECT vec_id % 2 AS part, max(CASE WHEN i = 1 THEN e END) AS u, max(CASE WHEN i = 2 THEN e END) AS w FROM {rel} GROUP BY vec_id)
+SELECT 'even-odd' AS pair, round((a.mu - b.mu) * (a.mu - b.mu) + (a.mw - b.mw) * (a.mw - b.mw) + a.uu + a.ww + b.uu + b.ww
+ - 2 * sqrt(a.uu * b.uu + 2 * a.uw * b.uw + a.ww * b.ww + 2 * sqrt((a.uu * a.ww - a.uw * a.uw) * (b.uu * b.ww - b.uw * b.uw))), 6) AS distance FROM {one(0)} a, {one(1)} b"""
+
+
+def frechet_of_two(spark, features):
+    value = A.frechet_distance(features.withColumn("part", c("vec_id") % 2).withColumn("vec", F.slice("vec", 1, 2)), "part", 0, 1)
     return spark.range(1).select(F.lit("even-odd").alias("pair"), F.lit(round(value, 6)).alias("distance"))
 
 
+@query("a08_frechet_distance", frechet_sql("features"))
+def a08d(spark, d):
+    return frechet_of_two(spark, R.features(spark, d))
+
+
+@query("a10_normalised_frechet", frechet_sql("(SELECT vec_id, i, e / sqrt(sum(e * e) OVER (PARTITION BY vec_id)) AS e FROM features)"))
+def a10(spark, d):
+    """The same distance over features of length one, as of a text-image model; the model is the caller's, its features are a column."""
+    return frechet_of_two(spark, R.features(spark, d).withColumn("vec", A.unit(c("vec"))))
+
+
 @query("a09_feature_diversity", "SELECT round(avg(d), 6) AS diversity, count(*) AS n FROM (SELECT f.vec_id, sum((f.e - g.e) * (f.e - g.e)) AS d FROM features f JOIN features g ON g.vec_id = f.vec_id + 1 AND g.i = f.i WHERE f.vec_id % 2 = 0 GROUP BY f.vec_id) q")
 def a09(spark, d):
     f = R.features(spark, d)
@@ -83,7 +102,7 @@ def a09(spark, d):
 
 
 @query("a11_path_length_trimmed", """WITH q AS (SELECT f.vec_id, round(sum((f.e - g.e) * (f.e - g.e)) / 1e-4, 6) AS v FROM features f JOIN features g ON g.vec_id = f.vec_id + 1 AND g.i = f.i GROUP BY f.vec_id),
- b AS (SELECT quantile_disc(v, 0.01) AS lo, quantile_disc(v, 0.99) AS hi FROM q)
+ b AS (SELECT min(v) AS lo, max(v) AS hi FROM (SELECT v, row_number() OVER (ORDER BY v) - 1 AS r, count(*) OVER () AS n FROM q) z WHERE r IN (floor(0.01e0 * (n - 1)), ceil(0.99e0 * (n - 1))))
 SELECT count(*) AS n, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS std FROM q, b WHERE v >= lo AND v <= hi""")
 def a11(spark, d):
     f = R.features(spark, d)
@@ -92,16 +111,23 @@ def a11(spark, d):
     return t.select("n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
-@query("a12_mean_oks", "SELECT kind, round(avg(score), 9) AS mean_score, count(*) FILTER (det_id % 7 <> 0) AS n FROM (SELECT kind, det_id, CASE WHEN det_id % 7 <> 0 THEN score END AS score FROM boxes) q GROUP BY kind")
+@query("a12_mean_oks", f"""WITH o AS (SELECT image_id, det_id, avg(CASE WHEN v > 0 THEN exp(-(CAST((det_id % 7) * (det_id % 7) + ((k + det_id) % 5) * ((k + det_id) % 5) AS DOUBLE) / {SIGMA2}[k + 1] / (CAST((x1 - x0) * (y1 - y0) AS DOUBLE) + 2.220446049250313e-16) / 2)) END) AS oks
+ FROM (SELECT * REPLACE (CASE WHEN det_id % 7 <> 0 THEN v ELSE 0 END AS v) FROM kps) k GROUP BY image_id, det_id)
+SELECT kind, round(avg(oks), 6) AS mean, count(oks) AS n FROM boxes JOIN o USING (image_id, det_id) GROUP BY kind""")
 def a12(spark, d):
-    b = R.boxes(spark, d).withColumn("s", F.when(c("det_id") % 7 != 0, c("score")))
-    return b.groupBy("kind").agg(F.round(F.avg("s"), 9).alias("mean_score"), F.count("s").alias("n"))
+    """Every seventh detection has no visible joint, so no similarity."""
+    k = R.keypoints(spark, d)
+    seen = F.when(c("det_id") % 7 != 0, 1).otherwise(0)
+    truth = F.transform("kps", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (p["v"] * seen).alias("v")))
+    found = F.transform("kps", lambda p, i: F.struct((p["x"] + c("det_id") % 7).alias("x"), (p["y"] + (i + c("det_id")) % 5).alias("y"), p["v"].alias("v")))
+    area = ((c("x1") - c("x0")) * (c("y1") - c("y0"))).cast("double")
+    m = A.mean_of_present(k.withColumn("oks", K.oks(found, truth, area)), "kind", c("oks"))
+    return m.select("kind", F.round("mean", 6).alias("mean"), "n")
 
 
 @query("a13_match_counters", "SELECT count(*) AS instances, count(*) FILTER (score > 0.5) AS matched, count(*) FILTER (score <= 0.5 AND kind = 'face') AS filtered FROM boxes")
 def a13(spark, d):
-    b = R.boxes(spark, d)
-    return b.agg(F.count("*").alias("instances"), F.count_if(c("score") > 0.5).alias("matched"), F.count_if((c("score") <= 0.5) & (c("kind") == "face")).alias("filtered"))
+    return A.counters(R.boxes(spark, d), matched=c("score") > 0.5, filtered=(c("score") <= 0.5) & (c("kind") == "face"))
 
 
 @query("a14_box_statistics", "SELECT kind, round(avg(sqrt((x1 - x0) * (y1 - y0))), 6) AS mean_side, round(avg(x1 - x0), 6) AS mean_w, round(avg(y1 - y0), 6) AS mean_h, round(avg(CASE WHEN x1 - x0 > 160 AND y1 - y0 > 288 THEN 1.0 ELSE 0.0 END), 6) AS share_large FROM boxes GROUP BY kind")
@@ -111,11 +137,13 @@ def a14(spark, d):
     return R.boxes(spark, d).groupBy("kind").agg(F.round(F.avg(F.sqrt(w * h)), 6).alias("mean_side"), F.round(F.avg(w), 6).alias("mean_w"), F.round(F.avg(h), 6).alias("mean_h"), F.round(F.avg(large), 6).alias("share_large"))
 
 
-@query("a15_boxes_per_frame", "SELECT image_id, count(*) AS n, string_agg(CAST(x0 AS VARCHAR), ',' ORDER BY det_id) AS xs, min(x0) FILTER (det_id = 1) AS first_again FROM boxes GROUP BY image_id")
+@query("a15_boxes_per_frame", "SELECT image_id, count(*) AS n, count(*) + 1 AS n_strict, string_agg(CAST(x0 AS VARCHAR), ',' ORDER BY det_id) AS xs, CAST(arg_min(x0, det_id) AS VARCHAR) || ',' || string_agg(CAST(x0 AS VARCHAR), ',' ORDER BY det_id) AS xs_strict FROM boxes GROUP BY image_id")
 def a15(spark, d):
-    """The boxes of a frame in order; ``first_again`` is the box that strict compatibility lists twice."""
-    g = R.boxes(spark, d).groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("det_id", "x0"))).alias("p"))
-    return g.select("image_id", F.size("p").cast("long").alias("n"), F.array_join(F.transform("p", lambda p: p["x0"].cast("string")), ",").alias("xs"), F.get("p", F.lit(0))["x0"].alias("first_again"))
+    """The boxes of a frame in order, plain and with the first one twice."""
+    one = lambda strict: A.boxes_per_frame(R.boxes(spark, d), "image_id", "det_id", ["x0"], strict)
+    text = F.array_join(F.transform("boxes", lambda p: p["x0"].cast("string")), ",")
+    plain, strict = one(False).select("image_id", F.size("boxes").cast("long").alias("n"), text.alias("xs")), one(True).select("image_id", F.size("boxes").cast("long").alias("n_strict"), text.alias("xs_strict"))
+    return plain.join(strict, "image_id")
 
 
 @query("a16_running_average", "SELECT user_id, round(list_reduce(list(value ORDER BY ts, event_id), lambda a, x: a * 0.9e0 + x * 0.1e0), 6) AS ema FROM (SELECT user_id, ts, event_id, value FROM events UNION ALL SELECT user_id, ts, -1, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1) q GROUP BY user_id")
@@ -141,7 +169,7 @@ def a18(spark, d):
 @query("a19_status_counters", "SELECT CASE WHEN score < 0.1 THEN 'no_region' WHEN score > 0.95 THEN 'error_passthrough' ELSE 'ok' END AS status, count(*) AS n FROM boxes GROUP BY ALL")
 def a19(spark, d):
     status = F.when(c("score") < 0.1, "no_region").when(c("score") > 0.95, "error_passthrough").otherwise("ok")
-    return R.boxes(spark, d).groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    return A.status_counts(R.boxes(spark, d), status)
 
 
 @query("a20_metric_report", "SELECT image_id, round(avg(((a - b) / 255.0) * ((a - b) / 255.0)), 9) AS mse, round(avg(abs(a - b)), 9) AS age FROM pairs GROUP BY image_id")
@@ -194,11 +222,11 @@ def l04(spark, d):
     return z.select("vec_id", (F.array_max(F.transform("z", F.abs)) < 1.0).alias("within"))
 
 
-@query("l05_track_identity", "SELECT user_id AS video_id, event_type AS track, count(*) AS n, 1 AS seeds FROM events GROUP BY user_id, event_type")
+@query("l05_track_identity", "SELECT user_id AS video_id, count(*) AS n, count(DISTINCT event_type) AS identities FROM events GROUP BY user_id")
 def l05(spark, d):
+    """As many identities as tracks, however many frames."""
     e = R.table(spark, d, "events").withColumn("seed", L.track_seed(c("user_id"), c("event_type")))
-    g = e.groupBy(c("user_id").alias("video_id"), c("event_type").alias("track")).agg(F.count("*").alias("n"), F.count_distinct("seed").cast("int").alias("seeds"))
-    return g
+    return e.groupBy(c("user_id").alias("video_id")).agg(F.count("*").alias("n"), F.count_distinct("seed").alias("identities"))
 
 
 @query("l06_detection_cache", "SELECT doc_id, md5(text) AS digest, (doc_id > min(doc_id) OVER (PARTITION BY md5(text))) AS cached FROM documents")
@@ -209,9 +237,10 @@ def l06(spark, d):
     return known.join(first, "digest").select(c("image_id").alias("doc_id"), "digest", (c("cached") & (c("image_id") > c("first"))).alias("cached"))
 
 
-@query("l07_frame_index", "SELECT video_id, frame_no, image_id FROM frames")
+@query("l07_frame_index", "SELECT a.event_id AS image_id, count(*) AS frame_no FROM events a JOIN events b ON b.user_id = a.user_id AND (b.ts < a.ts OR (b.ts = a.ts AND b.event_id <= a.event_id)) GROUP BY a.event_id")
 def l07(spark, d):
-    return R.frames(spark, d).select("video_id", "frame_no", "image_id")
+    e = R.table(spark, d, "events").select(c("user_id").alias("video_id"), "ts", c("event_id").alias("image_id"))
+    return L.frame_index(e, "video_id", ["ts", "image_id"]).select("image_id", "frame_no")
 
 
 @query("l08_latest_frame_per_tick", "SELECT user_id AS video_id, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS tick, arg_max(event_id, {'t': ts, 'e': event_id}) AS image_id, count(*) - 1 AS dropped FROM events GROUP BY ALL")

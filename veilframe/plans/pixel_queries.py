@@ -66,7 +66,7 @@ def x04(spark, d):
     return R.pixels(spark, d).select(*P, X.mask_out(c("v"), ~hole()).alias("v"))
 
 
-@query("x05_noise_out")
+@query("x05_noise_out", f"SELECT image_id, y, x, CASE WHEN NOT {HOLE} THEN v ELSE CAST(round_even((CAST('0x' || substr(md5(image_id || '-' || y || '-' || x), 1, 5) AS BIGINT) / 1048576.0 + 1) * 127.5, 0) AS BIGINT) END AS v FROM pixels")
 def x05(spark, d):
     return R.pixels(spark, d).select(*P, X.noise_out(c("v"), ~hole(), c("image_id"), c("y"), c("x")).alias("v"))
 

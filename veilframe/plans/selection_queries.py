@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -65,7 +67,7 @@ def f09(spark, d):
     return S.batches(R.boxes(spark, d), "image_id", ["det_id"], 4).select(*ID, "batch_no", "n_batches")
 
 
-@query("f10_percentile_trim", "WITH b AS (SELECT quantile_disc(value, 0.05) AS lo, quantile_disc(value, 0.95) AS hi FROM events) SELECT count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM events, b WHERE value >= lo AND value <= hi")
+@query("f10_percentile_trim", "WITH b AS (SELECT min(value) AS lo, max(value) AS hi FROM (SELECT value, row_number() OVER (ORDER BY value) - 1 AS r, count(*) OVER () AS n FROM events) z WHERE r IN (floor(0.05e0 * (n - 1)), ceil(0.95e0 * (n - 1)))) SELECT count(*) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM events, b WHERE value >= lo AND value <= hi")
 def f10(spark, d):
     from ..operators.metrics import trimmed
 
@@ -152,21 +154,45 @@ def s06(spark, d):
     return scan.positions(rows, [c("k")["text"], c("k")["number"], c("k")["path"], c("page_id")]).select("page_id", "pos")
 
 
+#: Where a pixel of the upright image lies in the stored one, by orientation.
+_TURNS = ((1, "y", "x"), (2, "y", "7 - x"), (3, "7 - y", "7 - x"), (4, "7 - y", "x"), (5, "x", "y"), (6, "7 - x", "y"), (7, "7 - x", "7 - y"), (8, "x", "7 - y"))
+_UPRIGHT = " UNION ALL ".join(f"SELECT image_id, y, x, {sy} AS sy, {sx} AS sx FROM pixels WHERE image_id % 8 + 1 = {o}" for o, sy, sx in _TURNS)
+
+
+@query("s07_upright", f"SELECT u.image_id, u.y, u.x, p.v FROM ({_UPRIGHT}) u JOIN pixels p ON p.image_id = u.image_id AND p.y = u.sy AND p.x = u.sx")
+def s07(spark, d):
+    """Images whose orientation is read from an EXIF block and undone."""
+    from ..sources import formats
+
+    @F.pandas_udf("array<int>")
+    def upright(image_id: pd.Series, px: pd.Series) -> pd.Series:
+        out = []
+        for i, p in zip(image_id, px, strict=True):
+            turn = formats.exif_orientation(formats.exif_block(int(i) % 8 + 1))
+            out.append(formats.orient(np.reshape(p, (8, 8)), turn).ravel().astype(np.int32))
+        return pd.Series(out)
+
+    rows = R.images(spark, d).select("image_id", F.posexplode(upright("image_id", "px")).alias("at", "v"))
+    return rows.select("image_id", F.floor(c("at") / 8).cast("long").alias("y"), (c("at") % 8).cast("long").alias("x"), c("v").cast("long").alias("v"))
+
+
 @query("s08_parse_yolo", "SELECT image_id, det_id, round(xc, 9) AS xc, round(yc, 9) AS yc, round(w, 9) AS w, round(h, 9) AS h FROM yolo")
 def s08(spark, d):
     line = F.concat_ws(" ", c("kind_rank").cast("string"), *[c(n).cast("string") for n in ("xc", "yc", "w", "h")])
     return R.yolo(spark, d).select(*ID, line.alias("line")).select(*ID, *scan.parse_yolo(c("line"))).select(*ID, *[F.round(n, 9).alias(n) for n in ("xc", "yc", "w", "h")])
 
 
-@query("s09_parse_polygon", "SELECT image_id, det_id, 4 AS n, x0 + det_id % 5 AS first_x, y1 AS last_y FROM boxes")
+@query("s09_parse_polygon", """SELECT image_id, det_id, 3 + det_id % 3 AS n, x0 + det_id % 5 AS first_x, CASE det_id % 3 WHEN 2 THEN y0 + 9 ELSE y1 END AS last_y,
+ 2 * x1 + x0 + 2 * (det_id % 5) + CASE det_id % 3 WHEN 0 THEN 0 WHEN 1 THEN x0 ELSE 2 * x0 + 7 END AS sum_x FROM boxes""")
 def s09(spark, d):
+    """Polygons of three to five corners, by spaces or by commas."""
     s = c("det_id") % 5
-    values = [c("x0") + s, c("y0"), c("x1") + s, c("y0"), c("x1"), c("y1"), c("x0"), c("y1")]
-    sep = F.when(c("det_id") % 2 == 0, F.lit(",")).otherwise(F.lit(" "))
-    line = F.concat(F.array_join(F.array(*[v.cast("string") for v in values]), " "), F.lit("##text"))
-    line = F.when(c("det_id") % 2 == 0, F.replace(line, F.lit(" "), sep)).otherwise(line)
+    values = [c("x0") + s, c("y0"), c("x1") + s, c("y0"), c("x1"), c("y1"), c("x0"), c("y1"), c("x0") + 7, c("y0") + 9]
+    some = F.slice(F.array(*[v.cast("string") for v in values]), F.lit(1), (6 + 2 * (c("det_id") % 3)).cast("int"))
+    line = F.concat(F.when(c("det_id") % 2 == 0, F.array_join(some, ",")).otherwise(F.array_join(some, " ")), F.lit("##text 1 2"))
     p = R.boxes(spark, d).withColumn("p", scan.parse_polygon(line))
-    return p.select(*ID, F.size("p").alias("n"), F.get("p", F.lit(0))["x"].cast("long").alias("first_x"), F.get("p", F.size("p") - 1)["y"].cast("long").alias("last_y"))
+    xs = F.aggregate("p", F.lit(0).cast("long"), lambda a, q: a + q["x"])
+    return p.select(*ID, F.size("p").cast("long").alias("n"), F.get("p", F.lit(0))["x"].cast("long").alias("first_x"), F.get("p", F.size("p") - 1)["y"].cast("long").alias("last_y"), xs.alias("sum_x"))
 
 
 @query("s10_training_triples", "SELECT event_id, 's' || user_id || '-' || 'c' || event_type AS key FROM events")
@@ -186,6 +212,24 @@ def s11(spark, d):
     return scan.detection_rows(rows).select("image_id", "pos", "x0", "y1", "keypoint_index")
 
 
+@query("s12_mask_decode", "SELECT image_id, count(*) FILTER (v >= 128) AS area, CAST(coalesce(sum(8 * y + x) FILTER (v >= 128), 0) AS BIGINT) AS places, 12 AS polygon_area FROM pixels GROUP BY image_id")
+def s12(spark, d):
+    """Masks as run lengths, column by column, plain and as text, and as polygons, decoded to bits."""
+    from ..operators import masks as M
+
+    @F.pandas_udf("struct<area: bigint, places: bigint, polygon_area: int>")
+    def decode(px: pd.Series) -> pd.DataFrame:
+        rows = []
+        for p in px:
+            runs = M.encode_runs(np.reshape(p, (8, 8)) >= 128)
+            plain, text = M.decode_mask({"size": [8, 8], "counts": runs}, 8, 8), M.decode_mask({"size": [8, 8], "counts": M.runs_to_text(runs)}, 8, 8)
+            both = plain & text
+            rows.append((int(both.sum()), int(np.flatnonzero(both).sum()), int(M.decode_mask([[1, 1, 4, 1, 4, 3, 1, 3]], 8, 8).sum())))
+        return pd.DataFrame(rows, columns=["area", "places", "polygon_area"])
+
+    return R.images(spark, d).select("image_id", decode("px").alias("m")).select("image_id", "m.*")
+
+
 @query("s13_images_with_persons", "SELECT f.image_id, b.det_id FROM (SELECT DISTINCT image_id FROM boxes) f LEFT JOIN (SELECT * FROM boxes WHERE det_id % 5 <> 0 AND kind_rank = 0 AND score > 0.9) b USING (image_id)")
 def s13(spark, d):
     b = R.boxes(spark, d)
@@ -193,6 +237,17 @@ def s13(spark, d):
     return scan.with_persons(b.select("image_id").distinct(), ann).select("image_id", "det_id")
 
 
+@query("s14_tar_shards", "SELECT image_id, image_id % 5 AS label, CAST(sum(v * (8 * y + x + 1)) AS BIGINT) AS weighted FROM pixels GROUP BY image_id")
+def s14(spark, d):
+    """Images written to tar shards as PNG with a text beside, read back and decoded by suffix."""
+    from ..sources import formats
+
+    shards = formats.write_tar(R.images(spark, d).select(c("image_id").cast("string").alias("key"), formats.png_of("px", 8, 8).alias("png"), (c("image_id") % 5).cast("string").alias("txt")), 7)
+    samples = formats.decoded_samples(formats.tar_samples(shards))
+    weighted = F.aggregate(F.transform("image", lambda v, i: v * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return samples.select(c("key").cast("long").alias("image_id"), c("text").cast("long").alias("label"), weighted.alias("weighted"))
+
+
 @query("s15_positional_zip", "SELECT a.vec_id, b.page_id FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings) a JOIN (SELECT page_id, row_number() OVER (ORDER BY page_id DESC) AS r FROM pages) b USING (r)")
 def s15(spark, d):
     a, b = R.table(spark, d, "embeddings").select("vec_id"), R.table(spark, d, "pages").select("page_id")
@@ -231,6 +286,20 @@ def s21(spark, d):
     return R.frames(spark, d).groupBy("video_id").agg(F.count("*").alias("n_frames"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
+@query("s22_frame_stream", "SELECT user_id AS video_id, count(*) AS n, max(event_id) AS last FROM events GROUP BY user_id")
+def s22(spark, d):
+    """Frames that arrive as files, newest first, through a stream into a table."""
+    from ..functions.storage import shared_dir
+    from ..streaming.frames import frame_stream
+
+    at = f"{shared_dir(spark).rstrip('/')}/frames-{uuid.uuid4().hex}"
+    rows = R.table(spark, d, "events").select(c("user_id").alias("video_id"), c("event_type").alias("track"), c("ts").cast("timestamp").alias("ts"), c("event_id").alias("image_id"))
+    rows.repartitionByRange(4, "ts").write.parquet(f"{at}/in")
+    stream = frame_stream(spark, f"{at}/in", latest_only=True).writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/out")
+    stream.awaitTermination()
+    return spark.read.parquet(f"{at}/out").groupBy("video_id").agg(F.count("*").alias("n"), F.max("image_id").alias("last"))
+
+
 @query("s23_numeric_stem", f"SELECT page_id, TRY_CAST(NULLIF(regexp_extract(stem, '([0-9]+)$', 1), '') AS BIGINT) AS n FROM ({STEMS}) q")
 def s23(spark, d):
     return R.files(spark, d).select("page_id", F.try_to_number(scan.stem(c("path")), F.lit("9" * 18)).cast("long").alias("n"))
@@ -243,14 +312,15 @@ NEW = "SELECT image_id, min(det_id) AS new FROM boxes WHERE score > 0.9 GROUP BY
 
 
 def results(spark, d):
+    """Every tenth image has no result row at all."""
     from ..sources import sinks
 
     images = R.boxes(spark, d).select("image_id").distinct().withColumn("orig", c("image_id"))
-    b = R.boxes(spark, d).groupBy("image_id").agg(F.min(F.when(c("score") > 0.9, c("det_id"))).alias("new"), F.when(F.min("score") > 0.05, F.lit("failed")).alias("error"))
+    b = R.boxes(spark, d).filter("image_id % 10 <> 0").groupBy("image_id").agg(F.min(F.when(c("score") > 0.9, c("det_id"))).alias("new"), F.when(F.min("score") > 0.05, F.lit("failed")).alias("error"))
     return sinks, images, b
 
 
-STATUS = "SELECT image_id, image_id AS orig, min(det_id) FILTER (score > 0.9) AS new, CASE WHEN min(score) > 0.05 THEN 'failed' END AS error FROM boxes GROUP BY image_id"
+STATUS = "SELECT image_id, image_id AS orig, image_id % 10 = 0 AS missing, min(det_id) FILTER (score > 0.9 AND image_id % 10 <> 0) AS new, CASE WHEN min(score) > 0.05 AND image_id % 10 <> 0 THEN 'failed' END AS error FROM boxes GROUP BY image_id"
 
 
 @query("k01_detected_only", f"SELECT image_id, new AS out FROM ({STATUS}) q WHERE new IS NOT NULL")
@@ -265,13 +335,13 @@ def k02(spark, d):
     return sinks.with_results(images, b, "image_id", "orig", F.lit(-1), "passthrough").select("image_id", "out")
 
 
-@query("k03_status", f"SELECT image_id, CASE WHEN new IS NOT NULL THEN 'ok' WHEN error IS NOT NULL THEN 'error' ELSE 'no_region' END AS status, CASE WHEN new IS NOT NULL THEN new WHEN error IS NOT NULL THEN -1 ELSE orig END AS out FROM ({STATUS}) q")
+@query("k03_status", f"SELECT image_id, CASE WHEN new IS NOT NULL THEN 'ok' WHEN error IS NOT NULL THEN 'error' WHEN missing THEN 'missing' ELSE 'no_region' END AS status, CASE WHEN new IS NOT NULL THEN new WHEN error IS NOT NULL OR missing THEN -1 ELSE orig END AS out FROM ({STATUS}) q")
 def k03(spark, d):
     sinks, images, b = results(spark, d)
     return sinks.with_results(images, b, "image_id", "orig", F.lit(-1)).select("image_id", "status", "out")
 
 
-@query("k04_skip_errors", f"SELECT image_id, coalesce(new, orig) AS out FROM ({STATUS}) q WHERE new IS NOT NULL OR error IS NULL")
+@query("k04_skip_errors", f"SELECT image_id, coalesce(new, orig) AS out FROM ({STATUS}) q WHERE new IS NOT NULL OR (error IS NULL AND NOT missing)")
 def k04(spark, d):
     sinks, images, b = results(spark, d)
     return sinks.with_results(images, b, "image_id", "orig", F.lit(-1), "skip_errors").select("image_id", "out")
@@ -293,16 +363,22 @@ def k06(spark, d):
     return side_by_side(p, p.withColumn("v", 255 - c("v")), 8)
 
 
-@query("k07_png_round_trip", "SELECT image_id, true AS same FROM (SELECT DISTINCT image_id FROM pixels) q")
+@query("k07_png_round_trip", "SELECT image_id, CAST(sum(v * (8 * y + x + 1)) AS BIGINT) AS weighted, CAST(sum(255 - v) AS BIGINT) AS inverted FROM pixels GROUP BY image_id")
 def k07(spark, d):
+    """What is read back from the bytes of a grey and of a colour PNG."""
     from ..sources import formats
 
-    @F.pandas_udf("boolean")
-    def same(px: pd.Series) -> pd.Series:
-        ims = [np.reshape(p, (8, 8)).astype(np.uint8) for p in px]
-        return pd.Series([bool((formats.decode_png(formats.encode_png(im, 0))[:, :, 0] == im).all()) for im in ims])
+    @F.pandas_udf("struct<weighted: bigint, inverted: bigint>")
+    def back(px: pd.Series) -> pd.DataFrame:
+        rows = []
+        for p in px:
+            im = np.reshape(p, (8, 8)).astype(np.uint8)
+            grey = formats.decode_png(formats.encode_png(im, 0))[:, :, 0].astype(np.int64)
+            colour = formats.decode_png(formats.encode_png(np.stack([im, im, 255 - im], 2)))
+            rows.append((int((grey.ravel() * np.arange(1, 65)).sum()), int(colour[:, :, 2].sum(dtype=np.int64))))
+        return pd.DataFrame(rows, columns=["weighted", "inverted"])
 
-    return R.images(spark, d).select("image_id", same("px").alias("same"))
+    return R.images(spark, d).select("image_id", back("px").alias("b")).select("image_id", "b.*")
 
 
 @query("k08_shard_numbers", "SELECT size, shard, count(*) AS n FROM (SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 300.0) AS BIGINT) AS shard, unnest([64, 128]) AS size FROM documents) q GROUP BY size, shard")
@@ -319,9 +395,16 @@ def k09(spark, d):
     return sinks.result_map(R.boxes(spark, d).filter("kind = 'face'"), "image_id", list(G.COORDS))
 
 
-@query("k10_cache_key", "SELECT doc_id, md5(text) AS digest FROM documents")
+@query("k10_cache_key", "SELECT doc_id, md5(text) AS digest, count(*) OVER (PARTITION BY md5(text)) AS n_found FROM documents")
 def k10(spark, d):
-    return R.table(spark, d, "documents").select("doc_id", F.md5("text").alias("digest"))
+    """Detections are written by the digest of their image and found again by it."""
+    from ..functions.storage import shared_dir
+    from ..sources import sinks
+
+    docs = R.table(spark, d, "documents").select("doc_id", F.md5("text").alias("digest"))
+    path = f"{shared_dir(spark).rstrip('/')}/detections-{uuid.uuid4().hex}"
+    sinks.cache_detections(docs.groupBy("digest").agg(F.count("*").alias("n_found")), path)
+    return docs.join(spark.read.parquet(path), "digest").select("doc_id", "digest", "n_found")
 
 
 @query("k11_passthrough_union", f"SELECT image_id, new IS NOT NULL AS changed FROM ({STATUS}) q")
@@ -341,37 +424,67 @@ def k12(spark, d):
 # ---- kernels on whole images, and the whole plan
 
 
-def kernel(name: str, f):
-    """A query that applies an image kernel to each 8x8 image and digests the result."""
+def kernel(name: str, f, width=8, sql: str | None = None):
+    """A query that applies an image kernel to each 8x8 image: the first channel of the result, pixel by pixel. width: a number, or a
+    function from the image's id column."""
 
-    @query(name)
+    @query(name, sql)
     def run(spark, d):
-        import hashlib
-
-        @F.pandas_udf("string")
-        def digest(image_id: pd.Series, px: pd.Series) -> pd.Series:
+        @F.pandas_udf("array<int>")
+        def pixels(image_id: pd.Series, px: pd.Series) -> pd.Series:
             out = []
             for i, p in zip(image_id, px, strict=True):
                 im = np.repeat(np.reshape(p, (8, 8, 1)), 3, axis=2).astype(np.uint8)
-                out.append(hashlib.md5(np.ascontiguousarray(f(im, int(i))).tobytes()).hexdigest())
+                out.append(np.ascontiguousarray(f(im, int(i))[:, :, 0]).ravel().astype(np.int32))
             return pd.Series(out)
 
-        return R.images(spark, d).select("image_id", digest("image_id", "px").alias("digest"))
+        rows = R.images(spark, d).select("image_id", F.posexplode(pixels("image_id", "px")).alias("at", "v"))
+        w = width(c("image_id")) if callable(width) else F.lit(width)
+        return rows.select("image_id", F.floor(c("at") / w).cast("long").alias("y"), (c("at") % w).cast("long").alias("x"), c("v").cast("long").alias("v"))
 
     return run
 
 
+def cubic_sql(sizes: str) -> str:
+    """(n, o, t, s, w): weights of bicubic resampling from n to o cells, for the pairs (n, o)."""
+    d = "abs(s - ((t + 0.5e0) * n / o - 0.5e0)) / greatest(1.0, n / CAST(o AS DOUBLE))"
+    return f"""(SELECT n, o, t, s, w / sum(w) OVER (PARTITION BY n, o, t) AS w FROM (SELECT n, o, t, s, CASE WHEN d <= 1 THEN 1.5e0 * d * d * d - 2.5e0 * d * d + 1 WHEN d < 2 THEN -0.5e0 * d * d * d + 2.5e0 * d * d - 4 * d + 2 ELSE 0.0 END AS w
+ FROM (SELECT *, {d} AS d FROM (SELECT *, unnest(range(0, n)) AS s FROM (SELECT *, unnest(range(0, o)) AS t FROM (VALUES {sizes}) z(n, o)) a) b) e) g)"""
+
+
+def byte_sql(value: str) -> str:
+    return f"CAST(least(255, greatest(0, round_even(round({value}, 6), 0))) AS BIGINT)"
+
+
+def resized_sql(rel: str, n: str, rows: str, cols: str, weights: str) -> str:
+    """rel(image_id, y, x, v) of n x n pixels resampled; n, rows and cols are expressions over the image's id."""
+    return f"""(SELECT p.image_id, a.t AS y, b.t AS x, {byte_sql("sum(a.w * b.w * p.v)")} AS v FROM {rel} p JOIN {weights} a ON a.n = {n} AND a.o = {rows} AND a.s = p.y JOIN {weights} b ON b.n = {n} AND b.o = {cols} AND b.s = p.x GROUP BY p.image_id, a.t, b.t)"""
+
+
+def warped_sql(rel: str, inverse: tuple[float, ...], fill: int) -> str:
+    """The image at inverse * (x, y), linearly, with a value outside."""
+    a, b, e, f, g, h = inverse
+    at = f"(SELECT image_id, y, x, {a}e0 * x + {b}e0 * y + {e}e0 AS sx, {f}e0 * x + {g}e0 * y + {h}e0 AS sy FROM {rel})"
+    taps = f"(SELECT *, floor(sx) + i AS tx, floor(sy) + j AS ty, (CASE i WHEN 0 THEN 1 - (sx - floor(sx)) ELSE sx - floor(sx) END) * (CASE j WHEN 0 THEN 1 - (sy - floor(sy)) ELSE sy - floor(sy) END) AS w FROM (SELECT *, unnest([0, 0, 1, 1]) AS i, unnest([0, 1, 0, 1]) AS j FROM {at}))"
+    return f"(SELECT t.image_id, t.y, t.x, {byte_sql(f'sum(t.w * coalesce(p.v, {fill}))')} AS v FROM {taps} t LEFT JOIN {rel} p ON p.image_id = t.image_id AND p.y = t.ty AND p.x = t.tx GROUP BY t.image_id, t.y, t.x)"
+
+
 def _kernels() -> None:
     from ..operators import kernels as K
 
     turn = np.array([[0.8, -0.6, 2.0], [0.6, 0.8, -1.0]])
-    kernel("x11_stitch_background", lambda im, i: K.stitch_background(im, [((1, 1, 5, 5), im[:4, :4]), ((3, 3, 7, 7), im[4:, 4:])], True))
-    kernel("x12_align_warp", lambda im, i: K.warp(im, turn, 8, 8))
-    kernel("x13_paste_back", lambda im, i: K.paste_back(K.mask_out(im), im, turn))
-    kernel("x15_resize_policy", lambda im, i: K.resize(im, 5, 5 + i % 3))
-    kernel("x23_resize_steps", lambda im, i: K.resize_steps(im, [4 + i % 3, 8]))
+    flat = "(SELECT image_id, y, x, 128 AS v FROM pixels)"
+    back = (0.8, -0.6, 2.0, 0.6, 0.8, -1.0)
+    kernel(
+        "x11_stitch_background", lambda im, i: K.stitch_background(im, [((1, 1, 5, 5), im[:4, :4]), ((3, 3, 7, 7), im[4:, 4:])], True),
+        sql="SELECT p.image_id, p.y, p.x, CASE WHEN p.y >= 1 AND p.y < 5 AND p.x >= 1 AND p.x < 5 THEN a.v WHEN p.y >= 3 AND p.y < 7 AND p.x >= 3 AND p.x < 7 THEN b.v ELSE p.v END AS v FROM pixels p LEFT JOIN pixels a ON a.image_id = p.image_id AND a.y = p.y - 1 AND a.x = p.x - 1 LEFT JOIN pixels b ON b.image_id = p.image_id AND b.y = p.y + 1 AND b.x = p.x + 1",
+    )
+    kernel("x12_align_warp", lambda im, i: K.warp(im, turn, 8, 8), sql=f"SELECT * FROM {warped_sql('pixels', (0.8, 0.6, -1.0, -0.6, 0.8, 2.0), 255)} w")
+    kernel("x13_paste_back", lambda im, i: K.paste_back(K.mask_out(im), im, turn), sql=f"SELECT p.image_id, p.y, p.x, CASE WHEN a.v = b.v THEN a.v ELSE p.v END AS v FROM pixels p JOIN {warped_sql(flat, back, 0)} a USING (image_id, y, x) JOIN {warped_sql(flat, back, 255)} b USING (image_id, y, x)")
+    kernel("x15_resize_policy", lambda im, i: K.resize(im, 5, 5 + i % 3), lambda i: 5 + i % 3, sql=f"SELECT * FROM {resized_sql('pixels', '8', '5', '5 + p.image_id % 3', cubic_sql('(8, 5), (8, 6), (8, 7)'))} r")
+    kernel("x23_resize_steps", lambda im, i: K.resize_steps(im, [4 + i % 3, 8]), sql=f"WITH small AS MATERIALIZED {resized_sql('pixels', '8', '4 + p.image_id % 3', '4 + p.image_id % 3', cubic_sql('(8, 4), (8, 5), (8, 6)'))} SELECT * FROM {resized_sql('small', '4 + p.image_id % 3', '8', '8', cubic_sql('(4, 8), (5, 8), (6, 8)'))} r")
     kernel("x24_augment", lambda im, i: K.augment(im, i))
-    kernel("x26_draw", lambda im, i: K.image_grid([K.draw_boxes(im, [(1, 1, 6, 6)]), im], 2))
+    kernel("x26_draw", lambda im, i: K.image_grid([K.draw_boxes(im, [(1, 1, 6, 6)]), im], 2), 18, sql="SELECT image_id, y, x, CASE WHEN y >= 1 AND y <= 5 AND x >= 1 AND x <= 5 AND (y IN (1, 5) OR x IN (1, 5)) THEN 255 ELSE v END AS v FROM pixels UNION ALL SELECT image_id, y, x + 10, v FROM pixels UNION ALL SELECT image_id, y, 8 + x, 0 FROM pixels WHERE x < 2")
 
 
 _kernels()

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def encode_png(image: np.ndarray, level: int = 6) -> bytes:
@@ -47,17 +48,22 @@ def decode_png(data: bytes) -> np.ndarray:
         row, how = raw[y, 1:].astype(np.int64), raw[y, 0]
         if how == 2:
             row = (row + above) & 255
-        elif how in (1, 3, 4):
-            for x in range(w * n):
-                left, corner = (row[x - n], above[x - n]) if x >= n else (0, 0)
-                if how == 1:
-                    add = left
-                elif how == 3:
-                    add = (left + above[x]) // 2
+        elif how == 1:
+            row = row.reshape(w, n).cumsum(0).ravel() & 255
+        elif how in (3, 4):
+            # each value needs its left neighbour's: a loop over pixels, channels at once
+            cells, up = row.reshape(w, n), above.reshape(w, n)
+            left, corner = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for x in range(w):
+                if how == 3:
+                    add = (left + up[x]) // 2
                 else:
-                    p = left + above[x] - corner
-                    add = min((abs(p - left), 0, left), (abs(p - above[x]), 1, above[x]), (abs(p - corner), 2, corner))[2]
-                row[x] = (row[x] + add) & 255
+                    p = left + up[x] - corner
+                    da, db, dc = abs(p - left), abs(p - up[x]), abs(p - corner)
+                    add = np.where((da <= db) & (da <= dc), left, np.where(db <= dc, up[x], corner))
+                cells[x] = (cells[x] + add) & 255
+                left, corner = cells[x], up[x]
+            row = cells.ravel()
         out[y] = row
         above = row
     return out.reshape(h, w, n)
@@ -85,6 +91,12 @@ def exif_orientation(data: bytes) -> int:
     return 1
 
 
+def exif_block(orientation: int) -> bytes:
+    """The head of a JPEG with nothing but an orientation."""
+    tiff = b"II*\0" + struct.pack("<IH", 8, 1) + struct.pack("<HHIHH", 0x0112, 3, 1, orientation, 0) + b"\0" * 4
+    return b"\xff\xd8\xff\xe1" + struct.pack(">H", len(tiff) + 8) + b"Exif\0\0" + tiff + b"\xff\xd9"
+
+
 def orient(image: np.ndarray, orientation: int) -> np.ndarray:
     """The image as it is meant to be seen."""
     if orientation in (2, 4, 5, 7):
@@ -111,6 +123,49 @@ def tar_samples(shards: DataFrame) -> DataFrame:
     return shards.select("path", "content").mapInPandas(run, "shard string, key string, member string, data binary")
 
 
+def write_tar(samples: DataFrame, shards: int) -> DataFrame:
+    """samples(key, other columns) -> path, content: tar shards in which each other column is a member <key>.<column>."""
+    names = [n for n in samples.columns if n != "key"]
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        blob = io.BytesIO()
+        with tarfile.open(fileobj=blob, mode="w") as tar:
+            for row in part.sort_values("key").to_dict("records"):
+                for n in names:
+                    data = row[n] if isinstance(row[n], bytes) else str(row[n]).encode()
+                    info = tarfile.TarInfo(f"{row['key']}.{n}")
+                    info.size = len(data)
+                    tar.addfile(info, io.BytesIO(data))
+        return pd.DataFrame({"path": [f"shard-{part['_shard'].iloc[0]:06d}.tar"], "content": [blob.getvalue()]})
+
+    dealt = samples.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    return dealt.groupBy("_shard").applyInPandas(run, "path string, content binary")
+
+
+def png_of(px: str, height: int, width: int):
+    """Column of PNG bytes of grey values in row order."""
+
+    @F.pandas_udf("binary")
+    def encode(values: pd.Series) -> pd.Series:
+        return pd.Series([encode_png(np.reshape(v, (height, width)).astype(np.uint8)) for v in values])
+
+    return encode(px)
+
+
+def decoded_samples(members: DataFrame) -> DataFrame:
+    """tar_samples(...) -> key, image (channel values in row order, of the .png member), height, width, text (of the .txt member): a row a sample."""
+
+    @F.pandas_udf("struct<px: array<int>, height: int, width: int>")
+    def decode(data: pd.Series) -> pd.DataFrame:
+        images = [decode_png(v) for v in data]
+        return pd.DataFrame({"px": [im.ravel().astype(np.int32) for im in images], "height": [im.shape[0] for im in images], "width": [im.shape[1] for im in images]})
+
+    images = members.filter("member = 'png' or member like '%.png'").select("shard", "key", decode("data").alias("d"))
+    texts = members.filter("member = 'txt' or member like '%.txt'").select("shard", "key", F.decode("data", "UTF-8").alias("text"))
+    both = images.join(texts, ["shard", "key"], "left")
+    return both.select("key", F.col("d")["px"].alias("image"), F.col("d")["height"].alias("height"), F.col("d")["width"].alias("width"), "text")
+
+
 def brace_range(pattern: str) -> list[str]:
     """``a-{000..012}.tar`` -> the thirteen names."""
     head, _, rest = pattern.partition("{")
