@@ -14,6 +14,7 @@ from veilframe.functions import registry
 from veilframe.functions import relations as R
 from veilframe.operators import geometry as G
 from veilframe.operators import kernels, keypoints, masks, matching, metrics
+from veilframe.operators import pixels as X
 from veilframe.plans import anonymize
 from veilframe.sources import formats, scan, sinks
 from veilframe.streaming import frames
@@ -351,3 +352,58 @@ def test_positions_over_many_partitions(spark, tmp_path, adaptive, partitions):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_band_filters_are_the_identity_together():
+    bands = kernels.band_filters()
+    whole = bands.sum(0)
+    assert np.allclose(whole, np.eye(1, len(whole), len(whole) // 2)) and np.allclose(bands, bands[:, ::-1])
+    assert np.allclose(bands.sum(1), [1, 0, 0, 0])  # only the lowest passes a flat image
+    im = np.random.default_rng(0).integers(0, 256, (9, 12, 3)).astype(np.uint8)
+    assert np.allclose(kernels.filter_bands(im, np.ones(4)), im)
+
+
+def test_band_gains_keep_the_power_of_each_draw():
+    assert np.allclose(kernels.band_gains(3, 0.0), 1) and not np.allclose(kernels.band_gains(3, 1.0), 1)
+
+
+def test_augment_without_strength_is_the_identity():
+    im = np.random.default_rng(1).integers(0, 256, (8, 8, 3)).astype(np.uint8)
+    assert (kernels.augment(im, 5, 0.0) == im).all()
+    assert (kernels.augment(im, 5, 1.0) == kernels.augment(im, 5, 1.0)).all() and (kernels.augment(im, 5, 1.0) != im).any()
+
+
+def test_drawings_stay_inside():
+    im = np.zeros((6, 5, 3), np.uint8)
+    assert kernels.draw_points(im, [(0, 0, 1), (4, 5, 0)], 0).sum() == 255
+    assert (kernels.draw_lines(im, [(-3, 2, 1), (9, 2, 1)], [(0, 1)])[2, :, 1] == 255).all()
+    assert (kernels.draw_lines(im, [(0, 0, 1), (4, 4, 0)], [(0, 1)]) == 0).all()
+    flat = kernels.draw_surface(im, np.zeros((6, 5), int), np.ones((3, 3)), np.ones((6, 5), bool))
+    assert (flat == 0).all()
+
+
+def test_soft_histogram(spark):
+    got = spark.sql("select array(0D, 0.5D, 1D) as v").select(X.soft_histogram(F.col("v"), 5, 0.2).alias("h")).first().h
+    want = np.exp(-0.5 * ((np.array([0, 0.5, 1])[:, None] - np.linspace(0, 1, 5)) / 0.2) ** 2).mean(0)
+    assert np.allclose(got, want / (want.sum() + 1e-10))
+
+
+def test_jet_ends(spark):
+    rows = spark.createDataFrame([(0.0,), (0.5,), (1.0,)], "v double").select(*[v.alias(k) for k, v in X.jet(F.col("v")).items()]).collect()
+    assert [tuple(r) for r in rows] == [(0, 0, 0.5), (0.5, 1, 0.5), (0.5, 0, 0)]
+
+
+def test_configurations_inherit(tmp_path, caplog):
+    (tmp_path / "a.json").write_text('{"model": {"size": 1, "depth": 2}, "seed": 3}')
+    (tmp_path / "b.py").write_text("name = 'b'\n")
+    (tmp_path / "own.json").write_text('{"_base_config_": ["a.json", "b.py"], "model": {"size": 9}, "more": 1}')
+    assert registry.load_config(str(tmp_path / "own.json")) == {"model": {"size": 9, "depth": 2}, "seed": 3, "name": "b", "more": 1}
+    assert "more" in caplog.text and "size" not in caplog.text
+    (tmp_path / "twice.json").write_text('{"_base_config_": ["a.json", "a.json"]}')
+    with pytest.raises(KeyError, match="model"):
+        registry.load_config(str(tmp_path / "twice.json"))
+    (tmp_path / "kind.json").write_text('{"_base_config_": "a.json", "seed": {"x": 1}}')
+    with pytest.raises(TypeError):
+        registry.load_config(str(tmp_path / "kind.json"))
+    with pytest.raises(ValueError):
+        registry.load_config(str(tmp_path / "x.yaml"))

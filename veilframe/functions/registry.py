@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import logging
+import pathlib
 import re
+import runpy
 from collections.abc import Callable
 
 from . import relations
@@ -67,16 +71,47 @@ def option_overrides(text: str) -> dict:
     return out
 
 
-def merge_config(base: dict, own: dict, known_only: bool = False) -> dict:
-    """own over base, nested dictionaries key by key. known_only: a key that base lacks is an error."""
+def merge_config(base: dict, own: dict, known_only: bool = False, warn: bool = False) -> dict:
+    """own over base, nested dictionaries key by key. A key that base lacks is an error with known_only, and logged with
+    warn; a dictionary can't take the place of a plain value then."""
     out = dict(base)
     for k, v in own.items():
-        if known_only and k not in base:
-            raise KeyError(f"unknown option {k}")
-        out[k] = merge_config(base[k], v, known_only) if isinstance(v, dict) and isinstance(base.get(k), dict) else v
+        if k not in base:
+            if known_only:
+                raise KeyError(f"unknown option {k}")
+            if warn:
+                logging.getLogger(__name__).warning("option without a default: %s", k)
+        elif warn and isinstance(v, dict) and not isinstance(base[k], dict):
+            raise TypeError(f"option {k} is a plain value in the base")
+        out[k] = merge_config(base[k], v, known_only, warn) if isinstance(v, dict) and isinstance(base.get(k), dict) else v
     return out
 
 
+#: The option that names the files a configuration builds on, relative to its own.
+BASES = "_base_config_"
+
+
+def load_config(path: str) -> dict:
+    """Options of a JSON file or of the variables of a Python file, over those of its bases, which share no key."""
+    at = pathlib.Path(path)
+    if at.suffix == ".json":
+        own = json.loads(at.read_text())
+    elif at.suffix == ".py":
+        own = {k: v for k, v in runpy.run_path(str(at)).items() if not k.startswith("__")}
+    else:
+        raise ValueError(f"{path} is neither a JSON nor a Python file")
+    named = own.pop(BASES, None)
+    if named is None:
+        return own
+    base: dict = {}
+    for name in [named] if isinstance(named, str) else named:
+        more = load_config(str(at.parent / name))
+        if twice := base.keys() & more.keys():
+            raise KeyError(f"more than one base has {', '.join(sorted(twice))}")
+        base |= more
+    return merge_config(base, own, warn=True)
+
+
 def apply_overrides(config: dict, text: str) -> dict:
     out = dict(config)
     for path, value in option_overrides(text).items():

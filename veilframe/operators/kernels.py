@@ -26,15 +26,20 @@ def to_bytes(image: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(np.round(image, 6)), 0, 255).astype(np.uint8)
 
 
-def blur_matrix(n: int, size: int, sigma: float) -> np.ndarray:
-    m, r = np.zeros((n, n)), size // 2
-    for k, w in enumerate(gaussian(size, sigma)):
+def mirror_matrix(n: int, taps) -> np.ndarray:
+    """A centred filter along an axis of n cells, mirrored at its ends."""
+    m, r = np.zeros((n, n)), len(taps) // 2
+    for k, w in enumerate(taps):
         for t in range(n):
             at = (t + k - r) % (2 * (n - 1)) if n > 1 else 0
             m[t, 2 * (n - 1) - at if at >= n else at] += w
     return m
 
 
+def blur_matrix(n: int, size: int, sigma: float) -> np.ndarray:
+    return mirror_matrix(n, gaussian(size, sigma))
+
+
 def gaussian_blur(image: np.ndarray, size: int = 31, sigma: float = 0.0) -> np.ndarray:
     """Mirrored at the border of the region it is given."""
     return to_bytes(_apply(blur_matrix(image.shape[0], size, sigma), blur_matrix(image.shape[1], size, sigma), image))
@@ -160,6 +165,44 @@ def draw_boxes(image: np.ndarray, boxes: list[tuple[int, int, int, int]], colour
     return out
 
 
+def draw_points(image: np.ndarray, points: list[tuple[int, int, int]], radius: int = 2, colour=(255, 0, 0)) -> np.ndarray:
+    """A disc at each visible (x, y, v)."""
+    ys, xs = np.mgrid[: image.shape[0], : image.shape[1]]
+    out = image.copy()
+    for x, y, v in points:
+        if v > 0:
+            out[(xs - x) ** 2 + (ys - y) ** 2 <= radius**2] = colour
+    return out
+
+
+def draw_lines(image: np.ndarray, points: list[tuple[int, int, int]], pairs: list[tuple[int, int]], colour=(0, 255, 0)) -> np.ndarray:
+    """Lines one cell wide between the pairs of points that are both visible, cut at the image's border."""
+    out = image.copy()
+    for a, b in pairs:
+        (xa, ya, va), (xb, yb, vb) = points[a], points[b]
+        if va > 0 and vb > 0:
+            n = max(abs(xb - xa), abs(yb - ya)) + 1
+            x, y = (np.floor(np.linspace(p, q, n) + 0.5).astype(int) for p, q in ((xa, xb), (ya, yb)))
+            ok = (x >= 0) & (x < out.shape[1]) & (y >= 0) & (y < out.shape[0])
+            out[y[ok], x[ok]] = colour
+    return out
+
+
+def draw_mask(image: np.ndarray, mask: np.ndarray, share: float = 0.2, colour=(255, 255, 255)) -> np.ndarray:
+    """The colour mixed into the masked cells."""
+    mixed = image * (1 - share) + np.asarray(colour, float) * share
+    return np.where(mask[:, :, None], to_bytes(mixed), image)
+
+
+def draw_surface(image: np.ndarray, vertices: np.ndarray, embedding: np.ndarray, mask: np.ndarray, share: float = 0.7) -> np.ndarray:
+    """Masked cells mixed with the colour of their surface vertex: its first three embedding values, each stretched to
+    bytes over all vertices."""
+    three = embedding[:, :3]
+    low, span = three.min(0), np.ptp(three, axis=0)
+    palette = to_bytes((three - low) / np.where(span > 0, span, 1) * 255)
+    return np.where(mask[:, :, None], to_bytes(image * (1 - share) + palette[vertices] * share), image)
+
+
 def image_grid(images: list[np.ndarray], columns: int, pad: int = 2) -> np.ndarray:
     h, w, n = images[0].shape
     rows = -(-len(images) // columns)
@@ -220,7 +263,63 @@ def colour_matrix(seed: int, strength: float) -> np.ndarray:
     return m[:3]
 
 
-def augment(image: np.ndarray, seed: int, strength: float = 0.5) -> np.ndarray:
-    out = warp(image, augment_matrix(seed, strength, image.shape[0]), *image.shape[:2], fill=128)
+#: Expected share of power in the four bands of natural images. Fixed values.
+BAND_POWER = np.array([10, 1, 1, 1]) / 13
+
+
+def band_filters() -> np.ndarray:
+    """Four centred filters, low to high, that sum to the identity: octaves split by the half-band filter of the
+    orthogonal wavelet with two vanishing moments, dilated once an octave."""
+    root = np.sqrt(3)
+    wavelet = np.array([1 - root, 3 - root, 3 + root, 1 + root]) / (4 * np.sqrt(2))
+    low = np.convolve(wavelet, wavelet[::-1]) / 2
+    high = -low
+    high[len(low) // 2] += 1
+    below, bands = np.ones(1), []
+    for step in (1, 2, 4):
+        spread = np.zeros((2, step * (len(low) - 1) + 1))
+        spread[:, ::step] = low, high
+        bands.append(np.convolve(below, spread[1]))
+        below = np.convolve(below, spread[0])
+    size = len(below)
+    return np.stack([np.pad(b, (size - len(b)) // 2) for b in [below, *bands[::-1]]])
+
+
+def band_gains(seed: int, strength: float) -> np.ndarray:
+    """Each band's amplification, drawn with the probability ``strength``; every draw keeps the expected power."""
+    rng = np.random.default_rng([seed, 2])
+    gains = np.ones(4)
+    for band in range(4):
+        one = np.ones(4)
+        if rng.random() < strength:
+            one[band] = 2 ** rng.normal()
+        gains *= one / np.sqrt((BAND_POWER * one**2).sum())
+    return gains
+
+
+def filter_bands(image: np.ndarray, gains) -> np.ndarray:
+    """Both axes filtered by the sum of the bands times their gains; the result isn't rounded."""
+    taps = np.asarray(gains) @ band_filters()
+    return _apply(mirror_matrix(image.shape[0], taps), mirror_matrix(image.shape[1], taps), image)
+
+
+def cut_out(image: np.ndarray, cx: float, cy: float, share: float = 0.5, fill: int = 128) -> np.ndarray:
+    """A box of that share of the sides about (cx, cy), both in 0..1, filled; cells count by their middles."""
+    h, w = image.shape[:2]
+    hit = lambda n, at: np.abs((np.arange(n) + 0.5) / n - at) < share / 2
+    out = image.copy()
+    out[np.outer(hit(h, cy), hit(w, cx))] = fill
+    return out
+
+
+def augment(image: np.ndarray, seed: int, strength: float = 0.5, noise_std: float = 0.1) -> np.ndarray:
+    """Geometry, colours, band gains, noise and a box cut out, each drawn by the seed with the probability ``strength``."""
+    h, w = image.shape[:2]
+    out = warp(image[:, ::-1] if np.random.default_rng([seed, 3]).random() < strength / 2 else image, augment_matrix(seed, strength, h), h, w, fill=128)
     m = colour_matrix(seed, strength)
-    return to_bytes(((out / 127.5 - 1) @ m[:, :3].T + m[:, 3] + 1) * 127.5)
+    unit = filter_bands((out / 127.5 - 1) @ m[:, :3].T + m[:, 3], band_gains(seed, strength))
+    rng = np.random.default_rng([seed, 4])
+    if rng.random() < strength:
+        unit = unit + rng.normal(size=unit.shape) * abs(rng.normal()) * noise_std
+    out = to_bytes((unit + 1) * 127.5)
+    return cut_out(out, *rng.random(2)) if rng.random() < strength else out

@@ -119,6 +119,15 @@ def pool(pixels: DataFrame, factor: int, how, value: str = "v") -> DataFrame:
     return pixels.groupBy("image_id", F.floor(c("y") / factor).alias("y"), F.floor(c("x") / factor).alias("x")).agg(how(value).alias(value))
 
 
+def adaptive_pool(pixels: DataFrame, size_in: int, size_out: int, how, value: str = "v") -> DataFrame:
+    """size_out x size_out cells whatever the size: cell t takes the pixels from floor(t * size_in / size_out) up to
+    ceil((t + 1) * size_in / size_out), so neighbours may share pixels."""
+    spans = [range(t * size_in // size_out, -(-(t + 1) * size_in // size_out)) for t in range(size_out)]
+    cells = lambda at: F.explode(F.get(F.array(*[F.array(*[F.lit(t).cast("long") for t, span in enumerate(spans) if k in span]) for k in range(size_in)]), c(at).cast("int")))
+    rows = pixels.select("image_id", cells("y").alias("_t"), "x", value).select("image_id", c("_t").alias("y"), cells("x").alias("x"), value)
+    return rows.groupBy("image_id", "y", "x").agg(how(value).alias(value))
+
+
 def region_filter() -> Column:
     """Boxes that may hold a line of text."""
     w, h = c("x1") - c("x0"), c("y1") - c("y0")

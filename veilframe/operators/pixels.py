@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
+
 
 c = F.col
 PIXEL = ("image_id", "y", "x")
@@ -133,6 +135,50 @@ def hsv(r: Column, g: Column, b: Column) -> dict[str, Column]:
     return {"h": hue * 60, "s": F.when(hi > 0, d / hi).otherwise(0.0), "value": hi / 255.0}
 
 
+def soft_histogram(values: Column, bins: int = 256, bandwidth: float = 1.0) -> Column:
+    """Shares of an array of values in 0..1 over evenly spaced bin centres; each value counts in every bin by a Gaussian
+    of its distance. The array stays in its row, so nothing is exploded or shuffled."""
+    total = lambda shares: F.aggregate(shares, F.lit(1e-10), lambda s, v: s + v)
+
+    def near(vs: Column, at: Column) -> Column:
+        return F.aggregate(vs, F.lit(0.0), lambda s, v: s + F.exp((v - at) * (v - at) / (-2.0 * bandwidth**2))) / F.size(vs)
+
+    means = let(values, lambda vs: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda k: near(vs, k / (bins - 1))))
+    return let(means, lambda shares: let(total(shares), lambda t: F.transform(shares, lambda v: v / t)))
+
+
+def jet(v: Column) -> dict[str, Column]:
+    """The rainbow map of a value in 0..1, blue to red: each channel a tent about its own quarter."""
+    tent = lambda at: F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.5 - F.abs(4 * v - at)))
+    return {"r": tent(3), "g": tent(2), "b": tent(1)}
+
+
+def stretched(pixels: DataFrame, value: str = "v") -> DataFrame:
+    """Each image's values over 0..1, from its least to its greatest; a flat image becomes 0."""
+    w = Window.partitionBy("image_id")
+    low, high = F.min(value).over(w), F.max(value).over(w)
+    return pixels.withColumn(value, F.when(high > low, (c(value) - low) / (high - low)).otherwise(0.0))
+
+
+def heat_overlay(pixels: DataFrame, heat: str) -> DataFrame:
+    """pixels(v, heat): 0.6 of the image and 0.4 of its rainbow-coloured heat, low heat red; one column a channel."""
+    shade = 255 - F.floor((c("_h") * 0.95 + 0.05) * 255)
+    rows = stretched(pixels.withColumn("_h", c(heat).cast("double")), "_h")
+    return rows.select(*PIXEL, *[(0.6 * c("v") + 0.4 * 255 * v).alias(k) for k, v in jet(shade / 255).items()])
+
+
+def soft_edge(keep: DataFrame, size: int, sigma: float, width: int, height: int) -> DataFrame:
+    """Weights of a 0/1 relation (image_id, y, x, v), blurred and divided by the image's greatest; 0 where that is 0."""
+    w = F.max("v").over(Window.partitionBy("image_id"))
+    return blur(keep, size, sigma, width, height).withColumn("v", F.when(w > 0, c("v") / w).otherwise(0.0))
+
+
+def weighted_blend(plain: DataFrame, matched: DataFrame, weights: DataFrame) -> DataFrame:
+    """The matched image where the weight is 1, the plain one where it is 0."""
+    rows = plain.join(matched.withColumnRenamed("v", "_m"), list(PIXEL)).join(weights.withColumnRenamed("v", "_w"), list(PIXEL))
+    return rows.select(*PIXEL, blend(c("v"), c("_m"), c("_w")).alias("v"))
+
+
 def cdf(pixels: DataFrame) -> DataFrame:
     """Per image and value: share of pixels at or below it."""
     h = pixels.groupBy("image_id", "v").agg(F.count("*").alias("n"))

@@ -123,6 +123,11 @@ def m13(spark, d):
     return M.pool(R.pixels(spark, d), 2, F.max)
 
 
+@query("m13_adaptive_max_pool", "SELECT image_id, t AS y, u AS x, max(v) AS v FROM pixels, (SELECT unnest(range(0, 3)) AS t) a, (SELECT unnest(range(0, 3)) AS u) b WHERE y >= floor(t * 8 / 3.0e0) AND y < ceil((t + 1) * 8 / 3.0e0) AND x >= floor(u * 8 / 3.0e0) AND x < ceil((u + 1) * 8 / 3.0e0) GROUP BY image_id, t, u")
+def m13a(spark, d):
+    return M.adaptive_pool(R.pixels(spark, d), 8, 3, F.max)
+
+
 @query("m14_difference_mask", "SELECT image_id, y, x, abs(a - b) > 25 AS hit FROM pairs")
 def m14(spark, d):
     return R.pairs(spark, d).select("image_id", "y", "x", (F.abs(c("a") - c("b")) > 25).alias("hit"))

@@ -124,6 +124,18 @@ def x17(spark, d):
     return R.pairs(spark, d).select(*P, *[F.round(v, 6).alias(k) for k, v in out.items()])
 
 
+@query("x17_soft_histogram", """WITH s AS (SELECT image_id, CASE WHEN greatest(a, b, (a + b) % 256) > 0 THEN (greatest(a, b, (a + b) % 256) - least(a, b, (a + b) % 256)) / CAST(greatest(a, b, (a + b) % 256) AS DOUBLE) ELSE 0.0 END AS v FROM pairs),
+ q AS (SELECT image_id, bin, avg(exp((v - bin / 255.0e0) * (v - bin / 255.0e0) / -0.02e0)) AS m FROM s, (SELECT unnest(range(0, 256)) AS bin) z GROUP BY image_id, bin)
+SELECT image_id, CAST(bin AS INT) AS bin, round(m / (sum(m) OVER (PARTITION BY image_id) + 1e-10), 9) AS share FROM q""")
+def x17h(spark, d):
+    """Of saturation, sharper than by default so that the bins differ."""
+    im = R.images(spark, d)
+    both = im.join(im.select((c("image_id") - 1).alias("image_id"), c("px").alias("other")), "image_id")
+    s = F.transform(F.arrays_zip("px", "other"), lambda p: X.hsv(p["px"], p["other"], (p["px"] + p["other"]) % 256)["s"])
+    rows = both.select("image_id", s.alias("s")).select("image_id", F.posexplode(X.soft_histogram(c("s"), 256, 0.1)).alias("bin", "share"))
+    return rows.withColumn("share", F.round("share", 9))
+
+
 @query("x18_histogram_match", """WITH s AS (SELECT image_id, v, round(sum(n) OVER (PARTITION BY image_id ORDER BY v) / CAST(sum(n) OVER (PARTITION BY image_id) AS DOUBLE), 9) AS q FROM (SELECT image_id, v, count(*) AS n FROM pixels GROUP BY image_id, v) h),
  m AS (SELECT a.image_id, a.v, min(b.v) AS mapped FROM s a JOIN s b ON b.image_id = a.image_id + 1 AND b.q >= a.q GROUP BY a.image_id, a.v)
 SELECT p.image_id, p.y, p.x, m.mapped AS v FROM pixels p JOIN m ON m.image_id = p.image_id AND m.v = p.v""")
@@ -132,6 +144,16 @@ def x18(spark, d):
     return X.histogram_match(p, p.withColumn("image_id", c("image_id") - 1)).filter("v is not null")
 
 
+@query("x18_weighted_blend", f"""WITH keep AS MATERIALIZED (SELECT image_id, y, x, CASE WHEN {HOLE} THEN 0 ELSE 1 END AS v FROM pairs), w AS (SELECT image_id, y, x, v / max(v) OVER (PARTITION BY image_id) AS w FROM {blur_sql("keep", 19, 10)} g)
+SELECT image_id, y, x, round((1 - w) * a + w * b, 6) AS v FROM pairs JOIN w USING (image_id, y, x)""")
+def x18b(spark, d):
+    """What is matched shows outside the hole, with a soft edge."""
+    p = R.pairs(spark, d)
+    weights = X.soft_edge(p.select(*P, F.when(hole(), 0).otherwise(1).alias("v")), 19, 10, 8, 8)
+    out = X.weighted_blend(p.select(*P, c("a").alias("v")), p.select(*P, c("b").alias("v")), weights)
+    return out.withColumn("v", F.round("v", 6))
+
+
 @query("x19_cdf_distance", """WITH q AS (SELECT image_id, abs(sum(a) OVER o / (sum(a) OVER w + 1e-14) - sum(b) OVER o / (sum(b) OVER w + 1e-14)) AS d FROM pairs WINDOW o AS (PARTITION BY image_id ORDER BY y, x ROWS UNBOUNDED PRECEDING), w AS (PARTITION BY image_id))
 SELECT image_id, round(sum(d), 6) AS w1, round(sqrt(sum(d * d)), 6) AS w2 FROM q GROUP BY image_id""")
 def x19(spark, d):
@@ -161,9 +183,11 @@ def x25(spark, d):
     return R.pixels(spark, d).select(*P, F.round(c("v") * 0.7 + 0.3 * F.when(c("v") >= 128, 255).otherwise(0), 6).alias("v"))
 
 
-@query("x27_heat_overlay", "SELECT image_id, y, x, round(0.6e0 * a + 0.4e0 * (b / 255.0 * 0.95e0 + 0.05e0) * 255, 6) AS v FROM pairs")
+@query("x27_heat_overlay", """WITH h AS (SELECT *, (255 - floor((CASE WHEN max(b) OVER w > min(b) OVER w THEN (b - min(b) OVER w) / CAST(max(b) OVER w - min(b) OVER w AS DOUBLE) ELSE 0.0 END * 0.95e0 + 0.05e0) * 255)) / 255.0e0 AS t FROM pairs WINDOW w AS (PARTITION BY image_id))
+SELECT image_id, y, x, round(0.6e0 * a + 102 * greatest(0, least(1, 1.5e0 - abs(4 * t - 3))), 6) AS r, round(0.6e0 * a + 102 * greatest(0, least(1, 1.5e0 - abs(4 * t - 2))), 6) AS g, round(0.6e0 * a + 102 * greatest(0, least(1, 1.5e0 - abs(4 * t - 1))), 6) AS b FROM h""")
 def x27(spark, d):
-    return R.pairs(spark, d).select(*P, F.round(0.6 * c("a") + 0.4 * (c("b") / 255.0 * 0.95 + 0.05) * 255, 6).alias("v"))
+    out = X.heat_overlay(R.pairs(spark, d).withColumnRenamed("a", "v"), "b")
+    return out.select(*P, *[F.round(k, 6).alias(k) for k in ("r", "g", "b")])
 
 
 @query("x28_progressive_blend", """SELECT p.image_id, p.y, p.x, round(b.m * 0.7e0 + p.v * 0.3e0, 6) AS v FROM pixels p JOIN (SELECT image_id, y // 2 AS y2, x // 2 AS x2, avg(v) AS m FROM pixels GROUP BY ALL) b ON b.image_id = p.image_id AND b.y2 = p.y // 2 AND b.x2 = p.x // 2""")

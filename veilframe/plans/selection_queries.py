@@ -469,6 +469,21 @@ def warped_sql(rel: str, inverse: tuple[float, ...], fill: int) -> str:
     return f"(SELECT t.image_id, t.y, t.x, {byte_sql(f'sum(t.w * coalesce(p.v, {fill}))')} AS v FROM {taps} t LEFT JOIN {rel} p ON p.image_id = t.image_id AND p.y = t.ty AND p.x = t.tx GROUP BY t.image_id, t.y, t.x)"
 
 
+#: Gains of the four bands, by the remainder of the image's id.
+_GAINS = ([1.0, 1.0, 1.0, 1.0], [1.0, 2.0, 0.5, 1.0], [0.8, 1.0, 1.5, 3.0])
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join(f"{v!r}::DOUBLE" for v in values) + "]"
+
+
+def mirrored_sql(rel: str, axis: str, weight: str, size: int) -> str:
+    """8x8 images filtered along an axis, mirrored at the border; weight is an expression over p and the tap k."""
+    other, at = "x" if axis == "y" else "y", f"(((p.{axis} + k - {size // 2}) % 14 + 14) % 14)"
+    taps = f"(SELECT p.image_id, p.{other}, p.{axis}, {weight} AS w, CASE WHEN {at} >= 8 THEN 14 - {at} ELSE {at} END AS src FROM (SELECT *, unnest(range(0, {size})) AS k FROM {rel} e) p)"
+    return f"(SELECT t.image_id, t.{other}, t.{axis}, sum(t.w * s.v) AS v FROM {taps} t JOIN {rel} s ON s.image_id = t.image_id AND s.{other} = t.{other} AND s.{axis} = t.src GROUP BY ALL)"
+
+
 def _kernels() -> None:
     from ..operators import kernels as K
 
@@ -484,6 +499,15 @@ def _kernels() -> None:
     kernel("x15_resize_policy", lambda im, i: K.resize(im, 5, 5 + i % 3), lambda i: 5 + i % 3, sql=f"SELECT * FROM {resized_sql('pixels', '8', '5', '5 + p.image_id % 3', cubic_sql('(8, 5), (8, 6), (8, 7)'))} r")
     kernel("x23_resize_steps", lambda im, i: K.resize_steps(im, [4 + i % 3, 8]), sql=f"WITH small AS MATERIALIZED {resized_sql('pixels', '8', '4 + p.image_id % 3', '4 + p.image_id % 3', cubic_sql('(8, 4), (8, 5), (8, 6)'))} SELECT * FROM {resized_sql('small', '4 + p.image_id % 3', '8', '8', cubic_sql('(4, 8), (5, 8), (6, 8)'))} r")
     kernel("x24_augment", lambda im, i: K.augment(im, i))
+    bands = [K.band_filters().tolist()[k] for k in range(4)]
+    weight = "CASE p.image_id % 3 " + " ".join(f"WHEN {k} THEN {_listed((np.array(_GAINS[k]) @ np.array(bands)).tolist())}[k + 1]" for k in range(3)) + " END"
+    kernel("x24_filter_bands", lambda im, i: K.to_bytes(K.filter_bands(im, _GAINS[i % 3])), sql=f"SELECT image_id, y, x, {byte_sql('v')} AS v FROM {mirrored_sql(mirrored_sql('pixels', 'x', weight, len(bands[0])), 'y', weight, len(bands[0]))} b")
+    kernel("x24_cut_out", lambda im, i: K.cut_out(im, i % 5 / 5, i % 7 / 7), sql="SELECT image_id, y, x, CASE WHEN abs((x + 0.5e0) / 8 - (image_id % 5) / 5.0e0) < 0.25e0 AND abs((y + 0.5e0) / 8 - (image_id % 7) / 7.0e0) < 0.25e0 THEN 128 ELSE v END AS v FROM pixels")
+    joints = lambda i: [(i % 8, i % 5, 1), (i % 7, 3 + i % 5, i % 2), (i % 3, 7, 1)]
+    kernel("x26_draw_points", lambda im, i: K.draw_points(im, joints(i), 1), sql="SELECT image_id, y, x, CASE WHEN abs(x - image_id % 8) + abs(y - image_id % 5) <= 1 OR (image_id % 2 = 1 AND abs(x - image_id % 7) + abs(y - 3 - image_id % 5) <= 1) OR abs(x - image_id % 3) + abs(y - 7) <= 1 THEN 255 ELSE v END AS v FROM pixels")
+    kernel("x26_draw_lines", lambda im, i: K.draw_lines(im, [(1, i % 8, 1), (6, i % 8, 1), (1, 7, i % 2)], [(0, 1), (0, 2)], (255, 255, 255)), sql="SELECT image_id, y, x, CASE WHEN (y = image_id % 8 AND x >= 1 AND x <= 6) OR (image_id % 2 = 1 AND x = 1 AND y >= image_id % 8) THEN 255 ELSE v END AS v FROM pixels")
+    kernel("x26_draw_mask", lambda im, i: K.draw_mask(im, im[:, :, 0] % 3 == i % 3, 0.25), sql=f"SELECT image_id, y, x, CASE WHEN v % 3 = image_id % 3 THEN {byte_sql('v * 0.75e0 + 63.75e0')} ELSE v END AS v FROM pixels")
+    kernel("x26_draw_surface", lambda im, i: K.draw_surface(im, im[:, :, 0] % 5, np.arange(20.0).reshape(5, 4), im[:, :, 0] > 99), sql=f"SELECT image_id, y, x, CASE WHEN v > 99 THEN {byte_sql('v * 0.3e0 + 0.7e0 * ' + byte_sql('(v % 5) * 63.75e0'))} ELSE v END AS v FROM pixels")
     kernel("x26_draw", lambda im, i: K.image_grid([K.draw_boxes(im, [(1, 1, 6, 6)]), im], 2), 18, sql="SELECT image_id, y, x, CASE WHEN y >= 1 AND y <= 5 AND x >= 1 AND x <= 5 AND (y IN (1, 5) OR x IN (1, 5)) THEN 255 ELSE v END AS v FROM pixels UNION ALL SELECT image_id, y, x + 10, v FROM pixels UNION ALL SELECT image_id, y, 8 + x, 0 FROM pixels WHERE x < 2")
 
 
