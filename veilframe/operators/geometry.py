@@ -210,6 +210,16 @@ def centred_mask(size: int) -> tuple[int, int, int, int]:
     return size // 4, size // 4, size // 4 + size // 2, size // 4 + size // 2
 
 
+def random_mask(width: int, height: int, *seed: Column) -> dict[str, Column]:
+    """A hole of half the sides at a seeded uniform place: x0, y0, x1, y1. The last place that would fit is never drawn."""
+    out = {}
+    for axis, size in (("x", width), ("y", height)):
+        u = F.conv(F.substr(F.md5(F.concat_ws("-", *seed, F.lit(axis))), F.lit(1), F.lit(5)), 16, 10).cast("long") / (1 << 20)
+        low = F.floor(u * (size - size // 2))
+        out |= {f"{axis}0": low, f"{axis}1": low + size // 2}
+    return out
+
+
 def pose_crop(df: DataFrame, width, height) -> DataFrame:
     """Grows the box about its middle to the 256:192 shape; replaces the corners."""
     df = df.withColumn("x1", F.least(c("x1"), col_of(width))).withColumn("y1", F.least(c("y1"), col_of(height)))

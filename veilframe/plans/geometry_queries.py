@@ -222,6 +222,11 @@ def b24(spark, d):
     return R.pixels(spark, d).withColumn("keep", ~((c("x") >= x0) & (c("x") < x1) & (c("y") >= y0) & (c("y") < y1)))
 
 
+@query("b24_random_mask", "SELECT vec_id AS image_id, x0, y0, x0 + 32 AS x1, y0 + 24 AS y1 FROM (SELECT vec_id, CAST(floor(CAST('0x' || substr(md5(vec_id || '-x'), 1, 5) AS BIGINT) / 1048576.0e0 * 32) AS BIGINT) AS x0, CAST(floor(CAST('0x' || substr(md5(vec_id || '-y'), 1, 5) AS BIGINT) / 1048576.0e0 * 24) AS BIGINT) AS y0 FROM embeddings) q")
+def b24r(spark, d):
+    return R.images(spark, d).select("image_id", *[v.alias(k) for k, v in G.random_mask(64, 48, c("image_id").cast("string")).items()])
+
+
 @query("b25_pose_crop", """WITH q AS (SELECT *, x1 - x0 AS w_, y1 - y0 AS h_, CAST(256 / CAST(192 AS DOUBLE) AS DOUBLE) * (x1 - x0) / (y1 - y0) AS f_ FROM boxes),
 r AS (SELECT *, CAST(trunc(round_even(h_ * f_, 0) / 2.0) AS BIGINT) AS ly, CAST(trunc(round_even(w_ / f_, 0) / 2.0) AS BIGINT) AS lx, y0 + CAST(floor(h_ / 2.0) AS BIGINT) AS my, x0 + CAST(floor(w_ / 2.0) AS BIGINT) AS mx FROM q)
 SELECT image_id, det_id, CASE WHEN f_ > 1 THEN x0 ELSE mx - lx END AS x0, CASE WHEN f_ > 1 THEN my - ly ELSE y0 END AS y0, CASE WHEN f_ > 1 THEN x1 ELSE mx + lx END AS x1, CASE WHEN f_ > 1 THEN my + ly ELSE y1 END AS y1 FROM r""")
