@@ -1,10 +1,10 @@
-"""The ten operators as queries over the test tables, and their SQL where SQL can express them."""
+"""The operators as queries over the test tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, license_scan, ngram_join, packing, quality_rules, sharding, token_counts, toxicity, url_filter
+from . import chat_format, decontaminate, license_scan, merkle, ngram_join, packing, quality_rules, secret_scan, sharding, token_counts, toxicity, url_filter, whitening
 from .common import table
 
 
@@ -48,11 +48,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_quality_rules, op3_url_filter, op4_toxicity, op5_decontaminate,
         op6_token_counts, op7_license_scan, op8_packing, op9_sharding, op10_ngram_join,
+        op11_secret_scan, op12_merkle_manifest, op13_whitening,
     )
 }
 
@@ -63,4 +76,5 @@ ORACLES = {
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_license_scan": license_scan.ORACLE,
     "op10_ngram_join": ngram_join.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
