@@ -197,42 +197,17 @@ def test_results_fail_closed(spark):
 
 
 def plan_by_hand(image, boxes, generator):
-    """Boxes of one kind, without the DataFrame plan: by rising area, each expanded inside its own image."""
+    """Faces, without the plan: by rising area, each made from the square of 1.4 times its longer side as far as the image goes, pasted in its box."""
     h, w = image.shape[:2]
-
-    def grow(s, e, target, limit):
-        g = target - (e - s)
-        s, e = s - g // 2, e + g - g // 2
-        if s < 0 and e > limit:
-            return s, e
-        if s < 0 and e < limit:
-            r = min(-s, limit - e)
-            s, e = s + r, e + r
-        if e > limit and s > 0:
-            r = min(e - limit, s)
-            s, e = s - r, e - r
-        return s, e
-
-    out = []
-    for k, (x0, y0, x1, y1) in enumerate(boxes):
-        m = int((x1 - x0) * (y1 - y0) * 0.5)
-        bw, bh = x1 - x0, y1 - y0
-        more = int((bw * bh) ** 0.5 * 0.1)
-        x0, x1 = grow(x0, x1, min(bw + more, w), w)
-        y0, y1 = grow(y0, y1, min(bh + more, h), h)
-        bw, bh = x1 - x0, y1 - y0
-        ratio = 288 / 160
-        th, tw = (int(bw * ratio) if bh / bw < ratio else bh), (int(bh / ratio) if bh / bw > ratio else bw)
-        y0, y1 = grow(y0, y1, th, h)
-        x0, x1 = grow(x0, x1, tw, w)
-        bw, bh = x1 - x0, y1 - y0
-        if not 1 - m / (bw * bh) > 0.3:
-            p = (m / 0.7 / (bw * bh)) ** 0.5
-            x0, x1 = grow(x0, x1, int(np.ceil(p * bw)), w)
-            y0, y1 = grow(y0, y1, int(np.ceil(p * bh)), h)
-        if (min(x1, w) - max(0, x0)) * (min(h, y1) - max(0, y0)) / ((x1 - x0) * (y1 - y0)) >= 0:
-            out.append(((x1 - x0) * (y1 - y0), k, (x0, y0, x1, y1)))
-    return kernels.redact(image, [b for _, _, b in sorted(out)], generator)
+    out = image.copy()
+    for _, _, (x0, y0, x1, y1) in sorted(((x1 - x0) * (y1 - y0), k, (x0, y0, x1, y1)) for k, (x0, y0, x1, y1) in enumerate(boxes)):
+        r = int(max(x1 - x0, y1 - y0) * 1.4 // 2)
+        xc, yc = x0 + (x1 - x0) // 2, y0 + (y1 - y0) // 2
+        left, top, right, low = max(0, xc - r), max(0, yc - r), min(w, xc + r), min(h, yc + r)
+        new = generator(out[top:low, left:right])
+        a, b, c, d = max(x0, left), max(y0, top), min(x1, right), min(y1, low)
+        out[b:d, a:c] = new[b - top : d - top, a - left : c - left]
+    return out
 
 
 def test_plan_on_images_of_all_sizes(spark):
@@ -273,7 +248,7 @@ def find_person(image):
 
 @anonymize.region_generator
 def from_region(region):
-    if region.z.shape != (512,) or region.mask.sum() != 9 or not (region.condition[region.mask] == 127).all() or len(region.keypoints) != 1:
+    if region.z.shape != (512,) or not 9 <= region.mask.sum() <= 16 or not (region.condition[region.mask] == 127).all() or len(region.keypoints) != 1:
         raise ValueError("not the region that was found")
     return np.full_like(region.condition, int(abs(region.z[0]) * 50) + 11)
 
@@ -287,9 +262,9 @@ def test_details_reach_the_generator(spark):
     assert (np.frombuffer(bytes(d.surface), "<u2").reshape(8, 6).astype(int) - 1 == SURFACE).all() and d.landmarks[0].x == 4.5
     out = [bytes(anonymize.anonymise(df, find_person, from_region).first().data) for _ in range(2)]
     new = np.frombuffer(out[0], np.uint8).reshape(20, 30, 3)
-    want = np.zeros((20, 30), bool)
-    want[7:10, 5:8] = True
-    assert out[0] == out[1] and ((new != 10).all(2) == want).all()
+    changed = (new != 10).all(2)
+    # the disk of the dilation is less than a pixel wide here: nearest neighbours may add a pixel at the right and below
+    assert out[0] == out[1] and changed[7:10, 5:8].all() and not changed[:7].any() and not changed[:, :5].any() and not changed[11:].any() and not changed[:, 9:].any()
 
 
 def test_registry_and_config():

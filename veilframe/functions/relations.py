@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH, HEIGHT = 640, 480
@@ -32,9 +32,10 @@ RELATIONS: dict[str, str] = {
     "yolo": "SELECT *, (x0 + x1) / 2.0 / 640 AS xc, (y0 + y1) / 2.0 / 480 AS yc, (x1 - x0) / 640.0 AS w, (y1 - y0) / 480.0 AS h FROM boxes",
     "kps": "SELECT image_id, det_id, x0, y0, x1, y1, k, x0 - 10 + (det_id*7 + k*13) % (x1-x0+20) AS px, y0 - 10 + (det_id*11 + k*17) % (y1-y0+20) AS py, (det_id + k) % 3 AS v FROM (SELECT *, unnest(range(0, 17)) AS k FROM boxes) q",
     "features": "SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS e, label FROM (SELECT vec_id, label, embedding, unnest(range(1,65)) AS i FROM embeddings) q",
+    "mask_rows": "SELECT image_id, det_id, kind, score, y, y * 640 + CASE WHEN y - y0 < (y1 - y0) // 3 THEN x0 + (x1 - x0) // 4 ELSE x0 END AS a, y * 640 + CASE WHEN y - y0 < (y1 - y0) // 3 THEN x1 - (x1 - x0) // 4 ELSE x1 END AS b FROM (SELECT *, unnest(range(y0, y1 - (y1 - y0) // 8)) AS y FROM boxes) q",
     "files": "SELECT page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', '.jpg') AS path, url FROM pages",
 }
-_NEEDS = {"pairs": ["pixels"], "yolo": ["boxes"], "kps": ["boxes"]}
+_NEEDS = {"pairs": ["pixels"], "yolo": ["boxes"], "kps": ["boxes"], "mask_rows": ["boxes"]}
 
 
 def with_relations(sql: str) -> str:
@@ -58,6 +59,24 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BOXES, lineitem=table(spark, sf_dir, "lineitem"))
 
 
+def mask_runs(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Runs of a detection's mask: the upper third narrower by a quarter on each side, the lowest eighth missing."""
+    h, w = y1 - y0, x1 - x0
+    third, quarter, rows = F.floor(h / 3.0), F.floor(w / 4.0), h - F.floor(h / 8.0)
+    place = lambda row, x: (y0 + row) * WIDTH + x0 + x
+    column = lambda first, last, x: F.sequence(place(first, x), place(last - 1, x), F.lit(WIDTH).cast("long"))
+    # no box is as wide as the image, so in order starts and ends take turns
+    return F.sort_array(F.concat(column(F.lit(0), third, quarter), column(F.lit(0), third, w - quarter), column(third, rows, F.lit(0)), column(third, rows, w)))
+
+
+def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """boxes with the runs of their masks, and how many pixels those have."""
+    from ..operators.runs import runs_area
+
+    rows = boxes(spark, sf_dir).withColumn("runs", mask_runs(*(F.col(n) for n in ("x0", "y0", "x1", "y1"))))
+    return rows.withColumn("mask_area", runs_area(F.col("runs")))
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 

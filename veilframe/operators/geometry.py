@@ -189,10 +189,10 @@ def union_box(a: tuple[str, ...], b: tuple[str, ...]) -> dict[str, Column]:
 
 
 def from_crop(inner: tuple[str, ...], outer: tuple[str, ...], size_w: int, size_h: int) -> dict[str, Column]:
-    """A box in crop pixels back in image pixels, truncated."""
+    """A box in crop pixels back in image pixels: scaled, truncated, then moved to the outer box, which may start outside the image."""
     w, h = c(outer[2]) - c(outer[0]), c(outer[3]) - c(outer[1])
-    scale = (w / size_w, h / size_h)
-    return {f"b{n}": whole(c(inner[i]) * scale[i % 2] + c(outer[i % 2])) for i, n in enumerate(COORDS)}
+    sides, sizes = (w, h), (size_w, size_h)
+    return {f"b{n}": whole(c(inner[i]) * sides[i % 2] / sizes[i % 2]) + c(outer[i % 2]) for i, n in enumerate(COORDS)}
 
 
 def centre_offsets(width: Column, height: Column) -> dict[str, Column]:

@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import held
+from .runs import runs_intersection, runs_union
+
 c = F.col
 
 
@@ -34,10 +37,24 @@ def overlapping_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(prefixed(right), "image_id").filter(overlap)
 
 
+def pair_iou(pairs: DataFrame, eps: float = 0.0, least: float = 0.0, out: str = "iou") -> DataFrame:
+    """Adds the intersection over union of the pairs of ``overlapping_pairs``: of the masks where both sides have ``runs`` (and ``mask_area``), else of the boxes.
+    Pairs that can't reach ``least`` by their boxes and areas are left out before runs are merged."""
+    if "runs" not in pairs.columns or "o_runs" not in pairs.columns:
+        return pairs.withColumn(out, iou(eps=eps))
+    w = F.least("x1", "o_x1") - F.greatest("x0", "o_x0")
+    h = F.least("y1", "o_y1") - F.greatest("y0", "o_y0")
+    most = F.least(w * h, c("mask_area"), c("o_mask_area"))
+    # a little room for rounding: the test itself follows
+    pairs = pairs.filter(most >= (least - 1e-6) * (c("mask_area") + c("o_mask_area") - most))
+    both = held(runs_intersection("runs", "o_runs"))
+    return pairs.withColumn("_both", both).withColumn(out, c("_both") / (c("mask_area") + c("o_mask_area") - c("_both") + eps)).drop("_both")
+
+
 def greedy(pairs: DataFrame, order: list[Column], left: str = "det_id", right: str = "o_det_id", key: str = "image_id") -> DataFrame:
     """One-to-one matches of each key: pairs in the given order, each side taken once. A key's pairs stream through in order; a task
-    holds what the open key has taken, not its pairs."""
-    rows = pairs.select(c(key).cast("long").alias("k"), c(left).cast("long").alias("i"), c(right).cast("long").alias("j"), *[o.alias(f"o{n}") for n, o in enumerate(order)])
+    holds what the open key has taken, not its pairs. Keys and ids keep their types."""
+    rows = pairs.select(c(key).alias("k"), c(left).alias("i"), c(right).alias("j"), *[o.alias(f"o{n}") for n, o in enumerate(order)])
     rows = rows.repartition("k").sortWithinPartitions("k", *[f"o{n}" for n in range(len(order))], "i", "j").select("k", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,19 +70,29 @@ def greedy(pairs: DataFrame, order: list[Column], left: str = "det_id", right: s
                     kept.append(n)
             yield batch.take(pa.array(kept, pa.int64()))
 
-    return rows.mapInArrow(run, "k bigint, i bigint, j bigint").select(c("k").alias(key), c("i").alias(left), c("j").alias(right))
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in "kij")
+    return rows.mapInArrow(run, kinds).select(c("k").alias(key), c("i").alias(left), c("j").alias(right))
 
 
 def match_in_order(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """Pairs with IoU of at least the threshold, row-major, not sorted by IoU."""
-    pairs = overlapping_pairs(left, right).filter(iou() >= threshold)
+    """Pairs with IoU (of masks, where both sides have runs) of at least the threshold, row-major, not sorted by IoU."""
+    pairs = pair_iou(overlapping_pairs(left, right), least=threshold).filter(c("iou") >= threshold)
     return greedy(pairs, [c("det_id"), c("o_det_id")])
 
 
+def merge_matched(left: DataFrame, right: DataFrame, matches: DataFrame) -> DataFrame:
+    """The masks of matched pairs as one: image_id, det_id, o_det_id, runs."""
+    a = left.select("image_id", "det_id", c("runs").alias("_a"))
+    b = right.select("image_id", c("det_id").alias("o_det_id"), c("runs").alias("_b"))
+    both = matches.join(a, ["image_id", "det_id"]).join(b, ["image_id", "o_det_id"])
+    return both.select("image_id", "det_id", "o_det_id", runs_union("_a", "_b").alias("runs"))
+
+
 def match_by_score(left: DataFrame, right: DataFrame, threshold: float, eps: float = 1e-7) -> tuple[DataFrame, DataFrame]:
     """Best first by (IoU, score of the left box, fewest rivals of the right one), ties in row order. Second: near misses, boxes
     with some overlap but no pair above the threshold, by a right side that stayed free."""
-    scored = overlapping_pairs(left, right).withColumn("iou", F.round(iou(eps=eps), 12))
+    scored = pair_iou(overlapping_pairs(left, right), eps).withColumn("iou", F.round("iou", 12))
+    scored = scored.select("image_id", "det_id", "o_det_id", "score", "iou")
     above = scored.filter(c("iou") > threshold).withColumn("rivals", F.count("*").over(Window.partitionBy("image_id", "o_det_id")))
     matches = greedy(above, [-c("iou"), -c("score"), c("rivals"), c("det_id"), c("o_det_id")])
     near = scored.filter((c("iou") > 1e-7) & (c("iou") <= threshold))

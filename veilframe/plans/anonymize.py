@@ -1,5 +1,6 @@
-"""The anonymisation plan: detections of several kinds are filtered, fused, expanded and ordered by pure Catalyst
-operations; ids and boxes are shuffled, image bytes are joined last and go through one Arrow function.
+"""The anonymisation plan. All it does lies within an image, so one Arrow pass over the images detects, fuses and redacts them: image bytes are
+never shuffled, and nothing is stored in between. Tables of detections (from a cache, say) are fused after one exchange of their
+ids, boxes and masks; only then do regions have to be joined with images.
 
 Models plug in as plain functions. A detector maps an image to ``Found`` objects (box, and where the model gives them: mask, keypoints,
 landmarks, surface coordinates). A generator maps a crop to a crop, or, marked by ``region_generator``, a ``Region``
@@ -10,8 +11,9 @@ Fails closed: an image passes unchanged only if the detector finished on it and
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.registry import Registry
-from ..functions.storage import cut
+from ..operators import fusion, kernels, masks
 from ..operators import geometry as G
-from ..operators import kernels, masks
-from ..operators.matching import not_inside
+from ..operators import runs as R
+from ..operators.fusion import KIND_RANK, Fusion
 
 c = F.col
 IMAGE_SCHEMA = "image_id long, height int, width int, n_channels int, data binary"
@@ -32,7 +34,8 @@ DETAIL_SCHEMA = "mask binary, keypoints array<struct<x: double, y: double, v: do
 DETECTION_SCHEMA = f"image_id long, det_id long, kind string, score double, x0 long, y0 long, x1 long, y1 long, {DETAIL_SCHEMA}"
 _FOUND = "det_id: long, kind: string, score: double, x0: long, y0: long, x1: long, y1: long, mask: binary, keypoints: array<struct<x: double, y: double, v: double>>, landmarks: array<struct<x: double, y: double>>, surface: binary"
 OUTCOME_SCHEMA = f"image_id long, height int, width int, error string, found array<struct<{_FOUND}>>"
-KIND_RANK = {"face": 0, "vehicle": 1, "person": 2, "person_cse": 3}
+#: grown box, own box, pixels of the mask, what is pasted as runs over the image, and what generators get.
+_REGION = "paste_order: int, det_id: long, kind: string, score: double, x0: long, y0: long, x1: long, y1: long, own_x0: long, own_y0: long, own_x1: long, own_y1: long, mask_area: long, hole: array<bigint>, seed: long, keypoints: array<struct<x: double, y: double, v: double>>"
 DETECTORS, GENERATORS = Registry("detector"), Registry("generator")
 for _name, _f in kernels.GENERATORS.items():
     GENERATORS.register(_name)(_f)
@@ -84,6 +87,15 @@ def pixels_of(row) -> np.ndarray:
     return np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.n_channels)
 
 
+def of_ids(schema: str, rows: DataFrame) -> str:
+    """A schema with the image ids of the rows, which may be of any type."""
+    return schema.replace("image_id long", f"image_id {rows.schema['image_id'].dataType.simpleString()}")
+
+
+def looked_at(detector: Callable, image: np.ndarray) -> list[dict]:
+    return [(Found(*x) if isinstance(x, tuple) else x).row(i + 1) for i, x in enumerate(detector(image))]
+
+
 def outcomes(images: DataFrame, detector: Callable) -> DataFrame:
     """detector: image -> [Found or (kind, score, x0, y0, x1, y1)]. One row an image (OUTCOME_SCHEMA), also where nothing was found or the detector
     failed, so that the two can be told apart."""
@@ -95,15 +107,15 @@ def outcomes(images: DataFrame, detector: Callable) -> DataFrame:
                 error, found = None, []
                 try:
                     image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
-                    found = [(Found(*x) if isinstance(x, tuple) else x).row(i + 1) for i, x in enumerate(detector(image))]
+                    found = looked_at(detector, image)
                 except Exception as e:  # of one image; the others go on
                     error = f"{type(e).__name__}: {e}"
                 out.append({"image_id": r["image_id"], "height": r["height"], "width": r["width"], "error": error, "found": found})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     rows = images.select("image_id", "height", "width", "n_channels", "data")
-    schema = to_arrow_schema(rows.sparkSession.createDataFrame([], OUTCOME_SCHEMA).schema)
-    return rows.mapInArrow(run, OUTCOME_SCHEMA)
+    schema = to_arrow_schema(rows.sparkSession.createDataFrame([], of_ids(OUTCOME_SCHEMA, images)).schema)
+    return rows.mapInArrow(run, of_ids(OUTCOME_SCHEMA, images))
 
 
 def detections_of(found: DataFrame, score_threshold: float = 0.0) -> DataFrame:
@@ -137,35 +149,78 @@ def paste_order(detections: DataFrame) -> DataFrame:
     return detections.withColumns({"kind_rank": rank, "_area": signed}).withColumn("paste_order", F.row_number().over(w)).drop("_area")
 
 
-def fuse(detections: DataFrame, score_threshold: float = 0.3, width=640, height=480, mask_area: Column | None = None, minimum_area: int = 1024) -> DataFrame:
-    """Score filter, faces inside persons removed, boxes expanded, kept by size, ordered for pasting. width, height: numbers, or columns where images
-    differ in size."""
-    kept = detections.filter(c("score") >= score_threshold)
-    people = kept.filter(c("kind").isin("person", "person_cse"))
-    faces = not_inside(kept.filter(c("kind") == "face"), people)
-    rest = kept.filter(c("kind") != "face")
-    both = faces.select(rest.columns).unionByName(rest)
-    area = mask_area if mask_area is not None else F.floor((c("x1") - c("x0")) * (c("y1") - c("y0")) * 0.5)
-    both = both.withColumns({f"own_{n}": c(n) for n in G.COORDS})
-    grown = G.expanded_box(both, area, width=width, height=height).filter(G.include_box(width, height, minimum_area))
-    return paste_order(grown)
-
-
-def hole_of(region: dict, box: tuple[int, int, int, int]) -> np.ndarray:
-    """The mask of a detection inside a box; the whole box where the detection has none."""
-    x0, y0, x1, y1 = box
-    bits = region.get("mask")
-    if bits is None:
-        return np.ones((y1 - y0, x1 - x0), bool)
-    a, b, w, h = region["own_x0"], region["own_y0"], region["own_x1"] - region["own_x0"], region["own_y1"] - region["own_y0"]
-    own = np.unpackbits(np.frombuffer(bits, np.uint8), count=w * h).reshape(h, w).astype(bool)
-    out = np.zeros((y1 - y0, x1 - x0), bool)
-    left, top, right, low = max(a, x0), max(b, y0), min(a + w, x1), min(b + h, y1)
-    if right > left and low > top:
-        out[top - y0 : low - y0, left - x0 : right - x0] = own[top - b : low - b, left - a : right - a]
+def seed_of(image_id, det_id) -> int:
+    """The latent seed of a detection without a track: of its ids alone."""
+    return int(hashlib.md5(f"{image_id}:{det_id}".encode()).hexdigest()[:8], 16)
+
+
+def regions_of(image_id, found: list[dict], width: int, height: int, o: Fusion, holes: bool) -> list[dict]:
+    """One image's regions in the order of pasting; boxes with packed bits get runs."""
+    for d in found:
+        if d.get("runs") is None and d.get("mask") is not None:
+            d["runs"] = R.from_bits(d["mask"], (d["x0"], d["y0"], d["x1"], d["y1"]), width, height)
+    out = []
+    for n, p in enumerate(fusion.fuse(found, width, height, o, holes)):
+        own, grown = p.box, p.grown
+        out.append({
+            "paste_order": n + 1, "det_id": p.det_id, "kind": p.kind, "score": p.source["score"],
+            **{k: int(v) for k, v in zip(G.COORDS, grown, strict=True)}, **{f"own_{k}": int(v) for k, v in zip(G.COORDS, own, strict=True)},
+            "mask_area": R.area(p.runs), "hole": p.hole if holes else None, "seed": seed_of(image_id, p.det_id), "keypoints": p.source.get("keypoints"),
+        })
     return out
 
 
+def found_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(image_id, height, width, found) of each row; runs stay numpy slices."""
+    column = batch.column("found")
+    parts = column.flatten()
+    fields = {parts.type.field(i).name: child for i, child in enumerate(parts.flatten())}
+    runs = fields.pop("runs", None)
+    plain = pa.StructArray.from_arrays(list(fields.values()), names=list(fields)).to_pylist() if len(parts) else []
+    if runs is not None:
+        at, values = runs.offsets.to_numpy(), runs.values.to_numpy()
+        for k, d in enumerate(plain):
+            d["runs"] = values[at[k] : at[k + 1]] if runs[k].is_valid else None
+    ids, heights, widths = (batch.column(n).to_pylist() for n in ("image_id", "height", "width"))
+    first = 0
+    for k, n in enumerate((v or 0) for v in pa.compute.list_value_length(column).to_pylist()):
+        yield ids[k], heights[k], widths[k], plain[first : first + n]
+        first += n
+
+
+def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True) -> DataFrame:
+    """rows(image_id, height, width, found), one an image, as ``outcomes`` and ``by_image`` make them -> image_id, regions."""
+    schema = of_ids(f"image_id long, regions array<struct<{_REGION}>>", rows)
+    arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pylist([{"image_id": i, "regions": regions_of(i, found, w, h, o, holes)} for i, h, w, found in found_rows(batch)], arrow)
+
+    return rows.select("image_id", F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), "found").mapInArrow(run, schema)
+
+
+def by_image(detections: DataFrame, width=640, height=480) -> DataFrame:
+    """Detections, gathered to one row an image. width, height: numbers, or columns where images differ in size."""
+    names = [n for n in ("det_id", "kind", "score", *G.COORDS, "mask", "runs", "keypoints") if n in detections.columns]
+    sized = detections.withColumns({"_h": G.col_of(height).cast("int"), "_w": G.col_of(width).cast("int")})
+    gathered = sized.groupBy("image_id").agg(F.first("_h").alias("height"), F.first("_w").alias("width"), F.collect_list(F.struct(*names)).alias("found"))
+    return gathered
+
+
+def fuse(detections: DataFrame, o: Fusion = Fusion(), width=640, height=480, holes: bool = True) -> DataFrame:
+    """A table of detections (DETECTION_SCHEMA; masks as packed bits, or as ``runs``) -> image_id and its regions (_REGION), one row each. One exchange, of
+    detections by image."""
+    return fuse_rows(by_image(detections, width, height), o, holes).select("image_id", F.inline("regions"))
+
+
+def hole_of(region: dict, box: tuple[int, int, int, int], width: int) -> np.ndarray:
+    """What is pasted of a region inside a box; the whole box where nothing is said."""
+    if region.get("hole") is None:
+        return np.ones((box[3] - box[1], box[2] - box[0]), bool)
+    return R.to_array(np.asarray(region["hole"], np.int64), box, width)
+
+
 def redact_regions(image: np.ndarray, regions: list[dict], make: Callable, z_dim: int = 512, **options) -> np.ndarray:
     """Regions in order, each over the result so far, so that later ones win; pasted where their mask says."""
     out = image.copy()
@@ -173,7 +228,7 @@ def redact_regions(image: np.ndarray, regions: list[dict], make: Callable, z_dim
         x0, y0, x1, y1 = max(0, r["x0"]), max(0, r["y0"]), min(out.shape[1], r["x1"]), min(out.shape[0], r["y1"])
         if x1 <= x0 or y1 <= y0:
             continue
-        crop, hole = out[y0:y1, x0:x1], hole_of(r, (x0, y0, x1, y1))
+        crop, hole = out[y0:y1, x0:x1], hole_of(r, (x0, y0, x1, y1), out.shape[1])
         if getattr(make, "takes_region", False):
             points = [((p["x"] - x0) / (x1 - x0), (p["y"] - y0) / (y1 - y0), p["v"]) for p in r["keypoints"]] if r.get("keypoints") else None
             z = np.random.RandomState(r["seed"] % (1 << 32)).normal(size=z_dim)
@@ -184,41 +239,66 @@ def redact_regions(image: np.ndarray, regions: list[dict], make: Callable, z_dim
     return out
 
 
+def generator_of(generator: str | Callable) -> Callable:
+    return GENERATORS.get(generator) if isinstance(generator, str) else generator
+
+
+def with_results(batch: pa.RecordBatch, results: list[tuple[bytes, str]]) -> pa.RecordBatch:
+    names = ["image_id", "height", "width", "n_channels"]
+    data, status = zip(*results, strict=True) if results else ((), ())
+    return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(data, pa.binary()), pa.array(status, pa.string())], names=[*names, "data", "status"])
+
+
 def redact(images: DataFrame, fused: DataFrame, looked_at: DataFrame, generator: str | Callable = "blur", **options) -> DataFrame:
-    """images(IMAGE_SCHEMA), fused detections, looked_at(image_id, error): the images that the detector came to -> images with ``data`` redacted
+    """images(IMAGE_SCHEMA), regions (as of ``fuse``), looked_at(image_id, error): the images that the detector came to -> images with ``data`` redacted
     and ``status``. Masked as a whole are images without a row in looked_at, those with an error, and those whose redaction fails; only one that was
-    looked at without a find passes. Boxes are gathered per image before the bytes join them."""
-    make = GENERATORS.get(generator) if isinstance(generator, str) else generator
-    names = ["paste_order", *G.COORDS, *[n for n in ("own_x0", "own_y0", "own_x1", "own_y1", "mask", "keypoints") if n in fused.columns]]
-    seed = F.xxhash64("image_id", "det_id") if "det_id" in fused.columns else F.xxhash64("image_id", "paste_order")
-    regions = fused.groupBy("image_id").agg(F.collect_list(F.struct(*names, F.pmod(seed, F.lit(1 << 32)).alias("seed"))).alias("regions"))
+    looked at without a find passes. Regions are gathered per image before the bytes join them."""
+    make = generator_of(generator)
+    names = ["paste_order", *G.COORDS, *[n for n in ("hole", "seed", "keypoints") if n in fused.columns]]
+    regions = fused.groupBy("image_id").agg(F.collect_list(F.struct(*names)).alias("regions"))
     marks = looked_at.groupBy("image_id").agg(F.max("error").alias("error"), F.lit(True).alias("seen")).join(regions, "image_id", "left")
     joined = images.join(marks, "image_id", "left").select("image_id", "height", "width", "n_channels", "data", "error", "seen", "regions")
 
+    def one(r: dict) -> tuple[bytes, str]:
+        masked = bytes([128]) * len(r["data"] or b"")
+        if not r["seen"]:
+            return masked, "missing_masked"
+        if r["error"] is not None:
+            return masked, "error_masked"
+        if not r["regions"]:
+            return r["data"], "no_region"
+        try:
+            image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
+            return redact_regions(image, sorted(r["regions"], key=lambda x: x["paste_order"]), make, **options).tobytes(), "ok"
+        except Exception:  # fail closed: the original never passes
+            return masked, "error_masked"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, status = [], []
-            for r in batch.to_pylist():
-                new, what = bytes([128]) * len(r["data"] or b""), "error_masked"
-                if not r["seen"]:
-                    what = "missing_masked"
-                elif r["error"] is None and not r["regions"]:
-                    new, what = r["data"], "no_region"
-                elif r["error"] is None:
-                    try:
-                        image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
-                        new, what = redact_regions(image, sorted(r["regions"], key=lambda x: x["paste_order"]), make, **options).tobytes(), "ok"
-                    except Exception:  # fail closed: the original never passes
-                        pass
-                data.append(new)
-                status.append(what)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(data, pa.binary()), pa.array(status)], names=[*batch.schema.names[:4], "data", "status"])
-
-    return joined.mapInArrow(run, IMAGE_SCHEMA + ", status string")
-
-
-def anonymise(images: DataFrame, detector: Callable, generator: str | Callable = "blur", score_threshold: float = 0.3, **options) -> DataFrame:
-    """Detect, fuse within each image's own size, redact. The detector's outcomes are stored, so no image is looked at twice."""
-    found = cut(outcomes(images, detector))
-    fused = fuse(detections_of(found, score_threshold), score_threshold, c("width"), c("height"), minimum_area=1)
-    return redact(images, fused, found, generator, **options)
+            yield with_results(batch, [one(r) for r in batch.to_pylist()])
+
+    return joined.mapInArrow(run, of_ids(IMAGE_SCHEMA, images) + ", status string")
+
+
+def anonymise(images: DataFrame, detector: Callable, generator: str | Callable = "blur", score_threshold: float = 0.3, o: Fusion | None = None, **options) -> DataFrame:
+    """Detect, fuse within each image's own size, redact: one pass without an exchange -> images with ``data`` redacted and ``status``, as ``redact``.
+    Unlike the published defaults, o keeps persons of any size."""
+    make = generator_of(generator)
+    o = replace(o or Fusion(minimum_area=1), score_threshold=score_threshold)
+
+    def one(r: dict) -> tuple[bytes, str]:
+        masked = bytes([128]) * len(r["data"] or b"")
+        try:
+            image = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], r["n_channels"])
+            regions = regions_of(r["image_id"], looked_at(detector, image), r["width"], r["height"], o, True)
+            if not regions:
+                return r["data"], "no_region"
+            return redact_regions(image, regions, make, **options).tobytes(), "ok"
+        except Exception:  # fail closed: neither a failed detector nor a failed generator lets the original pass
+            return masked, "error_masked"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield with_results(batch, [one(r) for r in batch.to_pylist()])
+
+    return images.select("image_id", "height", "width", "n_channels", "data").mapInArrow(run, of_ids(IMAGE_SCHEMA, images) + ", status string")

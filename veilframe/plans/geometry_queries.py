@@ -185,14 +185,14 @@ def b18(spark, d):
     return both.select(*ID, *[v.alias(k) for k, v in G.union_box(G.COORDS, ("nx0", "ny0", "nx1", "ny1")).items()])
 
 
-@query("b19_box_from_crop", """SELECT image_id, det_id, CAST(trunc(10 * (x1 - x0) / 160.0 + x0) AS BIGINT) AS bx0, CAST(trunc(20 * (y1 - y0) / 288.0 + y0) AS BIGINT) AS by0,
- CAST(trunc((160 - det_id % 50) * (x1 - x0) / 160.0 + x0) AS BIGINT) AS bx1, CAST(trunc((288 - det_id % 70) * (y1 - y0) / 288.0 + y0) AS BIGINT) AS by1 FROM boxes""")
+@query("b19_box_from_crop", """SELECT image_id, det_id, CAST(trunc(10 * (x1 - x0) / 160.0e0) AS BIGINT) + x0 - 40 AS bx0, CAST(trunc(20 * (y1 - y0) / 288.0e0) AS BIGINT) + y0 - 40 AS by0,
+ CAST(trunc((160 - det_id % 50) * (x1 - x0) / 160.0e0) AS BIGINT) + x0 - 40 AS bx1, CAST(trunc((288 - det_id % 70) * (y1 - y0) / 288.0e0) AS BIGINT) + y0 - 40 AS by1 FROM boxes""")
 def b19(spark, d):
-    rows = R.boxes(spark, d).withColumns({"m0": F.lit(10), "m1": F.lit(20), "m2": 160 - c("det_id") % 50, "m3": 288 - c("det_id") % 70})
-    # multiply before dividing: the same order of operations as the scale of a whole crop
-    w, h = c("x1") - c("x0"), c("y1") - c("y0")
-    out = {"bx0": c("m0") * w / 160.0 + c("x0"), "by0": c("m1") * h / 288.0 + c("y0"), "bx1": c("m2") * w / 160.0 + c("x0"), "by1": c("m3") * h / 288.0 + c("y0")}
-    return rows.select(*ID, *[G.whole(v).alias(k) for k, v in out.items()])
+    """Outer boxes that start outside the image as well."""
+    rows = R.boxes(spark, d).withColumns({n: c(n) - 40 for n in G.COORDS})
+    rows = rows.withColumns({"m0": F.lit(10), "m1": F.lit(20), "m2": 160 - c("det_id") % 50, "m3": 288 - c("det_id") % 70})
+    return rows.select(*ID, *[v.alias(k) for k, v in G.from_crop(("m0", "m1", "m2", "m3"), G.COORDS, 160, 288).items()])
+
 
 
 @query("b20_round_region", "SELECT image_id, det_id, CAST(round_even(x0 / 2.0, 0) AS BIGINT) AS rx0, CAST(round_even(y0 / 2.0, 0) AS BIGINT) AS ry0, CAST(round_even(x1 / 2.0, 0) AS BIGINT) AS rx1, CAST(round_even(y1 / 2.0, 0) AS BIGINT) AS ry1 FROM boxes")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import matching as M
+from ..operators.runs import box_runs, runs_area
 
 c = F.col
 #: DuckDB: greedy one-to-one fold over an ordered list of pairs {i, j}.
@@ -23,6 +24,27 @@ def pair_sql(left: str, right: str) -> str:
  (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS areas FROM boxes a JOIN boxes b ON a.image_id = b.image_id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 WHERE a.kind = '{left}' AND b.kind = '{right}')"""
 
 
+def mask_pair_sql(left: str, right: str, box: bool = False, score: float = 0.0) -> str:
+    """Pairs with the pixels of both masks, row by row; box: the left side is a box. score: the least one of both sides."""
+    run = "greatest(0, least(s.b, s.y * 640 + p.x1) - greatest(s.a, s.y * 640 + p.x0))" if box else "greatest(0, least(r.b, s.b) - greatest(r.a, s.a))"
+    rows = "" if box else "JOIN mask_rows r ON r.image_id = p.image_id AND r.det_id = p.det_id AND r.y = s.y"
+    return f"""(WITH p AS (SELECT f.image_id, f.det_id, f.score, f.x0, f.y0, f.x1, f.y1, o.det_id AS o_det_id FROM boxes f JOIN boxes o ON f.image_id = o.image_id AND f.x0 < o.x1 AND o.x0 < f.x1 AND f.y0 < o.y1 AND o.y0 < f.y1 WHERE f.kind = '{left}' AND o.kind = '{right}' AND least(f.score, o.score) >= {score}),
+ size AS (SELECT image_id, det_id, sum(b - a) AS n FROM mask_rows GROUP BY image_id, det_id),
+ hit AS (SELECT p.image_id, p.det_id, p.o_det_id, sum({run}) AS inter FROM p JOIN mask_rows s ON s.image_id = p.image_id AND s.det_id = p.o_det_id {"AND s.y >= p.y0 AND s.y < p.y1" if box else rows} GROUP BY p.image_id, p.det_id, p.o_det_id)
+ SELECT p.image_id, p.det_id, p.score, p.o_det_id, CAST(coalesce(hit.inter, 0) AS BIGINT) AS inter, CAST(({"(p.x1 - p.x0) * (p.y1 - p.y0)" if box else "sl.n"}) + sr.n AS BIGINT) AS areas
+ FROM p JOIN size sl ON sl.image_id = p.image_id AND sl.det_id = p.det_id JOIN size sr ON sr.image_id = p.image_id AND sr.det_id = p.o_det_id LEFT JOIN hit ON hit.image_id = p.image_id AND hit.det_id = p.det_id AND hit.o_det_id = p.o_det_id)"""
+
+
+def masked(spark, d, name):
+    return R.masks(spark, d).filter(c("kind") == name)
+
+
+def boxed(spark, d, name):
+    """Boxes as masks: a face is all of its box."""
+    rows = kind(spark, d, name).withColumn("runs", box_runs(c("x0"), c("y0"), c("x1"), c("y1"), F.lit(R.WIDTH)))
+    return rows.withColumn("mask_area", (c("x1") - c("x0")) * (c("y1") - c("y0")))
+
+
 def kind(spark, d, name):
     return R.boxes(spark, d).filter(c("kind") == name)
 
@@ -60,24 +82,45 @@ def j04(spark, d):
     return at.select("image_id", "det_id", c("p")["x"].alias("px"), c("p")["y"].alias("py"))
 
 
-@query("j05_match_in_order", f"SELECT * FROM {fold_sql('(SELECT * FROM ' + pair_sql('person', 'person_cse') + ' p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.2) p', 'det_id, o_det_id')}")
+PEOPLE = fold_sql(f"(SELECT * FROM {mask_pair_sql('person', 'person_cse')} p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.2) p", "det_id, o_det_id")
+
+
+@query("j05_match_in_order", f"SELECT * FROM {PEOPLE}")
 def j05(spark, d):
-    return M.match_in_order(kind(spark, d, "person"), kind(spark, d, "person_cse"), 0.2)
+    return M.match_in_order(masked(spark, d, "person"), masked(spark, d, "person_cse"), 0.2)
 
 
-ABOVE = f"(SELECT *, count(*) OVER (PARTITION BY image_id, o_det_id) AS rivals FROM (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {pair_sql('face', 'person')} p) q WHERE iou > 0.01)"
+ABOVE = f"(SELECT *, count(*) OVER (PARTITION BY image_id, o_det_id) AS rivals FROM (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {mask_pair_sql('face', 'person', True)} p) q WHERE iou > 0.01)"
 MATCHES = fold_sql(f"{ABOVE} a", "-iou, -score, rivals, det_id, o_det_id")
 
 
 @query("j06_match_by_score", f"SELECT * FROM {MATCHES}")
 def j06(spark, d):
-    return M.match_by_score(kind(spark, d, "face"), kind(spark, d, "person"), 0.01)[0]
+    return M.match_by_score(boxed(spark, d, "face"), masked(spark, d, "person"), 0.01)[0]
 
 
-@query("j07_near_misses", f"""WITH a AS MATERIALIZED {ABOVE}, m AS MATERIALIZED {fold_sql("a", "-iou, -score, rivals, det_id, o_det_id")}, s AS MATERIALIZED (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {pair_sql('face', 'person')} p)
+@query("j07_near_misses", f"""WITH a AS MATERIALIZED {ABOVE}, m AS MATERIALIZED {fold_sql("a", "-iou, -score, rivals, det_id, o_det_id")}, s AS MATERIALIZED (SELECT *, round(inter / (areas - inter + 1e-7), 12) AS iou FROM {mask_pair_sql('face', 'person', True)} p)
 SELECT image_id, det_id, o_det_id FROM s WHERE iou > 1e-7 AND iou <= 0.01 AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM a) AND (image_id, o_det_id) NOT IN (SELECT (image_id, o_det_id) FROM m)""")
 def j07(spark, d):
-    return M.match_by_score(kind(spark, d, "face"), kind(spark, d, "person"), 0.01)[1]
+    return M.match_by_score(boxed(spark, d, "face"), masked(spark, d, "person"), 0.01)[1]
+
+
+#: Of a set of runs: pixels, sum of their places, tight box. Sums of places tell sets of pixels apart that have as many.
+_SUMS = "sum(b - a) AS n, sum((b - a) * (a + b - 1) // 2) AS places"
+
+
+@query("m09_merged_runs", f"""WITH m AS MATERIALIZED (SELECT * FROM {PEOPLE}), r AS (SELECT image_id, det_id, {_SUMS}, min(a % 640) AS x0, min(y) AS y0, max((b - 1) % 640) + 1 AS x1, max(y) + 1 AS y1 FROM mask_rows GROUP BY image_id, det_id),
+ i AS (SELECT m.image_id, m.det_id, {_SUMS} FROM (SELECT m.image_id, m.det_id, greatest(p.a, q.a) AS a, least(p.b, q.b) AS b FROM m JOIN mask_rows p ON p.image_id = m.image_id AND p.det_id = m.det_id JOIN mask_rows q ON q.image_id = m.image_id AND q.det_id = m.o_det_id AND q.y = p.y) m WHERE a < b GROUP BY m.image_id, m.det_id)
+SELECT m.image_id, m.det_id, m.o_det_id, CAST(p.n + q.n - i.n AS BIGINT) AS n, CAST(p.places + q.places - i.places AS BIGINT) AS places, least(p.x0, q.x0) AS x0, least(p.y0, q.y0) AS y0, greatest(p.x1, q.x1) AS x1, greatest(p.y1, q.y1) AS y1
+FROM m JOIN r p ON p.image_id = m.image_id AND p.det_id = m.det_id JOIN r q ON q.image_id = m.image_id AND q.det_id = m.o_det_id JOIN i ON i.image_id = m.image_id AND i.det_id = m.det_id""")
+def m09_runs(spark, d):
+    left, right = masked(spark, d, "person"), masked(spark, d, "person_cse")
+    merged = M.merge_matched(left, right, M.match_in_order(left, right, 0.2)).withColumn("n", runs_area(c("runs")))
+    ends = F.filter("runs", lambda v, i: i % 2 == 1)
+    each = F.zip_with(F.filter("runs", lambda v, i: i % 2 == 0), ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    places = F.aggregate(each, F.lit(0).cast("long"), lambda s, r: s + F.floor((r["b"] - r["a"]) * (r["a"] + r["b"] - 1) / 2.0))
+    box = {"x0": F.array_min(F.transform(each, lambda r: r["a"] % R.WIDTH)), "y0": F.floor(F.get("runs", F.lit(0)) / R.WIDTH), "x1": F.array_max(F.transform(each, lambda r: (r["b"] - 1) % R.WIDTH)) + 1, "y1": F.floor((F.array_max("runs") - 1) / R.WIDTH) + 1}
+    return merged.select("image_id", "det_id", "o_det_id", "n", places.alias("places"), *[v.cast("long").alias(k) for k, v in box.items()])
 
 
 CONTAIN = """(SELECT b.image_id, b.det_id, k.det_id AS o_det_id FROM boxes b JOIN kps k ON k.image_id = b.image_id AND k.k < 3 WHERE b.kind = 'vehicle' AND k.det_id IN (SELECT det_id FROM boxes x WHERE x.image_id = k.image_id AND x.kind = 'face')
@@ -96,10 +139,11 @@ def j09(spark, d):
     return M.not_inside(b.filter("kind = 'face'"), b.filter("kind in ('person', 'person_cse')")).select("image_id", "det_id")
 
 
-@query("j10_unmatched_persons", f"WITH m AS MATERIALIZED {fold_sql('(SELECT * FROM ' + pair_sql('person', 'person_cse') + ' p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.2) p', 'det_id, o_det_id')} SELECT image_id, det_id FROM boxes b WHERE kind = 'person' AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM m)")
+@query("j10_unmatched_persons", f"WITH m AS MATERIALIZED {PEOPLE} SELECT image_id, det_id FROM boxes b WHERE kind = 'person' AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM m)")
 def j10(spark, d):
-    people = kind(spark, d, "person")
-    return people.join(M.match_in_order(people, kind(spark, d, "person_cse"), 0.2), ["image_id", "det_id"], "left_anti").select("image_id", "det_id")
+    people = masked(spark, d, "person")
+    matches = M.match_in_order(people, masked(spark, d, "person_cse"), 0.2)
+    return kind(spark, d, "person").join(matches, ["image_id", "det_id"], "left_anti").select("image_id", "det_id")
 
 
 @query("j11_person_split", "SELECT image_id, det_id, kind IN ('person', 'person_cse') AS is_person FROM boxes")

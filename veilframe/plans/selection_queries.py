@@ -13,6 +13,7 @@ from ..functions.registry import query
 from ..operators import geometry as G
 from ..operators import selection as S
 from ..sources import scan
+from ..operators.fusion import Fusion
 from . import anonymize
 
 c = F.col
@@ -513,18 +514,39 @@ def _kernels() -> None:
 
 _kernels()
 
-#: The fusion plan in SQL: score filter, faces inside persons removed, boxes expanded, filtered, ordered.
-from .geometry_queries import sql_background, sql_ratio, sql_share  # noqa: E402
-
-_KEPT = """(SELECT *, CAST(floor((x1 - x0) * (y1 - y0) * 0.5e0) AS BIGINT) AS area_ FROM boxes f WHERE score >= 0.3 AND NOT (kind = 'face' AND EXISTS (SELECT 1 FROM boxes p WHERE p.score >= 0.3 AND p.image_id = f.image_id AND p.kind IN ('person', 'person_cse') AND p.x0 < f.x0 AND p.y0 < f.y0 AND p.x1 > f.x1 AND p.y1 > f.y1)))"""
-FUSED_SQL = f"""SELECT image_id, det_id, kind, x0, y0, x1, y1, row_number() OVER (PARTITION BY image_id ORDER BY kind_rank, CASE WHEN kind = 'vehicle' THEN -((x1 - x0) * (y1 - y0)) ELSE (x1 - x0) * (y1 - y0) END, det_id) AS paste_order
-FROM {sql_background(sql_ratio(sql_share(_KEPT, 0.1), 1.8), 'area_', 0.3)} q
-WHERE (least(x1, 640) - greatest(0, x0)) * (least(480, y1) - greatest(0, y0)) / CAST((x1 - x0) * (y1 - y0) AS DOUBLE) >= 0 AND (y1 - y0) / CAST(x1 - x0 AS DOUBLE) > 0 AND (y1 - y0) / CAST(x1 - x0 AS DOUBLE) < 99999 AND (x1 - x0) * (y1 - y0) >= 1024"""
+#: The fusion plan in SQL, as published: score filter, persons matched by masks, faces inside dilated boxes removed, boxes expanded, filtered, ordered.
+from .geometry_queries import sql_background, sql_ratio, sql_share, sql_simple  # noqa: E402
+from .matching_queries import fold_sql, mask_pair_sql  # noqa: E402
+
+_PEOPLE_SQL = """(SELECT m.image_id, m.o_det_id AS det_id, 'person_cse' AS kind, 3 AS kind_rank, least(p.x0, q.x0, o.x0) AS x0, least(p.y0, q.y0, o.y0) AS y0, greatest(p.x1, q.x1, o.x1) AS x1, greatest(p.y1, q.y1, o.y1) AS y1,
+  least(p.x0, q.x0) AS mx0, least(p.y0, q.y0) AS my0, greatest(p.x1, q.x1) AS mx1, greatest(p.y1, q.y1) AS my1, p.n + q.n - i.n AS area_
+ FROM m JOIN size p ON p.image_id = m.image_id AND p.det_id = m.det_id JOIN size q ON q.image_id = m.image_id AND q.det_id = m.o_det_id JOIN both_ i ON i.image_id = m.image_id AND i.det_id = m.det_id JOIN boxes o ON o.image_id = m.image_id AND o.det_id = m.o_det_id
+ UNION ALL SELECT image_id, det_id, kind, 2, x0, y0, x1, y1, x0, y0, x1, y1, n FROM size WHERE kind = 'person' AND score >= 0.3 AND (image_id, det_id) NOT IN (SELECT (image_id, det_id) FROM m))"""
+#: Sides of the dilated mask in the crop of 288 x 160 pixels: sampled, grown by the disk's radius, cleared in the padding.
+_REACH_SQL = """SELECT *, x0 + greatest(greatest(0, -x0) * 288 // (y1 - y0), CAST(ceil((mx0 - x0) * 160 / CAST(x1 - x0 AS DOUBLE)) AS BIGINT) - 4) * (x1 - x0) // 160 AS rx0,
+ y0 + greatest(greatest(0, -y0) * 288 // (y1 - y0), CAST(ceil((my0 - y0) * 288 / CAST(y1 - y0 AS DOUBLE)) AS BIGINT) - 4) * (y1 - y0) // 288 AS ry0,
+ x0 + least(160 - greatest(0, x1 - 640) * 288 // (y1 - y0), CAST(ceil((mx1 - x0) * 160 / CAST(x1 - x0 AS DOUBLE)) AS BIGINT) + 4) * (x1 - x0) // 160 AS rx1,
+ y0 + least(288 - greatest(0, y1 - 480) * 288 // (y1 - y0), CAST(ceil((my1 - y0) * 288 / CAST(y1 - y0 AS DOUBLE)) AS BIGINT) + 4) * (y1 - y0) // 288 AS ry1 FROM grown"""
+FUSED_SQL = f"""WITH m AS MATERIALIZED (SELECT * FROM {fold_sql(f"(SELECT * FROM {mask_pair_sql('person', 'person_cse', score=0.3)} p WHERE inter / CAST(areas - inter AS DOUBLE) >= 0.4) p", 'det_id, o_det_id')}),
+size AS MATERIALIZED (SELECT image_id, det_id, kind, max(score) AS score, CAST(sum(b - a) AS BIGINT) AS n, min(a % 640) AS x0, min(y) AS y0, max((b - 1) % 640) + 1 AS x1, max(y) + 1 AS y1 FROM mask_rows WHERE kind IN ('person', 'person_cse') GROUP BY image_id, det_id, kind),
+both_ AS MATERIALIZED (SELECT m.image_id, m.det_id, CAST(sum(greatest(0, least(p.b, q.b) - greatest(p.a, q.a))) AS BIGINT) AS n FROM m JOIN mask_rows p ON p.image_id = m.image_id AND p.det_id = m.det_id JOIN mask_rows q ON q.image_id = m.image_id AND q.det_id = m.o_det_id AND q.y = p.y GROUP BY m.image_id, m.det_id),
+grown AS MATERIALIZED (SELECT * FROM {sql_background(sql_ratio(sql_share(_PEOPLE_SQL, 0.1), 1.8), 'area_', 0.3)} q
+ WHERE (least(x1, 640) - greatest(0, x0)) * (least(480, y1) - greatest(0, y0)) / CAST((x1 - x0) * (y1 - y0) AS DOUBLE) >= 0 AND (y1 - y0) / CAST(x1 - x0 AS DOUBLE) > 0 AND (y1 - y0) / CAST(x1 - x0 AS DOUBLE) < 99999 AND (x1 - x0) * (y1 - y0) >= 1024),
+reach AS MATERIALIZED ({_REACH_SQL}),
+parts AS (SELECT image_id, det_id, kind, kind_rank, x0, y0, x1, y1, area_ AS size_ FROM grown
+ UNION ALL SELECT image_id, det_id, kind, 1, x0, y0, x1, y1, -((x1 - x0) * (y1 - y0)) FROM boxes WHERE kind = 'vehicle' AND score >= 0.3
+ UNION ALL SELECT image_id, det_id, kind, 0, sx0, sy0, sx1, sy1, size_ FROM (SELECT *, (x1 - x0) * (y1 - y0) AS size_, {sql_simple(0.4)} FROM boxes f WHERE kind = 'face' AND score >= 0.3
+  AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.image_id = f.image_id AND r.rx0 < f.x0 AND r.ry0 < f.y0 AND r.rx1 > f.x1 AND r.ry1 > f.y1)) q)
+SELECT image_id, det_id, kind, x0, y0, x1, y1, row_number() OVER (PARTITION BY image_id ORDER BY kind_rank, size_, det_id) AS paste_order FROM parts"""
 
 
 @query("plan_fused_regions", FUSED_SQL)
 def plan_fused(spark, d):
-    f = anonymize.fuse(R.boxes(spark, d))
+    """Only boxes are shuffled; the masks of persons are made in the image's row."""
+    rows = anonymize.by_image(R.boxes(spark, d), R.WIDTH, R.HEIGHT)
+    runs = lambda b: F.when(b["kind"].isin("person", "person_cse"), R.mask_runs(*[b[n] for n in G.COORDS]))
+    rows = rows.withColumn("found", F.transform("found", lambda b: b.withField("runs", runs(b))))
+    f = anonymize.fuse_rows(rows, Fusion(published=True), holes=False).select("image_id", F.inline("regions"))
     return f.select(*ID, "kind", *G.COORDS, c("paste_order").cast("long"))
 
 
