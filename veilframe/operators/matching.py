@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,15 +132,65 @@ def first_by_priority(rows: DataFrame, key: str, rank: Column, tie: str) -> Data
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def nearest_rows(vectors: DataFrame, table: DataFrame, limit: int = 100_000) -> DataFrame:
-    """vectors(id, vec), table(entry, ref): the entry of least squared distance (smallest on ties). The table is a fixed dimension;
-    its size is checked, and it goes to each row as one array instead of pairing rows."""
-    if table.count() > limit:
-        raise ValueError(f"the table has over {limit} entries; cut it into blocks")
-    one = F.broadcast(table.agg(F.sort_array(F.collect_list(F.struct("entry", "ref"))).alias("t")).withColumn("one", F.lit(1)))
-    dist = lambda r: F.aggregate(F.zip_with("vec", r["ref"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-    best = F.array_min(F.transform("t", lambda r: F.struct(F.round(dist(r), 9).alias("d"), r["entry"].alias("entry"))))
-    return vectors.withColumn("one", F.lit(1)).join(one, "one").withColumn("best", best).select("id", c("best")["entry"].alias("entry"), c("best")["d"].alias("distance"))
+#: Numbers that one block of a matrix of distances holds at most.
+BLOCK_NUMBERS = 1 << 22
+
+
+def vector_blocks(column: pa.Array, table: np.ndarray) -> Iterator[np.ndarray]:
+    """Vectors of a batch as matrices, so many rows at a time that their distances to a table are BLOCK_NUMBERS at most."""
+    if not len(column):
+        return
+    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64, copy=False)
+    step = max(1, BLOCK_NUMBERS // max(1, len(table)))
+    for first in range(0, len(x), step):
+        yield x[first : first + step]
+
+
+def nearest_centre(x: np.ndarray, table: np.ndarray, decimals: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the table, squared distance) for each vector; the first row on ties. A matrix product bounds all distances; entries within its rounding of the
+    least are then measured entry by entry, so ties and near ties are those of the exact differences (rounded to ``decimals``)."""
+    squares, own = (table * table).sum(1), (x * x).sum(1)
+    rough = own[:, None] - 2 * (x @ table.T) + squares[None]
+    room = 64 * np.finfo(np.float64).eps * (own + squares.max(initial=0.0)) * table.shape[1] ** 0.5 + (0 if decimals is None else 10.0**-decimals)
+    least = rough.min(1)
+    near = np.empty(len(x), np.int64)
+    distance = np.empty(len(x))
+    close = rough <= (least + room)[:, None]
+    single = close.sum(1) == 1
+    near[single] = close[single].argmax(1)
+    distance[single] = ((x[single] - table[near[single]]) ** 2).sum(1)
+    for k in np.flatnonzero(~single):
+        at = np.flatnonzero(close[k])
+        d = ((x[k] - table[at]) ** 2).sum(1)
+        if decimals is not None:
+            d = np.round(d, decimals)
+        best = int(d.argmin())
+        near[k], distance[k] = at[best], d[best]
+    return near, distance if decimals is None else np.round(distance, decimals)
+
+
+def nearest_rows(vectors: DataFrame, table: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
+    """vectors(id, vec), table(entry, ref): the entry of least squared distance, rounded to nine decimals (smallest entry on ties). The table is a
+    fixed dimension, as the vertices of a surface; its bytes are counted before it is sent to the executors, and distances are matrix products in blocks."""
+    size = table.agg(F.sum(8 * (F.size("ref") + 1)).alias("n")).first()["n"] or 0
+    if size > max_bytes:
+        raise ValueError(f"the table takes {size} bytes, more than {max_bytes}; cut it into parts and keep the best of each")
+    entries = sorted(table.filter("ref is not null").collect(), key=lambda r: r["entry"])
+    kind, entry = vectors.schema["id"].dataType.simpleString(), table.schema["entry"].dataType.simpleString()
+    if not entries:
+        return vectors.sparkSession.createDataFrame([], f"id {kind}, entry {entry}, distance double")
+    sent = vectors.sparkSession.sparkContext.broadcast((np.array([r["ref"] for r in entries], np.float64), pa.array([r["entry"] for r in entries])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs, names = sent.value
+        for batch in batches:
+            found = [nearest_centre(x, refs, 9) for x in vector_blocks(batch.column(1), refs)]
+            if found:
+                near, d = (np.concatenate(v) for v in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0), names.take(pa.array(near)), pa.array(d)], names=["id", "entry", "distance"])
+
+    rows = vectors.filter("vec is not null").select("id", c("vec").cast("array<double>").alias("vec"))
+    return rows.mapInArrow(run, f"id {kind}, entry {entry}, distance double")
 
 
 def track_step(previous: DataFrame, current: DataFrame, threshold: float) -> DataFrame:

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.storage import cut
+from .matching import nearest_centre, vector_blocks
 from .pixels import gaussian
 
 c = F.col
@@ -38,30 +43,95 @@ def l1_l2(pairs: DataFrame) -> DataFrame:
     return per.agg(F.avg("l1").alias("l1"), F.avg("rmse").alias("l2"))
 
 
-def ssim(pairs: DataFrame, size: int = 11, sigma: float = 1.5, width: int = 8, height: int = 8, k1: float = 0.01, k2: float = 0.03, span: float = 255.0) -> DataFrame:
-    """Mean structural similarity over the windows that lie inside the image; k1 and k2 are squared with the span."""
+def pooling(height: int, width: int) -> int:
+    """Side of the blocks that images are averaged over before their similarity is taken: that of the shorter side over 256, rounded half to even, 1 at least."""
+    return max(1, round(min(height, width) / 256))
+
+
+def pooled(pairs: DataFrame, factor: int) -> DataFrame:
+    """Pairs of pixels averaged over blocks of factor x factor; what doesn't fill a block at the far sides goes."""
+    if factor == 1:
+        return pairs
+    y, x = F.floor(c("y") / factor).cast("long"), F.floor(c("x") / factor).cast("long")
+    blocks = pairs.groupBy("image_id", y.alias("y"), x.alias("x")).agg(F.avg("a").alias("a"), F.avg("b").alias("b"), F.count("*").alias("_n"))
+    return blocks.filter(c("_n") == factor * factor).drop("_n")
+
+
+def ssim(pairs: DataFrame, size: int = 11, sigma: float = 1.5, width: int = 8, height: int = 8, k1: float = 0.01, k2: float = 0.03, span: float = 255.0, factor: int | None = None) -> DataFrame:
+    """Mean structural similarity over the windows that lie inside the image, of images averaged over ``pooling`` blocks first (or blocks of ``factor``); k1 and
+    k2 are squared with the span. The window is separable: each pixel goes to as many windows as a row has taps, then again by columns."""
+    factor = pooling(height, width) if factor is None else factor
+    pairs, width, height = pooled(pairs, factor), width // factor, height // factor
     if size > min(width, height):
         raise ValueError("the kernel is larger than the image")
-    w = gaussian(size, sigma)
-    taps = F.array(*[F.struct(F.lit(dy).cast("long").alias("dy"), F.lit(dx).cast("long").alias("dx"), F.lit(wy * wx).alias("w")) for dy, wy in enumerate(w) for dx, wx in enumerate(w)])
-    rows = pairs.withColumn("_t", F.explode(taps)).withColumns({"_y": c("y") - c("_t")["dy"], "_x": c("x") - c("_t")["dx"], "_w": c("_t")["w"]})
-    rows = rows.filter((c("_y") >= 0) & (c("_y") <= height - size) & (c("_x") >= 0) & (c("_x") <= width - size))
-    s = lambda v: F.sum(c("_w") * v)
-    m = rows.groupBy("image_id", "_y", "_x").agg(s(c("a")).alias("ma"), s(c("b")).alias("mb"), s(c("a") * c("a")).alias("aa"), s(c("b") * c("b")).alias("bb"), s(c("a") * c("b")).alias("ab"))
+    taps = F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(w).alias("w")) for k, w in enumerate(gaussian(size, sigma))])
+    values = {"ma": c("a"), "mb": c("b"), "aa": c("a") * c("a"), "bb": c("b") * c("b"), "ab": c("a") * c("b")}
+    m = pairs.select("image_id", "y", "x", *[v.cast("double").alias(n) for n, v in values.items()])
+    for axis, limit in (("x", width - size), ("y", height - size)):
+        rows = m.withColumn("_t", F.explode(taps)).withColumn(axis, c(axis) - c("_t")["k"]).filter((c(axis) >= 0) & (c(axis) <= limit))
+        m = rows.groupBy("image_id", "y", "x").agg(*[F.sum(c("_t")["w"] * c(n)).alias(n) for n in values])
     c1, c2 = (k1 * span) ** 2, (k2 * span) ** 2
     va, vb, cov = c("aa") - c("ma") ** 2, c("bb") - c("mb") ** 2, c("ab") - c("ma") * c("mb")
     value = (2 * c("ma") * c("mb") + c1) / (c("ma") ** 2 + c("mb") ** 2 + c1) * (2 * cov + c2) / (va + vb + c2)
     return m.groupBy("image_id").agg(F.avg(value).alias("ssim"))
 
 
+#: Partial moments of a dimension that one group of the first merging step holds.
+FAN_IN = 64
+_PART = "i int, n bigint, mean array<double>, m2 array<double>"
+
+
+def merged_moments(a: tuple, b: tuple, i: slice | int = slice(None)) -> tuple:
+    """Counts, means and centred sums of products of two sets of rows as those of both; i: the row of the matrix that is merged."""
+    n = a[0] + b[0]
+    gap = b[1] - a[1]
+    cross = np.outer(gap, gap) if isinstance(i, slice) else gap[i] * gap
+    return n, a[1] + gap * (b[0] / n), a[2] + b[2] + cross * (a[0] * b[0] / n)
+
+
+def gram_rows(features: DataFrame, group: str) -> DataFrame:
+    """features(group, vec) -> group, i, n, mean, m2: a row a group and dimension, with the mean vector and that row of the centred sums of products. One
+    matrix product a batch and group; a task holds one dim x dim matrix a group (groups are few, as real and generated images), rows of
+    which are merged in two steps, FAN_IN tasks at a time in the first. Null vectors and groups are left out."""
+    kind = features.schema[group].dataType.simpleString()
+    schema = f"g {kind}, {_PART}"
+    rows = features.select(c(group).alias("g"), c("vec").cast("array<double>").alias("vec")).filter("g is not null and vec is not null")
+    arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            codes = batch.column(0).dictionary_encode()
+            of = codes.indices.to_numpy(zero_copy_only=False)
+            for k, g in enumerate(codes.dictionary.to_pylist()):
+                mine = x[of == k]
+                mean = mine.mean(0)
+                new = (len(mine), mean, (mine - mean).T @ (mine - mean))
+                held[g] = merged_moments(held[g], new) if g in held else new
+        for g, (n, mean, m2) in held.items():
+            for i in range(len(mean)):
+                yield pa.RecordBatch.from_pylist([{"g": g, "i": i, "n": n, "mean": mean.tolist(), "m2": m2[i].tolist()}], arrow)
+
+    def merge(table: pa.Table) -> pa.Table:
+        i, total = table.column("i")[0].as_py(), None
+        for n, mean, m2 in zip(*(table.column(k).to_pylist() for k in ("n", "mean", "m2")), strict=True):
+            new = (n, np.array(mean), np.array(m2))
+            total = new if total is None else merged_moments(total, new, i)
+        return pa.Table.from_pylist([{"g": table.column("g")[0].as_py(), "i": i, "n": total[0], "mean": total[1].tolist(), "m2": total[2].tolist()}], arrow)
+
+    first = rows.mapInArrow(parts, schema).withColumn("part", F.spark_partition_id() % FAN_IN)
+    return first.groupBy("g", "i", "part").applyInArrow(merge, schema).groupBy("g", "i").applyInArrow(merge, schema).withColumnRenamed("g", group)
+
+
 def moments(features: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
-    """features(group, vec) -> means (group, i, mean) and covariances (group, i, j, cov), ddof 1. Products are formed in
-    the row and summed partially, so only dim^2 sums a task are shuffled."""
-    each = features.select(group, F.posexplode("vec").alias("i", "e"), "vec")
-    means = each.groupBy(group, "i").agg(F.avg("e").alias("mean"))
-    products = each.select(group, "i", "e", F.posexplode("vec").alias("j", "f")).filter(c("j") >= c("i"))
-    cov = products.groupBy(group, "i", "j").agg(F.covar_samp("e", "f").alias("cov"))
-    return means, cov
+    """features(group, vec) -> means (group, i, mean) and covariances (group, i, j from i on, cov), ddof 1."""
+    rows = gram_rows(features, group)
+    means = rows.select(group, "i", F.get("mean", c("i")).alias("mean"))
+    cov = rows.select(group, "i", "n", F.posexplode("m2").alias("j", "p")).filter("j >= i")
+    return means, cov.select(group, "i", "j", F.when(c("n") > 1, c("p") / (c("n") - 1)).alias("cov"))
 
 
 def frechet(mean1: np.ndarray, cov1: np.ndarray, mean2: np.ndarray, cov2: np.ndarray, eps: float = 1e-6) -> float:
@@ -79,34 +149,38 @@ def frechet(mean1: np.ndarray, cov1: np.ndarray, mean2: np.ndarray, cov2: np.nda
 
 
 def frechet_distance(features: DataFrame, group: str, first, second) -> float:
-    """Of two groups of feature vectors; only means and covariances (dim^2 numbers) reach the driver."""
-    means, cov = moments(features.filter(c(group).isin(first, second)), group)
-    m, s = means.toPandas(), cov.toPandas()
-    dim = int(m["i"].max()) + 1
+    """Of two groups of feature vectors; of each, dim^2 numbers reach the driver, where the matrix root is taken."""
+    rows = gram_rows(features.filter(c(group).isin(first, second)), group).collect()
 
     def of(g):
-        mean, full = np.zeros(dim), np.zeros((dim, dim))
-        part = m[m[group] == g]
-        mean[part["i"]] = part["mean"]
-        part = s[s[group] == g]
-        full[part["i"], part["j"]] = part["cov"]
-        full[part["j"], part["i"]] = part["cov"]
-        return mean, full
+        mine = sorted((r for r in rows if r[group] == g), key=lambda r: r["i"])
+        return np.array(mine[0]["mean"]), np.array([r["m2"] for r in mine]) / (mine[0]["n"] - 1)
 
     return frechet(*of(first), *of(second))
 
 
 def trimmed(values: DataFrame, value: str, low: float, high: float) -> DataFrame:
     """Mean and population deviation of the values between two order statistics, inclusive: the one at or below the rank
-    low * (n - 1) and the one at or above the rank high * (n - 1). Ranks come from a range-partitioned sort."""
-    from ..sources.scan import positions
-
-    ranked = positions(values.select(c(value).alias("v")).filter("v is not null"), [c("v")])
-    n = ranked.count()
-    ends = {math.floor(low * (n - 1)), math.ceil(high * (n - 1))}
-    bounds = ranked.filter(c("pos").isin(*ends)).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    kept = ranked.filter((c("v") >= bounds["lo"]) & (c("v") <= bounds["hi"]))
-    return kept.agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    low * (n - 1) and the one at or above the rank high * (n - 1). Equal values are counted before anything is sorted, so ties meet in a row and not in a
+    task; ranks are running sums over range-partitioned values."""
+    counts = cut(values.select(c(value).alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("n")))
+    n = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    stored = cut(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("_p", F.spark_partition_id()))
+    sizes = stored.groupBy("_p").agg(F.sum("n").alias("_n"))  # one row a partition
+    shift = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    upto = c("_before") + F.sum("n").over(Window.partitionBy("_p").orderBy("v"))
+    ranked = stored.join(F.broadcast(shift), "_p").select("v", "n", upto.alias("last"))
+    ends = [math.floor(low * (n - 1)), math.ceil(high * (n - 1))]
+    hit = F.lit(False)
+    for at in ends:
+        hit = hit | ((c("last") > at) & (c("last") - c("n") <= at))
+    bounds = ranked.filter(hit).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    kept = counts.filter((c("v") >= bounds["lo"]) & (c("v") <= bounds["hi"])) if n else counts
+    total = F.sum("n")
+    mean = F.sum(c("v") * c("n")) / total
+    centre = kept.agg(mean.alias("m")).first()["m"]
+    gap = c("v") - F.lit(centre)
+    return kept.agg(F.coalesce(total, F.lit(0)).alias("n"), mean.alias("mean"), F.sqrt(F.sum(gap * gap * c("n")) / total).alias("std"))
 
 
 def mean_of_present(rows: DataFrame, key: str, value: Column) -> DataFrame:
@@ -134,14 +208,94 @@ def path_length(a: Column, b: Column, eps: float) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v) / eps**2
 
 
-def lloyd_step(features: DataFrame, centres: DataFrame) -> DataFrame:
-    """Each vector goes to its nearest centre, each centre to the mean of its vectors: centre, i, value, n. The centres are a
-    model of fixed size, sent along as one array."""
-    from .matching import nearest_rows
-
-    near = nearest_rows(features.select(c("vec_id").alias("id"), "vec"), centres)
-    joined = features.join(near.select(c("id").alias("vec_id"), "entry"), "vec_id").select("entry", F.posexplode("vec").alias("i", "e"))
-    return joined.groupBy("entry", "i").agg(F.avg("e").alias("value"), F.count("*").alias("n"))
+def centre_sums(features: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """One pass: the sum and count of the vectors next to each centre (smallest number on ties), and the sum of squared distances. Matrix products a
+    batch; a task sends one k x dim matrix, rows of which are added up by centre."""
+    sent = features.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = sent.value
+        total, n, cost = np.zeros_like(k), np.zeros(len(k), np.int64), np.zeros(len(k))
+        for batch in batches:
+            for x in vector_blocks(batch.column(0), k):
+                near, d = nearest_centre(x, k)
+                np.add.at(total, near, x)
+                np.add.at(cost, near, d)
+                n += np.bincount(near, minlength=len(k))
+        hit = np.flatnonzero(n)
+        if len(hit):
+            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(n[hit]), pa.array(cost[hit]), pa.array(total[hit].tolist(), pa.list_(pa.float64()))], names=["entry", "n", "cost", "total"])
+
+    rows = features.filter("vec is not null").select(c("vec").cast("array<double>")).mapInArrow(run, "entry int, n bigint, cost double, total array<double>")
+    # sums by centre and dimension, added up before they leave a task
+    sums = rows.groupBy("entry").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(F.get("total", F.lit(i))).alias(f"t{i}") for i in range(centres.shape[1])])
+    total, n, cost = np.zeros_like(centres), np.zeros(len(centres), np.int64), 0.0
+    for r in sums.collect():  # a row a centre
+        total[r["entry"]], n[r["entry"]] = [r[f"t{i}"] for i in range(centres.shape[1])], r["n"]
+        cost += r["cost"]
+    return total, n, cost
+
+
+def lloyd_step(features: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(new centres, count of each, objective under the old ones): each centre goes to the mean of its vectors; one without any stays."""
+    total, n, cost = centre_sums(features, centres)
+    return np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres), n, cost
+
+
+def seed_centres(features: DataFrame, k: int, rounds: int = 5, over: float = 2.0, seed: int = 0) -> np.ndarray:
+    """k-means||: each round draws vectors with probability over * k times their share of the objective; the some over * k * rounds candidates, weighted by how
+    many vectors are next to them, are brought down to k on the driver. Draws go by a hash of the vector, so they don't depend on partitions or retries."""
+    rows = features.filter("vec is not null").select(c("vec").cast("array<double>").alias("vec"))
+    first = rows.withColumn("h", F.xxhash64("vec", F.lit(seed))).orderBy("h").limit(1).collect()
+    if not first:
+        raise ValueError("no vectors to seed from")
+    centres = np.array([first[0]["vec"]])
+    for r in range(rounds):
+        cost = centre_sums(features, centres)[2]
+        if cost <= 0:
+            break
+        sent = rows.sparkSession.sparkContext.broadcast(centres)
+
+        def draw(batches: Iterator[pa.RecordBatch], sent=sent, cost=cost) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = 0
+                for x in vector_blocks(batch.column(0), sent.value):
+                    d = nearest_centre(x, sent.value)[1]
+                    u = (batch.column(1).slice(at, len(x)).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+                    at += len(x)
+                    hit = x[u < over * k * d / cost]
+                    yield pa.RecordBatch.from_arrays([pa.array(hit.tolist(), pa.list_(pa.float64()))], names=["vec"])
+
+        drawn = rows.select("vec", F.xxhash64("vec", F.lit(seed), F.lit(r)).alias("h")).mapInArrow(draw, "vec array<double>").distinct().collect()
+        centres = np.vstack([centres, *[np.array([v["vec"]]) for v in sorted(drawn, key=lambda v: v["vec"])]])
+    weights = centre_sums(features, centres)[1]
+    return reduced_centres(centres, weights, k, seed)
+
+
+def reduced_centres(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over weighted candidates; fewer where there are fewer different ones."""
+    rng = np.random.default_rng(seed)
+    chosen = [points[int(np.argmax(weights))]]
+    d = ((points - chosen[0]) ** 2).sum(1) * weights
+    while len(chosen) < k and d.sum() > 0:
+        new = points[rng.choice(len(points), p=d / d.sum())]
+        chosen.append(new)
+        d = np.minimum(d, ((points - new) ** 2).sum(1) * weights)
+    return np.array(chosen)
+
+
+def k_means(features: DataFrame, k: int = 512, tol: float = 1e-5, limit: int = 1000, seed: int = 0, centres: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float, int]:
+    """Lloyd's rounds from k-means|| seeds (or given centres) until the squared move of all centres is at most tol times the mean variance of the
+    dimensions -> (centres, counts, objective, rounds). One pass over the vectors a round."""
+    centres = seed_centres(features, k, seed=seed) if centres is None else np.asarray(centres, float)
+    spread = features.filter("vec is not null").select(F.posexplode("vec").alias("i", "e")).groupBy("i").agg(F.var_pop("e").alias("v")).agg(F.avg("v")).first()[0] or 0.0
+    for done in range(1, limit + 1):
+        new, n, cost = lloyd_step(features, centres)
+        moved = ((new - centres) ** 2).sum()
+        centres = new
+        if moved <= tol * spread:
+            break
+    return centres, n, cost, done
 
 
 def standardise_stats(features: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
@@ -41,10 +42,10 @@ def a05(spark, d):
     return A.l1_l2(R.pairs(spark, d)).select(F.round("l1", 6).alias("l1"), F.round("l2", 6).alias("l2"))
 
 
-def ssim_sql(c1: str, c2: str) -> str:
-    w = list_sql(gaussian(5, 1.5))
-    return f"""WITH t AS (SELECT image_id, y - dy AS wy, x - dx AS wx, {w}[dy + 1] * {w}[dx + 1] AS w, a, b FROM (SELECT *, unnest(range(0, 5)) AS dx FROM (SELECT *, unnest(range(0, 5)) AS dy FROM pairs) u) v),
- m AS (SELECT image_id, wy, wx, sum(w * a) AS ma, sum(w * b) AS mb, sum(w * a * a) AS aa, sum(w * b * b) AS bb, sum(w * a * b) AS ab FROM t WHERE wy >= 0 AND wy <= 3 AND wx >= 0 AND wx <= 3 GROUP BY image_id, wy, wx)
+def ssim_sql(c1: str, c2: str, pairs: str = "pairs", size: int = 5, last: int = 3) -> str:
+    w = list_sql(gaussian(size, 1.5))
+    return f"""WITH t AS (SELECT image_id, y - dy AS wy, x - dx AS wx, {w}[dy + 1] * {w}[dx + 1] AS w, a, b FROM (SELECT *, unnest(range(0, {size})) AS dx FROM (SELECT *, unnest(range(0, {size})) AS dy FROM {pairs}) u) v),
+ m AS (SELECT image_id, wy, wx, sum(w * a) AS ma, sum(w * b) AS mb, sum(w * a * a) AS aa, sum(w * b * b) AS bb, sum(w * a * b) AS ab FROM t WHERE wy >= 0 AND wy <= {last} AND wx >= 0 AND wx <= {last} GROUP BY image_id, wy, wx)
 SELECT image_id, round(avg((2 * ma * mb + {c1}) / (ma * ma + mb * mb + {c1}) * (2 * (ab - ma * mb) + {c2}) / (aa - ma * ma + bb - mb * mb + {c2})), 6) AS ssim FROM m GROUP BY image_id"""
 
 
@@ -53,6 +54,16 @@ def a06(spark, d):
     return A.ssim(R.pairs(spark, d), 5).select("image_id", F.round("ssim", 6).alias("ssim"))
 
 
+def pooled_sql(pairs: str) -> str:
+    return f"(SELECT image_id, y // 2 AS y, x // 2 AS x, avg(a) AS a, avg(b) AS b FROM {pairs} p GROUP BY ALL)"
+
+
+@query("a06_ssim_pooled", ssim_sql("6.5025e0", "58.5225e0", pooled_sql("pairs"), 3, 1))
+def a06_pooled(spark, d):
+    """Averaged over blocks of two, as of images of more than 384 pixels a side, then windows of three."""
+    return A.ssim(R.pairs(spark, d), 3, factor=2).select("image_id", F.round("ssim", 6).alias("ssim"))
+
+
 @query("a07_ssim_squared_constants", ssim_sql("(0.0001e0 * 255) * (0.0001e0 * 255)", "(0.0009e0 * 255) * (0.0009e0 * 255)"))
 def a07(spark, d):
     return A.ssim(R.pairs(spark, d), 5, k1=0.01**2, k2=0.03**2).select("image_id", F.round("ssim", 6).alias("ssim"))
@@ -70,28 +81,40 @@ def a08c(spark, d):
     return A.moments(f, "part")[1].select("part", "i", "j", F.round("cov", 9).alias("cov"))
 
 
+#: The second group is A x + 0.1 of the first, with A symmetric and positive (2 on the diagonal, a half beside it, around): such a map is the optimal one between
+#: the two Gaussians, so the trace of the root is that of A C, the sum of the covariances of x and A x by dimension, at any width.
 def frechet_sql(rel: str) -> str:
-    """Of two-dimensional Gaussians: the trace of the root of a 2 x 2 product is sqrt(trace + 2 sqrt(determinant))."""
-    one = lambda part: f"(SELECT avg(u) AS mu, avg(w) AS mw, var_samp(u) AS uu, var_samp(w) AS ww, covar_samp(u, w) AS uw FROM v WHERE part = {part})"
-    return f"""WITH v AS (SELECT vec_id % 2 AS part, max(CASE WHEN i = 1 THEN e END) AS u, max(CASE WHEN i = 2 THEN e END) AS w FROM {rel} GROUP BY vec_id)
-SELECT 'even-odd' AS pair, round((a.mu - b.mu) * (a.mu - b.mu) + (a.mw - b.mw) * (a.mw - b.mw) + a.uu + a.ww + b.uu + b.ww
- - 2 * sqrt(a.uu * b.uu + 2 * a.uw * b.uw + a.ww * b.ww + 2 * sqrt((a.uu * a.ww - a.uw * a.uw) * (b.uu * b.ww - b.uw * b.uw))), 6) AS distance FROM {one(0)} a, {one(1)} b"""
+    return f"""WITH x AS MATERIALIZED (SELECT vec_id, i, e FROM {rel}), p AS (SELECT a.i, a.e, 2 * a.e + 0.5e0 * (b.e + c.e) + 0.1e0 AS y FROM x a JOIN x b ON b.vec_id = a.vec_id AND b.i = 1 + (a.i % 64) JOIN x c ON c.vec_id = a.vec_id AND c.i = 1 + ((a.i + 62) % 64))
+SELECT 'mapped' AS pair, round(sum(d), 6) AS distance FROM (SELECT (avg(e) - avg(y)) * (avg(e) - avg(y)) + var_samp(e) + var_samp(y) - 2 * covar_samp(e, y) AS d FROM p GROUP BY i) q"""
+
 
+def mapped_pair(features):
+    """Both groups, all dimensions."""
+    n = F.size("vec")
+    beside = lambda i, by: F.get("vec", (i + by + n) % n)
+    y = F.transform("vec", lambda v, i: 2 * v + 0.5 * (beside(i, 1) + beside(i, -1)) + 0.1)
+    return features.select(F.explode(F.array(F.struct(F.lit("x").alias("part"), c("vec").alias("vec")), F.struct(F.lit("y").alias("part"), y.alias("vec")))).alias("p")).select("p.*")
 
-def frechet_of_two(spark, features):
-    value = A.frechet_distance(features.withColumn("part", c("vec_id") % 2).withColumn("vec", F.slice("vec", 1, 2)), "part", 0, 1)
-    return spark.range(1).select(F.lit("even-odd").alias("pair"), F.lit(round(value, 6)).alias("distance"))
+
+def frechet_row(spark, pair, features, first, second):
+    return spark.range(1).select(F.lit(pair).alias("pair"), F.lit(round(A.frechet_distance(features, "part", first, second), 6)).alias("distance"))
 
 
 @query("a08_frechet_distance", frechet_sql("features"))
 def a08d(spark, d):
-    return frechet_of_two(spark, R.features(spark, d))
+    return frechet_row(spark, "mapped", mapped_pair(R.features(spark, d)), "x", "y")
+
+
+@query("a08_frechet_groups")
+def a08g(spark, d):
+    """Vectors of even and of odd numbers, all dimensions: two covariances that don't commute, tested against numpy."""
+    return frechet_row(spark, "even-odd", R.features(spark, d).withColumn("part", c("vec_id") % 2), 0, 1)
 
 
 @query("a10_normalised_frechet", frechet_sql("(SELECT vec_id, i, e / sqrt(sum(e * e) OVER (PARTITION BY vec_id)) AS e FROM features)"))
 def a10(spark, d):
     """The same distance over features of length one, as of a text-image model; the model is the caller's, its features are a column."""
-    return frechet_of_two(spark, R.features(spark, d).withColumn("vec", A.unit(c("vec"))))
+    return frechet_row(spark, "mapped", mapped_pair(R.features(spark, d).withColumn("vec", A.unit(c("vec")))), "x", "y")
 
 
 @query("a09_feature_diversity", "SELECT round(avg(d), 6) AS diversity, count(*) AS n FROM (SELECT f.vec_id, sum((f.e - g.e) * (f.e - g.e)) AS d FROM features f JOIN features g ON g.vec_id = f.vec_id + 1 AND g.i = f.i WHERE f.vec_id % 2 = 0 GROUP BY f.vec_id) q")
@@ -157,8 +180,17 @@ def a16(spark, d):
 SELECT n.entry, CAST(f.i - 1 AS INT) AS i, round(avg(f.e), 9) AS value, count(*) AS n FROM features f JOIN n USING (vec_id) GROUP BY ALL""")
 def a17(spark, d):
     f = R.features(spark, d)
-    s = A.lloyd_step(f, f.filter("vec_id < 10").select(c("vec_id").alias("entry"), c("vec").alias("ref")))
-    return s.select("entry", "i", F.round("value", 9).alias("value"), "n")
+    start = [r["vec"] for r in f.filter("vec_id < 10").orderBy("vec_id").collect()]
+    new, n, _ = A.lloyd_step(f, np.array(start))
+    rows = spark.createDataFrame([(k, v.tolist(), int(m)) for k, (v, m) in enumerate(zip(new, n, strict=True)) if m], "entry long, vec array<double>, n long")
+    return rows.select("entry", F.posexplode("vec").alias("i", "value"), "n").select("entry", "i", F.round("value", 9).alias("value"), "n")
+
+
+@query("a17_k_means")
+def a17_all(spark, d):
+    """Centres from seeds to convergence: how many, how many vectors, and the objective."""
+    centres, n, cost, rounds = A.k_means(R.features(spark, d), 16)
+    return spark.createDataFrame([(len(centres), int(n.sum()), round(cost, 6), rounds)], "centres long, vectors long, objective double, rounds long")
 
 
 @query("a18_standardise", "SELECT CAST(i - 1 AS INT) AS i, round(avg(e), 9) AS mean, round(1 / sqrt(var_pop(e)), 6) AS rstd FROM features GROUP BY i")
