@@ -255,3 +255,81 @@ def test_secret_sample_is_independent_of_partitions(spark):
 
 def test_secret_empty_table(spark):
     assert secret_scan.scan(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+# Host reputation
+
+
+def slow_reputation(rows):
+    """rows: (suffix, domain, host, n, good) -> {host: (a, b)}, group by group, each without its own pages in any prior."""
+
+    def fit(groups):
+        """groups: lists of (n, good) that share a parent."""
+        spread = base = free = 0.0
+        for kids in groups:
+            kids = [(n, g) for n, g in kids if n]
+            if kids:
+                total, mu = sum(n for n, _ in kids), sum(g for _, g in kids) / sum(n for n, _ in kids)
+                spread += sum(n * (g / n - mu) ** 2 for n, g in kids)
+                base += mu * (1 - mu) * (len(kids) - 1)
+                free += mu * (1 - mu) * (total - sum(n * n for n, _ in kids) / total - (len(kids) - 1))
+        return 1 / min(0.5, max(0.001, (spread - base) / free)) - 1 if free > 1e-9 else None
+
+    def total(keep):
+        kept = [r for r in rows if keep(r)]
+        return sum(r[3] for r in kept), sum(r[4] for r in kept)
+
+    def grouped(key, child):
+        out = collections.defaultdict(set)
+        for r in rows:
+            out[key(r)].add(child(r))
+        return out
+
+    suffixes = grouped(lambda r: 0, lambda r: r[0])
+    domains = grouped(lambda r: r[0], lambda r: r[:2])
+    hosts = grouped(lambda r: r[:2], lambda r: r[:3])
+    c_s = fit([[total(lambda r, s=s: r[0] == s) for s in g] for g in suffixes.values()]) or 2.0
+    c_d = fit([[total(lambda r, d=d: r[:2] == d) for d in g] for g in domains.values()]) or c_s
+    c_h = fit([[total(lambda r, h=h: r[:3] == h) for h in g] for g in hosts.values()]) or c_d
+    out = {}
+    for s, d, h, n, g in rows:
+        tn, tg = total(lambda r: r[0] != s)
+        sn, sg = total(lambda r: r[0] == s and r[1] != d)
+        dn, dg = total(lambda r: r[:2] == (s, d) and r[2] != h)
+        mean = (dg + c_d * (sg + c_s * (tg + 1) / (tn + 2)) / (sn + c_s)) / (dn + c_d)
+        out[h] = (g + c_h * mean, n - g + c_h * (1 - mean))
+    return out
+
+
+def test_reputation_equals_slow_version(spark):
+    from veilframe.llm import url_filter
+
+    rng = random.Random(9)
+    rows, marks = [], []
+    for s in ("org", "net", "io"):
+        for d in range(rng.randint(1, 4)):
+            for h in range(rng.randint(1, 4)):
+                n = rng.choice([0, 1, 3, 12])
+                good = sum(rng.random() < 0.2 + 0.2 * d for _ in range(n))
+                host = f"h{h}.d{d}.{s}"
+                rows.append((s, f"d{d}.{s}", host, n, good))
+                marks += [(host, int(k < good)) for k in range(n)]
+    hosts = spark.createDataFrame([(r[2],) for r in rows], "host string")
+    got = {r.host: (r.a, r.b) for r in url_filter.host_reputation(spark.createDataFrame(marks, "host string, good int"), hosts).collect()}
+    want = slow_reputation(rows)
+    assert set(got) == set(want)
+    for h, (a, b) in want.items():
+        assert got[h] == pytest.approx((a, b), rel=1e-9)
+
+
+@pytest.mark.parametrize(("bad", "verdict"), [(3, "allow"), (12, "block")])
+def test_host_alone_on_its_domain(spark, bad, verdict):
+    """Its own pages count once: three bad ones among 200 hosts of three good ones leave doubt, twelve don't."""
+    from veilframe.llm import url_filter
+
+    marks = [(f"good{k}.org", 1) for k in range(200) for _ in range(3)] + [("bad.org", 0)] * bad
+    fame = url_filter.host_reputation(spark.createDataFrame(marks, "host string, good int"), spark.createDataFrame([], "host string"))
+    one = fame.filter("host = 'bad.org'").first()
+    assert one.reputation == verdict
+    assert one.b == pytest.approx(bad, abs=0.1)
+    assert one.a == pytest.approx(1.0, abs=0.1)

@@ -1,15 +1,16 @@
 """URL filtering by rules first, then by empirical-Bayes host reputation.
 
 Labelled page outcomes (good or bad) are counted per host. Each host's rate is shrunk towards its
-registered domain, that towards its suffix, that towards all pages, with beta-binomial priors whose
-strengths are fitted by moments at each level. A host is blocked if its mean is below ``min_good`` and its posterior leaves less than
+registered domain, that towards its suffix, that towards all pages, with beta-binomial priors. What a group is shrunk towards
+is made of the others under the same parent: a host's own pages are in no prior of its own. Strengths are fitted by moments at each
+level, about the parents' means; a level no parent of which has two children takes that of the level above. A host is blocked if its mean is below ``min_good`` and its posterior leaves less than
 ``doubt`` = 2.5 % for a good rate of ``min_good`` or more, so if the 97.5 % quantile of the posterior, a beta distribution, is
 below it. The tail is summed as a series of positive terms, which is exact to double precision for posteriors of up to ``EXACT_WEIGHT``
 pages; beyond, where the beta distribution is normal to more digits than matter, by its mean and deviation.
 
 Only counts move: one row a labelled page to count outcomes, then one row a host, stored once for all levels. A host with a third
 of all pages is pre-aggregated before the shuffle, and the join that gives each page its host's
-verdict is a plain equi-join whose page side can be split. The rules are a short policy list given as a parameter, as are the
+verdict has its hosts broadcast up to a counted bound, and is beyond that a plain equi-join whose page side can be split. The rules are a short policy list given as a parameter, as are the
 suffixes below which strangers share a domain. An address (IPv4, or IPv6 in brackets) is a domain of its own.
 
 Defined results: a null url or one without ``://`` has empty host and path and the global verdict;
@@ -35,6 +36,8 @@ HOSTING_SUFFIXES = (
     "web.app", "appspot.com", "azurewebsites.net", "cloudfront.net", "s3.amazonaws.com", "weebly.com", "wixsite.com", "fandom.com",
 )
 DOUBT, EXACT_WEIGHT, TERMS = 0.025, 5000, 600
+#: Hosts whose verdicts are broadcast at most; a row takes some hundred bytes.
+MAX_BROADCAST = 200_000
 Z = 1.959963984540054
 
 
@@ -90,20 +93,23 @@ def rule_column(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def strengths(levels: DataFrame) -> tuple[float, float, dict[str, float]]:
-    """levels(level, n, good), a row a group -> (n of all, good of all, prior strength by level): moment estimates of
-    beta-binomials from one pass over the counts; a row a level is read."""
-    n, good = F.col("n").cast("double"), F.col("good")
-    sums = levels.filter("n > 0").groupBy("level").agg(F.sum(n).alias("n"), F.sum(good).alias("g"), F.sum(good * good / n).alias("gg"), F.sum(n * n).alias("n2"), F.count("*").alias("m"))
-    out, total, hits = {}, 0.0, 0.0
-    for r in sums.collect():
-        total, hits = float(r["n"]), float(r["g"])
-        mu = hits / total
-        base, free = mu * (1 - mu), total - r["n2"] / total - (r["m"] - 1)
-        spread = r["gg"] - mu * hits  # sum of n * (good / n - mu)^2
-        rho = (spread - (r["m"] - 1) * base) / (free * base) if base > 0 and free > 0 else 0.0
-        out[r["level"]] = 1 / min(0.5, max(0.001, rho)) - 1
-    return total, hits, out
+def children(n: str, good: str) -> list[Column]:
+    """Aggregates of a parent over its children: count and good of all, and what the moments need."""
+    n, good = F.col(n).cast("double"), F.col(good).cast("double")
+    seen = F.when(n > 0, good * good / n)
+    return [F.sum(n).alias("n"), F.sum(good).alias("g"), F.coalesce(F.sum(seen), F.lit(0.0)).alias("gg"), F.sum(n * n).alias("n2"), F.count_if(n > 0).alias("m")]
+
+
+def strength(parents: DataFrame) -> float | None:
+    """parents(``children``), a row each -> prior strength of their children: the moment estimate of beta-binomials that share it, each about its
+    parent's mean; None where no parent has children that could differ. One row is read."""
+    mu = F.col("g") / F.col("n")
+    base, less = mu * (1 - mu), F.col("m") - 1
+    free = F.col("n") - F.col("n2") / F.col("n") - less
+    sums = parents.filter("n > 0").agg(F.sum(F.col("gg") - mu * F.col("g")).alias("spread"), F.sum(base * less).alias("base"), F.sum(base * free).alias("free")).first()
+    if not sums["free"] or sums["free"] <= 1e-9:
+        return None
+    return 1 / min(0.5, max(0.001, (sums["spread"] - sums["base"]) / sums["free"])) - 1
 
 
 def log_gamma(x: Column) -> Column:
@@ -145,17 +151,23 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, min_good: float = 0.5
     known = known.groupBy("host").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
     known = known.withColumn("suffix", suffix_of(F.col("host"), hosting))
     known = Cut(known.withColumn("domain", domain_of(F.col("host"), F.col("suffix")))).df
-    domains = Cut(known.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("g").alias("dg"))).df
-    suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dg").alias("sg"))
-    level = lambda name, df, n, g: df.select(F.lit(name).alias("level"), F.col(n).alias("n"), F.col(g).alias("good"))
-    n_all, g_all, c = strengths(level("host", known, "n", "g").unionByName(level("domain", domains, "dn", "dg")).unionByName(level("suffix", suffixes, "sn", "sg")))
-    c_suffix, c_domain, c_host = (c.get(name, 2.0) for name in ("suffix", "domain", "host"))
-    top = (g_all + 1.0) / (n_all + 2.0)
-    suffixes = suffixes.withColumn("s_mean", (F.col("sg") + c_suffix * top) / (F.col("sn") + c_suffix))
-    domains = domains.join(suffixes.select("suffix", "s_mean"), "suffix").withColumn("d_mean", (F.col("dg") + c_domain * F.col("s_mean")) / (F.col("dn") + c_domain))
+    domains = Cut(known.groupBy("suffix", "domain").agg(*children("n", "g"))).df
+    suffixes = Cut(domains.groupBy("suffix").agg(*children("n", "g"))).df
+    whole = suffixes.agg(*children("n", "g"))
+    everything = whole.first()
+    n_all, g_all = everything["n"] or 0.0, everything["g"] or 0.0
+    c_suffix = strength(whole) or 2.0
+    c_domain = strength(suffixes) or c_suffix
+    c_host = strength(domains) or c_domain
+    # each mean leaves out the child that it is for
+    top = (F.lit(g_all) - F.col("sg") + 1.0) / (F.lit(n_all) - F.col("sn") + 2.0)
+    tops = suffixes.select("suffix", F.col("n").alias("sn"), F.col("g").alias("sg")).withColumn("top", top)
+    s_mean = (F.col("sg") - F.col("dg") + c_suffix * F.col("top")) / (F.col("sn") - F.col("dn") + c_suffix)
+    domains = domains.select("suffix", "domain", F.col("n").alias("dn"), F.col("g").alias("dg")).join(tops, "suffix").withColumn("s_mean", s_mean)
+    d_mean = (F.col("dg") - F.col("g") + c_domain * F.col("s_mean")) / (F.col("dn") - F.col("n") + c_domain)
     a = F.col("g") + c_host * F.col("d_mean")
     b = F.col("n") - F.col("g") + c_host * (1 - F.col("d_mean"))
-    out = known.join(domains.select("suffix", "domain", "d_mean"), ["suffix", "domain"])
+    out = known.join(domains.select("suffix", "domain", "dn", "dg", "s_mean"), ["suffix", "domain"]).withColumn("d_mean", held(d_mean))
     out = out.select("host", "domain", "suffix", F.col("n").alias("host_n"), F.col("g").alias("host_good"), held(a).alias("a"), held(b).alias("b"))
     return out.withColumn("good_mean", F.col("a") / (F.col("a") + F.col("b"))).withColumn(
         "reputation", F.when(held(surely_below(F.col("a"), F.col("b"), min_good, doubt)), "block").otherwise("allow")
@@ -166,13 +178,15 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: flo
     """pages(page_id, url), outcomes(url, good) -> page_id, host, path, rule, verdict and the posterior."""
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     marks = outcomes.select(host_of(F.col("url")).alias("host"), F.col("good"))
-    fame = host_reputation(marks, urls.select("host"), min_good, hosting=hosting)
+    fame = Cut(host_reputation(marks, urls.select("host"), min_good, hosting=hosting).select("host", "host_n", "good_mean", "reputation")).df
+    if fame.count() <= MAX_BROADCAST:
+        fame = F.broadcast(fame)
     rule = rule_column(F.col("host"), F.col("path"), rules)
     verdicts = F.lit(None).cast("string")
     for name, verdict in rules:
         verdicts = F.when(F.col("rule") == name, verdict).otherwise(verdicts)
     return (
-        urls.join(fame.select("host", "host_n", "good_mean", "reputation"), "host", "left")
+        urls.join(fame, "host", "left")
         .withColumn("rule", rule)
         .select("page_id", "host", "path", "rule", F.coalesce(verdicts, F.col("reputation"), F.lit("allow")).alias("verdict"), "host_n", "good_mean")
     )
@@ -211,15 +225,15 @@ h AS MATERIALIZED (SELECT host, n, g, CASE WHEN k = 0 THEN '' ELSE array_to_stri
   CASE WHEN k > 0 AND len(l) > k + 1 THEN array_to_string(l[len(l) - k : len(l)], '.') ELSE bare END AS domain FROM sfx),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(g) AS g FROM h GROUP BY suffix, domain),
 s AS (SELECT suffix, sum(n) AS n, sum(g) AS g FROM d GROUP BY suffix),
-lev AS (SELECT 'h' AS lv, n, g FROM h UNION ALL SELECT 'd', n, g FROM d UNION ALL SELECT 's', n, g FROM s),
-tot AS (SELECT lv, CAST(sum(n) AS DOUBLE) AS nn, sum(g) / CAST(sum(n) AS DOUBLE) AS mu FROM lev GROUP BY lv),
-mom AS (SELECT lv, any_value(nn) AS nn, any_value(mu) AS mu, sum(n * pow(g / CAST(n AS DOUBLE) - mu, 2)) AS ss, sum(CAST(n AS DOUBLE) * n) AS n2, count(*) AS m
-  FROM lev JOIN tot USING (lv) WHERE n > 0 GROUP BY lv),
-str AS (SELECT lv, 1 / least(0.5, greatest(0.001, CASE WHEN mu * (1 - mu) > 0 AND nn - n2 / nn - (m - 1) > 0
-  THEN (ss - (m - 1) * mu * (1 - mu)) / ((nn - n2 / nn - (m - 1)) * mu * (1 - mu)) ELSE 0 END)) - 1 AS c FROM mom),
-sm AS (SELECT suffix, (g + (SELECT c FROM str WHERE lv = 's') * (SELECT (sum(g) + 1.0) / (sum(n) + 2.0) FROM s)) / (n + (SELECT c FROM str WHERE lv = 's')) AS s_mean FROM s),
-dm AS (SELECT d.suffix, d.domain, (d.g + (SELECT c FROM str WHERE lv = 'd') * s_mean) / (d.n + (SELECT c FROM str WHERE lv = 'd')) AS d_mean FROM d JOIN sm USING (suffix)),
-ab AS MATERIALIZED (SELECT host, g + (SELECT c FROM str WHERE lv = 'h') * d_mean AS a, n - g + (SELECT c FROM str WHERE lv = 'h') * (1 - d_mean) AS b FROM h JOIN dm USING (suffix, domain)),
+lev AS (SELECT 'h' AS lv, suffix || ' ' || domain AS up, n, g FROM h UNION ALL SELECT 'd', suffix, n, g FROM d UNION ALL SELECT 's', '', n, g FROM s),
+par AS (SELECT lv, up, CAST(sum(n) AS DOUBLE) AS nn, sum(g) / CAST(sum(n) AS DOUBLE) AS mu, sum(CAST(n AS DOUBLE) * n) AS n2, count(*) AS m FROM lev WHERE n > 0 GROUP BY lv, up),
+mom AS (SELECT lv, any_value(ss) AS ss, sum(mu * (1 - mu) * (m - 1)) AS base, sum(mu * (1 - mu) * (nn - n2 / nn - (m - 1))) AS free
+  FROM par JOIN (SELECT lv, sum(n * pow(g / CAST(n AS DOUBLE) - mu, 2)) AS ss FROM lev JOIN par USING (lv, up) WHERE n > 0 GROUP BY lv) q USING (lv) GROUP BY lv),
+fit AS (SELECT max(c) FILTER (lv = 'h') AS h, max(c) FILTER (lv = 'd') AS d, max(c) FILTER (lv = 's') AS s FROM (SELECT lv, 1 / least(0.5, greatest(0.001, (ss - base) / free)) - 1 AS c FROM mom WHERE free > 1e-9) q),
+c AS (SELECT coalesce(h, d, s, 2.0) AS h, coalesce(d, s, 2.0) AS d, coalesce(s, 2.0) AS s FROM fit),
+own AS (SELECT h.host, h.suffix, h.domain, h.n, h.g, d.n - h.n AS dn, d.g - h.g AS dg, s.n - d.n AS sn, s.g - d.g AS sg, (SELECT sum(n) FROM s) - s.n AS tn, (SELECT sum(g) FROM s) - s.g AS tg
+  FROM h JOIN d USING (suffix, domain) JOIN s ON s.suffix = h.suffix),
+ab AS MATERIALIZED (SELECT host, g + c.h * p AS a, n - g + c.h * (1 - p) AS b FROM (SELECT own.*, (dg + c.d * (sg + c.s * (tg + 1.0e0) / (tn + 2.0e0)) / (sn + c.s)) / (dn + c.d) AS p FROM own, c) q, c),
 bad AS (SELECT host, a, b FROM ab WHERE a / (a + b) < 0.5),
 mass AS (SELECT host, sum(CASE WHEN k = 0 OR k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * exp(lgamma(a + b) - lgamma(a) - lgamma(b) - a * ln(1 + exp(-k * 0.02)) - b * ln(1 + exp(k * 0.02)))) * 0.02 / 3 AS p
   FROM (SELECT *, unnest(range(0, 2001)) AS k FROM bad) GROUP BY host),
