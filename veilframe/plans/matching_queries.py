@@ -8,6 +8,7 @@ from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import matching as M
 from ..operators.runs import box_runs, runs_area
+from ..operators.tracking import tracks
 
 c = F.col
 #: DuckDB: greedy one-to-one fold over an ordered list of pairs {i, j}.
@@ -180,3 +181,45 @@ PREVIOUS = """(SELECT a.image_id, a.det_id, b.det_id AS o_det_id, round((least(a
 def j15(spark, d):
     b = R.boxes(spark, d)
     return M.track_step(b.withColumn("image_id", c("image_id") + 1), b, 0.3)
+
+
+#: Fifty images are a clip.
+CLIP = "SELECT image_id // 50 AS video_id, image_id % 50 AS frame_no, det_id, x0, y0, x1, y1 FROM boxes"
+
+
+def step_sql(previous: str, name: str) -> str:
+    """Matches of each frame with the boxes of ``previous`` one frame before, best first, each side once."""
+    inter = "(least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))"
+    pairs = f"""(SELECT * FROM (SELECT a.video_id * 50 + a.frame_no AS image_id, a.det_id, b.det_id AS o_det_id, round({inter} / CAST((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {inter} AS DOUBLE), 12) AS iou
+ FROM d a JOIN {previous} b ON b.video_id = a.video_id AND b.frame_no = a.frame_no - 1 AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1) z WHERE iou >= 0.3)"""
+    return f"{name} AS MATERIALIZED (SELECT image_id // 50 AS video_id, image_id % 50 AS frame_no, det_id, o_det_id AS p_det FROM {fold_sql(pairs + ' p', '-iou, det_id, o_det_id')})"
+
+
+def moving_sql(matches: str, name: str) -> str:
+    return f"""{name} AS MATERIALIZED (SELECT a.*, coalesce((a.x0 + a.x1 - b.x0 - b.x1) / 2.0e0, 0) AS vx, coalesce((a.y0 + a.y1 - b.y0 - b.y1) / 2.0e0, 0) AS vy FROM d a
+ LEFT JOIN {matches} m ON m.video_id = a.video_id AND m.frame_no = a.frame_no AND m.det_id = a.det_id LEFT JOIN d b ON b.video_id = a.video_id AND b.frame_no = a.frame_no - 1 AND b.det_id = m.p_det)"""
+
+
+_GAP_INTER = "(least(a.x1, o_x1) - greatest(a.x0, o_x0)) * (least(a.y1, o_y1) - greatest(a.y0, o_y0))"
+TRACKS_SQL = f"""WITH RECURSIVE d AS MATERIALIZED ({CLIP}), {step_sql('d', 'm1')}, {moving_sql('m1', 'v1')},
+{step_sql('(SELECT video_id, frame_no, det_id, x0 + vx AS x0, y0 + vy AS y0, x1 + vx AS x1, y1 + vy AS y1 FROM v1)', 'm2')}, {moving_sql('m2', 'v2')},
+starts AS MATERIALIZED (SELECT * FROM d WHERE (video_id, frame_no, det_id) NOT IN (SELECT (video_id, frame_no, det_id) FROM m2)),
+chain AS (SELECT video_id, frame_no, det_id, frame_no AS first_frame, det_id AS first_det FROM starts
+ UNION ALL SELECT m.video_id, m.frame_no, m.det_id, c.first_frame, c.first_det FROM chain c JOIN m2 m ON m.video_id = c.video_id AND m.frame_no = c.frame_no + 1 AND m.p_det = c.det_id),
+chains AS MATERIALIZED (SELECT * FROM chain),
+ends AS (SELECT *, unnest(range(2, 7)) AS gap FROM v2 WHERE (video_id, frame_no, det_id) NOT IN (SELECT (video_id, frame_no - 1, p_det) FROM m2)),
+late AS (SELECT video_id, frame_no + gap AS frame_no, gap, frame_no AS p_frame, det_id AS p_det, x0 + vx * gap AS o_x0, y0 + vy * gap AS o_y0, x1 + vx * gap AS o_x1, y1 + vy * gap AS o_y1 FROM ends),
+near AS (SELECT * FROM (SELECT a.video_id, a.frame_no, a.det_id, gap, p_frame, p_det, round({_GAP_INTER} / CAST((a.x1 - a.x0) * (a.y1 - a.y0) + (o_x1 - o_x0) * (o_y1 - o_y0) - {_GAP_INTER} AS DOUBLE), 12) AS iou
+ FROM starts a JOIN late b ON b.video_id = a.video_id AND b.frame_no = a.frame_no AND a.x0 < o_x1 AND o_x0 < a.x1 AND a.y0 < o_y1 AND o_y0 < a.y1) z WHERE iou >= 0.1),
+best AS (SELECT *, row_number() OVER (PARTITION BY video_id, frame_no, det_id ORDER BY gap, -iou, frame_no, det_id, p_frame, p_det) AS s, row_number() OVER (PARTITION BY video_id, p_frame, p_det ORDER BY gap, -iou, frame_no, det_id, p_frame, p_det) AS e FROM near),
+links AS MATERIALIZED (SELECT b.video_id, b.frame_no, b.det_id, c.first_frame AS p_frame, c.first_det AS p_det FROM best b JOIN chains c ON c.video_id = b.video_id AND c.frame_no = b.p_frame AND c.det_id = b.p_det WHERE s = 1 AND e = 1),
+whole AS (SELECT video_id, frame_no, det_id, frame_no AS track_frame, det_id AS track_det FROM starts WHERE (video_id, frame_no, det_id) NOT IN (SELECT (video_id, frame_no, det_id) FROM links)
+ UNION ALL SELECT l.video_id, l.frame_no, l.det_id, w.track_frame, w.track_det FROM whole w JOIN links l ON l.video_id = w.video_id AND l.p_frame = w.frame_no AND l.p_det = w.det_id)
+SELECT c.video_id, c.frame_no, c.det_id, w.track_frame, w.track_det FROM chains c JOIN whole w ON w.video_id = c.video_id AND w.frame_no = c.first_frame AND w.det_id = c.first_det"""
+
+
+@query("j15_tracks", TRACKS_SQL)
+def j15_tracks(spark, d):
+    """Every detection's track, over clips of fifty frames."""
+    clips = R.boxes(spark, d).select(F.floor(c("image_id") / 50.0).alias("video_id"), (c("image_id") % 50).alias("frame_no"), "det_id", "x0", "y0", "x1", "y1")
+    return tracks(clips)
