@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from veilframe.functions import registry
 from veilframe.functions import relations as R
-from veilframe.operators import geometry as G
+from veilframe.operators import contours, geometry as G
 from veilframe.operators import kernels, keypoints, masks, matching, metrics
 from veilframe.operators import pixels as X
 from veilframe.plans import anonymize
@@ -63,7 +63,7 @@ def test_polygons_and_regions():
     m = masks.fill_polygons([[(1, 1), (4, 1), (4, 3), (1, 3)]], 7, 6)
     assert m.sum() == 12 and m[1:4, 1:5].all()
     m[5, 6] = True
-    assert masks.connected_boxes(m) == [(1, 1, 5, 4), (6, 5, 7, 6)]
+    assert contours.region_boxes(m) == [(1, 1, 5, 4), (6, 5, 7, 6)]
 
 
 def test_frechet():

@@ -31,6 +31,13 @@ def delete(path: str) -> None:
     LIVE.discard(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, for files that aren't a table; ``free`` deletes it with the others."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    LIVE.add(path)
+    return path
+
+
 class Cut:
     """A DataFrame written to the shared folder and read back: its lineage ends there, so a lost executor costs a
     re-read and not a recomputation. ``drop`` frees the files once nothing reads them any more."""

@@ -128,13 +128,6 @@ def adaptive_pool(pixels: DataFrame, size_in: int, size_out: int, how, value: st
     return rows.groupBy("image_id", "y", "x").agg(how(value).alias(value))
 
 
-def region_filter() -> Column:
-    """Boxes that may hold a line of text."""
-    w, h = c("x1") - c("x0"), c("y1") - c("y0")
-    ratio, area = w / h, w * h
-    return (ratio > 1.5) & (ratio < 8) & (area > 100) & (area < 50_000) & (w > 10) & (w < 500) & (h > 10) & (h < 100)
-
-
 def otsu(pixels: DataFrame) -> DataFrame:
     """Per image the grey value with the largest between-class variance (first on ties): values above it are foreground."""
     hist = pixels.groupBy("image_id", "v").agg(F.count("*").cast("double").alias("n"))
@@ -226,38 +219,6 @@ def masks_of(annotations: DataFrame) -> DataFrame:
     return annotations.select("id", decode("segmentation", "height", "width").alias("m")).select("id", "m.*")
 
 
-def connected_boxes(mask: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Half-open bounding boxes of the 8-connected regions of a mask, in order of their first pixel."""
-    labels = np.zeros(mask.shape, np.int64)
-    boxes = []
-    for y, x in zip(*np.nonzero(mask), strict=True):
-        if labels[y, x]:
-            continue
-        boxes.append([x, y, x + 1, y + 1])
-        stack, k = [(y, x)], len(boxes)
-        labels[y, x] = k
-        while stack:
-            a, b = stack.pop()
-            box = boxes[-1]
-            box[:] = [min(box[0], b), min(box[1], a), max(box[2], b + 1), max(box[3], a + 1)]
-            for i in range(max(0, a - 1), min(mask.shape[0], a + 2)):
-                for j in range(max(0, b - 1), min(mask.shape[1], b + 2)):
-                    if mask[i, j] and not labels[i, j]:
-                        labels[i, j] = k
-                        stack.append((i, j))
-    return [tuple(int(v) for v in b) for b in boxes]
-
-
-def regions_udf(width: int, height: int, threshold: int):
-    """Arrow function: grey values in row order -> boxes of the regions above the threshold."""
-
-    @F.pandas_udf("array<array<int>>")
-    def find(px: pd.Series) -> pd.Series:
-        return pd.Series([[list(b) for b in connected_boxes(np.reshape(p, (height, width)) > threshold)] for p in px])
-
-    return find
-
-
 def polygon_udf(width: int, height: int):
     @F.pandas_udf("binary")
     def fill(corners: pd.Series) -> pd.Series:

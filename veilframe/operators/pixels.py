@@ -188,14 +188,18 @@ def cdf(pixels: DataFrame) -> DataFrame:
 
 
 def histogram_match(source: DataFrame, reference: DataFrame) -> DataFrame:
-    """Each source value becomes the smallest reference value whose cumulative share is at least its own. The quantile
-    functions of an image are merged by one sort, so no value is paired with all others."""
-    s = cdf(source).select("image_id", "qr", F.lit(1).alias("side"), c("v").alias("sv"), F.lit(None).cast("long").alias("rv"))
-    r = cdf(reference).select("image_id", "qr", F.lit(0).alias("side"), F.lit(None).cast("long").alias("sv"), c("v").alias("rv"))
-    # at equal shares the reference comes first when read from the top, so it counts as "at least"
-    w = Window.partitionBy("image_id").orderBy(c("qr").desc(), c("side")).rowsBetween(Window.unboundedPreceding, 0)
-    merged = s.unionByName(r).withColumn("mapped", F.min("rv").over(w)).filter("side = 1")
-    return source.join(merged.select("image_id", c("sv").alias("v"), "mapped"), ["image_id", "v"]).select(*PIXEL, c("mapped").alias("v"))
+    """Each source value becomes the reference value at its own cumulative share, linear between the shares of neighbouring reference values, the least one below
+    the first. The quantile functions of an image are merged by one sort, so no value is paired with all others."""
+    s = cdf(source).select("image_id", "q", F.lit(1).alias("side"), c("v").alias("sv"), F.lit(None).cast("struct<q: double, v: double>").alias("r"))
+    r = cdf(reference).select("image_id", "q", F.lit(0).alias("side"), F.lit(None).cast("long").alias("sv"), F.struct("q", c("v").cast("double").alias("v")).alias("r"))
+    # at equal shares the reference comes first from both ends, so it is on both sides
+    up = Window.partitionBy("image_id").orderBy("q", "side").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("image_id").orderBy(c("q").desc(), "side").rowsBetween(Window.unboundedPreceding, 0)
+    below, above = F.last("r", ignorenulls=True).over(up), F.last("r", ignorenulls=True).over(down)
+    merged = s.unionByName(r).withColumn("a", below).withColumn("b", above).filter("side = 1")
+    step = c("a")["v"] + (c("b")["v"] - c("a")["v"]) * (c("q") - c("a")["q"]) / (c("b")["q"] - c("a")["q"])
+    mapped = F.when(c("a").isNull(), c("b")["v"]).when(c("b").isNull() | (c("b")["q"] == c("a")["q"]), c("a")["v"]).otherwise(step)
+    return source.join(merged.select("image_id", c("sv").alias("v"), mapped.alias("mapped")), ["image_id", "v"]).select(*PIXEL, c("mapped").alias("v"))
 
 
 def cdf_distance(pairs: DataFrame, p: int) -> DataFrame:

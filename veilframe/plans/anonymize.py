@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.registry import Registry
 from ..functions.storage import cut
-from ..operators import fusion, kernels, masks
+from ..operators import contours, fusion, kernels
 from ..operators import geometry as G
 from ..operators import runs as R
 from ..operators.fusion import KIND_RANK, Fusion
@@ -38,6 +40,12 @@ _FOUND = "det_id: long, kind: string, score: double, x0: long, y0: long, x1: lon
 OUTCOME_SCHEMA = f"image_id long, height int, width int, error string, found array<struct<{_FOUND}>>"
 #: grown box, own box, pixels of the mask, what is pasted as runs over the image, and what generators get.
 _REGION = "paste_order: int, det_id: long, kind: string, score: double, x0: long, y0: long, x1: long, y1: long, own_x0: long, own_y0: long, own_x1: long, own_y1: long, mask_area: long, hole: array<bigint>, seed: long, keypoints: array<struct<x: double, y: double, v: double>>"
+#: As _FOUND; a type that doesn't take a session to make.
+_POINT = [StructField("x", DoubleType()), StructField("y", DoubleType())]
+FOUND_TYPE = StructType(
+    [StructField("det_id", LongType()), StructField("kind", StringType()), StructField("score", DoubleType()), *[StructField(n, LongType()) for n in G.COORDS]]
+    + [StructField("mask", BinaryType()), StructField("keypoints", ArrayType(StructType([*_POINT, StructField("v", DoubleType())]))), StructField("landmarks", ArrayType(StructType(_POINT))), StructField("surface", BinaryType())]
+)
 DETECTORS, GENERATORS = Registry("detector"), Registry("generator")
 for _name, _f in kernels.GENERATORS.items():
     GENERATORS.register(_name)(_f)
@@ -137,7 +145,7 @@ def bright_regions(threshold: int = 200):
 
     def find(image: np.ndarray):
         mask = image.mean(2) > threshold
-        return [("face", float(mask[y0:y1, x0:x1].mean()), x0, y0, x1, y1) for x0, y0, x1, y1 in masks.connected_boxes(mask)]
+        return [("face", float(mask[y0:y1, x0:x1].mean()), x0, y0, x1, y1) for x0, y0, x1, y1 in contours.region_boxes(mask)]
 
     return find
 
@@ -340,3 +348,25 @@ def anonymise_video(frames: DataFrame, detector: Callable, generator: str | Call
     keys = F.struct("video_id", "frame_no", c("paste_order").cast("long"))
     regions = each.withColumn("_k", keys).join(of.select(F.struct("video_id", "frame_no", "paste_order").alias("_k"), "track"), "_k").withColumn("seed", c("track"))
     return redact(frames, regions, found.select("image_id", "error"), generator, **options)
+
+
+def register_sql_detector(spark, name: str, detector: Callable) -> None:
+    """Makes a detector callable from SQL as a table function of an image's columns, for lateral joins:
+    ``SELECT i.image_id, d.* FROM images i, LATERAL name(i.height, i.width, i.n_channels, i.data) d``. Rows are those of ``detect`` without the image's id; a
+    failed image is an error of the query, as SQL has no row to tell it by."""
+
+    class Detections:
+        @staticmethod
+        def analyze(height: AnalyzeArgument, width: AnalyzeArgument, n_channels: AnalyzeArgument, data: AnalyzeArgument) -> AnalyzeResult:
+            for kind, argument in ((IntegerType, height), (IntegerType, width), (IntegerType, n_channels), (BinaryType, data)):
+                if not isinstance(argument.dataType, kind):
+                    raise ValueError(f"{name} takes height, width, n_channels (int) and data (binary), not {argument.dataType.simpleString()}")
+            return AnalyzeResult(FOUND_TYPE)
+
+        def eval(self, height, width, n_channels, data):
+            if data is not None:
+                image = np.frombuffer(data, np.uint8).reshape(height, width, n_channels)
+                for row in looked_at(detector, image):
+                    yield tuple(row.values())
+
+    spark.udtf.register(name, F.udtf(Detections))

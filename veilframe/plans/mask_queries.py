@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import relations as R
 from ..functions.registry import query
+from ..operators import contours as C
 from ..operators import masks as M
 
 c = F.col
@@ -138,12 +139,6 @@ def m15(spark, d):
     return R.pairs(spark, d).select("image_id", "y", "x", ((c("a") + c("b")) / 2.0 > 0).alias("hit"))
 
 
-@query("m16_text_regions", """SELECT image_id, det_id FROM boxes WHERE (x1 - x0) / CAST(y1 - y0 AS DOUBLE) > 1.5 AND (x1 - x0) / CAST(y1 - y0 AS DOUBLE) < 8
- AND (x1 - x0) * (y1 - y0) > 100 AND (x1 - x0) * (y1 - y0) < 50000 AND x1 - x0 > 10 AND x1 - x0 < 500 AND y1 - y0 > 10 AND y1 - y0 < 100""")
-def m16(spark, d):
-    return R.boxes(spark, d).filter(M.region_filter()).select("image_id", "det_id")
-
-
 @query("m17_otsu", """WITH h AS (SELECT image_id, v, CAST(count(*) AS DOUBLE) AS n FROM pixels GROUP BY image_id, v),
  s AS (SELECT *, sum(n) OVER w AS n0, sum(n * v) OVER w AS s0, sum(n) OVER (PARTITION BY image_id) AS nt, sum(n * v) OVER (PARTITION BY image_id) AS st FROM h WINDOW w AS (PARTITION BY image_id ORDER BY v ROWS UNBOUNDED PRECEDING)),
  b AS (SELECT image_id, v, round(CASE WHEN nt - n0 > 0 THEN n0 * (nt - n0) * (s0 / n0 - (st - s0) / (nt - n0)) * (s0 / n0 - (st - s0) / (nt - n0)) ELSE 0 END, 6) AS between_ FROM s)
@@ -152,14 +147,36 @@ def m17(spark, d):
     return M.otsu(R.pixels(spark, d))
 
 
-@query("m18_region_boxes", """WITH RECURSIVE h AS MATERIALIZED (SELECT image_id, y, x, 8 * y + x AS id FROM pixels WHERE v > 150),
+#: Regions that lie in no hole of another, by floods: regions by corners, the ground around all of them from the frame, the ground around each one alone. The area
+#: inside a border through pixel centres is counted by squares of four pixels of the filled region: 1 for four, a half for three.
+CONTOURS_SQL = """WITH RECURSIVE h AS MATERIALIZED (SELECT image_id, y, x, 8 * y + x AS id FROM pixels WHERE v > 150),
  near AS MATERIALIZED (SELECT a.image_id, a.id AS a, b.id AS b FROM h a JOIN h b ON b.image_id = a.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id),
  reach AS (SELECT image_id, id AS node, id AS top FROM h UNION SELECT r.image_id, n.b, r.top FROM reach r JOIN near n ON n.image_id = r.image_id AND n.a = r.node AND r.top < n.b),
- label AS (SELECT image_id, node, min(top) AS top FROM reach GROUP BY image_id, node)
-SELECT image_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY top) - 1 AS INT) AS region, CAST(min(node % 8) AS INT) AS x0, CAST(min(node // 8) AS INT) AS y0, CAST(max(node % 8) + 1 AS INT) AS x1, CAST(max(node // 8) + 1 AS INT) AS y1 FROM label GROUP BY image_id, top""")
+ label AS MATERIALIZED (SELECT image_id, node, min(top) AS top FROM reach GROUP BY image_id, node),
+ grid AS MATERIALIZED (SELECT y, x FROM (SELECT unnest(range(-1, 9)) AS y) a, (SELECT unnest(range(-1, 9)) AS x) b),
+ side AS (SELECT * FROM (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) s(dy, dx)),
+ ground AS MATERIALIZED (SELECT i.image_id, g.y, g.x FROM (SELECT DISTINCT image_id FROM h) i, grid g WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.image_id = i.image_id AND h.y = g.y AND h.x = g.x)),
+ outside AS (SELECT image_id, y, x FROM ground WHERE y = -1 AND x = -1 UNION SELECT g.image_id, g.y, g.x FROM outside o, side s JOIN ground g ON g.image_id = o.image_id AND g.y = o.y + s.dy AND g.x = o.x + s.dx),
+ outer_ AS MATERIALIZED (SELECT DISTINCT l.image_id, l.top FROM label l, side s JOIN outside o ON o.image_id = l.image_id AND o.y = l.node // 8 + s.dy AND o.x = l.node % 8 + s.dx),
+ free AS MATERIALIZED (SELECT e.image_id, e.top, g.y, g.x FROM outer_ e, grid g WHERE NOT EXISTS (SELECT 1 FROM label l WHERE l.image_id = e.image_id AND l.top = e.top AND l.node // 8 = g.y AND l.node % 8 = g.x AND g.x >= 0 AND g.x < 8)),
+ round_ AS (SELECT image_id, top, y, x FROM free WHERE y = -1 AND x = -1 UNION SELECT f.image_id, f.top, f.y, f.x FROM round_ r, side s JOIN free f ON f.image_id = r.image_id AND f.top = r.top AND f.y = r.y + s.dy AND f.x = r.x + s.dx),
+ filled AS MATERIALIZED (SELECT e.image_id, e.top, g.y, g.x FROM outer_ e, grid g WHERE NOT EXISTS (SELECT 1 FROM round_ r WHERE r.image_id = e.image_id AND r.top = e.top AND r.y = g.y AND r.x = g.x)),
+ square AS (SELECT image_id, top, count(*) AS n FROM (SELECT image_id, top, y - a AS y, x - b AS x FROM filled, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) d(a, b)) q GROUP BY image_id, top, y, x),
+ inside AS (SELECT image_id, top, sum(CASE n WHEN 4 THEN 1.0e0 WHEN 3 THEN 0.5e0 ELSE 0 END) AS area FROM square GROUP BY image_id, top),
+ found AS (SELECT f.image_id, f.top, CAST(min(f.x) AS INT) AS x0, CAST(min(f.y) AS INT) AS y0, CAST(max(f.x) + 1 AS INT) AS x1, CAST(max(f.y) + 1 AS INT) AS y1, any_value(i.area) AS area FROM filled f JOIN inside i ON i.image_id = f.image_id AND i.top = f.top GROUP BY f.image_id, f.top)"""
+
+
+@query("m16_text_regions", CONTOURS_SQL + " SELECT image_id, x0, y0, x1, y1, area FROM found WHERE (x1 - x0) / CAST(y1 - y0 AS DOUBLE) > 1.1e0 AND (x1 - x0) / CAST(y1 - y0 AS DOUBLE) < 8 AND area > 1 AND area < 30 AND x1 - x0 > 2 AND x1 - x0 < 8 AND y1 - y0 > 1 AND y1 - y0 < 8")
+def m16(spark, d):
+    """With limits for images of 8 x 8; the published ones are the default."""
+    limits = ((1.1, 8.0), (1, 30), (2, 8), (1, 8))
+    return R.images(spark, d).select("image_id", F.inline(C.contours_udf(8, 8, 150, limits)("px")))
+
+
+@query("m18_region_boxes", CONTOURS_SQL + " SELECT image_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY top) - 1 AS INT) AS region, x0, y0, x1, y1, area FROM found")
 def m18(spark, d):
-    rows = R.images(spark, d).select("image_id", F.posexplode(M.regions_udf(8, 8, 150)("px")).alias("region", "b"))
-    return rows.select("image_id", "region", *[F.get("b", F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))])
+    rows = R.images(spark, d).select("image_id", F.posexplode(C.contours_udf(8, 8, 150)("px")).alias("region", "b"))
+    return rows.select("image_id", "region", "b.*")
 
 
 @query("m19_brush_mask")

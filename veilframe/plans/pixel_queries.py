@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
 from ..functions.registry import query
+from ..operators import kernels as K
 from ..operators import masks as M
 from ..operators import pixels as X
 
@@ -34,10 +37,41 @@ def blur_sql(rel: str, size: int, sigma: float, n: int = 8) -> str:
     return one(one(f"(SELECT image_id, y, x, v FROM {rel})", "x"), "y")
 
 
-@query("x01_blur_region", f"SELECT p.image_id, p.y, p.x, CASE WHEN p.x >= 2 AND p.x < 6 AND p.y >= 2 AND p.y < 6 THEN CAST(round_even(round(b.v, 6), 0) AS BIGINT) ELSE p.v END AS v FROM pixels p JOIN {blur_sql('pixels', 5, 0)} b USING (image_id, y, x)")
+#: Regions of the query, in order; they overlap.
+REGIONS = ((1, 1, 6, 5), (4, 3, 8, 8), (0, 6, 3, 7))
+
+
+def blurred_region_sql(rel: str, box, size: int = 31) -> str:
+    """The pixels with one region blurred, mirrored at the edge of the region, however often the kernel is wider than that."""
+    x0, y0, x1, y1 = box
+    w, r = list_sql(X.gaussian(size, 0)), size // 2
+
+    def one(src: str, axis: str, first: int, n: int) -> str:
+        other, per = "y" if axis == "x" else "x", 2 * (n - 1)
+        at = f"((({axis} - {first} + k - {r}) % {per} + {per}) % {per})" if n > 1 else "0"
+        return f"(SELECT t.image_id, t.{other}, t.{axis}, sum(t.w * s.v) AS v FROM (SELECT image_id, {other}, {axis}, {w}[k + 1] AS w, {first} + CASE WHEN {at} >= {n} THEN {per} - {at} ELSE {at} END AS src FROM (SELECT *, unnest(range(0, {size})) AS k FROM {src} i) e) t JOIN {src} s ON s.image_id = t.image_id AND s.{other} = t.{other} AND s.{axis} = t.src GROUP BY t.image_id, t.{other}, t.{axis})"
+
+    roi = f"(SELECT * FROM {rel} z WHERE x >= {x0} AND x < {x1} AND y >= {y0} AND y < {y1})"
+    done = one(one(roi, "x", x0, x1 - x0), "y", y0, y1 - y0)
+    return f"(SELECT p.image_id, p.y, p.x, CASE WHEN b.v IS NULL THEN p.v ELSE CAST(round_even(round(b.v, 6), 0) AS BIGINT) END AS v FROM {rel} p LEFT JOIN {done} b ON b.image_id = p.image_id AND b.y = p.y AND b.x = p.x)"
+
+
+def x01_sql() -> str:
+    steps = [("pixels", None)] + [(f"step{k}", box) for k, box in enumerate(REGIONS)]
+    parts = [f"{name} AS MATERIALIZED (SELECT image_id, y, x, v FROM {blurred_region_sql(steps[k][0], box)} q)" for k, (name, box) in enumerate(steps[1:])]
+    return f"WITH {', '.join(parts)} SELECT * FROM {steps[-1][0]}"
+
+
+@query("x01_blur_region", x01_sql())
 def x01(spark, d):
-    p = R.pixels(spark, d)
-    return X.blur_region(p, hole(), X.blur(p, 5, 0, 8, 8).withColumn("v", F.round("v", 6)))
+    """Regions one after the other, each blurred by itself with 31 taps, so overlaps are blurred twice."""
+
+    @F.pandas_udf("array<bigint>")
+    def blurred(px: pd.Series) -> pd.Series:
+        return pd.Series([K.redact(np.reshape(p, (8, 8, 1)).astype(np.uint8), list(REGIONS), K.gaussian_blur).ravel().astype(np.int64) for p in px])
+
+    rows = R.images(spark, d).select("image_id", F.posexplode(blurred("px")).alias("i", "v"))
+    return rows.select("image_id", F.floor(c("i") / 8).alias("y"), (c("i") % 8).cast("long").alias("x"), "v")
 
 
 @query("x02_blur_generator", f"SELECT p.image_id, p.y, p.x, round(CASE WHEN p.x >= 2 AND p.x < 6 AND p.y >= 2 AND p.y < 6 THEN b.v ELSE p.v END, 6) AS v FROM pixels p JOIN {blur_sql('pixels', 7, 7)} b USING (image_id, y, x)")
@@ -136,12 +170,12 @@ def x17h(spark, d):
     return rows.withColumn("share", F.round("share", 9))
 
 
-@query("x18_histogram_match", """WITH s AS (SELECT image_id, v, round(sum(n) OVER (PARTITION BY image_id ORDER BY v) / CAST(sum(n) OVER (PARTITION BY image_id) AS DOUBLE), 9) AS q FROM (SELECT image_id, v, count(*) AS n FROM pixels GROUP BY image_id, v) h),
- m AS (SELECT a.image_id, a.v, min(b.v) AS mapped FROM s a JOIN s b ON b.image_id = a.image_id + 1 AND b.q >= a.q GROUP BY a.image_id, a.v)
-SELECT p.image_id, p.y, p.x, m.mapped AS v FROM pixels p JOIN m ON m.image_id = p.image_id AND m.v = p.v""")
+@query("x18_histogram_match", """WITH s AS MATERIALIZED (SELECT image_id, v, sum(n) OVER (PARTITION BY image_id ORDER BY v) / CAST(sum(n) OVER (PARTITION BY image_id) AS DOUBLE) AS q FROM (SELECT image_id, v, count(*) AS n FROM pixels GROUP BY image_id, v) h),
+ m AS (SELECT a.image_id, a.v, a.q, max(b.q) FILTER (b.q <= a.q) AS lq, max(b.v) FILTER (b.q <= a.q) AS lv, min(b.q) FILTER (b.q >= a.q) AS hq, min(b.v) FILTER (b.q >= a.q) AS hv FROM s a JOIN s b ON b.image_id = a.image_id + 1 GROUP BY a.image_id, a.v, a.q)
+SELECT p.image_id, p.y, p.x, round(CASE WHEN lq IS NULL THEN hv WHEN hq = lq THEN lv ELSE lv + (hv - lv) * (q - lq) / (hq - lq) END, 6) AS v FROM pixels p JOIN m ON m.image_id = p.image_id AND m.v = p.v""")
 def x18(spark, d):
     p = R.pixels(spark, d)
-    return X.histogram_match(p, p.withColumn("image_id", c("image_id") - 1)).filter("v is not null")
+    return X.histogram_match(p, p.withColumn("image_id", c("image_id") - 1)).filter("v is not null").withColumn("v", F.round("v", 6))
 
 
 @query("x18_weighted_blend", f"""WITH keep AS MATERIALIZED (SELECT image_id, y, x, CASE WHEN {HOLE} THEN 0 ELSE 1 END AS v FROM pairs), w AS (SELECT image_id, y, x, v / max(v) OVER (PARTITION BY image_id) AS w FROM {blur_sql("keep", 19, 10)} g)

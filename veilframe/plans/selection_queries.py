@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -240,13 +238,18 @@ def s13(spark, d):
 
 @query("s14_tar_shards", "SELECT image_id, image_id % 5 AS label, CAST(sum(v * (8 * y + x + 1)) AS BIGINT) AS weighted FROM pixels GROUP BY image_id")
 def s14(spark, d):
-    """Images written to tar shards as PNG with a text beside, read back and decoded by suffix."""
-    from ..sources import formats
+    """Images written to tar shards as PNG with a text beside, read back by byte ranges and decoded by suffix."""
+    from ..functions.storage import scratch
+    from ..sources import formats, sinks, tar_source
 
-    shards = formats.write_tar(R.images(spark, d).select(c("image_id").cast("string").alias("key"), formats.png_of("px", 8, 8).alias("png"), (c("image_id") % 5).cast("string").alias("txt")), 7)
-    samples = formats.decoded_samples(formats.tar_samples(shards))
-    weighted = F.aggregate(F.transform("image", lambda v, i: v * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
-    return samples.select(c("key").cast("long").alias("image_id"), c("text").cast("long").alias("label"), weighted.alias("weighted"))
+    shards = formats.write_tar(R.images(spark, d).select(c("image_id").cast("string").alias("key"), formats.png_of("px", 8, 8).alias("png"), (c("image_id") % 5).cast("string").alias("cls")), 7)
+    at = scratch(spark, "tar")
+    sinks.write_files(shards, at, "path", "content").write.format("noop").mode("overwrite").save()
+    members = tar_source.tar_members(spark, at, 32 << 10)
+    images, labels = tar_source.decoded_members(members, "png"), tar_source.decoded_members(members, "cls")
+    weighted = F.aggregate(F.transform(c("value")["px"], lambda v, i: v * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    both = images.select("key", weighted.alias("weighted")).join(labels.select("key", c("value").alias("label")), "key")
+    return both.select(c("key").cast("long").alias("image_id"), "label", "weighted")
 
 
 @query("s15_positional_zip", "SELECT a.vec_id, b.page_id FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings) a JOIN (SELECT page_id, row_number() OVER (ORDER BY page_id DESC) AS r FROM pages) b USING (r)")
@@ -287,18 +290,29 @@ def s21(spark, d):
     return R.frames(spark, d).groupBy("video_id").agg(F.count("*").alias("n_frames"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-@query("s22_frame_stream", "SELECT user_id AS video_id, count(*) AS n, max(event_id) AS last FROM events GROUP BY user_id")
+@query("s22_frame_stream", """WITH n AS (SELECT ts, event_id, user_id, ntile(4) OVER (ORDER BY ts, event_id) AS file FROM events), f AS (SELECT file, count(*) AS n FROM n GROUP BY file)
+SELECT user_id AS video_id, count(*) AS n, max(event_id) AS last, 3 AS dropped FROM n WHERE file = 4 GROUP BY user_id""")
 def s22(spark, d):
-    """Frames that arrive as files, newest first, through a stream into a table."""
-    from ..functions.storage import shared_dir
-    from ..streaming.frames import frame_stream
-
-    at = f"{shared_dir(spark).rstrip('/')}/frames-{uuid.uuid4().hex}"
-    rows = R.table(spark, d, "events").select(c("user_id").alias("video_id"), c("event_type").alias("track"), c("ts").cast("timestamp").alias("ts"), c("event_id").alias("image_id"))
-    rows.repartitionByRange(4, "ts").write.parquet(f"{at}/in")
-    stream = frame_stream(spark, f"{at}/in", latest_only=True).writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/out")
+    """Four files wait: one trigger reads the newest and passes over three."""
+    from ..functions.storage import scratch
+    from ..sources.live import latest_frames
+
+    at = scratch(spark, "frames")
+    rows = R.table(spark, d, "events").select(c("user_id").alias("video_id"), c("ts").cast("timestamp").alias("ts"), c("event_id").alias("image_id"))
+    rows = scan.positions(rows, [c("ts"), c("image_id")])
+    n = rows.count()
+    # as ntile deals: the first files have a row more where four doesn't divide the count
+    first = [k * (n // 4) + min(k, n % 4) for k in range(5)]
+    for k in range(4):
+        part = rows.filter((c("pos") >= first[k]) & (c("pos") < first[k + 1])).drop("pos")
+        part.coalesce(1).write.parquet(f"{at}/batch-{k}")
+    from ..sources.sinks import gather_files
+
+    gather_files(spark, [f"{at}/batch-{k}" for k in range(4)], f"{at}/in")
+    stream = latest_frames(spark, f"{at}/in", "video_id long, ts timestamp, image_id long").writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/out")
     stream.awaitTermination()
-    return spark.read.parquet(f"{at}/out").groupBy("video_id").agg(F.count("*").alias("n"), F.max("image_id").alias("last"))
+    seen = spark.read.schema("video_id long, ts timestamp, image_id long, dropped long").parquet(f"{at}/out")
+    return seen.groupBy("video_id").agg(F.count("*").alias("n"), F.max("image_id").alias("last"), F.max("dropped").alias("dropped"))
 
 
 @query("s23_numeric_stem", f"SELECT page_id, TRY_CAST(NULLIF(regexp_extract(stem, '([0-9]+)$', 1), '') AS BIGINT) AS n FROM ({STEMS}) q")
@@ -399,11 +413,11 @@ def k09(spark, d):
 @query("k10_cache_key", "SELECT doc_id, md5(text) AS digest, count(*) OVER (PARTITION BY md5(text)) AS n_found FROM documents")
 def k10(spark, d):
     """Detections are written by the digest of their image and found again by it."""
-    from ..functions.storage import shared_dir
+    from ..functions.storage import scratch
     from ..sources import sinks
 
     docs = R.table(spark, d, "documents").select("doc_id", F.md5("text").alias("digest"))
-    path = f"{shared_dir(spark).rstrip('/')}/detections-{uuid.uuid4().hex}"
+    path = scratch(spark, "detections")
     sinks.cache_detections(docs.groupBy("digest").agg(F.count("*").alias("n_found")), path)
     return docs.join(spark.read.parquet(path), "digest").select("doc_id", "digest", "n_found")
 

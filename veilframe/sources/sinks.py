@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import stem, suffix
@@ -91,3 +91,18 @@ def label_lines(rows: DataFrame, key: str, order: str, values: list[str]) -> Dat
 def cache_detections(detections: DataFrame, path: str) -> None:
     """Detections by the digest of their image, compressed, appended to a table."""
     detections.write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def gather_files(spark: SparkSession, folders: list[str], target: str, suffix: str = ".parquet") -> list[str]:
+    """Moves the files of folders, as writers leave them, into one, numbered in order: whole files appear one after the other, as from a camera."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(conf)
+    files.mkdirs(path(target))
+    names = []
+    for folder in folders:
+        for name in sorted(s.getPath().getName() for s in files.listStatus(path(folder))):
+            if name.endswith(suffix) and name[0] not in "._":
+                names.append(f"frame-{len(names):06d}{suffix}")
+                files.rename(path(f"{folder}/{name}"), path(f"{target}/{names[-1]}"))
+    return names

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.live import latest_frames
+
 c = F.col
 FRAME_SCHEMA = "video_id long, track string, ts timestamp, image_id long"
 
@@ -21,9 +23,10 @@ def latest_per_tick(frames: DataFrame, seconds: int) -> DataFrame:
 
 
 def frame_stream(spark: SparkSession, path: str, latest_only: bool = False, schema: str = FRAME_SCHEMA) -> DataFrame:
-    """Parquet files of frames as they arrive. latest_only: one file a trigger, newest first; the backlog waits behind it."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    return reader.option("latestFirst", latest_only).parquet(path)
+    """Parquet files of frames as they arrive, one a trigger. latest_only: the newest alone, with the count of those passed over, which are never read."""
+    if latest_only:
+        return latest_frames(spark, path, schema)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def windowed_counts(frames: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
