@@ -333,3 +333,41 @@ def test_host_alone_on_its_domain(spark, bad, verdict):
     assert one.reputation == verdict
     assert one.b == pytest.approx(bad, abs=0.1)
     assert one.a == pytest.approx(1.0, abs=0.1)
+
+
+# Licence headers and notices
+
+_COMMENTED = "# Copyright 2020 A. Person\n#\n"
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at'
+
+
+def test_license_headers_and_negations(spark):
+    from veilframe.llm import license_scan as L
+
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {} Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version."
+    star = lambda t: "/*\n" + "\n".join(f" * {x}".rstrip() for x in t.split("\n")) + "\n */\nint main() { return 0; }"
+    hashes = lambda t: "\n".join(f"# {x}".rstrip() for x in t.split("\n")) + "\n\nimport os\n"
+    mit, bsd2, bsd3, isc = L.LICENSE_TEXTS[1][1], L.LICENSE_TEXTS[4][1], L.LICENSE_TEXTS[5][1], L.LICENSE_TEXTS[2][1].split("\n\n", 1)[1]
+    cases = [
+        (star("Copyright (C) 2021 Someone\n\n" + gpl.format("General", 2)), ["GPL-2.0"]), (hashes(gpl.format("Affero General", 3) + "\n\nThis program is distributed in the hope that it will be useful."), ["AGPL-3.0"]),
+        (hashes("Copyright 2020 A. Person\n" + gpl.format("Lesser General", "2.1")), ["LGPL-2.1"]), (star(APACHE + "\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law"), ["Apache-2.0"]),
+        (hashes(APACHE + "\nhttps://www.apache.org/licenses/LICENSE-2.0"), ["Apache-2.0"]), (star("Copyright (c) 2019 X\n\n" + mit) + "\n\nvoid f();", ["MIT"]), (hashes(bsd3), ["BSD-3-Clause"]), (hashes(bsd2), ["BSD-2-Clause"]), (star(isc), ["ISC"]),
+        ("This is not licensed under the MIT License.", []), ("It is not the case that this is licensed under the MIT License.", []), ("No part of this is licensed under the MIT License.", []),
+        ("This software is never released under the MIT License.", []), ("This work is licensed under the\nMIT License.\n\nMore text.", ["MIT"]), ("Licensed under CC BY-SA 4.0 International", ["CC-BY-SA-4.0"]),
+        ("The whole project is licensed under the Apache License, Version 2.0, see the LICENSE file in the root for all the terms and the names of those who wrote it", ["Apache-2.0"]),
+        ("someone said that it was licensed under the MIT License", []), (star(mit.split("\n\n")[0]), []), ("Permission is hereby granted to walk on the grass.\n\nIt is free software.", []),
+    ]
+    frame = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan(frame).collect()}
+    for k, (text, want) in enumerate(cases):
+        assert list(got[k].notices) == want, text
+        assert got[k].license is None
+
+
+def test_license_titles_of_any_length(spark):
+    from veilframe.llm import license_scan as L
+
+    title = "MIT License, as it was chosen by all who took part in this project and its documentation, in the year of its first release"
+    frame = spark.createDataFrame([(1, f"{title}\n\n{L.LICENSE_TEXTS[1][1]}")], "doc_id long, text string")
+    row = L.scan(frame).first()
+    assert (row.license, list(row.notices)) == ("MIT", [])

@@ -7,8 +7,10 @@ though it isn't a licence text as a whole.
 
 A second digest, of the text without title, version, address, copyright (with or without a year) and rights-reserved
 lines at its head, is joined with those of ``MORE_TEXTS`` as well, known texts being treated alike; only texts with the
-letters "licen" or "software" are looked at so. A line that says by a usual form that something is licensed under a
-named licence, and each licence of an SPDX-License-Identifier, is a notice too.
+letters "licen" or "software" are looked at so. A line, or a paragraph over several lines, that says by a usual form and without
+a negation that something is licensed under a named licence, and each licence of an SPDX-License-Identifier, is a notice too; so are
+the standard headers of source files and the grants inside them (``HEADERS``, ``GRANTS``), whose paragraphs are digested like whole
+texts. Comment marks are no letters, so they are in no digest; a line without letters and digits parts paragraphs.
 
 One narrow pass; nothing is shuffled. Lines are taken apart only in texts, and digested only where the line itself, holds
 all words of some notice that no spelling touches, which every line of that digest does. The digests of the known texts
@@ -27,13 +29,14 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from .common import held, text_of
 
 #: Equivalent spellings, each as (spelling, canonical), over lower-case words.
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("organisation", "organization"),
     ("organisations", "organizations"), ("authorised", "authorized"), ("favour", "favor"), ("acknowledgement", "acknowledgment"),
-    ("analyse", "analyze"), ("judgement", "judgment"), ("merchantability", "merchantability"), ("noninfringement", "non infringement"),
+    ("analyse", "analyze"), ("judgement", "judgment"), ("noninfringement", "non infringement"),
     ("copyright owner", "copyright holder"), ("copyright owners", "copyright holders"), ("sub license", "sublicense"), ("whilst", "while"), ("wilful", "willful"),
 )
 MAX_BROADCAST_KNOWN = 5_000
@@ -86,8 +89,8 @@ MORE_TEXTS = (
     ("BSD-2-Clause", f"{_BSD_HEAD}\n\n* {_BSD_1}\n\n* {_BSD_2}\n\n{_BSD_TAIL}"),
     ("BSD-3-Clause", f"{_BSD_HEAD}\n\n* {_BSD_1}\n\n* {_BSD_2}\n\n* {_BSD_3}\n\n{_BSD_TAIL}"),
 )
-_TITLE = r"(?:the )?\(?(?:mit|expat|x11|isc|0bsd|bsd|zero[- ]clause bsd|[0234][- ]clause bsd|(?:new|revised|modified|simplified|free) bsd|apache|gnu|mozilla|creative commons|cc0|the \"?artistic|artistic)\b[^\n]{0,60}"
-_HEAD = rf"\A(?:[\s*#/;=-]*(?:{_TITLE}|version [0-9][^\n]{{0,40}}|https?://[^\s]*|(?:copyright\b|\(c\)|©)[^\n]*|all rights reserved\b[^\n]{{0,3}})[\x20\x09\x0d]*(?:\n|\z))+"
+_TITLE = r"(?:the )?\(?(?:mit|expat|x11|isc|0bsd|bsd|zero[- ]clause bsd|[0234][- ]clause bsd|(?:new|revised|modified|simplified|free) bsd|apache|gnu|mozilla|creative commons|cc0|the \"?artistic|artistic)\b[^\n]*"
+_HEAD = rf"\A(?:[\s*#/;=-]*(?:{_TITLE}|version [0-9][^\n]*|https?://[^\s]*|(?:copyright\b|\(c\)|©)[^\n]*|all rights reserved\b[^\n]{{0,3}})[\x20\x09\x0d]*(?:\n|\z))+"
 #: Names in canonical form in notices, as a pattern.
 NOTICE_NAMES = (
     ("MIT", "mit|expat"), ("ISC", "isc"), ("0BSD", "0bsd"), ("BSD-2-Clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd)"), ("BSD-3-Clause", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"),
@@ -100,7 +103,54 @@ NOTICE_NAMES = (
 )
 #: A line that is dropped before digests are taken: a year, or the place for one.
 COPYRIGHT_LINE = r"(?m)^[\x20\x09]*(?:copyright\b|\(c\)|©)[^\n]*(?:[0-9]{4}|<year>|\[year\]|\[yyyy\]|\{year\}|\{yyyy\})[^\n]*$"
-_SAYS = "^(?:.{0,60} )?(?:licensed|released|distributed|published|available|made available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
+_SUBJECT = "(?:(?:this|the|these|all|our|it|they)(?: (?!not |never |neither |nor )[a-z]+){0,3} (?:is|are)(?: hereby| now| also)? )?"
+_SAYS = f"^{_SUBJECT}(?:licensed|released|distributed|published|available|made available) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
+_GOES_ON = "(?: international| unported| generic| public license| license| only| or later| or newer| or any later version| or at your option any later version)*(?: see(?: [a-z0-9]+)+)?$"
+
+
+def _gnu_headers() -> list[tuple[str, str]]:
+    """The headers that the GNU licences ask for, by rule: what is free software, which licence, which version, and whether later ones are allowed."""
+    kinds = [("GPL", "General", ("1", "2", "3")), ("AGPL", "Affero General", ("3",)), ("LGPL", "Lesser General", ("2.1", "3")), ("LGPL", "Library General", ("2",))]
+    out = []
+    for subject in ("program", "file", "library", "software", "code", "package"):
+        for short, words, versions in kinds:
+            for v in versions:
+                start = f"This {subject} is free software; you can redistribute it and/or modify it under the terms of the GNU {words} Public License"
+                name = f"{short}-{v if '.' in v else v + '.0'}"
+                for later in ("or (at your option) any later version", "or any later version"):
+                    out.append((name, f"{start} as published by the Free Software Foundation; either version {v} of the License, {later}."))
+                out += [(name, f"{start} version {v} as published by the Free Software Foundation."), (name, f"{start} as published by the Free Software Foundation; version {v} of the License.")]
+                out.append((name, f"{start} as published by the Free Software Foundation, version {v}."))
+    return out
+
+
+_APACHE = 'under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'
+_APACHE_FOUNDATION = "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You"
+_AT_APACHE = ["", *[f" {scheme}://www.apache.org/licenses/LICENSE-2.0{end}" for scheme in ("http", "https") for end in ("", ".txt", ".html")]]
+#: Standard headers of source files, a paragraph each.
+HEADERS = (
+    *_gnu_headers(),
+    *[("Apache-2.0", f"{who} {_APACHE}{at}") for who in ("Licensed", _APACHE_FOUNDATION) for at in _AT_APACHE],
+    *[("MPL-2.0", f"This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at {scheme}://{www}mozilla.org/MPL/2.0/.") for scheme in ("http", "https") for www in ("", "www.")],
+)
+#: Grants inside files: the names of paragraphs, and for each licence those that it takes. The first that is there stands for those after it of its kind.
+GRANT_PARTS = (
+    *[(f"mit {k}", part) for k, part in enumerate(_GRANT_MIT.split("\n\n"))],
+    ("isc", f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("isc", f"{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.".replace("and/or", "and")),
+    ("0bsd", f"{_ISC_GRANT}."), ("isc tail", _ISC_TAIL), ("bsd", _BSD_HEAD), ("bsd tail", _BSD_TAIL), ("bsd 1", _BSD_1), ("bsd 2", _BSD_2), ("bsd 3", _BSD_3),
+    *[(name, mark.join(["", *parts]).strip()) for name, parts in (("bsd 1", [_BSD_1]), ("bsd 2", [_BSD_2]), ("bsd 3", [_BSD_3]), ("bsd 12", [_BSD_1, _BSD_2]), ("bsd 123", [_BSD_1, _BSD_2, _BSD_3])) for mark in (" * ", " - ")],
+    *[(name, " ".join(f"{k} {p}" for k, p in zip(numbers, parts, strict=True))) for name, numbers, parts in (("bsd 1", "1", [_BSD_1]), ("bsd 2", "2", [_BSD_2]), ("bsd 3", "3", [_BSD_3]), ("bsd 12", "12", [_BSD_1, _BSD_2]), ("bsd 123", "123", [_BSD_1, _BSD_2, _BSD_3]))],
+)
+GRANTS = (
+    (("MIT", ("mit 0", "mit 1", "mit 2")),),
+    (("ISC", ("isc", "isc tail")), ("0BSD", ("0bsd", "isc tail"))),
+    (("BSD-3-Clause", ("bsd", "bsd 123", "bsd tail")), ("BSD-3-Clause", ("bsd", "bsd 1", "bsd 2", "bsd 3", "bsd tail")), ("BSD-2-Clause", ("bsd", "bsd 12", "bsd tail")), ("BSD-2-Clause", ("bsd", "bsd 1", "bsd 2", "bsd tail"))),
+)
+#: A line without letters and digits, or none, between two paragraphs.
+PARAGRAPH = r"\n[^\p{L}\p{N}\n]*\n"
+#: What every paragraph of a header or grant holds, one or the other.
+_IN_HEADERS = ("free software", "the license at", "apache.org", "source code form", "permission", "redistribut", "disclaim", "as is", "neither the name")
 
 
 def canonical(text: Column, drop_copyright: bool = True) -> Column:
@@ -155,13 +205,37 @@ def any_of(tests: list[Column]) -> Column:
 
 
 def said(low: Column) -> Column:
-    """Names of the licences in lines of a usual form. low: lower-case text."""
-    lines = F.filter(F.split(low, "\n"), lambda line: line.contains("under") & any_of([line.contains(w) for w in VERBS]))
-    forms = F.filter(F.transform(lines, lambda line: canonical(line, drop_copyright=False)), lambda f: f.rlike(_SAYS))
-    rules = [(name, f"{_SAYS}(?:{pattern})(?: license| or later| or any later version)*$") for name, pattern in NOTICE_NAMES]
+    """Names of the licences in lines, or paragraphs, of a usual form. low: lower-case text."""
+    may = lambda unit: unit.contains("under") & any_of([unit.contains(w) for w in VERBS])
+    whole = F.filter(F.split(low, PARAGRAPH), lambda p: p.contains("\n") & may(p))
+    units = F.concat(F.filter(F.split(low, "\n"), may), whole)
+    forms = F.filter(F.transform(units, lambda unit: canonical(unit, drop_copyright=False)), lambda f: f.rlike(_SAYS))
+    rules = [(name, f"{_SAYS}(?:{pattern}){_GOES_ON}") for name, pattern in NOTICE_NAMES]
     return F.flatten(F.transform(forms, lambda f: F.array_compact(F.array(*[F.when(f.rlike(rule), F.lit(name)) for name, rule in rules]))))
 
 
+def headers(low: Column, known: dict[str, str], grants=GRANTS) -> Column:
+    """Names of the licences whose header, or all parts of whose grant, are paragraphs of a text. known: digest of a paragraph -> name or part."""
+    lookup = F.create_map(*[F.lit(x) for pair in {**known, "": ""}.items() for x in pair])
+    bare = lambda p: F.regexp_replace(p, r"(?m)^[^\p{L}\p{N}(©\n]+", "")  # noqa: E731  marks before a copyright line
+    kept = F.filter(F.split(low, PARAGRAPH), lambda p: any_of([F.regexp_replace(p, r"[^\p{L}\p{N}.]+", " ").contains(w) for w in _IN_HEADERS]))
+    marks = F.transform(kept, lambda p: F.get(F.array(lookup[digest(bare(p))]), F.lit(0)))
+
+    def names(parts: Column) -> Column:
+        out = [F.filter(parts, lambda x: x.isin(sorted({n for n, _ in HEADERS})))]
+        for kind in grants:
+            value = F.lit(None).cast("string")
+            for name, needed in reversed(kind):
+                has = F.lit(True)
+                for n in needed:
+                    has = has & F.array_contains(parts, n)
+                value = F.when(has, F.lit(name)).otherwise(value)
+            out.append(F.array_compact(F.array(value)))
+        return F.concat(*out)
+
+    return let(F.array_compact(marks), names)
+
+
 def identifiers(body: Column) -> Column:
     """The licences of SPDX-License-Identifier lines."""
     marks = F.regexp_extract_all(body, F.lit(r"(?i)spdx-license-identifier:[\x20\x09]*([^\n]*)"), F.lit(1))
@@ -171,7 +245,7 @@ def identifiers(body: Column) -> Column:
 
 def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES, more_texts=MORE_TEXTS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text_digest, license (of the whole text, else null), notices
-    (sorted distinct names whose one-line notice is a line of the text)."""
+    (sorted distinct names of the notices, headers and grants in the text)."""
     if len(notices) > MAX_NOTICES:
         raise ValueError(f"notices are a literal map of at most {MAX_NOTICES} entries")
     spark = docs.sparkSession
@@ -200,15 +274,24 @@ def scan(docs: DataFrame, texts=LICENSE_TEXTS, notices=NOTICES, more_texts=MORE_
         found = F.when(fits(F.col("low")), listed).otherwise(none)
         says = F.col("low").contains("under") & any_of([F.col("low").contains(w) for w in VERBS])
         found = F.concat(found, F.when(says, said(F.col("low"))).otherwise(none))
+        parts = {r["known"]: r["license"] for r in known_digests(spark, (*HEADERS, *GRANT_PARTS)).collect()}  # some hundred, as listed
+        may = any_of([F.col("low").contains(w) for w in ("free software", "apache", "source code form", "permission", "redistribut")])
+        inside = F.when(may, headers(F.col("low"), parts)).otherwise(none)
+        rows = rows.withColumn("__inside", held(inside))
         found = F.concat(found, F.when(F.col("low").contains("spdx-license-identifier"), identifiers(F.col("body"))).otherwise(none))
-    rows = rows.withColumn("found", held(F.array_sort(F.array_distinct(found))))
+    else:
+        rows = rows.withColumn("__inside", none)
+    rows = rows.withColumn("found", held(found))
     more = spark.createDataFrame([(str(a), str(b)) for a, b in (*texts, *more_texts)], "license string, text string")
     more = more.select("license", digest(headless(F.lower("text"))).alias("form_known")).filter("form_known is not null")
     more = more.groupBy("form_known").agg(F.min("license").alias("form_license"))
     if len(texts) + len(more_texts) <= MAX_BROADCAST_KNOWN:
         more = F.broadcast(more)
     rows = rows.join(known, rows["text_digest"] == known["known"], "left").join(more, F.col("form") == F.col("form_known"), "left")
-    return rows.select("doc_id", "text_digest", F.coalesce("license", "form_license").alias("license"), F.col("found").alias("notices"))
+    rows = rows.withColumn("license", F.coalesce("license", "form_license"))
+    # a licence text isn't a file with a grant inside
+    inside = F.when(F.col("license").isNull(), F.col("__inside")).otherwise(none)
+    return rows.select("doc_id", "text_digest", "license", F.array_sort(F.array_distinct(F.concat("found", inside))).alias("notices"))
 
 
 def document_licenses(documents: DataFrame) -> DataFrame:
