@@ -10,8 +10,9 @@ import pytest
 from veilframe.functions.storage import LIVE, free
 from veilframe.operators import contours
 from veilframe.plans import anonymize
-from veilframe.sources import tar_source
+from veilframe.sources import formats, tar_source
 from veilframe.sources.live import latest_frames
+from veilframe.sources.shards import shard_numbers
 
 
 def test_latest_frame_only(spark, tmp_path):
@@ -194,3 +195,33 @@ def test_linear_histogram_map(spark):
     others, n = np.unique(b, return_counts=True)
     want = dict(zip(values.tolist(), np.interp(np.cumsum(counts) / a.size, np.cumsum(n) / b.size, others), strict=True))
     assert all(got[y, x] == pytest.approx(want[int(v)], abs=1e-9) for (y, x), v in np.ndenumerate(a))
+
+
+def serial_shards(sizes, max_bytes, max_records):
+    out, shard, count, total = [], -1, max_records, 0
+    for size in sizes:
+        if count >= max_records or total >= max_bytes:
+            shard, count, total = shard + 1, 0, 0
+        out.append(shard)
+        count, total = count + 1, total + (size or 0)
+    return out
+
+
+@pytest.mark.parametrize(("n", "max_bytes", "max_records", "block", "group"), [(500, 900, 7, 20, 3), (500, 50, 1000, 10, 2), (333, 10**9, 9, 9, 4), (64, 1, 5, 5, 1), (5, 100, 3000, 10, 2), (0, 10, 10, 10, 2)])
+def test_shards_equal_serial_cutting(spark, n, max_bytes, max_records, block, group):
+    """At any partitioning, with empty, missing and oversized samples."""
+    rng = np.random.default_rng(n)
+    sizes = [None if v < 8 else 0 if v < 16 else 5000 if v > 190 else int(v) for v in rng.integers(0, 200, n)]
+    frame = spark.createDataFrame([(k, s) for k, s in enumerate(sizes)], "k long, size long").repartition(7)
+    got = shard_numbers(frame, [frame["k"]], frame["size"], max_bytes, max_records, block, group)
+    assert [r.shard for r in got.orderBy("k").collect()] == serial_shards(sizes, max_bytes, max_records)
+    assert [r.pos for r in got.orderBy("k").collect()] == list(range(n))
+
+
+def test_tar_by_shard_numbers(spark):
+    frame = spark.createDataFrame([(f"k{k:03d}", b"x" * 50) for k in range(25)], "key string, bin binary")
+    numbered = shard_numbers(frame, [frame["key"]], frame["bin"].isNotNull().cast("long") * 50, 200, 100)
+    tars = formats.write_tar(numbered.select("key", "bin", "shard"))
+    members = {r.path: tarfile.open(fileobj=io.BytesIO(bytes(r.content))).getnames() for r in tars.collect()}
+    assert {k: len(v) for k, v in members.items()} == {f"shard-{k:06d}.tar": 4 if k < 6 else 1 for k in range(7)}
+    assert members["shard-000001.tar"] == [f"k{k:03d}.bin" for k in range(4, 8)]

@@ -396,11 +396,18 @@ def k07(spark, d):
     return R.images(spark, d).select("image_id", back("px").alias("b")).select("image_id", "b.*")
 
 
-@query("k08_shard_numbers", "SELECT size, shard, count(*) AS n FROM (SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 300.0) AS BIGINT) AS shard, unnest([64, 128]) AS size FROM documents) q GROUP BY size, shard")
+@query("k08_shard_numbers", """WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, coalesce(strlen(text), 0) AS size, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents),
+ t AS MATERIALIZED (SELECT pos, size, CAST(sum(size) OVER (ORDER BY pos) AS BIGINT) AS upto FROM d), n AS MATERIALIZED (SELECT a.pos, least(a.pos + 30, coalesce(min(b.pos) + 1, 9223372036854775807)) AS next FROM t a LEFT JOIN t b ON b.upto >= a.upto - a.size + 50000 AND b.pos >= a.pos AND b.pos < a.pos + 30 GROUP BY a.pos),
+ s AS (SELECT CAST(0 AS BIGINT) AS first, CAST(0 AS BIGINT) AS shard UNION ALL SELECT n.next, s.shard + 1 FROM s JOIN n ON n.pos = s.first),
+ e AS (SELECT shard, first, lead(first, 1, 9223372036854775807) OVER (ORDER BY shard) AS stop FROM s)
+SELECT d.doc_id, e.shard, z.size FROM d JOIN e ON d.pos >= e.first AND d.pos < e.stop, (VALUES (64), (128)) z(size)""")
 def k08(spark, d):
-    docs = scan.positions(R.table(spark, d, "documents").select("doc_id"), [c("doc_id")])
-    rows = docs.select(F.floor(c("pos") / 300).alias("shard"), F.explode(F.array(F.lit(64), F.lit(128))).alias("size"))
-    return rows.groupBy("size", "shard").agg(F.count("*").alias("n"))
+    """Shards of at most 30 texts, closed once they have 50,000 bytes, fanned out to two resolutions."""
+    from ..sources.shards import shard_numbers
+
+    docs = R.table(spark, d, "documents").select("doc_id", F.octet_length("text").alias("n_bytes"))
+    numbered = shard_numbers(docs, [c("doc_id")], c("n_bytes"), 50_000, 30, block=100, group=4)
+    return numbered.select("doc_id", "shard", F.explode(F.array(F.lit(64), F.lit(128))).alias("size"))
 
 
 @query("k09_result_map", "SELECT image_id, '[' || string_agg('[' || x0 || ',' || y0 || ',' || x1 || ',' || y1 || ']', ',' ORDER BY x0, y0, x1, y1) || ']' AS json FROM boxes WHERE kind = 'face' GROUP BY image_id")

@@ -123,9 +123,10 @@ def tar_samples(shards: DataFrame) -> DataFrame:
     return shards.select("path", "content").mapInPandas(run, "shard string, key string, member string, data binary")
 
 
-def write_tar(samples: DataFrame, shards: int) -> DataFrame:
-    """samples(key, other columns) -> path, content: tar shards in which each other column is a member <key>.<column>."""
-    names = [n for n in samples.columns if n != "key"]
+def write_tar(samples: DataFrame, shards: int | None = None) -> DataFrame:
+    """samples(key, other columns) -> path, content: tar shards in which each other column is a member <key>.<column>. Samples are dealt to a count of shards by their
+    key, or go by their own column shard, as of ``shards.shard_numbers``; a task holds one shard."""
+    names = [n for n in samples.columns if n not in ("key", "shard")]
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         blob = io.BytesIO()
@@ -138,7 +139,7 @@ def write_tar(samples: DataFrame, shards: int) -> DataFrame:
                     tar.addfile(info, io.BytesIO(data))
         return pd.DataFrame({"path": [f"shard-{part['_shard'].iloc[0]:06d}.tar"], "content": [blob.getvalue()]})
 
-    dealt = samples.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    dealt = samples.withColumn("_shard", F.col("shard") if shards is None else F.pmod(F.xxhash64("key"), F.lit(shards)))
     return dealt.groupBy("_shard").applyInPandas(run, "path string, content binary")
 
 
