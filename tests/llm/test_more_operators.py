@@ -371,3 +371,50 @@ def test_license_titles_of_any_length(spark):
     frame = spark.createDataFrame([(1, f"{title}\n\n{L.LICENSE_TEXTS[1][1]}")], "doc_id long, text string")
     row = L.scan(frame).first()
     assert (row.license, list(row.notices)) == ("MIT", [])
+
+
+# N-gram join of chains
+
+
+def chain_texts(n, words=100, step=12):
+    """Each text shares so much with the next that it is pruned from nothing, but links to none, or only to its neighbours."""
+    return [" ".join(f"w{k}" for k in range(step * i, step * i + words)) for i in range(n)]
+
+
+@pytest.mark.parametrize(("step", "linked"), [(12, False), (9, True)])
+def test_chains_are_decided_pair_by_pair(spark, monkeypatch, step, linked):
+    """A component of many blocks but few surviving pairs: pairs are listed, not blocks of the component compared; links are those of all pairs."""
+    from veilframe.llm import ngram_join as J
+
+    rows = [(k, t) for k, t in enumerate(chain_texts(240, step=step))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+    plain = J.exact_pairs
+
+    def counted(pairs, texts, threshold):
+        asked.append(pairs.count())
+        return plain(pairs, texts, threshold)
+
+    monkeypatch.setattr(J, "exact_pairs", counted)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in J.jaccard_join(frame, text_block_rows=2).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
+    near = {i: [j for j in range(max(0, i - 3), min(len(rows), i + 4)) if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])] for i in range(len(rows))}
+    assert any(near.values()) == linked
+    assert got == {i: (0 if linked else i, len(near[i])) for i in range(len(rows))}
+    assert len(asked) == 1
+    assert asked[0] < 240 * 6
+
+
+def test_dense_groups_still_go_by_blocks(spark, monkeypatch):
+    from veilframe.llm import ngram_join as J
+
+    rng = random.Random(2)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(60):
+        words = list(base)
+        words[rng.randrange(200)] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(J, "exact_pairs", lambda *_: pytest.fail("pairs of a dense group were listed"))
+    got = J.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), text_block_rows=8).collect()
+    assert {(r.class_id, r.n_links) for r in got} == {(0, 59)}

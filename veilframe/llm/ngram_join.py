@@ -18,7 +18,9 @@ that stands for its exact copies.
 4. Components of the forest say which texts may be linked; each component, cut in blocks of at most about
    ``text_block_rows`` texts and ``text_block_bytes`` of them, gets its texts and counts intersections over an inverted index of the
    shingles' 64-bit hashes, exact but for collisions of those. Here all pairs of the component are decided; their
-   numbers are added up per node, and again only a forest leaves.
+   numbers are added up per node, and again only a forest leaves. A component of several blocks whose surviving pairs are few, as a chain of texts each
+   near the next, isn't taken by blocks: those pairs are listed and each is decided by itself. What decides between the two is which ships fewer texts; both
+   are exact.
 5. Components of the exact forest are the classes.
 
 Only texts that are still candidates move, one row a distinct text: to their node, then to the pairs of blocks. The ids that choose them are
@@ -322,6 +324,73 @@ def candidate_forest(nodes: DataFrame, threshold: float, tolerance: float, block
     return _grouped(member.select("key", "lo", "hi", "node", "sig"), ["key", "lo", "hi"], process, "a bigint, b bigint").distinct()
 
 
+def pair_counts(members: DataFrame, least: list[int], block_rows: int) -> DataFrame:
+    """members(node, comp, bands, sig) -> comp, pairs: about how many surviving pairs the buckets of a component hold, counted once a bucket. In each bucket
+    PIVOTS nodes are compared with all others; the number only chooses how pairs are decided, not which."""
+
+    def process(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+        comps, pairs = [], []
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(table), HASHES)
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            mine, n = sigs[start:end], end - start
+            pivots = range(0, n, max(1, -(-n // PIVOTS)))
+            hits = sum(len(surviving(mine[p], mine, least)) - 1 for p in pivots)
+            comps.append(table.column("comp")[int(start)].as_py())
+            pairs.append(hits * n / len(pivots) / 2)
+        return pa.RecordBatch.from_arrays([pa.array(comps, pa.int64()), pa.array(pairs, pa.float64())], names=["comp", "pairs"])
+
+    return _grouped(_bucketed(members, block_rows), ["key", "comp", "lo", "hi"], process, "comp bigint, pairs double").groupBy("comp").agg(F.sum("pairs").alias("pairs"))
+
+
+#: Nodes of a bucket that are compared with all others to tell how many pairs there are.
+PIVOTS = 8
+
+
+def _bucketed(members: DataFrame, block_rows: int) -> DataFrame:
+    """members(node, comp, bands, sig) -> key, comp, lo, hi, node, sig of the buckets that two or more nodes of a component share."""
+    keys = members.select("node", "comp", F.explode("bands").alias("key"))
+    shared = keys.join(keys.groupBy("key", "comp").agg(F.count("*").alias("n")).filter("n > 1"), ["key", "comp"])
+    dealt = in_blocks(shared, F.ceil(F.col("n") / block_rows), "node")
+    return dealt.join(members.select("node", "sig"), "node").select("key", "comp", "lo", "hi", "node", "sig")
+
+
+def surviving_edges(members: DataFrame, least: list[int], block_rows: int) -> DataFrame:
+    """members(node, comp, bands, sig) -> a, b: every surviving pair once, a < b."""
+
+    def process(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+        ids = table.column("node").to_numpy()
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), HASHES)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            mine, names = sigs[start:end], ids[start:end]
+            for i in range(len(mine) - 1):
+                near = names[i + 1 :][surviving(mine[i], mine[i + 1 :], least)]
+                left.append(np.minimum(near, names[i]))
+                right.append(np.maximum(near, names[i]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (left, right)], names=["a", "b"])
+
+    return _grouped(_bucketed(members, block_rows), ["key", "comp", "lo", "hi"], process, "a bigint, b bigint").filter("a <> b").distinct()
+
+
+def exact_pairs(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """pairs(a, b), texts(node, text) -> (node, links, a) as of ``exact_join``: two rows for each pair that is linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                one, two = (np.unique(text_shingles([t])[0]) for t in (x, y))
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if shared and shared >= math.ceil(threshold * (len(one) + len(two) - shared) - 1e-9):
+                    kept.append(i)
+            a, b = (batch.column(k).take(pa.array(kept, pa.int64())) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]), pa.array(np.ones(2 * len(kept), np.int64)), pa.concat_arrays([a, a])], names=["node", "links", "a"])
+
+    left, right = texts.select(F.col("node").alias("a"), F.col("text").alias("x")), texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(run, "node bigint, links bigint, a bigint")
+
+
 def exact_join(texts: DataFrame, threshold: float) -> DataFrame:
     """texts(comp, block, lo, hi, node, text) -> (node, links, a): links counted in this pair of blocks, and a, the
     first node of the node's exact component here. Pairs within a block count where lo = hi = block."""
@@ -377,15 +446,30 @@ class Classes:
         forest.drop()
         size = maybe.df.groupBy("comp").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
         blocks = n_blocks(text_block_rows, text_block_bytes)
-        few = broadcast_rows(size, blocks) <= max_broadcast
+        size = Cut(size.withColumn("blocks", blocks)).df
+        least = least_matches(threshold + (1 - threshold) / 256, tolerance)
+        large = maybe.df.select("node", "comp").join(size.filter("blocks > 1").select("comp", "n", "blocks"), "comp")
+        listed = None
+        if size.filter("blocks > 1").limit(1).count():
+            members = large.select("node", "comp").join(nodes, "node")
+            counts = pair_counts(members, least, block_rows).join(size, "comp")
+            few_pairs = Cut(counts.filter(2 * F.col("pairs") <= F.col("n") * F.col("blocks")).select("comp")).df
+            if few_pairs.limit(1).count():
+                listed = Cut(surviving_edges(members.join(few_pairs, "comp"), least, block_rows)).df
+                size = size.join(few_pairs, "comp", "left_anti")
+        few = broadcast_rows(size, F.col("blocks")) <= max_broadcast and maybe.df.count() <= max_broadcast
         bound = F.broadcast if few else lambda df: df
         wanted = maybe.df.select("node", F.col("copy_id").alias("__id"), F.col("digest").alias("__digest"))
         texts = docs.filter(F.col("text").isNotNull()).select("doc_id", digest_of(F.col("text")).alias("digest"), "text")
         texts = texts.join(bound(wanted), (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id")))
         # rows that repeat an id and its text are one text
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-        active = in_blocks(maybe.df.select("node", "comp").join(size.select("comp", blocks.alias("blocks")), "comp"), F.col("blocks"), "node")
-        links = Cut(exact_join(texts.join(bound(active), "node").select("comp", "lo", "hi", "block", "node", "text"), threshold))
+        active = in_blocks(maybe.df.select("node", "comp").join(size.select("comp", "blocks"), "comp"), F.col("blocks"), "node")
+        counted = exact_join(texts.join(bound(active), "node").select("comp", "lo", "hi", "block", "node", "text"), threshold)
+        if listed is not None:
+            named = listed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            counted = counted.unionByName(exact_pairs(listed, Cut(texts.join(named, "node")).df, threshold))
+        links = Cut(counted)
         classes = components(links.df.filter("node <> a").select(F.col("node").alias("a"), F.col("a").alias("b")))
         degree = links.df.groupBy("node").agg(F.sum("links").alias("n_links"))
         found = classes.join(degree, "node", "full").join(maybe.df.select("node", "copy_id", "digest"), "node")
