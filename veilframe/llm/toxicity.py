@@ -26,9 +26,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .common import Cut, text_of
 
@@ -212,24 +214,27 @@ def fit(labelled: DataFrame, penalty: float = 1.0, l2: float = 1e-4, max_labelle
     return Model({f: float(w[i]) for f, i in vocabulary.items()}, b, len(found), sum(r["twin"] is not None for r in found))
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
-    """docs with text -> the columns ``keep`` and the score under ``name``, which none of them may have."""
-    if name in keep:
-        raise ValueError(f"{name} is a column already")
-    # columns go through Arrow by their place, so their names can't clash with those used here
-    rows = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(keep)], text_of().alias("text"))
-    schema = rows.drop("text").withColumn("score", F.lit(0.0)).schema
+def score_of(text: Column, model: Model) -> Column:
+    """The score as a column: only texts go through Arrow, once; all other columns stay in the JVM."""
     weights, bias = model.weights, model.bias
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own, known = Model(weights, bias), {}
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                scores = own.score_texts(part.column(part.num_columns - 1).to_pylist(), known)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scores, pa.float64())], names=[*part.schema.names[:-1], "score"])
+        for part in parts:
+            scores: list[float] = []
+            for i in range(0, len(part), 500):
+                scores += own.score_texts(part.iloc[i : i + 500].tolist(), known)
+            yield pd.Series(scores, dtype="float64")
+
+    run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, DoubleType())(text_of(text))
 
-    return rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(keep)], F.col("score").alias(name))
+
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """docs with text -> the columns ``keep`` and the score under ``name``, which none of them may have."""
+    if name in keep:
+        raise ValueError(f"{name} is a column already")
+    return docs.select(*keep, score_of(F.col("text"), model).alias(name))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -260,8 +265,4 @@ def drop_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5,
     names, model = documents.columns, train(documents, labels, **options)
     if not any(model.weights.values()):
         return documents
-    name = "score"
-    while name in names:
-        name += "_"
-    scored = score(documents, model, tuple(names), name)
-    return scored.filter(F.col(name) < threshold).select(*names)
+    return documents.filter(score_of(F.col("text"), model) < threshold).select(*names)
