@@ -186,14 +186,26 @@ def box_runs(x0: Column, y0: Column, x1: Column, y1: Column, width: Column) -> C
     return F.coalesce(each, F.array().cast(RUNS))
 
 
-@F.pandas_udf(LongType())
-def runs_intersection(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([intersection(np.asarray(x), np.asarray(y)) for x, y in zip(a, b, strict=True)], dtype="int64")
+# Functions that make their Arrow function when they are called: one that is kept in a module holds a handle of the session once it was used, and the
+# package goes to workers by value.
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def runs_union(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([union(np.asarray(x), np.asarray(y)) for x, y in zip(a, b, strict=True)])
+def runs_intersection(a: str | Column, b: str | Column) -> Column:
+    """Pixels that both masks have."""
+
+    @F.pandas_udf(LongType())
+    def both(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([intersection(np.asarray(p), np.asarray(q)) for p, q in zip(x, y, strict=True)], dtype="int64")
+
+    return both(a, b)
+
+
+def runs_union(a: str | Column, b: str | Column) -> Column:
+    @F.pandas_udf(ArrayType(LongType()))
+    def either(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([union(np.asarray(p), np.asarray(q)) for p, q in zip(x, y, strict=True)])
+
+    return either(a, b)
 
 
 def runs_area(runs: Column) -> Column:
