@@ -1,6 +1,7 @@
 """Run-length masks and fusion within an image, against pixels and against the column expressions."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,42 @@ def test_odd_detections(spark):
     assert R.area(parts[2].hole) == 24
     assert parts[3].box == (0, 0, W, H)
     assert fusion.fuse([], W, H, Fusion()) == []
+
+
+def test_intersections_of_columns():
+    """Row by row as the helper for one pair of masks; None is an empty mask."""
+    rng = np.random.default_rng(3)
+    masks = [sorted(rng.choice(500, 2 * int(n), replace=False).tolist()) for n in rng.integers(0, 9, 80)]
+    a, b = masks[:40], masks[40:]
+    got = R.intersections(pa.array([*a, None], pa.list_(pa.int64())), pa.array([*b, [0, 9]], pa.list_(pa.int64())))
+    assert got.tolist() == [*(R.intersection(np.asarray(p, np.int64), np.asarray(q, np.int64)) for p, q in zip(a, b, strict=True)), 0]
+
+
+def test_masks_are_made_after_the_join(spark):
+    """No exchange or sort below the join holds runs; runs by the worker are those by the JVM."""
+    from tests.conftest import SMALL
+    from veilframe.functions import relations as D
+    from veilframe.plans import catalog
+
+    rows = D.masks(spark, SMALL).select("x0", "y0", "x1", "y1", "mask_area", D.mask_runs(*(F.col(n) for n in geometry.COORDS)).alias("runs")).toArrow()
+    assert D.mask_rows(*(rows[n].combine_chunks() for n in geometry.COORDS)).to_pylist() == rows["runs"].to_pylist()
+    assert [R.area(np.asarray(m)) for m in rows["runs"].to_pylist()] == rows["mask_area"].to_pylist()
+    some = [[3, 5, 2], [1, 0, 4], [7, 5, 9], [4, 6, 4]]
+    assert R.box_rows(*(pa.array(v) for v in some), W).to_pylist() == [[43, 47, 83, 87, 123, 127], [], []]
+    for name in ("j05_match_in_order", "j07_near_misses", "j10_unmatched_persons", "m09_merged_runs"):
+        plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Join"):] if name != "j10_unmatched_persons" else plan[plan.rindex("Join"):]
+        assert "sequence" not in below and "both(" not in below
+
+
+def test_boxes_need_one_exchange(spark):
+    """Boxes lie by image; filters on coordinates stay above the place where those are computed."""
+    from tests.conftest import SMALL
+    from veilframe.functions import relations as D
+
+    b = D.boxes(spark, SMALL)
+    own = spark.sql(D.BOXES, lineitem=D.table(spark, SMALL, "lineitem"))
+    assert b.schema == own.schema and b.exceptAll(own).count() == 0 == own.exceptAll(b).count()
+    plan = b.filter("x1 - x0 > 40").groupBy("image_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert all("%" not in line for line in plan.splitlines() if "Filter" in line)

@@ -35,9 +35,8 @@ def frame_matches(boxes: DataFrame, previous: DataFrame, threshold: float) -> Da
     before = previous.select("video_id", (c("frame_no") + 1).alias("frame_no"), c("det_id").alias("p_det"), *[c(n).alias(f"o_{n}") for n in BOX])
     pairs = boxes.select(*KEY, *BOX).join(before, ["video_id", "frame_no"])
     pairs = pairs.filter((c("x0") < c("o_x1")) & (c("o_x0") < c("x1")) & (c("y0") < c("o_y1")) & (c("o_y0") < c("y1")))
-    pairs = pairs.withColumn("iou", F.round(iou(), 12)).filter(c("iou") >= threshold).withColumn("k", F.struct("video_id", "frame_no"))
-    found = greedy(pairs, [-c("iou"), c("det_id"), c("p_det")], "det_id", "p_det", "k")
-    return found.select("k.video_id", "k.frame_no", "det_id", "p_det")
+    pairs = pairs.withColumn("iou", F.round(iou(), 12)).filter(c("iou") >= threshold)
+    return greedy(pairs, [-c("iou"), c("det_id"), c("p_det")], "det_id", "p_det", ("video_id", "frame_no"))
 
 
 def with_velocity(boxes: DataFrame, matches: DataFrame) -> DataFrame:
