@@ -382,3 +382,18 @@ def test_configurations_inherit(tmp_path, caplog):
         registry.load_config(str(tmp_path / "kind.json"))
     with pytest.raises(ValueError):
         registry.load_config(str(tmp_path / "x.yaml"))
+
+
+def test_similarity_fits_together():
+    """Many sets at once as one by one, reflected ones and points that coincide among them."""
+    import numpy as np
+
+    from veilframe.operators import keypoints
+
+    rng = np.random.default_rng(5)
+    source, target = rng.normal(size=(40, 17, 2)), rng.normal(size=(40, 17, 2))
+    target[1] = source[1] * [-1, 1]
+    source[0] = 3.0
+    one = np.stack([keypoints.similarity_fit(a, b) for a, b in zip(source, target, strict=True)])
+    assert np.allclose(keypoints.similarity_fits(source, target), one, atol=1e-12, equal_nan=True)
+    assert np.isnan(one[0]).all()

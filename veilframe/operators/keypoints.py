@@ -7,6 +7,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,12 +173,34 @@ def similarity_fit(source: np.ndarray, target: np.ndarray, scale: bool = True) -
     return np.c_[grow * turn, mean_t - grow * turn @ mean_s]
 
 
-def similarity_udf(source: Column, target: Column) -> Column:
-    """Two arrays of x1, y1, x2, y2... -> 2x3 matrix."""
+def similarity_fits(source: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """``similarity_fit`` of many sets of as many points: arrays of sets x points x 2 -> sets x 2 x 3."""
+    mean_s, mean_t = source.mean(1), target.mean(1)
+    s, t = source - mean_s[:, None], target - mean_t[:, None]
+    u, sizes, vt = np.linalg.svd(np.swapaxes(t, 1, 2) @ s / source.shape[1])
+    flip = np.sign(np.linalg.det(u) * np.linalg.det(vt))
+    sign = np.column_stack([np.ones(len(s)), np.where(flip == 0, 1.0, flip)])
+    spread = s.var(1).sum(1)
+    still = sizes[:, 0] == 0
+    grow = (sizes * sign).sum(1) / np.where(still, 1.0, spread)
+    turn = grow[:, None, None] * ((u * sign[:, None]) @ vt)
+    out = np.concatenate([turn, (mean_t - (turn @ mean_s[:, :, None])[:, :, 0])[:, :, None]], axis=2)
+    out[still] = np.nan
+    return out
+
 
-    @F.pandas_udf("array<double>")
-    def fit(source: pd.Series, target: pd.Series) -> pd.Series:
-        return pd.Series([similarity_fit(np.reshape(a, (-1, 2)), np.reshape(b, (-1, 2))).ravel().tolist() for a, b in zip(source, target, strict=True)])
+def similarity_udf(source: Column, target: Column) -> Column:
+    """Two arrays of x1, y1, x2, y2... -> 2x3 matrix. Sets of as many points are fitted together."""
+
+    @F.arrow_udf("array<double>")
+    def fit(source: pa.Array, target: pa.Array) -> pa.Array:
+        sizes = np.asarray(pc.list_value_length(source))
+        out = np.empty((len(sizes), 6))
+        for n in np.unique(sizes):
+            rows = pa.array(np.flatnonzero(sizes == n))
+            a, b = (np.asarray(m.take(rows).flatten()).reshape(len(rows), -1, 2) for m in (source, target))
+            out[sizes == n] = similarity_fits(a, b).reshape(-1, 6)
+        return pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * 6, out.ravel())
 
     return fit(source, target)
 
