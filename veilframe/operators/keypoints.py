@@ -1,17 +1,19 @@
 """Keypoint operators. Keypoints are ``ARRAY<STRUCT<x, y, v>>`` in joint order; higher-order functions keep them in
-one row. Dense fits (similarity, affine, joint rasters) are Arrow functions."""
+one row. What computes with every joint (shares of a box, mirroring, similarities, fits, rasters) is an Arrow function over a batch of rows, as Spark
+interprets lambdas entry by entry."""
 
 from __future__ import annotations
 
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import lists as L
+
 c = F.col
 
 #: The joints of the body, and which joint each becomes when the image is mirrored.
@@ -44,16 +46,20 @@ def first_inside(kps: Column, n: int = 3) -> Column:
     return F.forall(F.slice(kps, 1, n), lambda p: (p["x"] >= c("x0")) & (p["x"] <= c("x1")) & (p["y"] >= c("y0")) & (p["y"] <= c("y1")))
 
 
-def to_box(kps: Column) -> Column:
-    """Coordinates as shares of the box; visible only if seen and inside."""
-    w, h = (c("x1") - c("x0")).cast("double"), (c("y1") - c("y0")).cast("double")
+def boxed(kps: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    """``to_box`` of a batch."""
+    px, py, v = L.fields(kps, "x", "y", "v")
+    x0, y0, w, h = L.spread(kps, x0, y0, *(pc.subtract(b, a).cast("double") for a, b in ((x0, x1), (y0, y1))))
+    x, y = (pc.divide_checked(pc.subtract(p, at).cast("double"), size) for p, at, size in ((px, x0, w), (py, y0, h)))
+    seen = pc.greater(v.cast("double"), 0)
+    for share in (x, y):
+        seen = pc.and_kleene(seen, pc.and_kleene(pc.greater_equal(share, 0), pc.less_equal(share, 1)))
+    return L.relisted(kps, x=x, y=y, v=seen)
 
-    def norm(p):
-        x, y = (p["x"] - c("x0")) / w, (p["y"] - c("y0")) / h
-        inside = (x >= 0) & (x <= 1) & (y >= 0) & (y <= 1)
-        return F.struct(x.alias("x"), y.alias("y"), ((p["v"] > 0) & inside).alias("v"))
 
-    return F.transform(kps, norm)
+def to_box(kps: Column) -> Column:
+    """Coordinates as shares of the box; visible only if seen and inside."""
+    return F.arrow_udf(boxed, "array<struct<x: double, y: double, v: boolean>>")(kps, "x0", "y0", "x1", "y1")
 
 
 def clamp_to_crop(kps: Column) -> Column:
@@ -67,13 +73,35 @@ def visible(kps: Column, threshold: float, strict: bool) -> Column:
     return F.transform(kps, lambda p: (p["v"] > threshold) if strict else (p["v"] >= threshold))
 
 
+def some_visible(kps: pa.Array) -> pa.Array:
+    """``any_visible`` of a batch."""
+    (v,) = L.fields(kps, "v")
+    seen, unknown = L.hits(kps, pc.not_equal(v.cast("double"), 0)) > 0, L.hits(kps, v.is_null()) > 0
+    return pa.array(seen, mask=np.asarray(kps.is_null()) | ~seen & unknown)
+
+
 def any_visible(kps: Column) -> Column:
-    return F.exists(kps, lambda p: p["v"] != 0)
+    """Null where no joint is known to be visible and one is unknown."""
+    return F.arrow_udf(some_visible, "boolean")(kps)
+
+
+def mirrored(kps: pa.Array, joints=COCO_JOINTS) -> pa.Array:
+    """``mirror`` of a batch."""
+    order = np.array(flip_map(joints))
+    at = L.entries_at(kps, np.repeat(np.arange(len(kps)), len(order)), np.tile(order, len(kps)))
+    x, y, v = (f.take(at) for f in L.fields(kps, "x", "y", "v"))
+    ends = pa.array(np.arange(len(kps) + 1, dtype=np.int32) * len(order))
+    return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pc.subtract(1.0, x.cast("double")), y.cast("double"), v], ["x", "y", "v"]))
 
 
-def mirror(kps: Column, joints=COCO_JOINTS) -> Column:
-    """Left and right joints change places and x becomes 1 - x."""
-    return F.transform(F.array(*[F.lit(i) for i in flip_map(joints)]), lambda i: F.struct((1 - F.get(kps, i)["x"]).alias("x"), F.get(kps, i)["y"].alias("y"), F.get(kps, i)["v"].alias("v")))
+def mirror(kps: Column, joints=COCO_JOINTS, visibility: str = "bigint") -> Column:
+    """Left and right joints change places and x becomes 1 - x. visibility: the type of v. Joints that a list lacks are null."""
+
+    @F.arrow_udf(f"array<struct<x: double, y: double, v: {visibility}>>")
+    def turned(kps: pa.Array) -> pa.Array:
+        return mirrored(kps, joints)
+
+    return turned(kps)
 
 
 def midpoint(kps: Column, a: int, b: int) -> Column:
@@ -82,18 +110,26 @@ def midpoint(kps: Column, a: int, b: int) -> Column:
     return F.when((p["v"] != 0) & (q["v"] != 0), F.struct(((p["x"] + q["x"]) / 2).alias("x"), ((p["y"] + q["y"]) / 2).alias("y")))
 
 
-def oks(found: Column, truth: Column, area: Column) -> Column:
-    """Mean over visible true joints of exp(-d2 / (2 (2 sigma)^2 (area + eps))); NULL if none is visible. One pass over the joints,
-    whose terms are plain numbers."""
-    scales = F.array(*[F.lit(-0.5 / (2 * s / 10) ** 2) for s in OKS_SIGMAS])
-    eps = float(np.spacing(1))
+def similarities(found: pa.Array, truth: pa.Array, area: pa.Array) -> pa.Array:
+    """``oks`` of a batch."""
+    scales = pa.array([-0.5 / (2 * s / 10) ** 2 for s in OKS_SIGMAS])
+    rows, place = L.parents(truth), L.places(truth)
+    x, y, v = L.fields(truth, "x", "y", "v")
+    other = L.entries_at(found, rows, place)
+    dx, dy = (pc.subtract(o.take(other), t).cast("double") for o, t in zip(L.fields(found, "x", "y"), (x, y), strict=True))
+    scale = scales.take(pa.array(place, mask=place >= len(scales)))
+    (size,) = L.spread(truth, pc.add(area.cast("double"), float(np.spacing(1))))
+    term = pc.exp(pc.multiply(pc.divide_checked(pc.add(pc.multiply(dx, dx), pc.multiply(dy, dy)), size), scale))
+    counts = np.asarray(pc.and_(pc.fill_null(pc.greater(v.cast("double"), 0), False), term.is_valid()))
+    n = np.bincount(rows[counts], minlength=len(truth))
+    total = np.bincount(rows[counts], np.asarray(term.filter(pa.array(counts))), len(truth))
+    return pa.array(total / np.maximum(n, 1), mask=n == 0)
 
-    def squared(d, g):
-        dx, dy = (d["x"] - g["x"]).cast("double"), (d["y"] - g["y"]).cast("double")
-        return F.when(g["v"] > 0, (dx * dx + dy * dy) / (area + eps))
 
-    terms = F.array_compact(F.zip_with(F.zip_with(found, truth, squared), scales, lambda d, s: F.exp(d * s)))
-    return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x, lambda a: a) / F.nullif(F.size(terms), F.lit(0))
+def oks(found: Column, truth: Column, area: Column) -> Column:
+    """Mean over visible true joints of exp(-d2 / (2 (2 sigma)^2 (area + eps))); NULL if none is visible. Joints that are unknown or that one side
+    lacks don't count."""
+    return F.arrow_udf(similarities, "double")(found, truth, area)
 
 
 def eye_angle(kps: Column) -> Column:
@@ -224,22 +260,35 @@ def line_cells(x0: int, y0: int, x1: int, y1: int) -> list[tuple[int, int]]:
     return [(math.floor(x0 + (x1 - x0) * i / n + 0.5), math.floor(y0 + (y1 - y0) * i / n + 0.5)) for i in range(n + 1)]
 
 
+def draw_joints(kps: pa.Array, size: int) -> np.ndarray:
+    """Keypoints in 0..1 of many rows -> rows x size x size, limbs of body part k drawn as k + 1, later parts over earlier ones."""
+    first = L.starts(kps)
+    x, y, v = (np.asarray(pc.fill_null(f.cast("double"), 0.0)) for f in L.fields(kps, "x", "y", "v"))
+    seen, rows = v != 0, np.flatnonzero(L.lengths(kps))
+    grid = np.zeros((len(kps), size, size), np.uint8)
+    for part, limbs in enumerate(LIMBS):
+        for a, b in limbs:
+            both = rows[seen[first[rows] + a] & seen[first[rows] + b]]
+            ends = [np.trunc(f[first[both] + k] * (size - 1)) for k in (a, b) for f in (x, y)]
+            if not all(np.isfinite(e).all() for e in ends):
+                raise ValueError("visible joints have to be finite")
+            line, cx, cy = L.line_steps(*(e.astype(np.int64) for e in ends))
+            on = (cx >= 0) & (cx < size) & (cy >= 0) & (cy < size)
+            grid[both[line[on]], cy[on], cx[on]] = part + 1
+    return grid
+
+
+def joint_maps(kps: pa.Array, size: int) -> pa.Array:
+    """``joint_map`` of a batch."""
+    parts = [draw_joints(kps.slice(a, b - a), size).reshape(b - a, -1) for a, b in L.slices(len(kps), size * size)]
+    return L.binaries(np.concatenate(parts) if parts else np.zeros((0, size * size), np.uint8), np.asarray(kps.is_null()))
+
+
 def joint_map(size: int):
-    """Arrow function: keypoints in 0..1 -> size x size bytes, limbs of body part k drawn as k + 1."""
-
-    @F.pandas_udf("binary")
-    def draw(kps: pd.Series) -> pd.Series:
-        out = []
-        for points in kps:
-            grid = np.zeros((size, size), np.uint8)
-            for part, limbs in enumerate(LIMBS):
-                for a, b in limbs:
-                    p, q = points[a], points[b]
-                    if p["v"] and q["v"]:
-                        for x, y in line_cells(*[int(v * (size - 1)) for v in (p["x"], p["y"], q["x"], q["y"])]):
-                            if 0 <= x < size and 0 <= y < size:
-                                grid[y, x] = part + 1
-            out.append(grid.tobytes())
-        return pd.Series(out)
+    """Arrow function: keypoints in 0..1 -> size x size bytes, limbs of body part k drawn as k + 1; null keypoints have no map."""
+
+    @F.arrow_udf("binary")
+    def draw(kps: pa.Array) -> pa.Array:
+        return joint_maps(kps, size)
 
     return draw

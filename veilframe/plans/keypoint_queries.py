@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import geometry as G
 from ..operators import keypoints as K
+from ..operators import lists as L
 
 c = F.col
 ID = ("image_id", "det_id")
@@ -44,8 +47,12 @@ def p04(spark, d):
 
 @query("p05_drop_unseen", "SELECT image_id, det_id FROM (SELECT image_id, det_id, max(CASE WHEN (k + det_id) % 17 < det_id % 3 THEN v ELSE 0 END) AS m FROM kps GROUP BY image_id, det_id) q WHERE m <> 0")
 def p05(spark, d):
-    some = F.transform("kps", lambda p, k: F.struct(p["x"].alias("x"), p["y"].alias("y"), F.when((k + c("det_id")) % 17 < c("det_id") % 3, p["v"]).otherwise(0).alias("v")))
-    return R.keypoints(spark, d).withColumn("kps", some).filter(K.any_visible(c("kps"))).select(*ID)
+    def some(kps, det_id, *box):
+        x, y, v = L.fields(kps, "x", "y", "v")
+        det = np.asarray(det_id)[L.parents(kps)]
+        return K.some_visible(L.relisted(kps, x=x, y=y, v=pc.if_else(pa.array((L.places(kps) + det) % 17 < det % 3), v, 0)))
+
+    return R.boxes(spark, d).filter(R.of_keypoints(some, "boolean")).select(*ID)
 
 
 FLIP = "[" + ", ".join(map(str, K.flip_map())) + "]"
