@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
@@ -87,15 +86,25 @@ _LIMBS_SQL = ", ".join(f"({part + 1}, {n}, {a}, {b})" for n, (part, (a, b)) in e
 SELECT b.image_id, b.det_id, count(part) AS n_drawn, CAST(coalesce(sum(part * (16 * y + x + 1)), 0) AS BIGINT) AS weighted FROM boxes b LEFT JOIN g USING (image_id, det_id) GROUP BY b.image_id, b.det_id""")
 def p08(spark, d):
     """Drawn cells of each 16 x 16 map, and the sum of their values by place. Later parts cover earlier ones, so the largest stays."""
-    @F.pandas_udf("n bigint, weighted bigint")
-    def summary(maps: pd.Series) -> pd.DataFrame:
-        grid = np.stack([np.frombuffer(m, np.uint8) for m in maps]).astype(np.int64)
-        return pd.DataFrame({"n": (grid > 0).sum(1), "weighted": (grid * np.arange(1, 257)).sum(1)})
+    def summary(kps, det_id, *box):
+        grid = L.byte_rows(K.joint_maps(K.boxed(kps, *box), 16))
+        return pa.StructArray.from_arrays([pa.array(np.count_nonzero(grid, axis=1)), pa.array((grid @ np.arange(1.0, 257.0)).astype(np.int64))], ["n", "weighted"])
 
-    k = R.keypoints(spark, d).select(*ID, summary(K.joint_map(16)(K.to_box(c("kps")))).alias("s"))
+    k = R.boxes(spark, d).select(*ID, R.of_keypoints(summary, "struct<n: bigint, weighted: bigint>").alias("s"))
     return k.select(*ID, c("s")["n"].alias("n_drawn"), c("s")["weighted"].alias("weighted"))
 
 
+def shaken(kps: pa.Array, det_id: pa.Array) -> pa.Array:
+    """What a detector found: keypoints moved by small numbers of the detection."""
+    x, y, v = L.fields(kps, "x", "y", "v")
+    det = np.asarray(det_id)[L.parents(kps)]
+    return L.relisted(kps, x=pc.add(x, pa.array(det % 7)), y=pc.add(y, pa.array((L.places(kps) + det) % 5)), v=v)
+
+
+def box_area(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    return pc.multiply(pc.subtract(x1, x0), pc.subtract(y1, y0))
+
+
 SIGMA2 = "[" + ", ".join(repr((2 * s / 10) ** 2) + "::DOUBLE" for s in K.OKS_SIGMAS) + "]"
 
 
