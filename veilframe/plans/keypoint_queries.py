@@ -60,11 +60,15 @@ FLIP = "[" + ", ".join(map(str, K.flip_map())) + "]"
 @query("p06_mirror", f"""WITH q AS (SELECT image_id, det_id, k, (px - x0) / CAST(x1 - x0 AS DOUBLE) AS nx, v FROM kps), f AS (SELECT k AS target, {FLIP}[k + 1] AS k FROM (SELECT unnest(range(0, 17)) AS k) r)
 SELECT image_id, det_id, round(sum((1 - nx) * (target + 1)), 6) AS weighted_x, CAST(sum(v * (target + 1)) AS BIGINT) AS weighted_v FROM q JOIN f USING (k) GROUP BY image_id, det_id""")
 def p06(spark, d):
-    boxed = R.keypoints(spark, d).withColumn("n", F.zip_with(K.to_box(c("kps")), "kps", lambda p, o: F.struct(p["x"].alias("x"), p["y"].alias("y"), o["v"].alias("v"))))
-    m = boxed.select(*ID, K.mirror(c("n")).alias("m"))
-    wx = F.aggregate(F.transform("m", lambda p, i: p["x"] * (i + 1)), F.lit(0.0), lambda a, x: a + x)
-    wv = F.aggregate(F.transform("m", lambda p, i: p["v"] * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
-    return m.select(*ID, F.round(wx, 6).alias("weighted_x"), wv.alias("weighted_v"))
+    def weighted(kps, det_id, *box):
+        boxed = K.boxed(kps, *box)
+        (x, y), (v,) = L.fields(boxed, "x", "y"), L.fields(kps, "v")
+        m = K.mirrored(L.relisted(kps, x=x, y=y, v=v))
+        times = pa.array(L.places(m) + 1.0)
+        return pa.StructArray.from_arrays([L.totals(m, pc.multiply(f.cast("double"), times)) for f in L.fields(m, "x", "v")], ["x", "v"])
+
+    m = R.boxes(spark, d).select(*ID, R.of_keypoints(weighted, "struct<x: double, v: double>").alias("w"))
+    return m.select(*ID, F.round(c("w")["x"], 6).alias("weighted_x"), c("w")["v"].cast("long").alias("weighted_v"))
 
 
 @query("p07_midpoints", """SELECT image_id, det_id, CASE WHEN min(CASE WHEN k IN (5, 6) THEN v END) > 0 THEN sum(CASE WHEN k IN (5, 6) THEN px END) / 2.0 END AS neck_x,
