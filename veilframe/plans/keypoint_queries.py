@@ -109,14 +109,26 @@ def box_area(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array
     return pc.multiply(pc.subtract(x1, x0), pc.subtract(y1, y0))
 
 
+def shaken(kps: pa.Array, det_id: pa.Array) -> pa.Array:
+    """What a detector found: keypoints moved by small numbers of the detection."""
+    x, y, v = L.fields(kps, "x", "y", "v")
+    det = np.asarray(det_id)[L.parents(kps)]
+    return L.relisted(kps, x=pc.add(x, pa.array(det % 7)), y=pc.add(y, pa.array((L.places(kps) + det) % 5)), v=v)
+
+
+def box_area(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    return pc.multiply(pc.subtract(x1, x0), pc.subtract(y1, y0))
+
+
 SIGMA2 = "[" + ", ".join(repr((2 * s / 10) ** 2) + "::DOUBLE" for s in K.OKS_SIGMAS) + "]"
 
 
 @query("p09_oks", f"""SELECT image_id, det_id, round(avg(CASE WHEN v > 0 THEN exp(-(CAST((det_id % 7) * (det_id % 7) + ((k + det_id) % 5) * ((k + det_id) % 5) AS DOUBLE) / {SIGMA2}[k + 1] / (CAST((x1 - x0) * (y1 - y0) AS DOUBLE) + 2.220446049250313e-16) / 2)) END), 6) AS oks FROM kps GROUP BY image_id, det_id""")
 def p09(spark, d):
-    found = F.transform("kps", lambda p, k: F.struct((p["x"] + c("det_id") % 7).alias("x"), (p["y"] + (k + c("det_id")) % 5).alias("y"), p["v"].alias("v")))
-    area = ((c("x1") - c("x0")) * (c("y1") - c("y0"))).cast("double")
-    return R.keypoints(spark, d).select(*ID, F.round(K.oks(found, c("kps"), area), 6).alias("oks"))
+    def similarity(kps, det_id, *box):
+        return K.similarities(shaken(kps, det_id), kps, box_area(*box))
+
+    return R.boxes(spark, d).select(*ID, F.round(R.of_keypoints(similarity, "double"), 6).alias("oks"))
 
 
 @query("p10_eye_rotation", """WITH q AS (SELECT image_id, det_id, any_value(x0) AS x0, any_value(y0) AS y0, any_value(x1) AS x1, any_value(y1) AS y1, max(CASE WHEN k = 1 THEN px END) AS lx, max(CASE WHEN k = 1 THEN py END) AS ly, max(CASE WHEN k = 2 THEN px END) AS rx, max(CASE WHEN k = 2 THEN py END) AS ry FROM kps GROUP BY image_id, det_id),
