@@ -16,7 +16,7 @@ from veilframe.plans import catalog
 KPS = [[{"x": 3, "y": 4, "v": 1}, {"x": 12, "y": 4, "v": 2}, {"x": None, "y": 1, "v": 1}, None], [], None, [{"x": 9, "y": 9, "v": 0}, {"x": 5, "y": 5, "v": None}]]
 POINT = "array<struct<x: bigint, y: bigint, v: bigint>>"
 #: Queries whose joints were taken one by one by lambdas, which Spark interprets.
-NO_LAMBDA = ("p05_drop_unseen", "p06_mirror", "p08_joint_map", "p09_oks")
+NO_LAMBDA = ("p02_keypoints_to_box", "p05_drop_unseen", "p06_mirror", "p08_joint_map", "p09_oks")
 
 
 @pytest.mark.parametrize("name", NO_LAMBDA)

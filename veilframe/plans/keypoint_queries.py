@@ -25,9 +25,14 @@ def p01(spark, d):
 @query("p02_keypoints_to_box", """WITH q AS (SELECT *, (px - x0) / CAST(x1 - x0 AS DOUBLE) AS nx, (py - y0) / CAST(y1 - y0 AS DOUBLE) AS ny FROM kps)
 SELECT image_id, det_id, round(sum(nx), 6) + 0.0 AS sum_x, round(sum(ny), 6) + 0.0 AS sum_y, count(*) FILTER (v > 0 AND nx >= 0 AND nx <= 1 AND ny >= 0 AND ny <= 1) AS n_visible FROM q GROUP BY image_id, det_id""")
 def p02(spark, d):
-    k = R.keypoints(spark, d).select(*ID, K.to_box(c("kps")).alias("n"))
-    total = lambda f: F.round(F.aggregate(F.transform("n", lambda p: p[f]), F.lit(0.0), lambda a, x: a + x), 6) + 0.0
-    return k.select(*ID, total("x").alias("sum_x"), total("y").alias("sum_y"), F.size(F.filter("n", lambda p: p["v"])).cast("long").alias("n_visible"))
+    def summary(kps, det_id, *box):
+        boxed = K.boxed(kps, *box)
+        x, y, v = L.fields(boxed, "x", "y", "v")
+        return pa.StructArray.from_arrays([L.totals(boxed, x), L.totals(boxed, y), pa.array(L.hits(boxed, v))], ["x", "y", "n"])
+
+    k = R.boxes(spark, d).select(*ID, R.of_keypoints(summary, "struct<x: double, y: double, n: bigint>").alias("s"))
+    total = lambda f: F.round(c("s")[f], 6) + 0.0
+    return k.select(*ID, total("x").alias("sum_x"), total("y").alias("sum_y"), c("s")["n"].alias("n_visible"))
 
 
 @query("p03_clamp_to_crop", """SELECT image_id, det_id, round(sum(least(1.0, greatest(0.0, (px - x0) / CAST(x1 - x0 AS DOUBLE)))), 6) AS sum_x,
