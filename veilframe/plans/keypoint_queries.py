@@ -114,17 +114,6 @@ def box_area(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array
     return pc.multiply(pc.subtract(x1, x0), pc.subtract(y1, y0))
 
 
-def shaken(kps: pa.Array, det_id: pa.Array) -> pa.Array:
-    """What a detector found: keypoints moved by small numbers of the detection."""
-    x, y, v = L.fields(kps, "x", "y", "v")
-    det = np.asarray(det_id)[L.parents(kps)]
-    return L.relisted(kps, x=pc.add(x, pa.array(det % 7)), y=pc.add(y, pa.array((L.places(kps) + det) % 5)), v=v)
-
-
-def box_area(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
-    return pc.multiply(pc.subtract(x1, x0), pc.subtract(y1, y0))
-
-
 SIGMA2 = "[" + ", ".join(repr((2 * s / 10) ** 2) + "::DOUBLE" for s in K.OKS_SIGMAS) + "]"
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import latent as L
+from ..operators import lists
 from ..operators import metrics as A
 from ..operators import keypoints as K
-from .keypoint_queries import SIGMA2
+from .keypoint_queries import SIGMA2, box_area, shaken
 from .pixel_queries import list_sql
 from ..operators.pixels import gaussian
 
@@ -139,12 +142,12 @@ def a11(spark, d):
 SELECT kind, round(avg(oks), 6) AS mean, count(oks) AS n FROM boxes JOIN o USING (image_id, det_id) GROUP BY kind""")
 def a12(spark, d):
     """Every seventh detection has no visible joint, so no similarity."""
-    k = R.keypoints(spark, d)
-    seen = F.when(c("det_id") % 7 != 0, 1).otherwise(0)
-    truth = F.transform("kps", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), (p["v"] * seen).alias("v")))
-    found = F.transform("kps", lambda p, i: F.struct((p["x"] + c("det_id") % 7).alias("x"), (p["y"] + (i + c("det_id")) % 5).alias("y"), p["v"].alias("v")))
-    area = ((c("x1") - c("x0")) * (c("y1") - c("y0"))).cast("double")
-    m = A.mean_of_present(k.withColumn("oks", K.oks(found, truth, area)), "kind", c("oks"))
+    def similarity(kps, det_id, *box):
+        x, y, v = lists.fields(kps, "x", "y", "v")
+        truth = lists.relisted(kps, x=x, y=y, v=pc.if_else(pa.array((np.asarray(det_id) % 7 != 0)[lists.parents(kps)]), v, 0))
+        return K.similarities(shaken(kps, det_id), truth, box_area(*box))
+
+    m = A.mean_of_present(R.boxes(spark, d).withColumn("oks", R.of_keypoints(similarity, "double")), "kind", c("oks"))
     return m.select("kind", F.round("mean", 6).alias("mean"), "n")
 
 
