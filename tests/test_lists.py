@@ -11,12 +11,13 @@ from tests.conftest import SMALL
 from veilframe.functions import relations as R
 from veilframe.operators import keypoints as K
 from veilframe.operators import lists as L
+from veilframe.operators import masks as M
 from veilframe.plans import catalog
 
 KPS = [[{"x": 3, "y": 4, "v": 1}, {"x": 12, "y": 4, "v": 2}, {"x": None, "y": 1, "v": 1}, None], [], None, [{"x": 9, "y": 9, "v": 0}, {"x": 5, "y": 5, "v": None}]]
 POINT = "array<struct<x: bigint, y: bigint, v: bigint>>"
 #: Queries whose joints were taken one by one by lambdas, which Spark interprets.
-NO_LAMBDA = ("p02_keypoints_to_box", "p05_drop_unseen", "p06_mirror", "p08_joint_map", "p09_oks")
+NO_LAMBDA = ("p02_keypoints_to_box", "p05_drop_unseen", "p06_mirror", "p08_joint_map", "p09_oks", "a12_mean_oks")
 
 
 @pytest.mark.parametrize("name", NO_LAMBDA)
@@ -75,3 +76,20 @@ def test_keypoints_are_those_of_the_relation(spark, duck):
     sql = R.with_relations("SELECT image_id, det_id, list({'x': px, 'y': py, 'v': v} ORDER BY k) AS kps FROM kps GROUP BY image_id, det_id ORDER BY image_id, det_id LIMIT 500")
     got = R.keypoints(spark, SMALL).orderBy("image_id", "det_id").limit(500).select("image_id", "det_id", "kps").collect()
     assert [(r.image_id, r.det_id, [p.asDict() for p in r.kps]) for r in got] == duck.execute(sql).fetchall()
+
+
+def test_polygons_of_a_batch():
+    rng = np.random.default_rng(3)
+    whole = [[(int(x), int(y)) for x, y in rng.integers(-4, 24, (n, 2))] for n in rng.integers(1, 8, 60)]
+    slanted = [[(float(x), float(y)) for x, y in rng.uniform(-4, 24, (n, 2))] for n in rng.integers(1, 8, 60)]
+    for polygons in (whole, slanted):
+        got = M.polygon_masks(pa.array([None, [], *([{"x": x, "y": y} for x, y in p] for p in polygons)]), 16, 12)
+        assert not got[:2].any()
+        for p, mask in zip(polygons, got[2:], strict=True):
+            assert (mask == M.fill_polygons([p], 16, 12)).all()
+
+
+def test_polygon_query_takes_one_pass(spark):
+    plan = catalog.QUERIES["m04_polygon_fill"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert M.packed_polygons(pa.array([None, [{"x": 1, "y": 1}]]), 4, 2).to_pylist() == [None, bytes([0b00000100])]

@@ -11,9 +11,11 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import lists as L
 from .keypoints import line_cells
 
 c = F.col
@@ -219,10 +221,40 @@ def masks_of(annotations: DataFrame) -> DataFrame:
     return annotations.select("id", decode("segmentation", "height", "width").alias("m")).select("id", "m.*")
 
 
+def polygon_masks(corners: pa.Array, width: int, height: int) -> np.ndarray:
+    """``fill_polygons`` of a column of single polygons: rows x height x width. A row of cells is inside between crossings of edges, which are counted; null
+    polygons are empty."""
+    n, row, xa, ya = len(corners), L.parents(corners), *(np.asarray(v.cast("double")) for v in L.fields(corners, "x", "y"))
+    last = L.starts(corners)[row] + L.lengths(corners)[row] - 1
+    after = np.where(np.arange(len(row)) == last, L.starts(corners)[row], np.arange(len(row)) + 1)
+    xb, yb = xa[after], ya[after]
+    # integer rows y with min(ya, yb) <= y < max(ya, yb), inside the image
+    clipped = lambda v: np.clip(np.ceil(v), 0, height).astype(np.int64)
+    low, high = clipped(np.minimum(ya, yb)), clipped(np.maximum(ya, yb))
+    edge = np.repeat(np.arange(len(row)), high - low)
+    y = np.arange(len(edge)) - (np.cumsum(high - low) - (high - low))[edge] + low[edge]
+    cross = (xb - xa)[edge] * (y - ya[edge]) / (yb - ya)[edge] + xa[edge]
+    left = np.clip(np.ceil(cross), 0, width).astype(np.int64)  # cells left of the crossing
+    counts = np.bincount((row[edge] * height + y) * (width + 1) + left, minlength=n * height * (width + 1)).reshape(n, height, width + 1)
+    out = np.cumsum(counts[:, :, :0:-1], axis=2)[:, :, ::-1] % 2 == 1  # edges whose crossing lies right of the cell
+    line, cx, cy = L.line_steps(*(np.trunc(v).astype(np.int64) for v in (xa, ya, xb, yb)))
+    on = (cx >= 0) & (cx < width) & (cy >= 0) & (cy < height)
+    out[row[line[on]], cy[on], cx[on]] = True
+    return out
+
+
+def packed_polygons(corners: pa.Array, width: int, height: int) -> pa.Array:
+    """``polygon_udf`` of a batch."""
+    parts = [np.packbits(polygon_masks(corners.slice(a, b - a), width, height).reshape(b - a, -1), axis=1) for a, b in L.slices(len(corners), width * height)]
+    return L.binaries(np.concatenate(parts) if parts else np.zeros((0, -(-width * height // 8)), np.uint8), np.asarray(corners.is_null()))
+
+
 def polygon_udf(width: int, height: int):
-    @F.pandas_udf("binary")
-    def fill(corners: pd.Series) -> pd.Series:
-        return pd.Series([np.packbits(fill_polygons([[(p["x"], p["y"]) for p in ps]], width, height)).tobytes() for ps in corners])
+    """Arrow function: corners (x, y) of a polygon -> packed bits of its cells; null corners have no mask."""
+
+    @F.arrow_udf("binary")
+    def fill(corners: pa.Array) -> pa.Array:
+        return packed_polygons(corners, width, height)
 
     return fill
 

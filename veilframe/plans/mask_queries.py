@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
 from ..functions.registry import query
 from ..operators import contours as C
+from ..operators import lists as L
 from ..operators import masks as M
 
 c = F.col
@@ -59,10 +60,10 @@ SELECT p.image_id, p.det_id, count(x) AS n, CAST(coalesce(sum(16 * y + x), 0) AS
 def m04(spark, d):
     """Filled cells of each 16 x 12 mask, and the sum of their places."""
 
-    @F.pandas_udf("struct<n: bigint, places: bigint>")
-    def summary(packed: pd.Series) -> pd.DataFrame:
-        bits = np.unpackbits(np.stack([np.frombuffer(m, np.uint8) for m in packed]), axis=1).astype(np.int64)
-        return pd.DataFrame({"n": bits.sum(1), "places": (bits * np.arange(192)).sum(1)})
+    @F.arrow_udf("struct<n: bigint, places: bigint>")
+    def summary(packed: pa.Array) -> pa.Array:
+        bits = np.unpackbits(L.byte_rows(packed), axis=1)
+        return pa.StructArray.from_arrays([pa.array(np.count_nonzero(bits, axis=1)), pa.array((bits @ np.arange(192.0)).astype(np.int64))], ["n", "places"])
 
     p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     s = c("det_id") % 3
