@@ -93,3 +93,12 @@ def test_polygon_query_takes_one_pass(spark):
     plan = catalog.QUERIES["m04_polygon_fill"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert M.packed_polygons(pa.array([None, [{"x": 1, "y": 1}]]), 4, 2).to_pylist() == [None, bytes([0b00000100])]
+
+
+def test_polygon_numbers_are_split_once(spark):
+    from veilframe.sources import scan
+
+    lines = [("1 2 3 4  5 6##text 1 2",), ("7,8, 9,10##x",), ("11 12",), (None,)]
+    rows = spark.createDataFrame(lines, "line string").select(scan.parse_polygon(F.col("line")).alias("p"))
+    assert [None if r.p is None else [tuple(q) for q in r.p] for r in rows.collect()] == [[(1, 2), (3, 4), (5, 6)], [(7, 8), (9, 10)], [(11, 12)], None]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from ..functions.storage import cut
 
 c = F.col
@@ -65,8 +66,9 @@ def parse_yolo(line: Column) -> list[Column]:
 def parse_polygon(line: Column) -> Column:
     """Whole numbers before ``##``, by spaces or else by commas, as points."""
     head = F.btrim(F.substring_index(line, "##", 1))
-    values = F.transform(F.split(head, "[ ,]+"), lambda v: v.cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.size(values) - 2, F.lit(2)), lambda i: F.struct(F.get(values, i).alias("x"), F.get(values, i + 1).alias("y")))
+    values = F.split(head, "[ ,]+").cast("array<int>")
+    point = lambda v, i: F.struct(F.get(v, i).alias("x"), F.get(v, i + 1).alias("y"))
+    return let(values, lambda v: F.transform(F.sequence(F.lit(0), F.size(v) - 2, F.lit(2)), lambda i: point(v, i)))
 
 
 def yolo_labels(spark: SparkSession, folder: str) -> DataFrame:
