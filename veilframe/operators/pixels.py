@@ -29,15 +29,18 @@ def convolve_axis(pixels: DataFrame, axis: str, weights: list[float], size: int,
     """One pass of a separable filter, the image mirrored at its border (the border itself not repeated)."""
     r = len(weights) // 2
     period = 2 * (size - 1)
-    taps = F.array(*[F.struct(F.lit(k - r).alias("d"), F.lit(w).alias("w")) for k, w in enumerate(weights)])
-    rows = pixels.withColumn("_t", F.explode(taps))
-    # the source at s adds to every target t with mirror(t + d) = s; targets are found by mirroring too
-    at = F.pmod(c(axis) + c("_t")["d"], F.lit(period))
-    source = F.when(at >= size, period - at).otherwise(at)
+    mirror = lambda at: min(at % period, period - at % period) if period else 0
+    shares = [[0.0] * size for _ in range(size)]  # of a source in each target; taps that meet in a source are added
+    for target in range(size):
+        for k, w in enumerate(weights):
+            shares[mirror(target + k - r)][target] += w
+    # each pixel gives its share to all targets of its line, so no relation is joined; a target has to be a pixel itself
+    taps = lambda s: F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.lit(w).alias("w")) for t, w in enumerate(shares[s]) if w or t == s])
+    rows = pixels.select(*PIXEL, c(value).alias("_v"), F.explode(F.get(F.array(*[taps(s) for s in range(size)]), c(axis).cast("int"))).alias("_t"))
     other = "x" if axis == "y" else "y"
-    asked = rows.select("image_id", c(other), c(axis).alias("_target"), source.alias(axis), c("_t")["w"].alias("_w"))
-    seen = asked.join(pixels.select("image_id", "y", "x", c(value).alias("_v")), ["image_id", "y", "x"])
-    return seen.groupBy("image_id", other, c("_target").alias(axis)).agg(F.sum(c("_w") * c("_v")).alias(value)).select(*PIXEL, value)
+    own = F.bool_or(c(axis) == c("_t")["t"]).alias("_own")
+    given = rows.groupBy("image_id", other, c("_t")["t"].alias("_target")).agg(F.sum(c("_t")["w"] * c("_v")).alias(value), own)
+    return given.filter("_own").select("image_id", *[(c("_target") if n == axis else c(n)).alias(n) for n in ("y", "x")], value)
 
 
 def blur(pixels: DataFrame, size: int, sigma: float, width: int, height: int, value: str = "v") -> DataFrame:
@@ -175,8 +178,13 @@ def soft_edge(keep: DataFrame, size: int, sigma: float, width: int, height: int)
 
 def weighted_blend(plain: DataFrame, matched: DataFrame, weights: DataFrame) -> DataFrame:
     """The matched image where the weight is 1, the plain one where it is 0."""
-    rows = plain.join(matched.withColumnRenamed("v", "_m"), list(PIXEL)).join(weights.withColumnRenamed("v", "_w"), list(PIXEL))
-    return rows.select(*PIXEL, blend(c("v"), c("_m"), c("_w")).alias("v"))
+    return weighted_pair(plain.join(matched.withColumnRenamed("v", "_m"), list(PIXEL)), weights, "v", "_m")
+
+
+def weighted_pair(both: DataFrame, weights: DataFrame, plain: str, matched: str) -> DataFrame:
+    """``weighted_blend`` of a relation that has both images' values in a row."""
+    rows = both.join(weights.select(*PIXEL, c("v").alias("_w")), list(PIXEL))
+    return rows.select(*PIXEL, blend(c(plain), c(matched), c("_w")).alias("v"))
 
 
 def cdf(pixels: DataFrame) -> DataFrame:

@@ -184,7 +184,7 @@ def x18b(spark, d):
     """What is matched shows outside the hole, with a soft edge."""
     p = R.pairs(spark, d)
     weights = X.soft_edge(p.select(*P, F.when(hole(), 0).otherwise(1).alias("v")), 19, 10, 8, 8)
-    out = X.weighted_blend(p.select(*P, c("a").alias("v")), p.select(*P, c("b").alias("v")), weights)
+    out = X.weighted_pair(p, weights, "a", "b")
     return out.withColumn("v", F.round("v", 6))
 
 
