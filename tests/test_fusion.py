@@ -248,3 +248,30 @@ def test_boxes_need_one_exchange(spark):
     plan = b.filter("x1 - x0 > 40").groupBy("image_id").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert all("%" not in line for line in plan.splitlines() if "Filter" in line)
+
+
+def test_masks_are_measured_together():
+    """Against one mask at a time: empty masks, runs over several rows, boxes that leave the image."""
+    rng = np.random.default_rng(4)
+    masks, boxes, images = [], [], []
+    for k in range(60):
+        w, h = int(rng.integers(20, 40)), int(rng.integers(20, 40))
+        x0, y0 = int(rng.integers(-5, 10)), int(rng.integers(-5, 10))
+        box = x0, y0, x0 + int(rng.integers(4, 30)), y0 + int(rng.integers(4, 30))
+        mask = R.EMPTY if k % 9 == 0 else R.from_array(rng.random((8, 9)) < (1.0 if k % 7 == 0 else 0.4), int(rng.integers(0, w - 9)), int(rng.integers(0, h - 8)), w, h)
+        if k % 8 == 1:
+            mask = np.array([3, 2 * w + 1])
+        masks.append(mask), boxes.append(box), images.append((w, h))
+    areas, tights = R.measures(masks, images)
+    assert areas == [R.area(m) for m in masks] and tights == [R.tight(m, *i) for m, i in zip(masks, images, strict=True)]
+    got = R.dilated_boxes(masks, boxes, images, (28, 16), 0.1)
+    assert got == [R.dilated_box(m, b, *i, (28, 16), 0.1) for m, b, i in zip(masks, boxes, images, strict=True)]
+    assert R.measures([R.EMPTY], [(4, 3)]) == ([0], [(0, 0, 4, 3)]) and R.dilated_boxes([R.EMPTY], [(0, 0, 2, 2)], [(4, 3)], (28, 16), 0.1) == [(0, 0, 2, 2)]
+
+
+def test_fused_regions_make_masks_in_the_worker(spark):
+    from tests.conftest import SMALL
+    from veilframe.plans import catalog
+
+    plan = catalog.QUERIES["plan_fused_regions"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "runs" not in plan and "lambda" not in plan

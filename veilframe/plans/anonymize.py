@@ -40,6 +40,7 @@ _FOUND = "det_id: long, kind: string, score: double, x0: long, y0: long, x1: lon
 OUTCOME_SCHEMA = f"image_id long, height int, width int, error string, found array<struct<{_FOUND}>>"
 #: grown box, own box, pixels of the mask, what is pasted as runs over the image, and what generators get.
 _REGION = "paste_order: int, det_id: long, kind: string, score: double, x0: long, y0: long, x1: long, y1: long, own_x0: long, own_y0: long, own_x1: long, own_y1: long, mask_area: long, hole: array<bigint>, seed: long, keypoints: array<struct<x: double, y: double, v: double>>"
+REGION_NAMES = ("paste_order", "det_id", "kind", "score", *G.COORDS, *(f"own_{n}" for n in G.COORDS), "mask_area", "hole", "seed", "keypoints")
 #: As _FOUND; a type that doesn't take a session to make.
 _POINT = [StructField("x", DoubleType()), StructField("y", DoubleType())]
 FOUND_TYPE = StructType(
@@ -166,31 +167,42 @@ def seed_of(image_id, det_id) -> int:
 
 def regions_of(image_id, found: list[dict], width: int, height: int, o: Fusion, holes: bool) -> list[dict]:
     """One image's regions in the order of pasting; boxes with packed bits get runs."""
-    for d in found:
-        if d.get("runs") is None and d.get("mask") is not None:
-            d["runs"] = R.from_bits(d["mask"], (d["x0"], d["y0"], d["x1"], d["y1"]), width, height)
-    out = []
-    for n, p in enumerate(fusion.fuse(found, width, height, o, holes)):
-        own, grown = p.box, p.grown
-        out.append({
-            "paste_order": n + 1, "det_id": p.det_id, "kind": p.kind, "score": p.source["score"],
-            **{k: int(v) for k, v in zip(G.COORDS, grown, strict=True)}, **{f"own_{k}": int(v) for k, v in zip(G.COORDS, own, strict=True)},
-            "mask_area": R.area(p.runs), "hole": p.hole if holes else None, "seed": seed_of(image_id, p.det_id), "keypoints": p.source.get("keypoints"),
-        })
-    return out
+    return [dict(zip(REGION_NAMES, r, strict=True)) for r in regions_of_all([(image_id, height, width, found)], o, holes)[0]]
+
+
+def regions_of_all(rows: list[tuple], o: Fusion, holes: bool) -> list[list[tuple]]:
+    """``regions_of`` of several images (image_id, height, width, found): the values of _REGION."""
+    for _, height, width, found in rows:
+        for d in found:
+            if d.get("runs") is None and d.get("mask") is not None:
+                d["runs"] = R.from_bits(d["mask"], (d["x0"], d["y0"], d["x1"], d["y1"]), width, height)
+    fused = fusion.fuse_many([(found, width, height) for _, height, width, found in rows], o, holes)
+    return [
+        [(n, p.det_id, p.kind, p.source["score"], *map(int, p.grown), *map(int, p.box), p.area, p.hole if holes else None, seed_of(row[0], p.det_id), p.source.get("keypoints")) for n, p in enumerate(parts, 1)]
+        for row, parts in zip(rows, fused, strict=True)
+    ]
+
 
+def listed(values: pa.Array) -> list:
+    """As Python values; numbers by numpy, which is faster."""
+    plain = not values.null_count and (pa.types.is_integer(values.type) or pa.types.is_floating(values.type))
+    return values.to_numpy().tolist() if plain else values.to_pylist()
 
-def found_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(image_id, height, width, found) of each row; runs stay numpy slices."""
+
+def found_rows(batch: pa.RecordBatch, made: Callable[[dict[str, pa.Array]], list] | None = None) -> Iterator[tuple]:
+    """(image_id, height, width, found) of each row; runs stay numpy slices. made: from the fields of all detections, the runs of each or None."""
     column = batch.column("found")
     parts = column.flatten()
     fields = {parts.type.field(i).name: child for i, child in enumerate(parts.flatten())}
     runs = fields.pop("runs", None)
-    plain = pa.StructArray.from_arrays(list(fields.values()), names=list(fields)).to_pylist() if len(parts) else []
+    plain = [dict(zip(fields, v, strict=True)) for v in zip(*map(listed, fields.values()), strict=True)]
     if runs is not None:
         at, values = runs.offsets.to_numpy(), runs.values.to_numpy()
         for k, d in enumerate(plain):
             d["runs"] = values[at[k] : at[k + 1]] if runs[k].is_valid else None
+    elif made is not None:
+        for d, own in zip(plain, made(fields), strict=True):
+            d["runs"] = own
     ids, heights, widths = (batch.column(n).to_pylist() for n in ("image_id", "height", "width"))
     first = 0
     for k, n in enumerate((v or 0) for v in pa.compute.list_value_length(column).to_pylist()):
@@ -198,14 +210,27 @@ def found_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         first += n
 
 
-def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True) -> DataFrame:
-    """rows(image_id, height, width, found), one an image, as ``outcomes`` and ``by_image`` make them -> image_id, regions."""
+#: Images that are fused together: enough for numpy, few enough for their masks to stay small.
+TOGETHER = 64
+
+
+def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True, made: Callable[[dict[str, pa.Array]], list] | None = None) -> DataFrame:
+    """rows(image_id, height, width, found), one an image, as ``outcomes`` and ``by_image`` make them -> image_id, regions. made: makes the runs of detections that
+    have none (``found_rows``)."""
     schema = of_ids(f"image_id long, regions array<struct<{_REGION}>>", rows)
     arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
+    kind = arrow.field("regions").type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([{"image_id": i, "regions": regions_of(i, found, w, h, o, holes)} for i, h, w, found in found_rows(batch)], arrow)
+            for first in range(0, batch.num_rows, TOGETHER):
+                part = list(found_rows(batch.slice(first, TOGETHER), made))
+                regions = regions_of_all(part, o, holes)
+                flat = [r for some in regions for r in some]
+                columns = zip(*flat, strict=True) if flat else [()] * kind.value_type.num_fields
+                values = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(columns, kind.value_type, strict=True)], fields=list(kind.value_type))
+                ends = np.r_[0, np.cumsum([len(some) for some in regions])].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], arrow.field("image_id").type), pa.ListArray.from_arrays(ends, values, type=kind)], schema=arrow)
 
     return rows.select("image_id", F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), "found").mapInArrow(run, schema)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import relations as R
@@ -563,11 +565,19 @@ SELECT image_id, det_id, kind, x0, y0, x1, y1, row_number() OVER (PARTITION BY i
 
 @query("plan_fused_regions", FUSED_SQL)
 def plan_fused(spark, d):
-    """Only boxes are shuffled; the masks of persons are made in the image's row."""
-    rows = anonymize.by_image(R.boxes(spark, d), R.WIDTH, R.HEIGHT)
-    runs = lambda b: F.when(b["kind"].isin("person", "person_cse"), R.mask_runs(*[b[n] for n in G.COORDS]))
-    rows = rows.withColumn("found", F.transform("found", lambda b: b.withField("runs", runs(b))))
-    f = anonymize.fuse_rows(rows, Fusion(published=True), holes=False).select("image_id", F.inline("regions"))
+    """Only boxes are shuffled and go to workers; the masks of persons are made there."""
+    def person_runs(fields: dict[str, pa.Array]) -> list:
+        out = [None] * len(fields["kind"])
+        at = np.flatnonzero(pc.is_in(fields["kind"], value_set=pa.array(["person", "person_cse"])))
+        made = R.mask_rows(*[fields[n].take(pa.array(at)) for n in G.COORDS])
+        ends, values = made.offsets.to_numpy(), made.values.to_numpy()
+        for k, i in enumerate(at):
+            out[i] = values[ends[k] : ends[k + 1]]
+        return out
+
+    o = Fusion(published=True)
+    rows = anonymize.by_image(R.boxes(spark, d).filter(c("score") >= o.score_threshold), R.WIDTH, R.HEIGHT)
+    f = anonymize.fuse_rows(rows, o, holes=False, made=person_runs).select("image_id", F.inline("regions"))
     return f.select(*ID, "kind", *G.COORDS, c("paste_order").cast("long"))
 
 
