@@ -269,9 +269,10 @@ def test_masks_are_measured_together():
     assert R.measures([R.EMPTY], [(4, 3)]) == ([0], [(0, 0, 4, 3)]) and R.dilated_boxes([R.EMPTY], [(0, 0, 2, 2)], [(4, 3)], (28, 16), 0.1) == [(0, 0, 2, 2)]
 
 
-def test_fused_regions_make_masks_in_the_worker(spark):
+@pytest.mark.parametrize("name", ["plan_fused_regions", "plan_region_report"])
+def test_fused_regions_make_masks_in_the_worker(spark, name):
     from tests.conftest import SMALL
     from veilframe.plans import catalog
 
-    plan = catalog.QUERIES["plan_fused_regions"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "runs" not in plan and "lambda" not in plan
