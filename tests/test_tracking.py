@@ -206,3 +206,27 @@ def test_video_plan_keeps_identities(spark):
         assert out[f"{video}7"].status == "no_region"
         assert (see[f"{video}7"] == 0).all()
     assert see["a0"][10, 6, 0] != see["b0"][10, 6, 0]
+
+
+@pytest.mark.parametrize("block", [1, 9, 20])
+def test_tracks_reach_over_blocks(spark, block):
+    """However frames are cut into blocks, tracks are those of the slow tracker; crossing blocks of eight frames or more, with gaps at their edges; repeated rows share one."""
+    rng = np.random.default_rng(block)
+    rows = []
+    for video in (5, None):
+        at = rng.integers(0, 90, (6, 2)).astype(float)
+        for frame in range(-3, 60):
+            at += rng.integers(-5, 6, at.shape)
+            for k, (x, y) in enumerate(at):
+                if rng.random() < 0.75:
+                    rows.append((video, frame, k, float(x), float(y), float(x + 25), float(y + 20 + k)))
+    assert batch_tracks(spark, rows + rows[:5], block=block) == slow_tracks(rows)
+
+
+def test_tracks_deal_detections_once(spark):
+    """One exchange of boxes by image and one by clip, no join: what is shuffled does not grow with pairs, chains or rounds."""
+    frame = spark.createDataFrame(clip()[0], SCHEMA)
+    plan = tracking.block_tracks(frame, 0.3, 5, 0.1, tracking.BLOCK)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "Join" not in plan
+    assert "Join" not in tracking.tracks(frame)._jdf.queryExecution().executedPlan().toString()
