@@ -89,6 +89,28 @@ def test_k_means_of_512_centres(spark):
     assert cost < 0.3 * ((x - x.mean(0)) ** 2).sum()
 
 
+def test_k_means_stores_vectors_once(spark, monkeypatch):
+    """The given table is read by one pass, whatever rounds follow; those read bytes, which are gone afterwards; spread is that of all vectors."""
+    from veilframe.functions import storage
+
+    x = np.random.default_rng(8).normal(size=(700, 5)) * 3 + 1e3
+    frame = vectors(spark, x).repartition(6)
+    read, plain = [], metrics.centre_sums
+    monkeypatch.setattr(metrics, "centre_sums", lambda rows, centres: (read.append(rows.columns), plain(rows, centres))[1])
+    before = storage.marked()
+    *_, rounds = metrics.k_means(frame, 7)
+    assert len(read) > rounds
+    assert all("vec" not in names for names in read)
+    assert storage.marked() == before
+    kept = metrics.stored_vectors(frame)
+    assert metrics.mean_variance(kept.df) == pytest.approx(x.var(0).mean(), rel=1e-12)
+    (total, n, cost), want = plain(kept.df, x[:7]), plain(frame, x[:7])
+    assert np.allclose(total, want[0], rtol=1e-12)
+    assert np.array_equal(n, want[1])
+    assert cost == pytest.approx(want[2], rel=1e-12)
+    kept.drop()
+
+
 def test_fewer_different_vectors_than_centres(spark):
     frame = vectors(spark, np.repeat(np.eye(3), 4, 0))
     centres, n, cost, _ = metrics.k_means(frame, 8)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.storage import cut
+from ..functions.storage import Cut, cut
 from .matching import nearest_centre, vector_blocks
 from .pixels import gaussian
 
@@ -208,25 +208,57 @@ def path_length(a: Column, b: Column, eps: float) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v) / eps**2
 
 
+def stored_vectors(features: DataFrame, hashes: int = 0, seed: int = 0) -> Cut:
+    """The vectors of a table as ``x``, the bytes of their doubles, in the shared folder: what is read once a round is neither made anew nor taken apart by
+    entries. hashes: so many hashes of each vector go along, h0 for the first draw and h1, h2, ... for the rounds."""
+    rows = features.filter("vec is not null").select(c("vec").cast("array<double>").alias("vec"))
+    names = [f"h{r}" for r in range(hashes)]
+    rows = rows.select("vec", *[F.xxhash64("vec", F.lit(seed), *[F.lit(r - 1)] * (r > 0)).alias(n) for r, n in enumerate(names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in vector_blocks(batch.column(0), np.zeros((0, 1))):
+                ends = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 8)
+                data = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
+                yield pa.RecordBatch.from_arrays([data, *batch.columns[1:]], names=["x", *names])
+
+    return Cut(rows.mapInArrow(run, ", ".join(["x binary", *[f"{n} long" for n in names]])))
+
+
+def vectors_of(column: pa.Array, table: np.ndarray) -> Iterator[np.ndarray]:
+    """``vector_blocks`` of vectors as lists or as ``stored_vectors`` keeps them, few enough rows at a time to stay in a core's cache."""
+    if pa.types.is_binary(column.type) and len(column):
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        values = pa.array(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float64))
+        column = pa.FixedSizeListArray.from_arrays(values, int(ends[1] - ends[0]) // 8)
+    for x in vector_blocks(column, table):
+        for first in range(0, len(x), 1024):
+            yield x[first : first + 1024]
+
+
 def centre_sums(features: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """One pass: the sum and count of the vectors next to each centre (smallest number on ties), and the sum of squared distances. Matrix products a
-    batch; a task sends one k x dim matrix, rows of which are added up by centre."""
+    """One pass: the sum and count of the vectors next to each centre (smallest number on ties), and the sum of squared distances. features: with ``vec``, or as
+    stored. Matrix products a batch; a task sends one k x dim matrix, rows of which are added up by centre."""
     sent = features.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = sent.value
         total, n, cost = np.zeros_like(k), np.zeros(len(k), np.int64), np.zeros(len(k))
         for batch in batches:
-            for x in vector_blocks(batch.column(0), k):
+            for x in vectors_of(batch.column(0), k):
                 near, d = nearest_centre(x, k)
-                np.add.at(total, near, x)
-                np.add.at(cost, near, d)
-                n += np.bincount(near, minlength=len(k))
+                order = np.argsort(near, kind="stable")
+                count = np.bincount(near, minlength=len(k))
+                some = np.flatnonzero(count)
+                total[some] += np.add.reduceat(x[order], (np.cumsum(count) - count)[some])
+                cost += np.bincount(near, d, len(k))
+                n += count
         hit = np.flatnonzero(n)
         if len(hit):
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(n[hit]), pa.array(cost[hit]), pa.array(total[hit].tolist(), pa.list_(pa.float64()))], names=["entry", "n", "cost", "total"])
 
-    rows = features.filter("vec is not null").select(c("vec").cast("array<double>")).mapInArrow(run, "entry int, n bigint, cost double, total array<double>")
+    kept = features.select("x") if "x" in features.columns else features.filter("vec is not null").select(c("vec").cast("array<double>"))
+    rows = kept.mapInArrow(run, "entry int, n bigint, cost double, total array<double>")
     # sums by centre and dimension, added up before they leave a task
     sums = rows.groupBy("entry").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(F.get("total", F.lit(i))).alias(f"t{i}") for i in range(centres.shape[1])])
     total, n, cost = np.zeros_like(centres), np.zeros(len(centres), np.int64), 0.0
@@ -245,33 +277,63 @@ def lloyd_step(features: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np
 def seed_centres(features: DataFrame, k: int, rounds: int = 5, over: float = 2.0, seed: int = 0) -> np.ndarray:
     """k-means||: each round draws vectors with probability over * k times their share of the objective; the some over * k * rounds candidates, weighted by how
     many vectors are next to them, are brought down to k on the driver. Draws go by a hash of the vector, so they don't depend on partitions or retries."""
-    rows = features.filter("vec is not null").select(c("vec").cast("array<double>").alias("vec"))
-    first = rows.withColumn("h", F.xxhash64("vec", F.lit(seed))).orderBy("h").limit(1).collect()
+    kept = stored_vectors(features, rounds + 1, seed)
+    try:
+        return stored_seeds(kept.df, k, rounds, over, seed)
+    finally:
+        kept.drop()
+
+
+def stored_seeds(rows: DataFrame, k: int, rounds: int, over: float, seed: int) -> np.ndarray:
+    """``seed_centres`` of vectors stored with rounds + 1 hashes."""
+    first = rows.select("x", "h0").orderBy("h0").limit(1).collect()
     if not first:
         raise ValueError("no vectors to seed from")
-    centres = np.array([first[0]["vec"]])
+    vector = lambda r: np.frombuffer(r["x"], np.float64)
+    centres = np.array([vector(first[0])])
     for r in range(rounds):
-        cost = centre_sums(features, centres)[2]
+        cost = centre_sums(rows, centres)[2]
         if cost <= 0:
             break
         sent = rows.sparkSession.sparkContext.broadcast(centres)
 
         def draw(batches: Iterator[pa.RecordBatch], sent=sent, cost=cost) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at = 0
-                for x in vector_blocks(batch.column(0), sent.value):
+                at, hits = 0, [np.zeros(0, np.int64)]
+                for x in vectors_of(batch.column(0), sent.value):
                     d = nearest_centre(x, sent.value)[1]
                     u = (batch.column(1).slice(at, len(x)).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
+                    hits.append(at + np.flatnonzero(u < over * k * d / cost))
                     at += len(x)
-                    hit = x[u < over * k * d / cost]
-                    yield pa.RecordBatch.from_arrays([pa.array(hit.tolist(), pa.list_(pa.float64()))], names=["vec"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(hits)))], names=["x"])
 
-        drawn = rows.select("vec", F.xxhash64("vec", F.lit(seed), F.lit(r)).alias("h")).mapInArrow(draw, "vec array<double>").distinct().collect()
-        centres = np.vstack([centres, *[np.array([v["vec"]]) for v in sorted(drawn, key=lambda v: v["vec"])]])
-    weights = centre_sums(features, centres)[1]
+        drawn = rows.select("x", f"h{r + 1}").mapInArrow(draw, "x binary").distinct().collect()
+        centres = np.vstack([centres, *sorted(map(vector, drawn), key=list)])
+    weights = centre_sums(rows, centres)[1]
     return reduced_centres(centres, weights, k, seed)
 
 
+def mean_variance(rows: DataFrame) -> float:
+    """The mean over dimensions of the population variance of stored vectors: sums of a task about its own mean, merged about the common one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, off = 0, 0.0, 0.0
+        for batch in batches:
+            for x in vectors_of(batch.column(0), np.zeros((0, 1))):
+                new = x.mean(0)
+                off = off + ((x - new) ** 2).sum(0) + (new - mean) ** 2 * (n * len(x) / (n + len(x)))
+                mean = mean + (new - mean) * (len(x) / (n + len(x)))
+                n += len(x)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(mean)), pa.array(np.arange(len(mean), dtype=np.int32)), pa.array(mean), pa.array(off)], names=["n", "i", "mean", "off"])
+
+    each = rows.select("x").mapInArrow(run, "n bigint, i int, mean double, off double")
+    of = Window.partitionBy("i")
+    about = F.sum(c("n") * c("mean")).over(of) / F.sum("n").over(of)
+    off = each.withColumn("off", c("off") + c("n") * (c("mean") - about) * (c("mean") - about))  # a row a task and dimension
+    return off.groupBy("i").agg((F.sum("off") / F.sum("n")).alias("v")).agg(F.avg("v")).first()[0] or 0.0
+
+
 def reduced_centres(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
     """k-means++ over weighted candidates; fewer where there are fewer different ones."""
     rng = np.random.default_rng(seed)
@@ -286,15 +348,20 @@ def reduced_centres(points: np.ndarray, weights: np.ndarray, k: int, seed: int)
 
 def k_means(features: DataFrame, k: int = 512, tol: float = 1e-5, limit: int = 1000, seed: int = 0, centres: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float, int]:
     """Lloyd's rounds from k-means|| seeds (or given centres) until the squared move of all centres is at most tol times the mean variance of the
-    dimensions -> (centres, counts, objective, rounds). One pass over the vectors a round."""
-    centres = seed_centres(features, k, seed=seed) if centres is None else np.asarray(centres, float)
-    spread = features.filter("vec is not null").select(F.posexplode("vec").alias("i", "e")).groupBy("i").agg(F.var_pop("e").alias("v")).agg(F.avg("v")).first()[0] or 0.0
-    for done in range(1, limit + 1):
-        new, n, cost = lloyd_step(features, centres)
-        moved = ((new - centres) ** 2).sum()
-        centres = new
-        if moved <= tol * spread:
-            break
+    dimensions -> (centres, counts, objective, rounds). Vectors are stored once as bytes; a round is one pass over those."""
+    draws = 5
+    kept = stored_vectors(features, 0 if centres is not None else draws + 1, seed)
+    try:
+        centres = stored_seeds(kept.df, k, draws, 2.0, seed) if centres is None else np.asarray(centres, float)
+        spread = mean_variance(kept.df)
+        for done in range(1, limit + 1):
+            new, n, cost = lloyd_step(kept.df, centres)
+            moved = ((new - centres) ** 2).sum()
+            centres = new
+            if moved <= tol * spread:
+                break
+    finally:
+        kept.drop()
     return centres, n, cost, done
 
 
