@@ -52,6 +52,24 @@ def tar_of(path, n, rng):
                 tar.addfile(info, io.BytesIO(data))
 
 
+def test_ranges_are_longer_where_there_are_many_bytes(tmp_path, monkeypatch):
+    """Short ranges stay as asked for while they are few; beyond TASKS they grow with the input, up to SPLIT_BYTES, and each sample is in one of them."""
+    tar_of(tmp_path / "a-000.tar", 90, np.random.default_rng(3))
+    reader = tar_source.TarReader(f"file://{tmp_path}", 2048)
+    size = (tmp_path / "a-000.tar").stat().st_size
+    many = len(reader.partitions())
+    monkeypatch.setattr(tar_source, "TASKS", 8)
+    few = reader.partitions()
+    assert 1 < len(few) <= 8 < many
+    assert [p.start for p in few] == [0, *[p.end for p in few[:-1]]]
+    assert few[-1].end == size
+    with tarfile.open(tmp_path / "a-000.tar") as tar:
+        want = [m.name for m in tar if m.isfile()]
+    assert [f"{key}.{member}" for p in few for _, key, member, _ in reader.read(p)] == want
+    assert reader.range_bytes(1 << 50) == tar_source.SPLIT_BYTES
+    assert tar_source.TarReader("file:///none", 1 << 40).range_bytes(1 << 50) == 1 << 40
+
+
 def test_one_large_tar_is_read_by_many_tasks(spark, tmp_path):
     rng = np.random.default_rng(2)
     tar_of(tmp_path / "a-000.tar", 120, rng)

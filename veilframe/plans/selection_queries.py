@@ -244,7 +244,10 @@ def s14(spark, d):
     from ..functions.storage import scratch
     from ..sources import formats, sinks, tar_source
 
-    shards = formats.write_tar(R.images(spark, d).select(c("image_id").cast("string").alias("key"), formats.png_of("px", 8, 8).alias("png"), (c("image_id") % 5).cast("string").alias("cls")), 7)
+    images = R.images(spark, d)
+    # a task holds one shard, so there are more of them where there are more images
+    count = max(7, -(-images.count() // 5_000))
+    shards = formats.write_tar(images.select(c("image_id").cast("string").alias("key"), formats.png_of("px", 8, 8).alias("png"), (c("image_id") % 5).cast("string").alias("cls")), count)
     at = scratch(spark, "tar")
     sinks.write_files(shards, at, "path", "content").write.format("noop").mode("overwrite").save()
     members = tar_source.tar_members(spark, at, 32 << 10)

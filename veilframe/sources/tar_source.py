@@ -1,7 +1,7 @@
 """Members of tar files by byte ranges: a large tar is read by as many tasks as it has ranges, and no task holds more than a member.
 
 Tars up to ``split_bytes`` are one range. Of larger ones the headers are walked (a seek a member, no contents) and ranges are cut where a sample, the
-members of one key, begins. What a member decodes to is found by its suffix in DECODERS.
+members of one key, begins. Of many bytes ranges are longer, up to SPLIT_BYTES, so that there are some TASKS of them. What a member decodes to is found by its suffix in DECODERS.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from .formats import brace_range, decode_png
 NAME = "tar_members"
 SCHEMA = "shard string, key string, member string, data binary"
 SPLIT_BYTES = 64 << 20
+#: Ranges shorter than SPLIT_BYTES are not cut beyond about so many.
+TASKS = 128
 #: By suffix: (type of the value, bytes -> value).
 DECODERS = Registry("decoder")
 
@@ -72,23 +74,28 @@ class TarReader(DataSourceReader):
                     out.append((uri, info.size))
         return out
 
-    def cuts(self, uri: str) -> list[int]:
+    def range_bytes(self, total: int) -> int:
+        """The length of a range of so many bytes."""
+        return max(self.split_bytes, min(SPLIT_BYTES, total // TASKS))
+
+    def cuts(self, uri: str, split_bytes: int) -> list[int]:
         """Where ranges of a large tar begin."""
         files, at = fs.FileSystem.from_uri(uri)
         out, last = [0], None
         with files.open_input_file(at) as f, tarfile.open(fileobj=f, mode="r:") as tar:
             for m in tar:
                 key = split_name(m.name)[0]
-                if key != last and m.offset - out[-1] >= self.split_bytes:
+                if key != last and m.offset - out[-1] >= split_bytes:
                     out.append(m.offset)
                 last = key
                 tar.members = []  # the walk keeps none of them
         return out
 
     def partitions(self) -> list[InputPartition]:
-        out = []
-        for uri, size in self.files():
-            starts = self.cuts(uri) if size > self.split_bytes else [0]
+        out, files = [], self.files()
+        split = self.range_bytes(sum(size for _, size in files))
+        for uri, size in files:
+            starts = self.cuts(uri, split) if size > split else [0]
             out += [ByteRange(uri, a, b) for a, b in zip(starts, [*starts[1:], size], strict=True)]
         return out
 
