@@ -276,3 +276,15 @@ def test_fused_regions_make_masks_in_the_worker(spark, name):
 
     plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "runs" not in plan and "lambda" not in plan
+    assert "seed" not in plan and "keypoints" not in plan
+
+
+def test_named_values_of_regions():
+    """Only what is asked for is made, as in whole regions."""
+    from veilframe.plans import anonymize
+
+    found = [{"det_id": k, "kind": kind, "score": 0.9, "x0": 5 * k, "y0": 4, "x1": 5 * k + 30, "y1": 70, "runs": None} for k, kind in enumerate(("face", "vehicle", "person"))]
+    whole = anonymize.regions_of(7, found, 640, 480, Fusion(), True)
+    names = ("kind", "x1", "own_y0", "paste_order")
+    assert len(whole) == 3
+    assert anonymize.regions_of_all([(7, 480, 640, found)], Fusion(), True, names)[0] == [tuple(r[n] for n in names) for r in whole]

@@ -170,17 +170,23 @@ def regions_of(image_id, found: list[dict], width: int, height: int, o: Fusion,
     return [dict(zip(REGION_NAMES, r, strict=True)) for r in regions_of_all([(image_id, height, width, found)], o, holes)[0]]
 
 
-def regions_of_all(rows: list[tuple], o: Fusion, holes: bool) -> list[list[tuple]]:
-    """``regions_of`` of several images (image_id, height, width, found): the values of _REGION."""
+#: The values of a region by name: of its place n, the part p, its image's id.
+REGION_VALUES = {
+    "paste_order": lambda n, p, image: n, "det_id": lambda n, p, image: p.det_id, "kind": lambda n, p, image: p.kind, "score": lambda n, p, image: p.source["score"],
+    **{name: lambda n, p, image, k=k: int(p.grown[k]) for k, name in enumerate(G.COORDS)}, **{f"own_{name}": lambda n, p, image, k=k: int(p.box[k]) for k, name in enumerate(G.COORDS)},
+    "mask_area": lambda n, p, image: p.area, "hole": lambda n, p, image: p.hole, "seed": lambda n, p, image: seed_of(image, p.det_id), "keypoints": lambda n, p, image: p.source.get("keypoints"),
+}
+
+
+def regions_of_all(rows: list[tuple], o: Fusion, holes: bool, names: tuple[str, ...] = REGION_NAMES) -> list[list[tuple]]:
+    """``regions_of`` of several images (image_id, height, width, found): the named values of _REGION."""
     for _, height, width, found in rows:
         for d in found:
             if d.get("runs") is None and d.get("mask") is not None:
                 d["runs"] = R.from_bits(d["mask"], (d["x0"], d["y0"], d["x1"], d["y1"]), width, height)
     fused = fusion.fuse_many([(found, width, height) for _, height, width, found in rows], o, holes)
-    return [
-        [(n, p.det_id, p.kind, p.source["score"], *map(int, p.grown), *map(int, p.box), p.area, p.hole if holes else None, seed_of(row[0], p.det_id), p.source.get("keypoints")) for n, p in enumerate(parts, 1)]
-        for row, parts in zip(rows, fused, strict=True)
-    ]
+    make = [(lambda n, p, image: None) if name == "hole" and not holes else REGION_VALUES[name] for name in names]
+    return [[tuple([f(n, p, row[0]) for f in make]) for n, p in enumerate(parts, 1)] for row, parts in zip(rows, fused, strict=True)]
 
 
 def listed(values: pa.Array) -> list:
@@ -214,10 +220,11 @@ def found_rows(batch: pa.RecordBatch, made: Callable[[dict[str, pa.Array]], list
 TOGETHER = 64
 
 
-def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True, made: Callable[[dict[str, pa.Array]], list] | None = None) -> DataFrame:
+def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True, made: Callable[[dict[str, pa.Array]], list] | None = None, names: tuple[str, ...] = REGION_NAMES) -> DataFrame:
     """rows(image_id, height, width, found), one an image, as ``outcomes`` and ``by_image`` make them -> image_id, regions. made: makes the runs of detections that
-    have none (``found_rows``)."""
-    schema = of_ids(f"image_id long, regions array<struct<{_REGION}>>", rows)
+    have none (``found_rows``). names: what of a region is made."""
+    fields = dict(zip(REGION_NAMES, _REGION.split(", ", len(REGION_NAMES) - 1), strict=True))
+    schema = of_ids(f"image_id long, regions array<struct<{', '.join(fields[n] for n in names)}>>", rows)
     arrow = to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema)
     kind = arrow.field("regions").type
 
@@ -225,7 +232,7 @@ def fuse_rows(rows: DataFrame, o: Fusion = Fusion(), holes: bool = True, made: C
         for batch in batches:
             for first in range(0, batch.num_rows, TOGETHER):
                 part = list(found_rows(batch.slice(first, TOGETHER), made))
-                regions = regions_of_all(part, o, holes)
+                regions = regions_of_all(part, o, holes, names)
                 flat = [r for some in regions for r in some]
                 columns = zip(*flat, strict=True) if flat else [()] * kind.value_type.num_fields
                 values = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(columns, kind.value_type, strict=True)], fields=list(kind.value_type))

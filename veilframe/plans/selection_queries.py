@@ -580,7 +580,7 @@ def plan_fused(spark, d):
 
     o = Fusion(published=True)
     rows = anonymize.by_image(R.boxes(spark, d).filter(c("score") >= o.score_threshold), R.WIDTH, R.HEIGHT)
-    f = anonymize.fuse_rows(rows, o, holes=False, made=person_runs).select("image_id", F.inline("regions"))
+    f = anonymize.fuse_rows(rows, o, holes=False, made=person_runs, names=("det_id", "kind", *G.COORDS, "paste_order")).select("image_id", F.inline("regions"))
     return f.select(*ID, "kind", *G.COORDS, c("paste_order").cast("long"))
 
 
